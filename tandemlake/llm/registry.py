@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["quality", "media"]
+MODULES = ["quality", "tokenfile", "packing", "mixing", "media"]
 
 
 def queries() -> dict:
