@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["quality", "tokenfile", "packing", "mixing", "media"]
+MODULES = ["quality", "langid", "tokenfile", "packing", "licenses", "mixing", "media"]
 
 
 def queries() -> dict:
