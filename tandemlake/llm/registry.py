@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["quality", "langid", "tokenfile", "packing", "licenses", "mixing", "media"]
+MODULES = ["quality", "langid", "tokenfile", "packing", "licenses", "mixing", "pii", "media"]
 
 
 def queries() -> dict:
