@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["quality", "langid", "tokenfile", "packing", "licenses", "neardup", "mixing", "pii", "media"]
+MODULES = ["quality", "langid", "tokenfile", "substring", "packing", "licenses", "neardup", "mixing", "pii", "media"]
 
 
 def queries() -> dict:
