@@ -1,16 +1,54 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
+
+Language ID, near duplicates, personal data, the mixture of sources, and packing into training sequences. Each stage
+works on all that its predecessor kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from tandemlake.llm.common import staged, table
+from tandemlake.llm.langid import accepted_documents
+from tandemlake.llm.mixing import mixed_documents
+from tandemlake.llm.neardup import distinct_documents
+from tandemlake.llm.packing import pack_documents
+from tandemlake.llm.pii import redact_pii
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is rejected go."""
+    return accepted_documents(docs)
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return distinct_documents(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of personal data are replaced by their kind."""
+    return redact_pii(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are taken as often as the sources' targets say."""
+    return mixed_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences, with their ids."""
+    return pack_documents(docs)
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicate), ("personal_data", personal_data), ("mixture", mixture), ("packing", packing)]
+
+#: The stages' models are trained, which SQL can't express; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tandemlake.llm.common import staged, table
-
+    """The rows of the last stage."""
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -9,7 +9,7 @@ where the sum of its sizes is nearest to what the target leaves. u comes from a
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, ordered, running_sum, staged, table
@@ -36,6 +36,10 @@ def water_fill(sizes: np.ndarray, weights: np.ndarray, total: float, most: float
     return targets
 
 
+def row_key() -> Column:
+    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
+
+
 def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, power: float = POWER) -> DataFrame:
     """Per document: doc_id, size (words; null text: 0), source_size, target, copies and taken (copies * size).
 
@@ -44,7 +48,7 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share:
     are copied as the whole copies say. Repeated rows are documents of their own."""
     rows = documents(docs, "doc_id", "text", "source")
     words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: F.length(w) > 0)).cast("long")
-    key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
+    key = row_key()
     sized = staged(rows.select("doc_id", "source", words.alias("size"), key.alias("key"), F.monotonically_increasing_id().alias("uid")).withColumn("bucket", (F.length(F.bin(F.col("size") + 1)) - 1).cast("int")))
     # a row for each source and power of two of sizes
     found = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words")).collect()
@@ -72,7 +76,16 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share:
     # the head ends where its words come nearest to the rest
     extra = (F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("rest")) & (F.col("rest") > 0)
     copies = F.col("whole") + F.when(extra, 1).otherwise(0)
-    return summed.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "uid", "source")
+    return summed.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "key", "source")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The columns of documents, each document as often as mix_sources copies it; rows repeated whole get equal copies."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = documents(docs, *columns)
+    copies = staged(mix_sources(rows).groupBy(F.col("key").alias("_key")).agg(F.max("copies").alias("_copies")).where("_copies > 0"))
+    both = rows.withColumn("_own", row_key()).join(copies, F.col("_own") == F.col("_key"))
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

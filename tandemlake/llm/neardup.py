@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -24,7 +24,8 @@ THRESHOLD = 0.8
 TREES = 12
 DEPTH = 4
 TARGET_RECALL = 0.9995
-#: Shingles in a block of a prefix's nodes; each node counts 512 more, so that a block has at most 256 nodes.
+#: Shingles in a block of a prefix's nodes: 1 MB. Each node counts 512 more, so that a block has at most 256 nodes and
+#: a pair of blocks a product of 1 MB.
 BLOCK, NODE_COST = 1 << 17, 512
 
 _U = np.uint64
@@ -174,6 +175,11 @@ def _runs(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame
         yield pd.concat(rest, ignore_index=True)
 
 
+def text_node() -> Column:
+    """Digest of a row's text; of its doc_id where the text is null."""
+    return F.unhex(F.md5(F.coalesce(F.concat(F.lit("t"), F.col("text")), F.concat(F.lit("n"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))))
+
+
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, target: float = TARGET_RECALL) -> DataFrame:
     """Per document: doc_id, class_id (the least doc_id of its class), n_links (other texts whose set of five-word
     shingles has a Jaccard similarity of at least the threshold with its own), n_copies (documents with just its text,
@@ -182,9 +188,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, trees: int
     Equal texts are one node, however short; texts of fewer than five words link to no other text. A null text is a
     class of its own, as are others by the same doc_id. Repeated rows are copies."""
     used = matched_depth(threshold, trees, depth, target)
-    rows = documents(docs, "doc_id", "text")
-    node = F.unhex(F.md5(F.coalesce(F.concat(F.lit("t"), F.col("text")), F.concat(F.lit("n"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))))
-    rows = rows.select("doc_id", node.alias("node"), "text")
+    rows = documents(docs, "doc_id", "text").select("doc_id", text_node().alias("node"), "text")
 
     def sign(batch: pd.DataFrame) -> pd.DataFrame:
         sig, n = signatures(batch["text"].tolist(), trees * depth)
@@ -252,6 +256,20 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, trees: int
     return listed.select("doc_id", "class_id", "n_links", "n_copies", "node", keeper.alias("keeper"))
 
 
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """The columns of documents, one document of each class of near_duplicates: its least doc_id."""
+    rows = documents(docs, "doc_id", "text", "lang", "source", "n_chars").withColumn("_node", text_node())
+    kept = staged(near_duplicates(rows).where("keeper").groupBy(F.col("doc_id").alias("k_id"), F.col("node").alias("k_node")).agg(F.count("*").alias("k_rows")))
+    both = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("_node") == F.col("k_node")))
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    once = both.where("k_rows = 1").select(*columns)
+    if kept.where("k_rows > 1").isEmpty():
+        return once
+    # rows repeated with their doc_id: any one of them
+    again = both.where("k_rows > 1").groupBy("doc_id", "_node").agg(F.min(F.struct("lang", "source", "n_chars", "text")).alias("r")).select("doc_id", *[F.col(f"r.{c}").alias(c) for c in columns[1:]])
+    return once.unionByName(again)
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies", "keeper")
 
