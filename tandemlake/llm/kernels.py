@@ -45,14 +45,14 @@ def segment_hash(a: np.ndarray, starts: np.ndarray, inside: np.ndarray) -> np.nd
     """A hash of the bytes with ``inside`` set, from each start to the next one."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    where = np.arange(len(a), dtype=np.int64)
-    begin = np.zeros(len(a), np.int64)
-    begin[starts] = starts
-    where -= np.maximum.accumulate(begin)
-    where[: starts[0]] = 0
+    # the place of each byte in its segment
+    where = np.arange(len(a), dtype=np.int32)
+    sizes = np.diff(starts, append=len(a))
+    where[starts[0] :] -= np.repeat(starts.astype(np.int32), sizes)
     with np.errstate(over="ignore"):
-        v = _BYTE[a] * powers(int(where.max()) + 1)[where]
-        v[~inside] = 0
+        v = powers(max(int(sizes.max()), int(starts[0])) + 1)[where]
+        v *= _BYTE[a]
+        v *= inside
         return mix(np.add.reduceat(v, starts))
 
 

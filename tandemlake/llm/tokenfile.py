@@ -89,17 +89,23 @@ def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_
         return pd.DataFrame({"pid": batch["pid"], "doc_id": batch["doc_id"], "n_tokens": [len(i) // 2 for i in ids], "ids": ids})
 
     def counted(batches):
-        chunked = in_chunks(encode, size=1 << 22)
-        before = 0
-        for out in chunked(batches):
+        """Adds each row's place in its range, and to the range's last row the counts of all ids of the range."""
+        before, seen, last = 0, np.zeros(VOCABULARY, np.int64), None
+        for out in in_chunks(encode, size=1 << 22)(batches):
             ends = before + out["n_tokens"].cumsum()
-            out["place"] = ends - out["n_tokens"]
+            out["place"], out["seen"] = ends - out["n_tokens"], None
             before = int(ends.iloc[-1])
-            yield out
+            seen += np.bincount(np.frombuffer(b"".join(out["ids"]), np.uint16), minlength=VOCABULARY)
+            if last is not None:
+                yield last
+            last = out
+        if last is not None:
+            last.loc[len(last) - 1, "seen"] = zlib.compress(seen.tobytes(), 1)
+            yield last
 
     rows = documents(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("doc_id"), "text")
     dealt = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id").select(F.spark_partition_id().alias("pid"), "doc_id", "text")
-    tokens = staged(dealt.mapInPandas(counted, "pid int, doc_id long, n_tokens long, ids binary, place long"))
+    tokens = staged(dealt.mapInPandas(counted, "pid int, doc_id long, n_tokens long, ids binary, place long, seen binary"))
 
     # one row for each range of doc_ids: where its ids begin
     sums = sorted((r.pid, r.n) for r in tokens.groupBy("pid").agg(F.sum("n_tokens").alias("n")).collect())
@@ -110,11 +116,12 @@ def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_
     def count(batches):
         c = np.zeros(VOCABULARY, np.int64)
         for batch in batches:
-            c += np.bincount(np.frombuffer(b"".join(batch["ids"]), np.uint16), minlength=VOCABULARY)
+            for z in batch["seen"]:
+                c += np.frombuffer(zlib.decompress(z), np.int64)
         there = np.flatnonzero(c)
         yield pd.DataFrame({"id": there, "n": c[there]})
 
-    seen = tokens.select("ids").mapInPandas(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    seen = tokens.where("seen is not null").select("seen").mapInPandas(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(VOCABULARY, np.int64)
     for r in seen:
         counts[r.id] = r.n
@@ -132,29 +139,29 @@ def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_
                 ranks = rank[np.frombuffer(b"".join(part["ids"]), np.uint16)]
                 yield pd.DataFrame({"start": [part["start"].iloc[0]], "n_docs": [len(part)], "shard": [pack(part["doc_id"].to_numpy(), part["n_tokens"].to_numpy(), ranks)]})
 
-    return TokenFiles(staged(tokens.mapInPandas(shard, "start long, n_docs long, shard binary")), by_rank, counts)
+    return TokenFiles(staged(tokens.drop("seen").mapInPandas(shard, "start long, n_docs long, shard binary")), by_rank, counts)
 
 
-def read_tokens(files: TokenFiles) -> DataFrame:
-    """Per document, from the shards: doc_id, start, n_tokens, ids_crc32 and ids (little-endian, unsigned, 32 bits)."""
+def read_tokens(files: TokenFiles, *, ids: bool = True) -> DataFrame:
+    """Per document, from the shards: doc_id, start, n_tokens, ids_crc32 and, if asked for, ids (little-endian, unsigned,
+    32 bits)."""
     by_rank = files.by_rank
 
     def read(batches):
         for batch in batches:
             for start, shard in zip(batch["start"], batch["shard"], strict=True):
                 doc_ids, counts, ranks = unpack(shard)
-                ids = by_rank[ranks].astype("<u4")
+                wide = by_rank[ranks].astype("<u4")
                 ends = np.cumsum(counts, dtype=np.int64)
-                parts = [ids[e - c : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
-                yield pd.DataFrame(
-                    {"doc_id": pd.Series(doc_ids, dtype="Int64").mask(doc_ids == NULL_ID), "start": start + ends - counts, "n_tokens": counts.astype(np.int64), "ids_crc32": [zlib.crc32(p) for p in parts], "ids": parts}
-                )
+                parts = [wide[e - c : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+                out = {"doc_id": pd.Series(doc_ids, dtype="Int64").mask(doc_ids == NULL_ID), "start": start + ends - counts, "n_tokens": counts.astype(np.int64), "ids_crc32": [zlib.crc32(p) for p in parts]}
+                yield pd.DataFrame(out | ({"ids": parts} if ids else {}))
 
-    return files.shards.select("start", "shard").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+    return files.shards.select("start", "shard").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
 
 
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_tokens(write_tokens(table(spark, sf_dir, "documents"))).drop("ids")
+    return read_tokens(write_tokens(table(spark, sf_dir, "documents")), ids=False)
 
 
 QUERIES = {"op3_token_file": op3_token_file}
