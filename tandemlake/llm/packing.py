@@ -34,8 +34,9 @@ def tail_starts(total: int, length: int = LENGTH) -> list[int]:
     return out
 
 
-def pack_documents(docs: DataFrame, *, shares: dict[str, float] | None = None, vocabulary: str = "byte_bpe_50k.json", end_id: int = END_ID, length: int = LENGTH, window: int = 64) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (binary) and source.
+def pack_documents(docs: DataFrame, *, shares: dict[str, float] | None = None, vocabulary: str = "byte_bpe_50k.json", end_id: int = END_ID, length: int = LENGTH, window: int = 64, with_ids: bool = True) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source and, if with_ids,
+    ids (binary).
 
     A null text is empty: its document is the end id alone. Null sources are a queue of their own, repeated rows are
     documents of their own. shares: target token proportions; by default each source's share of all tokens, which
@@ -67,25 +68,27 @@ def pack_documents(docs: DataFrame, *, shares: dict[str, float] | None = None, v
     tail = np.array(tail_starts(total, length), np.int64)
     full = total // length * length
 
-    def cut(batches):
-        for batch in batches:
-            rows = []
-            for doc_id, source, n, ids, place in zip(batch["doc_id"], batch["source"], batch["doc_tokens"], batch["ids"], batch["place"], strict=True):
-                wide = np.frombuffer(ids, np.uint16).astype("<u4")
-                end = place + n
-                marks = [place, *range((place // length + 1) * length, min(end, full + 1), length), *tail[(tail > max(place, full)) & (tail < end)].tolist(), end]
-                for a, b in zip(marks[:-1], marks[1:], strict=True):
-                    if a < full:
-                        seq, offset = divmod(a, length)
-                    else:
-                        k = int(np.searchsorted(tail, a, side="right")) - 1
-                        seq, offset = full // length + k, a - int(tail[k])
-                    part = wide[a - place : b - place].tobytes()
-                    rows.append((doc_id, a - place, b - a, zlib.crc32(part), n, seq, offset, part, source))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "source"]).astype({"doc_id": "Int64"})
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"] + ["ids"] * with_ids
+
+    def cut(batch: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for doc_id, source, n, ids, place in zip(batch["doc_id"], batch["source"], batch["doc_tokens"], batch["ids"], batch["place"], strict=True):
+            wide = np.frombuffer(ids, np.uint16).astype("<u4").tobytes()
+            end = place + n
+            marks = [place, *range((place // length + 1) * length, min(end, full + 1), length), *(tail[(tail > max(place, full)) & (tail < end)].tolist() if end > full else ()), end]
+            for a, b in zip(marks[:-1], marks[1:], strict=True):
+                if a < full:
+                    seq, offset = divmod(a, length)
+                else:
+                    k = int(np.searchsorted(tail, a, side="right")) - 1
+                    seq, offset = full // length + k, a - int(tail[k])
+                part = wide[4 * (a - place) : 4 * (b - place)]
+                rows.append((doc_id, a - place, b - a, zlib.crc32(part), n, seq, offset, source, *([part] * with_ids)))
+        return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     both = tokens.join(placed.hint("shuffle_hash"), "uid").select("doc_id", "source", "doc_tokens", "ids", "place")
-    return both.mapInPandas(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary, source string")
+    kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string" + ", ids binary" * with_ids
+    return both.mapInPandas(in_chunks(cut, "ids"), kinds)
 
 
 def _everything():
@@ -96,7 +99,7 @@ def _everything():
 
 
 def op5_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents")).drop("ids")
+    return pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 QUERIES = {"op5_mixture_packing": op5_mixture_packing}
