@@ -24,9 +24,9 @@ THRESHOLD = 0.8
 TREES = 12
 DEPTH = 4
 TARGET_RECALL = 0.9995
-#: Shingles in a block of a prefix's nodes: 1 MB. Each node counts 512 more, so that a block has at most 256 nodes and
-#: a pair of blocks a product of 1 MB.
-BLOCK, NODE_COST = 1 << 17, 512
+#: Shingles in a block of a prefix's nodes: 2 MB. Each node counts 256 more, so that a block has at most 1024 nodes and
+#: a pair of blocks a product of 16 MB.
+BLOCK, NODE_COST = 1 << 18, 256
 
 _U = np.uint64
 
