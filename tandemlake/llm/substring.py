@@ -23,8 +23,8 @@ from .common import documents, in_chunks, partitions, staged, table
 
 LENGTH = 20
 ANCHOR = 6
-#: Occurrences of an anchor beyond which its group is split by whole windows.
-GROUP = 4096
+#: Occurrences of an anchor beyond which its group is split by whole windows: a tree has at most about 4000 suffixes.
+GROUP = 256
 
 _U = np.uint64
 
@@ -108,25 +108,19 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
         doc = w.doc[starts]
         ids, ties = batch["doc_id"].to_numpy(), batch["tie"].to_numpy()
         large = wanted[place] == 2
-        # one row for each anchor with all its windows; for those of large groups, one for each window, by its whole content
-        out = []
-        i = np.flatnonzero(~large)
-        if len(i):
-            runs = np.flatnonzero(np.concatenate([[True], (place[i][1:] != place[i][:-1]) | (starts[i][1:] != starts[i][:-1] + 1)]))
-            a, b = starts[i][runs], starts[i][np.append(runs[1:], len(i)) - 1]
-            d = doc[i][runs]
-            content = [short[x : y + length].tobytes() for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-            out.append(pd.DataFrame({"prefix": h[place[i][runs]].view(np.int64), "doc_id": ids[d], "tie": ties[d], "start": a - w.first[d], "words": content}))
-        i = np.flatnonzero(large)
-        if len(i):
-            at, whole = K.windows(w, length)
-            full = np.zeros(len(w.hashes), np.uint64)
-            full[at] = whole
-            out.append(pd.DataFrame({"prefix": full[starts[i]].view(np.int64), "doc_id": ids[doc[i]], "tie": ties[doc[i]], "start": starts[i] - w.first[doc[i]], "words": None}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"prefix": [], "doc_id": [], "tie": [], "start": [], "words": []})
+        # one row for each anchor with all its windows: their words, or in large groups a hash of each one's words
+        runs = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)])) if len(starts) else starts
+        a, b = starts[runs], starts[np.append(runs[1:], len(starts)) - 1] if len(starts) else starts
+        d = doc[runs]
+        split = large[runs]
+        whole = np.zeros(len(w.hashes), np.uint64)
+        at, content = K.windows(w, length)
+        whole[at] = content
+        words = [(whole[x : y + 1] if s else short[x : y + length]).tobytes() for x, y, s in zip(a.tolist(), b.tolist(), split.tolist(), strict=True)]
+        return pd.DataFrame({"prefix": h[place[runs]].view(np.int64), "doc_id": ids[d], "tie": ties[d], "start": a - w.first[d], "words": words, "large": split})
 
     texts = rows.select("doc_id", "tie", "text").join(places.hint("shuffle_hash"), ["doc_id", "tie"])
-    groups = staged(texts.mapInPandas(in_chunks(suffixes, size=1 << 20), "prefix long, doc_id long, tie long, start long, words binary"))
+    groups = staged(texts.mapInPandas(in_chunks(suffixes, size=1 << 20), "prefix long, doc_id long, tie long, start long, words binary, large boolean"))
 
     def trees(batches):
         held, size = [], 0
@@ -159,10 +153,44 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
             yield grow(pd.concat(held, ignore_index=True))
 
     n = partitions(spark)
-    small = groups.where("words is not null").repartition(n, "prefix").sortWithinPartitions("prefix").mapInPandas(trees, "doc_id long, tie long, start long, windows long")
-    split = groups.where("words is null").select("prefix", "doc_id", "tie", "start")
-    earliest = split.groupBy("prefix").agg(F.min(F.struct("doc_id", "tie", "start")).alias("leaf"), F.count("*").alias("n")).where("n > 1").select("prefix", "leaf")
-    large = split.join(earliest, "prefix").where(F.struct("doc_id", "tie", "start") != F.col("leaf")).select("doc_id", "tie", "start", F.lit(1).cast("long").alias("windows"))
+    small = groups.where("not large").repartition(n, "prefix").sortWithinPartitions("prefix").mapInPandas(trees, "doc_id long, tie long, start long, windows long")
+
+    def leaves(batches):
+        """The earliest of each batch's equal windows, so that a passage many documents share is shuffled as few rows."""
+        for part in batches:
+            size = np.array([len(x) // 8 for x in part["words"]])
+            owner = np.repeat(np.arange(len(part)), size)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+            content = np.frombuffer(b"".join(part["words"]), np.int64)
+            ids, ties, starts = part["doc_id"].to_numpy()[owner], part["tie"].to_numpy()[owner], part["start"].to_numpy()[owner] + nth
+            order = np.lexsort((starts, ties, ids, content))
+            first = np.flatnonzero(np.concatenate([[True], content[order][1:] != content[order][:-1]]))
+            at = order[first]
+            yield pd.DataFrame({"prefix": part["prefix"].to_numpy()[owner][at], "content": content[at], "doc_id": ids[at], "tie": ties[at], "start": starts[at], "n": np.diff(np.append(first, len(order)))})
+
+    split = groups.where("large").drop("large")
+    found = split.mapInPandas(leaves, "prefix long, content long, doc_id long, tie long, start long, n long")
+    found = found.groupBy("prefix", "content").agg(F.min(F.struct("doc_id", "tie", "start")).alias("leaf"), F.sum("n").alias("n")).where("n > 1")
+    deep = staged(found.select("prefix", "content", "leaf.doc_id", "leaf.tie", "leaf.start"))
+    # the deep nodes of a prefix in lists of bounded size
+    lists = deep.groupBy("prefix").agg(F.ceil(F.count("*") / 256).alias("lists"))
+    listed = deep.join(lists, "prefix").groupBy("prefix", F.expr("pmod(content, lists)").alias("list")).agg(F.collect_list(F.struct("content", "doc_id", "tie", "start")).alias("nodes"))
+    listed = listed.select("prefix", *[F.col(f"nodes.{c}").alias(f"node_{c}") for c in ("content", "doc_id", "tie", "start")])
+
+    def mark(batches):
+        for part in batches:
+            out = []
+            for doc_id, tie, start, words, contents, ids, ties, starts in zip(*(part[c] for c in ("doc_id", "tie", "start", "words", "node_content", "node_doc_id", "node_tie", "node_start")), strict=True):
+                nodes = dict(zip(contents.tolist(), zip(ids.tolist(), ties.tolist(), starts.tolist(), strict=True), strict=True))
+                bits = 0
+                for j, c in enumerate(np.frombuffer(words, np.int64).tolist()):
+                    if (leaf := nodes.get(c)) is not None and leaf != (doc_id, tie, start + j):
+                        bits |= 1 << j
+                if bits:
+                    out.append((doc_id, tie, start, bits))
+            yield pd.DataFrame(out, columns=["doc_id", "tie", "start", "windows"])
+
+    large = split.join(listed, "prefix").mapInPandas(mark, "doc_id long, tie long, start long, windows long")
     removed = staged(small.unionByName(large).groupBy("doc_id", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows")))
 
     def strip(batch: pd.DataFrame) -> pd.DataFrame:
