@@ -26,6 +26,9 @@ ANCHOR = 6
 #: Occurrences of an anchor beyond which its group is split by whole windows: a tree has at most about 4000 suffixes.
 GROUP = 256
 
+#: Parts that the rows of a large group's anchor are dealt to.
+SALTS = 16
+
 _U = np.uint64
 
 
@@ -190,7 +193,10 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
                     out.append((doc_id, tie, start, bits))
             yield pd.DataFrame(out, columns=["doc_id", "tie", "start", "windows"])
 
-    large = split.join(listed, "prefix").mapInPandas(mark, "doc_id long, tie long, start long, windows long")
+    # rows of one anchor are salted and its lists, small beside them, repeated, so that no anchor is one task's
+    salted = split.withColumn("salt", F.expr(f"pmod(xxhash64(doc_id, start), {SALTS})").cast("int"))
+    repeated_lists = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    large = salted.join(repeated_lists, ["prefix", "salt"]).mapInPandas(mark, "doc_id long, tie long, start long, windows long")
     removed = staged(small.unionByName(large).groupBy("doc_id", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows")))
 
     def strip(batch: pd.DataFrame) -> pd.DataFrame:
