@@ -37,10 +37,10 @@ def reconstruct_allele(ref: Column, pos: Column, inserted: Column) -> Column:
 
 
 def shared_prefix(a: Column, b: Column) -> Column:
-    """Number of leading bases two sequences have in common."""
+    """Number of leading bases two sequences have in common, by halving steps: eleven comparisons up to 2047 bases."""
     n = F.least(F.length(a), F.length(b))
-    differs = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
-    return F.least(n, F.coalesce(F.array_min(differs) - 1, n))
+    steps = F.array(*[F.lit(1 << k) for k in range(10, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda p, s: F.when((p + s <= n) & (F.substring(a, F.lit(1), p + s) == F.substring(b, F.lit(1), p + s)), p + s).otherwise(p))
 
 
 def boundary_interval(allele: Column, ref: Column) -> tuple[Column, Column]:
@@ -55,22 +55,6 @@ def hamming(a: Column, b: Column) -> Column:
     return F.size(F.filter(places, lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1))))
 
 
-def anchor_hits(seq: Column, anchor: str, k: int) -> Column:
-    """Places (0-based) and mismatches of all substitution-only hits of an anchor with at most k mismatches in A, C, G, T."""
-    n = len(anchor)
-    places = F.sequence(F.lit(0), F.greatest(F.length(seq) - n, F.lit(0)))
-    scored = F.transform(places, lambda p: F.struct(p.alias("pos"), hamming(F.substring(seq, p + 1, F.lit(n)), F.lit(anchor)).alias("mismatches")))
-    return F.filter(scored, lambda h: (h.mismatches <= k) & (F.length(seq) >= n) & F.substring(seq, h.pos + 1, F.lit(n)).rlike("^[ACGT]*$"))
-
-
-def duplication_identity(ref: Column, pos: Column, inserted: Column) -> Column:
-    """Greatest share of bases that an insertion has in common with the reference copy of its size on either side."""
-    n = F.length(inserted)
-    before = F.when(pos >= n, (n - hamming(inserted, mid(ref, pos - n, n))) / n)
-    after = F.when(pos + n <= F.length(ref), (n - hamming(inserted, mid(ref, pos, n))) / n)
-    return F.coalesce(F.greatest(before, after), F.lit(0.0))
-
-
 def allele_id(allele: Column) -> Column:
     return F.substring(F.sha2(allele, 256), 1, 12)
 

@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def fisher_exact(a: int, b: int, c: int, d: int) -> tuple[float, float]:
@@ -27,7 +28,7 @@ def fisher_exact(a: int, b: int, c: int, d: int) -> tuple[float, float]:
     return odds, min(1.0, p)
 
 
-@F.pandas_udf("odds_ratio double, fisher_p double")
+@F.pandas_udf(T.StructType([T.StructField("odds_ratio", T.DoubleType()), T.StructField("fisher_p", T.DoubleType())]))
 def fisher(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.DataFrame:
     """fisher_exact for each row; an undefined odds ratio is null."""
     rows = [fisher_exact(*map(int, x)) for x in zip(a, b, c, d, strict=True)]

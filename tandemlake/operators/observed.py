@@ -2,24 +2,32 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tandemlake.assay import WT, Settings, anchor_coordinates
 from tandemlake.functions import sequence as S
+from tandemlake.kernels import anchors
+
+
+_PAIR = T.StructType([T.StructField("outcome", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in ("x", "y", "lm", "rm")]])
+_PLACE = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("identity", T.DoubleType())])
 
 
 def locate_anchors(sequences: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
     """Adds outcome, x, y (left and right anchor) and their mismatches lm, rm to distinct sequences (column seq)."""
     start, stop = anchor_coordinates(len(ref), settings.anchor_length, settings.anchor_shift)
     n, k = settings.anchor_length, settings.anchor_max_mismatches
-    found = sequences.withColumns({"_l": S.anchor_hits(F.col("seq"), ref[start : start + n], k), "_r": S.anchor_hits(F.col("seq"), ref[stop - n : stop], k)})
-    pairs = F.flatten(F.transform("_l", lambda a: F.transform(F.filter("_r", lambda b: a.pos + n <= b.pos), lambda b: F.struct(a.pos.alias("x"), b.pos.alias("y"), a.mismatches.alias("lm"), b.mismatches.alias("rm")))))
-    found = found.withColumn("_p", pairs)
-    outcome = (
-        F.when(F.size("_l") == 0, "missing_left_anchor").when(F.size("_r") == 0, "missing_right_anchor").when(F.size("_p") == 0, "no_ordered_anchor_pair").when(F.size("_p") > 1, "ambiguous_anchor_pair").otherwise("anchored")
-    )
-    return found.withColumn("outcome", outcome).withColumns({c: F.when(F.col("outcome") == "anchored", F.get("_p", F.lit(0))[c]) for c in ("x", "y", "lm", "rm")}).drop("_l", "_r", "_p")
+    left, right = ref[start : start + n], ref[stop - n : stop]
+
+    @F.pandas_udf(_PAIR)
+    def locate(seqs: pd.Series) -> pd.DataFrame:
+        found = pd.DataFrame([anchors.locate(s, left, right, k) for s in seqs], columns=["outcome", "x", "y", "lm", "rm"])
+        return found.astype({c: "Int32" for c in ("x", "y", "lm", "rm")})
+
+    return sequences.withColumn("_p", locate("seq")).select(*sequences.columns, "_p.*")
 
 
 def anchored_windows(reads: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
@@ -55,17 +63,22 @@ def discover(reads: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
         .when(F.least("plus", "minus") < 2, "insufficient_strand_support").when(F.col("median_q") < 20, "low_quality").when(F.col("_lo") > F.col("_hi"), "not_single_complete_insertion").otherwise("eligible")
     )
     audit = audit.withColumn("status", status)
+
     # every boundary of the interval writes the same allele; the one of the best adjacent copy, then the least, is reported
-    places = F.transform(F.sequence("_lo", "_hi"), lambda p: F.struct(S.duplication_identity(F.lit(ref), p, S.mid(F.col("allele"), p, F.col("net_size"))).alias("identity"), (-p).alias("back")))
-    best = F.when(F.col("status") == "eligible", F.array_max(places))
-    audit = audit.withColumn("_best", best).withColumns({"duplication_identity": F.col("_best.identity"), "insertion_pos": -F.col("_best.back")})
+    @F.pandas_udf(_PLACE)
+    def placed(allele: pd.Series, low_: pd.Series, high_: pd.Series, status_: pd.Series) -> pd.DataFrame:
+        rows = [anchors.place(ref, a, int(x), int(y)) if s == "eligible" else (None, None) for a, x, y, s in zip(allele, low_, high_, status_, strict=True)]
+        return pd.DataFrame(rows, columns=["pos", "identity"]).astype({"pos": "Int32", "identity": "Float64"})
+
+    audit = audit.withColumn("_best", placed("allele", "_lo", "_hi", "status"))
+    audit = audit.withColumns({"duplication_identity": F.col("_best.identity"), "insertion_pos": F.col("_best.pos")})
     return audit.withColumn("insertion_seq", S.mid(F.col("allele"), F.col("insertion_pos"), F.col("net_size"))).drop("_lo", "_hi", "_best")
 
 
 def sequence_alternatives(candidates: DataFrame) -> DataFrame:
     """allele_id, alternatives: other candidates of one length that differ in at most one base, comma-joined."""
     a, b = candidates.select("allele_id", "allele").alias("a"), candidates.select("allele_id", "allele").alias("b")
-    near = (F.length("a.allele") == F.length("b.allele")) & (F.col("a.allele_id") != F.col("b.allele_id")) & (S.hamming(F.col("a.allele"), F.col("b.allele")) <= 1)
+    near = (F.length("a.allele") == F.length("b.allele")) & (F.col("a.allele_id") != F.col("b.allele_id")) & (F.levenshtein(F.col("a.allele"), F.col("b.allele"), 1) >= 0)
     joined = a.join(b, near, "left").groupBy(F.col("a.allele_id").alias("allele_id"))
     return joined.agg(F.array_join(F.array_sort(F.collect_list("b.allele_id")), ",").alias("alternatives"))
 

@@ -1,0 +1 @@
+"""No streaming operator: every input of the engine is finite, and none has event time or late data."""
