@@ -66,8 +66,11 @@ def deep_nodes(group: np.ndarray, rows: np.ndarray, order_by: list[np.ndarray])
     number = np.empty(len(order), np.int64)
     number[order] = node
     rank = np.lexsort((*reversed(order_by), number))
+    # each leaf against its node's first; rows repeated whole are the first as well
+    opens = np.concatenate([[True], number[rank][1:] != number[rank][:-1]])
+    first = rank[np.maximum.accumulate(np.where(opens, np.arange(len(rank)), 0))]
     later = np.zeros(len(order), bool)
-    later[rank[1:]] = number[rank][1:] == number[rank][:-1]
+    later[rank] = np.any([key[rank] != key[first] for key in order_by], axis=0)
     return later
 
 
