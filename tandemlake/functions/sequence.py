@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LETTERS, _PARTNERS = "ACGTN", "TGCAN"
 
@@ -59,10 +61,11 @@ def allele_id(allele: Column) -> Column:
     return F.substring(F.sha2(allele, 256), 1, 12)
 
 
-def mean_quality(qual: Column) -> Column:
-    """Mean Phred value of a quality string; null if it is empty."""
-    total = F.aggregate(F.sequence(F.lit(1), F.length(qual)), F.lit(0).cast("long"), lambda acc, i: acc + F.ascii(F.substring(qual, i, F.lit(1))) - 33)
-    return F.when(F.length(qual) > 0, total / F.length(qual))
+@F.pandas_udf(T.DoubleType())
+def mean_quality(qual: pd.Series) -> pd.Series:
+    """Mean Phred value of a quality string; null if it is null or empty. In Arrow batches: a lambda over every character
+    is interpreted and took ten times as long."""
+    return pd.Series([(sum(q.encode()) - 33 * len(q)) / len(q) if q else None for q in qual], dtype="float64")
 
 
 def repaired_quality(seq: Column, qual: Column) -> Column:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tandemlake.assay import WT
-from tandemlake.functions import sequence as S
 from tandemlake.kernels.align import DISCOVERY, align_batch, insertions
+from tandemlake.kernels.msa import boundary_interval
 
 MIN_GAP = 3
 MAX_VALLEY = 0.5
@@ -39,11 +39,21 @@ def extract_insertions(reads: DataFrame, windows: DataFrame | None = None, ref:
 
 
 def exact_insertion(sequences: DataFrame, ref: str = WT) -> DataFrame:
-    """seq, ins_pos (least boundary), ins_len, ins_seq of sequences that are the reference with one insertion."""
-    low, high = S.boundary_interval(F.col("seq"), F.lit(ref))
-    net = F.length("seq") - len(ref)
-    found = sequences.select("seq", low.alias("ins_pos"), high.alias("_hi"), net.alias("ins_len")).where("ins_len > 0 and ins_pos <= _hi")
-    return found.select("seq", "ins_pos", "ins_len", S.mid(F.col("seq"), F.col("ins_pos"), F.col("ins_len")).alias("ins_seq"))
+    """seq, ins_pos (least boundary), ins_len, ins_seq of distinct sequences that are the reference with one insertion.
+
+    A batch function, not an expression: as one, the optimiser would copy the test to the reads that join it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for seq in batch["seq"]:
+                net = len(seq) - len(ref)
+                low, high = boundary_interval(seq, ref)
+                if net > 0 and low <= high:
+                    rows.append((seq, low, net, seq[low : low + net]))
+            yield pd.DataFrame(rows, columns=["seq", "ins_pos", "ins_len", "ins_seq"])
+
+    return sequences.select("seq").mapInPandas(run, "seq string, ins_pos int, ins_len int, ins_seq string")
 
 
 def length_candidates(lengths: DataFrame, keys: list[str], min_reads: int, min_fraction: float) -> DataFrame:

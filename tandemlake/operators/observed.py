@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from tandemlake.assay import WT, Settings, anchor_coordinates
 from tandemlake.functions import sequence as S
 from tandemlake.kernels import anchors
+from tandemlake.kernels.msa import boundary_interval
 
 
 _PAIR = T.StructType([T.StructField("outcome", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in ("x", "y", "lm", "rm")]])
@@ -56,23 +57,26 @@ def discover(reads: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
     )
     audit = audit.withColumns({"minus": F.col("exact_reads") - F.col("plus"), "allele": F.concat(F.lit(ref[:start]), "window", F.lit(ref[stop:]))})
     audit = audit.withColumn("allele_id", S.allele_id(F.col("allele")))
-    low, high = S.boundary_interval(F.col("allele"), F.lit(ref))
-    audit = audit.withColumns({"_lo": F.greatest(low, F.lit(start + n)), "_hi": F.least(high, F.lit(stop - n))})
-    status = (
-        F.when(F.col("net_size") < settings.min_itd_size, "below_min_size").when(~S.is_resolved(F.col("window")), "unresolved_bases").when(F.col("exact_reads") < settings.min_observed_reads, "insufficient_recurrence")
-        .when(F.least("plus", "minus") < 2, "insufficient_strand_support").when(F.col("median_q") < 20, "low_quality").when(F.col("_lo") > F.col("_hi"), "not_single_complete_insertion").otherwise("eligible")
-    )
-    audit = audit.withColumn("status", status)
 
     # every boundary of the interval writes the same allele; the one of the best adjacent copy, then the least, is reported
     @F.pandas_udf(_PLACE)
-    def placed(allele: pd.Series, low_: pd.Series, high_: pd.Series, status_: pd.Series) -> pd.DataFrame:
-        rows = [anchors.place(ref, a, int(x), int(y)) if s == "eligible" else (None, None) for a, x, y, s in zip(allele, low_, high_, status_, strict=True)]
+    def decompose(alleles: pd.Series) -> pd.DataFrame:
+        rows = []
+        for a in alleles:
+            low, high = boundary_interval(a, ref)
+            low, high = max(low, start + n), min(high, stop - n)
+            rows.append(anchors.place(ref, a, low, high) if low <= high else (None, None))
         return pd.DataFrame(rows, columns=["pos", "identity"]).astype({"pos": "Int32", "identity": "Float64"})
 
-    audit = audit.withColumn("_best", placed("allele", "_lo", "_hi", "status"))
-    audit = audit.withColumns({"duplication_identity": F.col("_best.identity"), "insertion_pos": F.col("_best.pos")})
-    return audit.withColumn("insertion_seq", S.mid(F.col("allele"), F.col("insertion_pos"), F.col("net_size"))).drop("_lo", "_hi", "_best")
+    audit = audit.withColumn("_best", decompose("allele"))
+    status = (
+        F.when(F.col("net_size") < settings.min_itd_size, "below_min_size").when(~S.is_resolved(F.col("window")), "unresolved_bases").when(F.col("exact_reads") < settings.min_observed_reads, "insufficient_recurrence")
+        .when(F.least("plus", "minus") < 2, "insufficient_strand_support").when(F.col("median_q") < 20, "low_quality").when(F.col("_best.pos").isNull(), "not_single_complete_insertion").otherwise("eligible")
+    )
+    audit = audit.withColumn("status", status)
+    good = F.col("status") == "eligible"
+    audit = audit.withColumns({"duplication_identity": F.when(good, F.col("_best.identity")), "insertion_pos": F.when(good, F.col("_best.pos"))})
+    return audit.withColumn("insertion_seq", S.mid(F.col("allele"), F.col("insertion_pos"), F.col("net_size"))).drop("_best")
 
 
 def sequence_alternatives(candidates: DataFrame) -> DataFrame:

@@ -44,9 +44,11 @@ def exact_primer_trim(reads: DataFrame, left: str = REVERSE_PRIMER, right: str |
         end = F.length(seq) - last + 1
         return F.when((a > 0) & (last > 0) & (end - a + 1 >= len(left) + len(right)), F.substring(seq, a, end - a + 1))
 
-    both = reads.withColumns({"_f": cut(F.col("read_seq")), "_r": cut(S.reverse_complement(F.col("read_seq")))})
-    both = both.withColumns({"trimmed": F.coalesce("_f", "_r"), "strand": F.when(F.col("_f").isNotNull(), "+").otherwise("-")})
-    return both.where(F.col("trimmed").isNotNull()).drop("_f", "_r")
+    seq = F.col("read_seq")
+    sides = F.array(F.struct(F.lit("+").alias("strand"), seq.alias("seq")), F.struct(F.lit("-").alias("strand"), S.reverse_complement(seq).alias("seq")))
+    found = F.filter(F.transform(sides, lambda c: F.struct(c.strand.alias("strand"), cut(c.seq).alias("trimmed"))), lambda c: c.trimmed.isNotNull())
+    one = reads.withColumn("_c", F.explode(F.slice(found, 1, 1)))
+    return one.withColumns({"trimmed": F.col("_c.trimmed"), "strand": F.col("_c.strand")}).drop("_c")
 
 
 def trim_primers(reads: DataFrame, settings: Settings, error_rate: float = 0.2) -> DataFrame:

@@ -11,7 +11,7 @@ from tandemlake import fixtures
 from tandemlake.assay import AMPLICON, EXTRACTION, FORWARD_PRIMER, REVERSE_PRIMER, WT, Settings, anchor_coordinates, reverse_complement
 from tandemlake.fixtures import reads, with_reads
 from tandemlake.functions import sequence as S
-from tandemlake.operators import consensus, insertions, observed, peaks, quantify, validation
+from tandemlake.operators import consensus, figures, insertions, observed, peaks, quantify, validation
 from tandemlake.operators import reads as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -631,6 +631,56 @@ def validation_crosstab(spark, sf_dir):
     return p.select("haplotype", F.coalesce("+", F.lit(0)).alias("plus_n"), F.coalesce("-", F.lit(0)).alias("minus_n"))
 
 
+@query(with_reads(f"{_ASSIGNED}, h AS (SELECT read_len, count(*) AS n_all FROM reads GROUP BY 1), k AS (SELECT read_len, count(*) AS n_assigned FROM assigned GROUP BY 1), t AS (SELECT count(*) AS t FROM reads) SELECT CAST(read_len AS BIGINT) AS read_len, n_all, coalesce(n_assigned, 0) AS n_assigned, round((SELECT sum(t * fraction * exp(-power((h.read_len - mean_bp) / sd_bp, 2) / 2) / (sd_bp * sqrt(2 * pi()))) FROM peaks, t), 4) AS fitted FROM h LEFT JOIN k USING (read_len)"))
+def length_profile_data(spark, sf_dir):
+    f = figures.length_profile(reads(spark, sf_dir), _by_peak(spark, sf_dir), fixed_peaks(spark))
+    return f.select(long("read_len"), "n_all", "n_assigned", F.round("fitted", 4).alias("fitted"))
+
+
+@query(with_reads("SELECT quantile_cont(read_len, 0.995) AS p FROM reads"))
+def axis_limit(spark, sf_dir):
+    return figures.axis_limit(reads(spark, sf_dir))
+
+
+@query(with_reads(f"{_EXACT}, c AS (SELECT strand AS peak_alias, ins_len, count(*) AS n FROM ins GROUP BY 1, 2), m AS (SELECT strand AS peak_alias, avg(ins_len) AS mean_len, stddev_samp(ins_len) AS sd_len FROM ins GROUP BY 1) SELECT peak_alias, CAST(ins_len AS BIGINT) AS ins_len, n, round(mean_len, 6) AS mean_len, round(sd_len, 6) AS sd_len FROM c JOIN m USING (peak_alias)"))
+def insertion_size_distribution(spark, sf_dir):
+    f = figures.size_distribution(_exact(spark, sf_dir).select(F.col("strand").alias("peak_alias"), "ins_len"))
+    return f.select("peak_alias", long("ins_len"), "n", F.round("mean_len", 6).alias("mean_len"), F.round("sd_len", 6).alias("sd_len"))
+
+
+@query(with_reads(f"{_EXACT}, r AS (SELECT strand AS peak_alias, read_id, ins_pos, ins_len, row_number() OVER (PARTITION BY strand ORDER BY ins_pos, ins_len, read_id) - 1 AS i, count(*) OVER (PARTITION BY strand) AS n FROM ins) SELECT peak_alias, read_id, CAST(ins_pos AS BIGINT) AS ins_pos, CAST(ins_len AS BIGINT) AS ins_len FROM r WHERE n <= 30 OR i IN (SELECT k * n // 30 FROM range(30) t(k))"))
+def pileup_sample(spark, sf_dir):
+    rows = _exact(spark, sf_dir).select(F.col("strand").alias("peak_alias"), "read_id", F.col("ins_pos").alias("ins_pos_ref"), "ins_len")
+    return figures.pileup_rows(rows).select("peak_alias", "read_id", F.col("ins_pos_ref").cast("long").alias("ins_pos"), long("ins_len"))
+
+
+@query(with_reads(_ALIGNED_ALLELES + ", cell AS (SELECT peak_alias, n, unnest(range(1, length(aligned) + 1)) AS col, aligned FROM aa), v AS (SELECT peak_alias, col, substr(aligned, CAST(col AS INT), 1) AS base, sum(n) AS w FROM cell GROUP BY 1, 2, 3) SELECT peak_alias, col - 1 AS col, round(max(w) / sum(w), 6) AS agreement FROM v WHERE base <> '-' GROUP BY 1, 2"))
+def column_agreement(spark, sf_dir):
+    rows = reads(spark, sf_dir).where(F.length("read_seq").isin(336, 381)).select(F.when(F.length("read_seq") == 336, "WT").otherwise("ITD_2").alias("peak_alias"), F.regexp_replace("read_seq", "TTTT", "TT--").alias("aligned"))
+    return figures.column_agreement(rows.groupBy("peak_alias", "aligned").agg(F.count("*").alias("n")), ["peak_alias"]).select("peak_alias", long("col"), F.round("agreement", 6).alias("agreement"))
+
+
+@query(with_reads(_AF + """ SELECT ref_alias, '{"ref_alias":"' || ref_alias || '","read_id":' || read_id || '}' AS line FROM sup WHERE ref_alias IN (SELECT ref_alias FROM af WHERE allele_frequency >= 0.1)"""))
+def membership_lines(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    return figures.membership_json(v, quantify.allele_frequencies(v, 0.1))
+
+
+@query(with_reads(_AF + f", {_CALLS} SELECT ref_alias, size AS itd_len, n_itd_reads, round(allele_frequency, 6) AS allele_frequency FROM af JOIN calls USING (ref_alias) WHERE allele_frequency >= 0.05"))
+def reported_calls(spark, sf_dir):
+    calls = spark.createDataFrame([("ITD_A", 180, WT[135:180]), ("ITD_B", 120, WT[75:120]), ("ITD_C", 180, WT[150:180])], "peak_alias string, consensus_ins_pos_ref int, consensus_seq string")
+    f = figures.reported_calls(consensus.reference_alleles(calls), quantify.allele_frequencies(_validated(spark, sf_dir), 0.05))
+    return f.select("ref_alias", "itd_len", "n_itd_reads", F.round("allele_frequency", 6).alias("allele_frequency"))
+
+
+@query()
+def final_support_msa(spark, sf_dir):
+    """The panel of each call's supporting sequences, aligned; rows only."""
+    calls = spark.createDataFrame([("ITD_A", 180, WT[135:180]), ("ITD_B", 120, WT[75:120]), ("ITD_C", 180, WT[150:180])], "peak_alias string, consensus_ins_pos_ref int, consensus_seq string")
+    support = reads(spark, sf_dir).where("haplotype in ('ITD_A', 'ITD_B', 'ITD_C')").select(F.col("haplotype").alias("ref_alias"), "read_id", "read_seq")
+    return figures.final_support_msa(support, consensus.reference_alleles(calls))
+
+
 @query(with_reads(f"{_AUDIT}, seeds2 AS (SELECT allele_id, allele, substr(w, 1, {START}) AS pre, win, substr(w, {STOP + 1}) AS post FROM audit WHERE status = 'eligible'), sup2 AS (SELECT read_id, strand, CASE WHEN read_seq = w THEN 'WT' ELSE s.allele_id END AS ref_alias FROM reads CROSS JOIN wt LEFT JOIN seeds2 s ON reads.read_seq = s.allele WHERE read_seq = w OR s.allele_id IS NOT NULL), c2 AS (SELECT ref_alias, count(*) AS n, count(*) FILTER (WHERE strand = '+') AS p FROM sup2 GROUP BY 1) SELECT ref_alias, n AS n_itd_reads, (SELECT count(*) FROM sup2) AS n_total_reads, round(n / (SELECT count(*) FROM sup2), 6) AS allele_frequency, p AS plus_reads, n - p AS minus_reads FROM c2 WHERE ref_alias <> 'WT' AND n / (SELECT count(*) FROM sup2) >= 0.01"))
 def exact_itd_calls(spark, sf_dir):
     """The flagship: discovery by exact recurrence, exact allele support, frequency and strand counts."""

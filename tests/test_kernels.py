@@ -140,3 +140,15 @@ def test_star_consensus():
     mixed = msa.weighted_consensus(["ACGT", "ACTT"], [80, 20])
     assert mixed.sequence == "ACGT" and math.isclose(mixed.max_minor, 0.2)
     assert msa.weighted_consensus(["ACGT", "ACTT"], [60, 40]).sequence == "ACNT"
+
+
+def test_simulated_insertions_match_their_truth():
+    from tandemlake.plans.evaluate import SCENARIOS, match_calls, same_itd, with_errors
+
+    a, b = SCENARIOS["A"][1], SCENARIOS["A"][2]
+    rotated = a.inserted[7:] + a.inserted[:7]
+    assert same_itd(a.inserted, rotated, 180, 180) and not same_itd(a.inserted, a.inserted[:30], 180, 180) and not same_itd(a.inserted, b.inserted, 180, 120)
+    found, extra = match_calls([("A", a.inserted, 180, 0.2), ("B", b.inserted, 120, 0.1)], [("x", rotated, 180, 0.2), ("y", b.inserted, 120, 0.1), ("z", "ACGT" * 10, 50, 0.05)])
+    assert found == {"A": "x", "B": "y"} and extra == ["z"]
+    seq, qual = with_errors(a.allele, np.random.default_rng(1))
+    assert len(seq) == len(qual) and abs(len(seq) - len(a.allele)) < 15
