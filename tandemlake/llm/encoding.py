@@ -51,17 +51,11 @@ def keys(h: np.ndarray, kind: np.ndarray) -> np.ndarray:
         return K.mix(h + kind.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
 
 
-class Table:
-    """Ids of cuts by hash: entries in order of arrival, hashes sorted beside their entries' numbers."""
-
-    def __init__(self, name: str) -> None:
-        self.name = name
-        self.clear()
+class Level:
+    """Sorted hashes beside their entries' numbers, with a directory of the hashes' leading bits."""
 
-    def clear(self) -> None:
+    def __init__(self) -> None:
         self.hashes, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.start, self.size, self.pool = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint16)
-        self.marks: dict[str, bytes] = {}
         self._index()
 
     def _index(self) -> None:
@@ -69,15 +63,22 @@ class Table:
         self.shift = _U(64 - bits)
         self.directory = np.concatenate([[0], np.cumsum(np.bincount((self.hashes >> self.shift).astype(np.int64), minlength=1 << bits))]).astype(np.int32)
 
+    def insert(self, h: np.ndarray, entry: np.ndarray) -> None:
+        where = np.searchsorted(self.hashes, h)
+        self.hashes, self.entry = np.insert(self.hashes, where, h), np.insert(self.entry, where, entry)
+        self._index()
+
     def find(self, h: np.ndarray) -> np.ndarray:
-        """The entry of each hash, -1 if there is none."""
         out = np.full(len(h), -1, np.int32)
         if not len(self.hashes):
             return out
         bucket = (h >> self.shift).astype(np.int32)
         at, end = self.directory[bucket], self.directory[bucket + 1]
-        todo = np.arange(len(h))
         at = np.minimum(at, len(self.hashes) - 1)
+        hit = self.hashes[at] == h
+        out[hit] = self.entry[at[hit]]
+        todo = np.flatnonzero(~hit & (at + 1 < end))
+        at, end = at[todo] + 1, end[todo]
         while len(todo):
             hit = self.hashes[at] == h[todo]
             out[todo[hit]] = self.entry[at[hit]]
@@ -85,6 +86,27 @@ class Table:
             todo, at, end = todo[more], at[more] + 1, end[more]
         return out
 
+
+class Table:
+    """Ids of cuts by hash. New entries go to a small level, which joins the large one when it is an eighth of it."""
+
+    def __init__(self, name: str) -> None:
+        self.name = name
+        self.clear()
+
+    def clear(self) -> None:
+        self.large, self.small = Level(), Level()
+        self.start, self.size, self.pool = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.uint16)
+        self.marks: dict[str, bytes] = {}
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The entry of each hash, -1 if there is none."""
+        out = self.large.find(h)
+        rest = np.flatnonzero(out < 0)
+        if len(rest) and len(self.small.hashes):
+            out[rest] = self.small.find(h[rest])
+        return out
+
     def _insert(self, h: np.ndarray, rows: list[bytes]) -> None:
         """Entries with these ids for new, sorted hashes."""
         size = np.array([len(r) >> 1 for r in rows], np.int32)
@@ -92,9 +114,10 @@ class Table:
         self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(size, dtype=np.int32) - size])
         self.size = np.concatenate([self.size, size])
         self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(rows), np.uint16)])
-        where = np.searchsorted(self.hashes, h)
-        self.hashes, self.entry = np.insert(self.hashes, where, h), np.insert(self.entry, where, new)
-        self._index()
+        self.small.insert(h, new)
+        if len(self.small.hashes) > max(20_000, len(self.large.hashes) // 8):
+            self.large.insert(self.small.hashes, self.small.entry)
+            self.small = Level()
 
     def learn(self, words: list[str], kind: np.ndarray, prefix: list[str], lead: list[bytes]) -> None:
         """Entries for new words of a kind. A word that ends in marks is its stem's ids and the marks', so a stem goes to
