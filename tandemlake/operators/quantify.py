@@ -55,6 +55,18 @@ def final_profiles(validation: DataFrame, reported: DataFrame) -> DataFrame:
     return support.groupBy("ref_alias", "read_len").agg(F.countDistinct("read_id").alias("n"))
 
 
+def final_support_lengths(validation: DataFrame, reads: DataFrame, summary: DataFrame) -> DataFrame:
+    """ref_alias, read_id, read_len of the reads behind each reported call. Raises ValueError if a read appears twice, has
+    no length, or a call's reads aren't as many as reported."""
+    support = final_support(validation).join(F.broadcast(summary.select("ref_alias", "n_itd_reads")), "ref_alias").select("ref_alias", "read_id", "n_itd_reads")
+    joined = support.join(reads.select("read_id", F.length("read_seq").alias("read_len")), "read_id", "left")
+    bad = joined.groupBy("ref_alias").agg(F.count("*").alias("n"), F.countDistinct("read_id").alias("ids"), F.count_if(F.col("read_len").isNull()).alias("missing"), F.max("n_itd_reads").alias("reported"))
+    wrong = bad.where("n <> ids or missing > 0 or n <> reported").limit(5).collect()
+    if wrong:
+        raise ValueError(f"final support does not agree with the reported calls: {wrong}")
+    return joined.select("ref_alias", "read_id", "read_len")
+
+
 def display_labels(calls: DataFrame) -> DataFrame:
     """Adds label: size, with a letter where several calls have it."""
     w = Window.partitionBy("itd_len")

@@ -46,4 +46,13 @@ def split_peaks(reads: DataFrame, settings: Settings) -> DataFrame:
         raise ValueError(f"unknown haplotype method {settings.haplotype_method!r}; known: {', '.join(sorted(METHODS))}")
     labelled = METHODS[settings.haplotype_method](reads, settings)
     children = cluster_guardrails(labelled.select(F.col("gmm_peak_alias").alias("parent"), "read_id", "label"), settings.min_haplotype_reads, settings.min_subpeak_fraction)
-    return relabel(labelled, children, F.col("label")).drop("label")
+    split = relabel(labelled, children, F.col("label")).drop("label")
+    return _keep_wild_type(split, settings) if settings.cluster_wt_peak else split
+
+
+def _keep_wild_type(reads: DataFrame, settings: Settings) -> DataFrame:
+    """Of the wild-type peak's children, the one closest to the reference's length within tolerance is the wild type again."""
+    apart = F.abs(F.avg("read_len") - settings.wt_amplicon_length)
+    child = reads.where(F.col("gmm_peak_alias").startswith("ITD_WT_H")).groupBy("gmm_peak_alias").agg(apart.alias("apart")).where(F.col("apart") <= settings.wt_peak_tolerance)
+    closest = child.agg(F.min(F.struct("apart", "gmm_peak_alias")).alias("c")).select(F.col("c.gmm_peak_alias").alias("_wt"))
+    return reads.crossJoin(F.broadcast(closest)).withColumn("gmm_peak_alias", F.when(F.col("gmm_peak_alias") == F.col("_wt"), "WT").otherwise(F.col("gmm_peak_alias"))).drop("_wt")
