@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from tandemlake.assay import WT
 from tandemlake.kernels.align import DISCOVERY, align_batch, insertions
 from tandemlake.kernels.msa import boundary_interval
+from tandemlake.operators.reads import distinct_sequences
 
 MIN_GAP = 3
 MAX_VALLEY = 0.5
@@ -29,8 +30,7 @@ def extract_insertions(reads: DataFrame, windows: DataFrame | None = None, ref:
                 rows += [(seq, aln.score / 100, pid, t, n, seq[q : q + n]) for t, q, n in insertions(aln.blocks)]
             yield pd.DataFrame(rows, columns=["seq", "aln_score", "pct_identity", "ins_pos_ref", "ins_len", "ins_seq"])
 
-    distinct = reads.where(F.length("read_seq") > 0).select(F.col("read_seq").alias("seq")).distinct()
-    found = distinct.mapInPandas(run, "seq string, aln_score double, pct_identity double, ins_pos_ref int, ins_len int, ins_seq string")
+    found = distinct_sequences(reads).mapInPandas(run, "seq string, aln_score double, pct_identity double, ins_pos_ref int, ins_len int, ins_seq string")
     keep = [c for c in ("gmm_peak_alias", "read_id", "strand", "read_seq") if c in reads.columns]
     rows = reads.select(*keep).join(found, F.col("read_seq") == F.col("seq")).drop("read_seq", "seq").withColumnRenamed("gmm_peak_alias", "peak_alias")
     if windows is not None:

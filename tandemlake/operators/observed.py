@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tandemlake.assay import WT, Settings, anchor_coordinates
 from tandemlake.functions import sequence as S
 from tandemlake.kernels import anchors
 from tandemlake.kernels.msa import boundary_interval
+from tandemlake.operators.reads import distinct_sequences
 
 
 _PAIR = T.StructType([T.StructField("outcome", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in ("x", "y", "lm", "rm")]])
@@ -23,12 +26,13 @@ def locate_anchors(sequences: DataFrame, settings: Settings, ref: str = WT) -> D
     n, k = settings.anchor_length, settings.anchor_max_mismatches
     left, right = ref[start : start + n], ref[stop - n : stop]
 
-    @F.pandas_udf(_PAIR)
-    def locate(seqs: pd.Series) -> pd.DataFrame:
-        found = pd.DataFrame([anchors.locate(s, left, right, k) for s in seqs], columns=["outcome", "x", "y", "lm", "rm"])
-        return found.astype({c: "Int32" for c in ("x", "y", "lm", "rm")})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = pd.DataFrame([anchors.locate(s, left, right, k) for s in batch["seq"]], columns=["outcome", "x", "y", "lm", "rm"], index=batch.index)
+            yield pd.concat([batch, found.astype({c: "Int32" for c in ("x", "y", "lm", "rm")})], axis=1)
 
-    return sequences.withColumn("_p", locate("seq")).select(*sequences.columns, "_p.*")
+    # a batch function, not an expression: as one, the optimiser would copy tests of its result to the reads that join it
+    return sequences.mapInPandas(run, T.StructType([*sequences.schema, *_PAIR]))
 
 
 def anchored_windows(reads: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
@@ -38,7 +42,7 @@ def anchored_windows(reads: DataFrame, settings: Settings, ref: str = WT) -> Dat
     start, stop = anchor_coordinates(len(ref), settings.anchor_length, settings.anchor_shift)
     n = settings.anchor_length
     rows = reads.select("read_id", "strand", F.upper("read_seq").alias("seq"), S.mean_quality(F.col("read_qual")).alias("mean_q"))
-    located = locate_anchors(rows.select("seq").distinct(), settings, ref)
+    located = locate_anchors(distinct_sequences(rows, "seq"), settings, ref)
     interior = S.mid(F.col("seq"), F.col("x") + n, F.col("y") - F.col("x") - n)
     located = located.withColumn("window", F.when(F.col("outcome") == "anchored", F.concat(F.lit(ref[start : start + n]), interior, F.lit(ref[stop - n : stop]))))
     return rows.join(located.withColumn("net", F.length("window") - (stop - start)), "seq")

@@ -72,6 +72,13 @@ def trim_primers(reads: DataFrame, settings: Settings, error_rate: float = 0.2)
     return length_band(out, settings.min_read_length, settings.max_read_length)
 
 
+def distinct_sequences(reads: DataFrame, seq: str = "read_seq") -> DataFrame:
+    """The distinct non-empty sequences, seq, dealt to as many partitions as shuffles have: kernels take milliseconds a row, and
+    adaptive execution, which counts bytes, would put them into a few tasks."""
+    n = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return reads.where(F.length(seq) > 0).select(F.col(seq).alias("seq")).distinct().repartition(n)
+
+
 def length_band(reads: DataFrame, low: int, high: int) -> DataFrame:
     return reads.where(F.col("read_len").between(low, high))
 

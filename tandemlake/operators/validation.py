@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from tandemlake.functions import sequence as S
 from tandemlake.kernels.align import VALIDATION, align_batch
+from tandemlake.operators.reads import distinct_sequences
 
 BETA = 500.0
 EPSILON = 1e-8
@@ -82,8 +83,7 @@ def align_to_references(reads: DataFrame, references: DataFrame, alpha: float =
                     rows.append((seq, alias, a.score / 100, a.matches / a.aligned if a.aligned else 0.0, span, adjusted, [dict(zip(("t0", "t1", "q0", "q1"), b, strict=True)) for b in a.blocks]))
                 yield pd.DataFrame(rows, columns=["seq", "ref_alias", "score", "pct_identity", "span_identity", "adjusted_score", "blocks"])
 
-    distinct = reads.where(F.length("read_seq") > 0).select(F.col("read_seq").alias("seq")).distinct()
-    return distinct.mapInPandas(run, f"seq string, ref_alias string, score double, pct_identity double, span_identity double, adjusted_score double, blocks {_BLOCKS}")
+    return distinct_sequences(reads).mapInPandas(run, f"seq string, ref_alias string, score double, pct_identity double, span_identity double, adjusted_score double, blocks {_BLOCKS}")
 
 
 def competitive_validation(reads: DataFrame, references: DataFrame) -> DataFrame:
