@@ -68,7 +68,7 @@ def staged(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def in_chunks(fn: Callable[[pd.DataFrame], pd.DataFrame], column: str = "text", size: int = 1 << 21) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def in_chunks(fn: Callable[[pd.DataFrame], pd.DataFrame], column: str = "text", size: int = 1 << 20) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A mapInPandas function that hands fn slices of about ``size`` characters (one longer text stays whole)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

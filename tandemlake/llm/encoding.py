@@ -201,7 +201,7 @@ def _batches(encode):
         ids, first, size = {}, 0, 0
         for i, t in enumerate(distinct):
             size += len(t)
-            if size >= 1 << 21 or i + 1 == len(distinct):
+            if size >= 1 << 20 or i + 1 == len(distinct):
                 part = distinct[first : i + 1]
                 ids.update(zip(part, encode(part, *args), strict=True))
                 first, size = i + 1, 0

@@ -48,7 +48,7 @@ def pack_documents(docs: DataFrame, *, shares: dict[str, float] | None = None, v
         ids = [e + end for e in encoding.encode_bytes(batch["text"].tolist(), vocabulary)]
         return pd.DataFrame({"doc_id": batch["doc_id"], "source": batch["source"], "doc_tokens": [len(i) // 2 for i in ids], "ids": ids})
 
-    coded = documents(docs, "doc_id", "text", "source").mapInPandas(in_chunks(encode, size=1 << 22), "doc_id long, source string, doc_tokens long, ids binary")
+    coded = documents(docs, "doc_id", "text", "source").mapInPandas(in_chunks(encode, size=1 << 21), "doc_id long, source string, doc_tokens long, ids binary")
     tokens = staged(coded.withColumn("uid", F.monotonically_increasing_id()))
     queued = ordered(tokens.select("source", "doc_id", "uid", "doc_tokens"), "source", "doc_id", "uid")
     queued = running_sum(queued, "doc_tokens", ["source", "doc_id", "uid"], "sent", group="source")

@@ -91,7 +91,7 @@ def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_
     def counted(batches):
         """Adds each row's place in its range, and to the range's last row the counts of all ids of the range."""
         before, seen, last = 0, np.zeros(VOCABULARY, np.int64), None
-        for out in in_chunks(encode, size=1 << 22)(batches):
+        for out in in_chunks(encode, size=1 << 21)(batches):
             ends = before + out["n_tokens"].cumsum()
             out["place"], out["seen"] = ends - out["n_tokens"], None
             before = int(ends.iloc[-1])
