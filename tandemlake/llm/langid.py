@@ -2,8 +2,9 @@
 
 Every learning row's whole text is counted into character 4-grams (lower-cased letters and single spaces); the lower
 orders' continuation counts follow from the distinct 4-grams. The models are stored in sorted hash arrays with a
-directory of leading bits, one row of log-probabilities (a column for each language) per n-gram. A text goes to the
-language of the lowest cross-entropy per character. Rejection is calibrated: on learning rows, the score below which
+directory of leading bits, one row of log-probabilities (a column for each language) per n-gram. No n-gram is left out:
+the models are cut into parts by the two symbols before the predicted one, and each part has all that its grams back
+off to. A text goes to the language of the lowest cross-entropy per character. Rejection is calibrated: on learning rows, the score below which
 predictions are wrong more often than right.
 """
 
@@ -16,11 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, in_chunks, staged, table
+from .common import documents, in_chunks, ordered, partitions, running_sum, staged, table
 from .kernels import mix
 
 ORDER = 4
-#: 4-grams kept in all models together, by count: the proven bound of what the driver gathers and sends out.
+#: 4-grams times languages in a part of the models: what the driver gathers and sends out at once, besides the last key's.
 MOST_GRAMS = 1 << 20
 #: Characters of evidence a score counts at most.
 EVIDENCE = 40
@@ -140,7 +141,6 @@ def train(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
     """Models from the 4-gram counts n of each language index and gram."""
     if not len(gram):
         return None
-    k = len(languages)
     # counts by order: for the highest the counts, below it the number of distinct left extensions
     by_order = {ORDER: (lang, gram, n.astype(float))}
     for order in range(ORDER - 1, 0, -1):
@@ -148,6 +148,14 @@ def train(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
         suffix = above & np.uint64((1 << (16 * order)) - 1)
         pairs, counts = np.unique(np.rec.fromarrays([above_lang, suffix], names="l,g"), return_counts=True)
         by_order[order] = (pairs.l.copy(), pairs.g.copy(), counts.astype(float))
+    seen = {o: np.array([((c == v)[:, None] & (l[:, None] == np.arange(len(languages)))).sum(0) for v in (1, 2)], float) for o, (l, _, c) in by_order.items()}
+    return fit(languages, by_order, seen)
+
+
+def fit(languages: list[str], by_order: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], seen: dict[int, np.ndarray]) -> Model:
+    """Models from language index, gram and count of each order, and by order how many grams of each language have counts 1
+    and 2. The grams may be a part of all, if it has all those of a history and of the lower orders that they end in."""
+    k = len(languages)
     vocabulary = len(np.unique(by_order[1][1])) + 1
     grams, contexts, lower = [], [], None
     for order in range(1, ORDER + 1):
@@ -160,7 +168,7 @@ def train(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
         total, kinds = np.zeros((len(hist), k)), np.zeros((len(hist), k))
         np.add.at(total, hist_at, count)
         np.add.at(kinds, hist_at, (count > 0).astype(float))
-        ones, twos = np.array([((c == v)[:, None] & (l[:, None] == np.arange(k))).sum(0) for v in (1, 2)], float)
+        ones, twos = seen[order]
         discount = np.clip(np.where(ones + twos > 0, ones / np.maximum(ones + 2 * twos, 1), 0.5), 0.05, 0.95)
         with np.errstate(divide="ignore", invalid="ignore"):
             left = np.where(total > 0, discount * kinds / total, 1.0)
@@ -180,6 +188,67 @@ def train(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
     return Model(languages, grams, contexts, floor)
 
 
+@dataclass
+class Parts:
+    """Models cut by key, each broadcast by itself: from a start to the next one."""
+
+    starts: np.ndarray
+    sent: list  # broadcast models
+    languages: list[str]
+
+    def log_probabilities(self, grams: np.ndarray) -> np.ndarray:
+        """As Model's; with several parts, one at a time is in memory."""
+        if len(self.sent) == 1:
+            return self.sent[0].value.log_probabilities(grams)
+        half = np.uint64(0xFFFF)
+        key = (grams >> np.uint64(16) & half) << np.uint64(16) | grams >> np.uint64(32) & half
+        part = np.searchsorted(self.starts, key.astype(np.int64), side="right") - 1
+        out = np.empty((len(grams), len(self.languages)), np.float32)
+        for i, sent in enumerate(self.sent):
+            mine = np.flatnonzero(part == i)
+            if len(mine):
+                out[mine] = sent.value.log_probabilities(grams[mine])
+                if getattr(sent, "_path", None):
+                    sent.__dict__.pop("_value", None)  # it can be read again from its file
+        return out
+
+
+def model_parts(counts: DataFrame, most_grams: int) -> Parts | None:
+    """Models of the 4-gram counts (lang, gram, n). Continuation counts and discounts are taken from all grams."""
+    spark = counts.sparkSession
+    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    if not languages:
+        return None
+    n = partitions(spark)
+    levels = {ORDER: counts.select("lang", "gram", F.col("n").cast("long").alias("n"))}
+    for order in range(ORDER - 1, 0, -1):
+        suffix = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1).cast("long"))
+        levels[order] = levels[order + 1].groupBy("lang", suffix.alias("gram")).agg(F.count("*").alias("n"))
+    both = None
+    for order, level in levels.items():
+        level = level.withColumn("order", F.lit(order))
+        both = level if both is None else both.unionByName(level)
+    symbol = lambda j: F.shiftright("gram", 16 * j).bitwiseAND(F.lit(0xFFFF).cast("long"))
+    key = F.shiftleft(symbol(1), 16).bitwiseOR(symbol(2))
+    grams = staged(both.withColumn("key", key).repartitionByRange(n, "key", "gram").sortWithinPartitions("key"))
+    seen = {order: np.zeros((2, len(languages))) for order in levels}
+    at = {v: i for i, v in enumerate(languages)}
+    for r in grams.where("n <= 2").groupBy("order", "lang", "n").agg(F.count("*").alias("c")).collect():
+        seen[r.order][r.n - 1, at[r.lang]] = r.c
+    sizes = grams.where(F.col("order") == ORDER).select("key", "gram").distinct().groupBy("key").agg((F.count("*") * len(languages)).alias("size"))
+    before = running_sum(ordered(sizes, "key"), "size", ["key"], "before")
+    firsts = before.groupBy(F.floor(F.col("before") / most_grams).alias("part")).agg(F.min("key").alias("first")).collect()
+    starts = [0, *sorted(r["first"] for r in firsts)[1:]]
+    sent = []
+    for lo, hi in zip(starts, [*starts[1:], 1 << 32], strict=True):
+        level2 = (F.col("order") == 2) & F.col("key").between(lo >> 16 << 16, hi - 1)
+        part = grams.where((F.col("order") == 1) | level2 | ((F.col("order") > 2) & (F.col("key") >= lo) & (F.col("key") < hi))).select("order", "lang", "gram", "n").toPandas()
+        part["lang"] = part["lang"].map(at)
+        by_order = {o: (p["lang"].to_numpy(np.int64), p["gram"].to_numpy(np.int64).view(np.uint64), p["n"].to_numpy(float)) for o, p in part.groupby("order")}
+        sent.append(spark.sparkContext.broadcast(fit(languages, by_order, seen)))
+    return Parts(np.array(starts, np.int64), sent, languages)
+
+
 def identify_language(docs: DataFrame, *, most_grams: int = MOST_GRAMS) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, entropy (nats a character), rejected and text_hash.
 
@@ -214,21 +283,9 @@ def identify_language(docs: DataFrame, *, most_grams: int = MOST_GRAMS) -> DataF
 
     learning = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     counts = staged(learning.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    # the count below which grams would exceed the bound: a histogram of counts by powers of two
-    sizes = counts.groupBy(F.length(F.bin("n")).alias("b")).count().collect()
-    least, total = 0, 0
-    for r in sorted(sizes, key=lambda r: -r.b):
-        total += r["count"]
-        if total > most_grams:
-            least = 1 << r.b
-            break
-    found = counts.where(F.col("n") >= least).toPandas()
-    languages = sorted(found["lang"].unique())
-    model = train(languages, found["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy(np.int64) if len(found) else np.zeros(0, np.int64), found["gram"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy())
-    sent = spark.sparkContext.broadcast(model)
+    m = model_parts(counts, most_grams)
 
     def score(batch: pd.DataFrame) -> pd.DataFrame:
-        m = sent.value
         n = len(batch)
         out = pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "held_out": batch["held_out"], "lang": batch["lang"], "lang_pred": "und", "score": 0.0, "entropy": np.nan})
         if m is None:
@@ -249,7 +306,7 @@ def identify_language(docs: DataFrame, *, most_grams: int = MOST_GRAMS) -> DataF
         out["entropy"] = np.where(ok, -top, np.nan)
         return out
 
-    scored = staged(rows.select("doc_id", "text_hash", "held_out", "lang", "text").mapInPandas(in_chunks(score, size=1 << 19), "doc_id long, text_hash long, held_out boolean, lang string, lang_pred string, score double, entropy double"))
+    scored = staged(rows.select("doc_id", "text_hash", "held_out", "lang", "text").mapInPandas(in_chunks(score, size=(1 << 19) * min(4, len(m.sent) if m else 1)), "doc_id long, text_hash long, held_out boolean, lang string, lang_pred string, score double, entropy double"))
     tried = scored.where(~F.col("held_out") & F.col("lang").isNotNull() & (F.col("lang_pred") != "und"))
     bins = tried.groupBy(F.floor(F.col("score") * BINS).alias("b")).agg(F.count("*").alias("n"), F.count_if(F.col("lang") == F.col("lang_pred")).alias("right")).collect()
     threshold, n, right = 0.0, 0, 0

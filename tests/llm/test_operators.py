@@ -388,3 +388,27 @@ def test_disposal_and_transparency(spark):
 
 def test_documents_ignores_other_columns(docs):
     assert documents(docs, "doc_id", "text").columns == ["doc_id", "text"]
+
+
+def test_language_models_in_parts(spark):
+    """Many parts give what one model of all grams gives, and a language of few and rare grams stays."""
+    rng = random.Random(6)
+    make = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(n))
+    rows = [(i, make(["ba", "lo", "mi", "ta", "re"], 60), "aa") for i in range(40)] + [(40 + i, make(["st", "ung", "kei"], 4), "bb") for i in range(10)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, many = (langid.identify_language(rows, most_grams=m).orderBy("doc_id").toPandas() for m in (1 << 20, 20))
+    assert (one.lang_pred == many.lang_pred).all() and np.allclose(one.entropy, many.entropy, atol=1e-6) and np.allclose(one.score, many.score, atol=1e-6)
+    assert set(many[many.doc_id >= 40].lang_pred) == {"bb"} and set(many[many.doc_id < 40].lang_pred) == {"aa"}
+    learnt = [r for r in rows.collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    lang, gram, n = [], [], []
+    for r in learnt:
+        g, c = np.unique(langid.symbols([r.text]).grams, return_counts=True)
+        lang += [r.lang] * len(g)
+        gram += g.view(np.int64).tolist()
+        n += c.tolist()
+    counts = pd.DataFrame({"lang": lang, "gram": gram, "n": n}).groupby(["lang", "gram"], as_index=False).n.sum()
+    whole = langid.train(["aa", "bb"], counts.lang.map({"aa": 0, "bb": 1}).to_numpy(), counts.gram.to_numpy(np.int64).view(np.uint64), counts.n.to_numpy())
+    parts = langid.model_parts(spark.createDataFrame(counts), 20)
+    asked = langid.symbols([r.text for r in learnt] + ["qué xyz", "привет mir", "balo stung"]).grams
+    assert len(parts.sent) > 5
+    assert np.allclose(parts.log_probabilities(asked), whole.log_probabilities(asked), atol=1e-5)
