@@ -4,12 +4,14 @@ Every learning row's whole text is counted into character 4-grams (lower-cased l
 orders' continuation counts follow from the distinct 4-grams. The models are stored in sorted hash arrays with a
 directory of leading bits, one row of log-probabilities (a column for each language) per n-gram. No n-gram is left out:
 the models are cut into parts by the two symbols before the predicted one, and each part has all that its grams back
-off to. A text goes to the language of the lowest cross-entropy per character. Rejection is calibrated: on learning rows, the score below which
-predictions are wrong more often than right.
+off to. A text goes to the language of the lowest cross-entropy per character. Rejection is calibrated on a fold of the
+learning rows, under models of the other ones: by the score below which predictions are wrong more often than right, and
+for each language by the cross-entropy that best parts the fold's texts from the same texts with their characters shuffled.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +28,10 @@ MOST_GRAMS = 1 << 20
 #: Characters of evidence a score counts at most.
 EVIDENCE = 40
 BINS = 200
+#: One in so many learning texts is left out of the models that rejection is calibrated with.
+FOLDS = 8
+#: Bins of cross-entropy to a nat, and the most nats that are told apart.
+NAT, MOST_NATS = 20, 40
 _EDGE, _GAP = 1, 32
 
 _fold: np.ndarray | None = None
@@ -249,16 +255,85 @@ def model_parts(counts: DataFrame, most_grams: int) -> Parts | None:
     return Parts(np.array(starts, np.int64), sent, languages)
 
 
+def best_languages(m: Parts, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """Of each text whether it has letters, its best language's index, the score and the entropy; None if no text has any."""
+    s = symbols(texts)
+    size = np.diff(s.bounds)
+    ok = s.letters > 0
+    if not ok.any():
+        return None
+    p = m.log_probabilities(s.grams)
+    total = np.add.reduceat(p, np.minimum(s.bounds[:-1], len(p) - 1), axis=0, dtype=np.float64)
+    mean = total / np.maximum(size, 1)[:, None]
+    best = mean.argmax(1)
+    top = mean[np.arange(len(texts)), best]
+    rival = np.exp((mean - top[:, None]) * np.minimum(size, EVIDENCE)[:, None]).sum(1)
+    return ok, best, np.where(ok, 1 / rival, 0.0), np.where(ok, -top, np.nan)
+
+
+def shuffled(text: str) -> str:
+    """The text's characters in an order fixed by the text."""
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.random.default_rng(zlib.crc32(cp.tobytes())).permutation(cp).tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def entropy_limit(texts: dict[int, int], noise: dict[int, int]) -> float:
+    """The entropy that parts bins of texts from bins of noise with the fewest errors; of several, the middle."""
+    most = max(*texts, *noise) + 2
+    good, bad = (np.bincount(list(b), weights=list(b.values()), minlength=most) for b in (texts, noise))
+    wrong = good.sum() - np.concatenate([[0], np.cumsum(good)]) + np.concatenate([[0], np.cumsum(bad)])
+    fewest = np.flatnonzero(wrong == wrong.min())
+    return float(fewest[0] + fewest[-1]) / 2 / NAT
+
+
+def calibrate(fold: DataFrame, m: Parts | None) -> tuple[float, dict[str, float]]:
+    """The least score, and the most entropy by language, from labelled rows (text, lang) that m has not counted."""
+    if m is None:
+        return 0.0, {}
+
+    def probe(batch: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for noise in (False, True):
+            found = best_languages(m, [shuffled(t) for t in batch["text"]] if noise else batch["text"].tolist())
+            if found is None:
+                return pd.DataFrame({"lang": [], "noise": [], "right": [], "score": [], "nats": []})
+            ok, best, score, entropy = found
+            right = np.array(m.languages, object)[best] == batch["lang"].to_numpy()
+            bins = np.nan_to_num(np.floor(np.minimum(entropy, MOST_NATS) * NAT)).astype(int)
+            out.append(pd.DataFrame({"lang": batch["lang"], "noise": noise, "right": right, "score": np.floor(score * BINS).astype(int), "nats": bins})[ok])
+        return pd.concat(out)
+
+    tried = fold.where(F.col("lang").isin(m.languages)).select("text", "lang").mapInPandas(in_chunks(probe, size=1 << 19), "lang string, noise boolean, right boolean, score int, nats int")
+    bins = tried.groupBy("lang", "noise", "right", "score", "nats").count().collect()
+    scores: dict[int, list[int]] = {}
+    texts, noises = {}, {}
+    for r in bins:
+        if not r.noise:
+            of = scores.setdefault(r.score, [0, 0])
+            of[0] += r["count"]
+            of[1] += r["count"] * r.right
+        if r.noise or r.right:
+            of = (noises if r.noise else texts).setdefault(r.lang, {})
+            of[r.nats] = of.get(r.nats, 0) + r["count"]
+    threshold, n, right = 0.0, 0, 0
+    for b, (all_, good) in sorted(scores.items()):
+        n, right = n + all_, right + good
+        if 2 * right < n:
+            threshold = (b + 1) / BINS
+    return threshold, {lang: entropy_limit(texts[lang], noises[lang]) for lang in texts if lang in noises}
+
+
 def identify_language(docs: DataFrame, *, most_grams: int = MOST_GRAMS) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, entropy (nats a character), rejected and text_hash.
 
     Learning rows: non-null lang, and crc32(doc_id) mod 5 not 0 (a null doc_id is held out). A null text, one without
-    letters, and any text where nothing could be learned are ``und`` with score 0, and rejected."""
+    letters, and any text where nothing could be learned are ``und`` with score 0, and rejected. So is a text whose score is
+    too low, or whose entropy is too high for its language: of a script or language that was not learned, or no language."""
     spark = docs.sparkSession
     rows = documents(docs, "doc_id", "text", "lang").withColumn("text_hash", F.xxhash64("text")).withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True)))
 
     def count(batches):
-        held: dict[str, list] = {}
+        held: dict[tuple[str, bool], list] = {}
 
         def fold(parts):
             g = np.concatenate([p[0] for p in parts])
@@ -267,9 +342,9 @@ def identify_language(docs: DataFrame, *, most_grams: int = MOST_GRAMS) -> DataF
             return [(u, np.bincount(at, weights=c).astype(np.int64))]
 
         def add(batch):
-            for lang, part in batch.groupby("lang", sort=False):
+            for key, part in batch.groupby(["lang", "fold"], sort=False):
                 g, c = np.unique(symbols(part["text"].tolist()).grams, return_counts=True)
-                parts = held.setdefault(lang, [])
+                parts = held.setdefault(key, [])
                 parts.append((g, c))
                 if len(parts) > 12:
                     parts[:] = fold(parts)
@@ -277,45 +352,37 @@ def identify_language(docs: DataFrame, *, most_grams: int = MOST_GRAMS) -> DataF
 
         for _ in in_chunks(add, size=1 << 21)(batches):
             pass
-        for lang, parts in held.items():
+        for (lang, out), parts in held.items():
             (g, c), = fold(parts)
-            yield pd.DataFrame({"lang": lang, "gram": g.view(np.int64), "n": c})
-
-    learning = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    counts = staged(learning.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+            yield pd.DataFrame({"lang": lang, "gram": g.view(np.int64), "n": c, "rest": 0 if out else c})
+
+    learning = rows.where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang", (F.pmod("text_hash", F.lit(FOLDS)) == 0).alias("fold"))
+    counts = staged(learning.mapInPandas(count, "lang string, gram long, n long, rest long").groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("rest").alias("rest")))
+    rest = model_parts(counts.where("rest > 0").select("lang", "gram", F.col("rest").alias("n")), most_grams)
+    threshold, limits = calibrate(learning.where("fold"), rest)
+    for sent in rest.sent if rest else []:
+        sent.destroy()
     m = model_parts(counts, most_grams)
 
     def score(batch: pd.DataFrame) -> pd.DataFrame:
-        n = len(batch)
         out = pd.DataFrame({"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "held_out": batch["held_out"], "lang": batch["lang"], "lang_pred": "und", "score": 0.0, "entropy": np.nan})
         if m is None:
             return out
-        s = symbols(batch["text"].tolist())
-        size = np.diff(s.bounds)
-        ok = s.letters > 0
-        if not ok.any():
+        found = best_languages(m, batch["text"].tolist())
+        if found is None:
             return out
-        p = m.log_probabilities(s.grams)
-        total = np.add.reduceat(p, np.minimum(s.bounds[:-1], len(p) - 1), axis=0, dtype=np.float64)
-        mean = total / np.maximum(size, 1)[:, None]
-        best = mean.argmax(1)
-        top = mean[np.arange(n), best]
-        rival = np.exp((mean - top[:, None]) * np.minimum(size, EVIDENCE)[:, None]).sum(1)
+        ok, best, out["score"], out["entropy"] = found
         out["lang_pred"] = np.where(ok, np.array(m.languages, object)[best], "und")
-        out["score"] = np.where(ok, 1 / rival, 0.0)
-        out["entropy"] = np.where(ok, -top, np.nan)
         return out
 
     scored = staged(rows.select("doc_id", "text_hash", "held_out", "lang", "text").mapInPandas(in_chunks(score, size=(1 << 19) * min(4, len(m.sent) if m else 1)), "doc_id long, text_hash long, held_out boolean, lang string, lang_pred string, score double, entropy double"))
-    tried = scored.where(~F.col("held_out") & F.col("lang").isNotNull() & (F.col("lang_pred") != "und"))
-    bins = tried.groupBy(F.floor(F.col("score") * BINS).alias("b")).agg(F.count("*").alias("n"), F.count_if(F.col("lang") == F.col("lang_pred")).alias("right")).collect()
-    threshold, n, right = 0.0, 0, 0
-    for r in sorted(bins, key=lambda r: r.b):
-        n, right = n + r["n"], right + r["right"]
-        if 2 * right < n:
-            threshold = (r.b + 1) / BINS
+    # a language without rows in the fold has the loosest limit of the others
+    loosest = max(limits.values(), default=float("inf"))
+    limit = F.lit(loosest)
+    if limits:
+        limit = F.coalesce(F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair])[F.col("lang_pred")], limit)
     return scored.select(
-        "doc_id", "held_out", "lang_pred", "score", F.when(F.isnan("entropy"), None).otherwise(F.col("entropy")).alias("entropy"), ((F.col("lang_pred") == "und") | (F.col("score") < threshold)).alias("rejected"), "text_hash"
+        "doc_id", "held_out", "lang_pred", "score", F.when(F.isnan("entropy"), None).otherwise(F.col("entropy")).alias("entropy"), ((F.col("lang_pred") == "und") | (F.col("score") < threshold) | (F.col("entropy") > limit)).alias("rejected"), "text_hash"
     )
 
 

@@ -412,3 +412,16 @@ def test_language_models_in_parts(spark):
     asked = langid.symbols([r.text for r in learnt] + ["qué xyz", "привет mir", "balo stung"]).grams
     assert len(parts.sent) > 5
     assert np.allclose(parts.log_probabilities(asked), whole.log_probabilities(asked), atol=1e-5)
+
+
+def test_language_rejection(spark):
+    """Unlearned scripts and random letters go, clean documents stay, held out or not."""
+    rng = random.Random(8)
+    make = lambda parts, n: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(n))
+    parts = {"aa": ["ba", "lo", "mi", "ta", "re", "su"], "bb": ["st", "ung", "kei", "der", "och"]}
+    clean = [(i, make(parts[lang], rng.randint(3, 80)), lang) for i, lang in enumerate(["aa", "bb"] * 100)]
+    foreign = ["привет мир как дела", "καλημέρα κόσμε τι κάνεις", "今日は良い天気ですね", *["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n)) for n in (40, 200, 1000)]]
+    rows = spark.createDataFrame([*clean, *[(1000 + i, t, None) for i, t in enumerate(foreign)]], "doc_id long, text string, lang string")
+    out = langid.identify_language(rows).toPandas().set_index("doc_id")
+    assert not out.rejected[out.index < 1000].any() and out.rejected[out.index >= 1000].all()
+    assert set(langid.accepted_documents(rows).toPandas().doc_id) == set(range(200))
