@@ -2,35 +2,99 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandemlake.assay import Settings
-from tandemlake.kernels.denoise import denoise
-from tandemlake.operators.consensus import panel
+from tandemlake.kernels.denoise import differences, log_tail
 from tandemlake.operators.insertions import cluster_guardrails, relabel
 
-#: Unique sequences of a peak that the denoiser weighs; the rest join the largest cluster by the guardrails.
-MAX_UNIQUE = 2000
+STATE = "gmm_peak_alias string, seq string, n long, first {first}, owner int, d int"
+
+
+def _centres(counts: DataFrame, omega: float) -> tuple[DataFrame, dict[str, list[tuple]]]:
+    """The test of kernels.denoise over all unique sequences (gmm_peak_alias, seq, n, first) of each peak, in rounds that add
+    one centre a peak: sequences stay where they lie, and the driver holds the centres, their totals and the error rates.
+    Returns the sequences with owner, and by peak the centres (n, first, seq) that owner counts from 0."""
+    schema = STATE.format(first=counts.schema["first"].dataType.simpleString())
+    top = counts.groupBy("gmm_peak_alias").agg(F.min_by(F.struct("n", "first", "seq"), F.struct(-F.col("n"), F.col("seq"))).alias("c")).collect()
+    centres = {r.gmm_peak_alias: [tuple(r.c)] for r in top}
+
+    def apart(batches, kept=dict(centres)):
+        for t in batches:
+            yield t.assign(owner=0, d=[differences(s, kept[p][0][2]) for p, s in zip(t["gmm_peak_alias"], t["seq"], strict=True)])
+
+    state = counts.select("gmm_peak_alias", "seq", "n", "first").mapInPandas(apart, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    near = state.where("d <= 3").groupBy("gmm_peak_alias").agg(F.sum(F.col("d") * F.col("n")).alias("wrong"), F.sum("n").alias("n")).collect()
+    errors = {r.gmm_peak_alias: min(0.05, max(1e-4, r.wrong / max(1, r.n * len(centres[r.gmm_peak_alias][0][2])))) for r in near}
+    weight = lambda centre, d, error: math.log(centre[0]) - d * -math.log(error / 3)
+    fresh = set(centres)
+    while True:
+        total = {(r.gmm_peak_alias, r.owner): r.t for r in state.groupBy("gmm_peak_alias", "owner").agg(F.sum("n").alias("t")).collect()}
+
+        def test(batches, total=total, kept={p: {c[2] for c in v} for p, v in centres.items()}):
+            known: dict[tuple, float] = {}
+            for t in batches:
+                found = []
+                for row in t.itertuples(index=False):
+                    if row.seq in kept[row.gmm_peak_alias]:
+                        continue
+                    key = (row.gmm_peak_alias, row.owner, row.n, row.d)
+                    if key not in known:
+                        known[key] = log_tail(row.n, total[key[:2]] * math.exp(row.d * math.log(errors[key[0]] / 3)))
+                    if known[key] < math.log(omega):
+                        found.append((row.gmm_peak_alias, row.seq, row.n, row.first, known[key]))
+                yield pd.DataFrame(found, columns=["gmm_peak_alias", "seq", "n", "first", "p"])
+
+        tested = state.where((F.col("n") > 1) & F.col("gmm_peak_alias").isin(sorted(fresh))).mapInPandas(test, schema.split(", owner")[0] + ", p double")
+        best = tested.groupBy("gmm_peak_alias").agg(F.min_by(F.struct("n", "first", "seq"), F.struct("p", -F.col("n"), F.col("seq"))).alias("c")).collect()
+        if not best:
+            return state, centres
+        centres = {p: list(v) for p, v in centres.items()}
+        fresh = {r.gmm_peak_alias for r in best}
+        for r in best:
+            centres[r.gmm_peak_alias].append(tuple(r.c))
+
+        def move(batches, kept=centres, fresh=fresh):
+            for t in batches:
+                owner, d = t["owner"].tolist(), t["d"].tolist()
+                for i, (p, s) in enumerate(zip(t["gmm_peak_alias"], t["seq"], strict=True)):
+                    if p in fresh:
+                        new, old = kept[p][-1], kept[p][owner[i]]
+                        far = differences(s, new[2])
+                        a, b = weight(new, far, errors[p]), weight(old, d[i], errors[p])
+                        if a > b or (a == b and (-new[0], new[1]) < (-old[0], old[1])):
+                            owner[i], d[i] = len(kept[p]) - 1, far
+                yield t.assign(owner=owner, d=d)
+
+        before, state = state, state.mapInPandas(move, schema).persist(StorageLevel.MEMORY_AND_DISK)
+        state.count()
+        before.unpersist()
 
 
 def denoise_labels(reads: DataFrame, settings: Settings) -> DataFrame:
-    """The reads with label: the cluster of their sequence. Peaks with fewer than twice the least child size get none."""
+    """The reads with label: the cluster of their sequence, by the centre's rank. Peaks with fewer than twice the least child
+    size get none."""
     targets = reads if settings.cluster_wt_peak else reads.where("gmm_peak_alias <> 'WT'")
     counts = targets.groupBy("gmm_peak_alias", F.upper("read_seq").alias("seq")).agg(F.count("*").alias("n"), F.min("read_id").alias("first"))
     large = counts.groupBy("gmm_peak_alias").agg(F.sum("n").alias("_n")).where(F.col("_n") >= 2 * settings.min_haplotype_reads)
-    chosen = panel(counts.join(F.broadcast(large), "gmm_peak_alias", "left_semi"), ["gmm_peak_alias"], MAX_UNIQUE, 1.0)
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("panel_rank").reset_index(drop=True)
-        owner = denoise(part["seq"].tolist(), part["n"].tolist(), settings.omega_a) if len(part) > 1 else [0] * len(part)
-        return pd.DataFrame({"gmm_peak_alias": part["gmm_peak_alias"], "seq": part["seq"], "label": [f"c{o:04d}" for o in owner]})
-
-    labels = chosen.select("gmm_peak_alias", "seq", "n", "panel_rank").groupBy("gmm_peak_alias").applyInPandas(run, "gmm_peak_alias string, seq string, label string")
-    return reads.withColumn("_s", F.upper("read_seq")).join(labels.withColumnRenamed("seq", "_s"), ["gmm_peak_alias", "_s"], "left").drop("_s")
+    counted = counts.join(F.broadcast(large), "gmm_peak_alias", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
+    # each round's plan begins here, not at the reads
+    counts = counted.checkpoint() if reads.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else counted.localCheckpoint()
+    counted.unpersist()
+    owned, centres = _centres(counts, settings.omega_a)
+    first = counts.schema["first"].dataType.simpleString()
+    named = reads.sparkSession.createDataFrame([(p, i, n, at) for p, v in centres.items() for i, (n, at, _) in enumerate(v)], f"gmm_peak_alias string, owner int, cn long, cfirst {first}")
+    ahead = (F.col("n") > F.col("cn")) | ((F.col("n") == F.col("cn")) & (F.col("first") < F.col("cfirst")))
+    ranks = counts.join(F.broadcast(named), "gmm_peak_alias").groupBy("gmm_peak_alias", "owner").agg(F.count_if(ahead).alias("rank")).collect()
+    label = reads.sparkSession.createDataFrame([(r.gmm_peak_alias, r.owner, f"c{r.rank:04d}") for r in ranks], "gmm_peak_alias string, owner int, label string")
+    labels = owned.join(F.broadcast(label), ["gmm_peak_alias", "owner"]).select("gmm_peak_alias", F.col("seq").alias("_s"), "label")
+    return reads.withColumn("_s", F.upper("read_seq")).join(labels, ["gmm_peak_alias", "_s"], "left").drop("_s")
 
 
 def no_labels(reads: DataFrame, settings: Settings) -> DataFrame:

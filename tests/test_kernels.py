@@ -152,3 +152,39 @@ def test_simulated_insertions_match_their_truth():
     assert found == {"A": "x", "B": "y"} and extra == ["z"]
     seq, qual = with_errors(a.allele, np.random.default_rng(1))
     assert len(seq) == len(qual) and abs(len(seq) - len(a.allele)) < 15
+
+
+def test_denoise_labels_of_all_uniques(spark):
+    """A peak of more than 2000 unique sequences: each read is labelled, as the kernel labels all of them at once."""
+    from tandemlake.assay import Settings
+    from tandemlake.kernels.denoise import denoise
+    from tandemlake.operators.split import denoise_labels
+
+    rng = random.Random(5)
+    major = "".join(rng.choice("ACGT") for _ in range(300))
+    minor = major[:100] + "".join("ACGT"[("ACGT".index(c) + 1) % 4] for c in major[100:112]) + major[112:]
+    third = major[:150] + "ACGTTGCAACGT" + major[150:]
+
+    def wrong(s):
+        for i in rng.sample(range(len(s)), 2):
+            s = s[:i] + rng.choice("ACGT".replace(s[i], "")) + s[i + 1 :]
+        return s
+
+    seqs = [major] * 600 + [minor] * 300 + [third] * 200 + [wrong(major) for _ in range(1500)] + [wrong(minor) for _ in range(900)] + [wrong(third) for _ in range(200)]
+    rng.shuffle(seqs)
+    rows = [(i, s, len(s), p) for p in ("ITD_1", "ITD_2") for i, s in enumerate(seqs)] + [(i, major, 300, "ITD_3") for i in range(3)]
+    reads = spark.createDataFrame([(j, *r[1:]) for j, r in enumerate(rows)], "read_id long, read_seq string, read_len int, gmm_peak_alias string")
+    out = denoise_labels(reads, Settings()).toPandas()
+    assert len(out) == len(rows) and out[out.gmm_peak_alias == "ITD_3"].label.isna().all()
+    first, count = {}, {}
+    for i, s in enumerate(seqs):
+        first.setdefault(s, i)
+        count[s] = count.get(s, 0) + 1
+    unique = sorted(count, key=lambda s: (-count[s], first[s]))
+    assert len(unique) > 2000
+    owner = denoise(unique, [count[s] for s in unique], Settings().omega_a)
+    want = {s: f"c{o:04d}" for s, o in zip(unique, owner, strict=True)}
+    assert len(set(owner)) == 3
+    for peak in ("ITD_1", "ITD_2"):
+        part = out[out.gmm_peak_alias == peak]
+        assert part.label.tolist() == [want[s] for s in part.read_seq]
