@@ -76,7 +76,11 @@ class Words:
 
 
 def words(texts: list[str | None]) -> Words:
-    blobs = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    return words_of([(t or "").encode("utf-8", "surrogatepass") for t in texts])
+
+
+def words_of(blobs: list[bytes]) -> Words:
+    """The words of texts in UTF-8."""
     buf = b"\n".join(blobs) + b"\n"
     a = np.frombuffer(buf, np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(b) + 1 for b in blobs])]).astype(np.int64)
@@ -89,6 +93,29 @@ def words(texts: list[str | None]) -> Words:
     return Words(buf, a, space, offsets, starts, ends, first, doc, segment_hash(a, starts, ~space))
 
 
+def names(w: Words) -> np.ndarray:
+    """A number for each word, equal for equal words only: words of one hash are compared byte by byte."""
+    _, first, number = np.unique(w.hashes, return_index=True, return_inverse=True)
+    sizes = w.ends - w.starts
+    model = first[number]
+    same = sizes == sizes[model]
+    # words of one length are compared as rows of bytes
+    order = np.argsort(sizes, kind="stable")
+    cuts = np.flatnonzero(np.diff(sizes[order])) + 1
+    for part in np.split(order, cuts):
+        if len(part):
+            part = part[same[part] & (model[part] != part)]
+            step = max(1, (1 << 22) // int(sizes[part[0]])) if len(part) else 1
+            for i in range(0, len(part), step):
+                rows = part[i : i + step]
+                place = np.arange(sizes[rows[0]])
+                same[rows] = (w.a[w.starts[rows, None] + place] == w.a[w.starts[model[rows], None] + place]).all(1)
+    if not same.all():
+        table: dict[bytes, int] = {}
+        return np.array([table.setdefault(w.buf[a:b], len(table)) for a, b in zip(w.starts.tolist(), w.ends.tolist(), strict=True)], np.int64)
+    return number
+
+
 def windows(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """First word and hash of each window of k consecutive words of one text."""
     n = len(w.hashes) - k + 1

@@ -1,11 +1,17 @@
 """Substring dedup by prefix-partitioned suffix trees over words.
 
-A window of 20 words that also occurs elsewhere shares every shorter window in it, so suffixes are taken only at
-windows whose least six-word prefix candidate, the anchor, occurs twice. All windows of one content have one anchor, at
-one offset: the anchor is the variable-length prefix's first part and names the group a suffix belongs to. Groups too
-large for a task are split by longer prefixes, up to the whole window, where equality is a plain aggregate. In each
-group the suffixes are sorted into a subtree (suffix order and common-prefix lengths); internal nodes at least 20 words
-deep are the repeats, and all their leaves but the earliest are removed.
+A suffix begins at each word that 20 words follow. Its anchors are the least six-word windows of its first 20 words by a
+hash; the prefix that names its group runs from the suffix's start to the end of its first anchor, and suffixes whose
+prefixes end in one anchor go together, so that neighbours share the words that are shipped. Suffixes with the same first
+20 words have the same anchors and so the same prefix; anchors that occur once are left out before any words move.
+
+A group's suffixes are sorted by their words, which gives suffix order, common-prefix lengths and so the subtree's
+internal nodes. A node at least 20 words deep is a repeat, as long as it is deep; all its leaves but the earliest are
+removed. Words are compared as bytes, never by a hash alone.
+
+A group too large for memory is dealt to parts. A part's subtree decides all leaves but each node's earliest; the
+earliest ones go on with a longer prefix, to the end of their next anchor. So equal suffixes melt by the size of a part in
+each round, different ones are told apart by longer prefixes, and rounds go on until every group fits.
 """
 
 from __future__ import annotations
@@ -23,20 +29,20 @@ from .common import documents, in_chunks, partitions, staged, table
 
 LENGTH = 20
 ANCHOR = 6
-#: Occurrences of an anchor beyond which its group is split by whole windows: a tree has at most about 4000 suffixes.
-GROUP = 256
-
-#: Parts that the rows of a large group's anchor are dealt to.
-SALTS = 16
+#: Rows (runs of neighbouring suffixes with one anchor) in a group, or in a part of a larger one.
+GROUP = 4096
+#: An anchor with more than this part of all rows is hot: there are at most so many of them, and they are broadcast.
+HOT = 4096
 
 _U = np.uint64
+_MOST = np.iinfo(np.uint64).max
 
 
 def least_anchors(w: K.Words, length: int = LENGTH, k: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word of each window of ``length`` words, the place of its anchor (the leftmost k-word window of the least hash
     in it), and the hashes of all k-word windows by their first word."""
     n = len(w.hashes)
-    h = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    h = np.full(n, _MOST, np.uint64)
     at, hashes = K.windows(w, k)
     h[at] = hashes
     starts = np.flatnonzero(w.doc[: max(0, n - length + 1)] == w.doc[length - 1 :]) if n >= length else np.zeros(0, np.int64)
@@ -53,42 +59,123 @@ def least_anchors(w: K.Words, length: int = LENGTH, k: int = ANCHOR) -> tuple[np
     return starts, place[starts], h
 
 
-def deep_nodes(group: np.ndarray, rows: np.ndarray, order_by: list[np.ndarray]) -> np.ndarray:
-    """Leaves (suffixes of ``rows``, one row of words each) of internal nodes as deep as a row, but for each node's
-    earliest by ``order_by``. Suffixes of different groups are in different trees."""
-    big = np.concatenate([group.astype(">u8").view(np.uint8).reshape(-1, 8), rows.astype(">u4").view(np.uint8).reshape(len(rows), -1)], axis=1)
+def longer_prefixes(w: K.Words, starts: np.ndarray, anchors: int, length: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For suffixes that begin at these words: a name of the prefix to the last of their ``anchors`` least anchors, and the
+    place of the first one. Neighbours with the same anchors have the same name."""
+    h = np.full(len(w.hashes), _MOST, np.uint64)
+    at, hashes = K.windows(w, k)
+    h[at] = hashes
+    grid = h[starts[:, None] + np.arange(length - k + 1)]
+    least = np.sort(np.argsort(grid, axis=1, kind="stable")[:, :anchors], axis=1)
+    name = np.full(len(starts), anchors, np.uint64)
+    rows = np.arange(len(starts))
+    with np.errstate(over="ignore"):
+        for j in range(least.shape[1]):
+            name = K.mix(name * _U(0x9E3779B97F4A7C15) + grid[rows, least[:, j]] + (least[:, j] - least[:, 0]).astype(np.uint64))
+    return name, starts + least[:, 0]
+
+
+def deep_nodes(words: np.ndarray, first: np.ndarray, sizes: np.ndarray, group: np.ndarray, order_by: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The subtrees of suffixes ``words[first : first + sizes]`` of each group: for each suffix the deepest node's depth that
+    it shares with its equals in the first ``length`` words (its own size if there are none), whether an earlier leaf of
+    that node exists by ``order_by``, and whether it is the node's earliest."""
+    wide = int(sizes.max())
+    place = np.arange(wide)
+    grid = words[np.minimum(first[:, None] + place, len(words) - 1)].astype(np.int32) + 1
+    grid[place >= sizes[:, None]] = 0
+    big = np.concatenate([group.astype(">u8").view(np.uint8).reshape(-1, 8), grid.astype(">u4").view(np.uint8).reshape(len(grid), -1)], axis=1)
     order = np.argsort(np.ascontiguousarray(big).view(f"S{big.shape[1]}").reshape(-1), kind="stable")
-    # the common prefix of neighbours in suffix order, in words; -1 across trees
-    same = rows[order][1:] == rows[order][:-1]
-    depth = np.where(same.all(1), rows.shape[1], same.argmin(1))
-    depth[group[order][1:] != group[order][:-1]] = -1
-    node = np.concatenate([[0], np.cumsum(depth < rows.shape[1])])  # leaves of one deep node share a number
-    number = np.empty(len(order), np.int64)
+    # common prefixes of neighbours in suffix order, in words; none across groups
+    differ = grid[order][1:] != grid[order][:-1]
+    common = np.where(differ.any(1), differ.argmax(1), wide)
+    common = np.minimum(common, np.minimum(sizes[order][1:], sizes[order][:-1]))
+    common[group[order][1:] != group[order][:-1]] = 0
+    # the topmost nodes of at least ``length`` words: runs of neighbours whose common prefixes stay as long
+    opens = np.concatenate([[True], common < length])
+    heads = np.flatnonzero(opens)
+    least = np.minimum.reduceat(np.where(opens, np.iinfo(np.int64).max, np.concatenate([[0], common])), heads)
+    node = np.cumsum(opens) - 1
+    number, depth = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
     number[order] = node
+    depth[order] = np.minimum(least[node], sizes[order])
     rank = np.lexsort((*reversed(order_by), number))
-    # each leaf against its node's first; rows repeated whole are the first as well
-    opens = np.concatenate([[True], number[rank][1:] != number[rank][:-1]])
-    first = rank[np.maximum.accumulate(np.where(opens, np.arange(len(rank)), 0))]
+    begins = np.concatenate([[True], number[rank][1:] != number[rank][:-1]])
+    earliest = rank[np.maximum.accumulate(np.where(begins, np.arange(len(rank)), 0))]
+    # rows repeated whole are the earliest as well
     later = np.zeros(len(order), bool)
-    later[rank] = np.any([key[rank] != key[first] for key in order_by], axis=0)
-    return later
+    later[rank] = np.any([key[rank] != key[earliest] for key in order_by], axis=0)
+    leads = np.zeros(len(order), bool)
+    leads[rank[begins]] = True
+    return depth, later, leads
 
 
 #: Stands for a null doc_id, after all others.
 LAST_ID = np.iinfo(np.int64).max
 
+_RUN = "prefix long, doc_id long, tie long, start long, words binary, large boolean"
+_OUT = "found boolean, prefix long, doc_id long, tie long, start long, size long, words binary"
+
+
+def _trees(length: int, anchors: int, k: int):
+    """A mapInPandas function over runs sorted by prefix: repeats found (start and size), and the runs that go on."""
+
+    def grow(part: pd.DataFrame) -> pd.DataFrame:
+        w = K.words_of([bytes(x) for x in part["words"]])
+        name, count = K.names(w), w.counts
+        owner = np.repeat(np.arange(len(part)), count - length + 1)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(count - length + 1) - (count - length + 1), count - length + 1)
+        ids, ties, starts = part["doc_id"].to_numpy()[owner], part["tie"].to_numpy()[owner], part["start"].to_numpy()[owner] + nth
+        depth, later, leads = deep_nodes(name, w.first[owner] + nth, count[owner] - nth, part["prefix"].to_numpy().view(np.uint64)[owner], [ids, ties, starts], length)
+        # neighbouring repeats of a run are one
+        at = np.flatnonzero(later)
+        cuts = np.flatnonzero(np.concatenate([[True], (owner[at][1:] != owner[at][:-1]) | (nth[at][1:] != nth[at][:-1] + 1)])) if len(at) else at
+        out = [pd.DataFrame()]
+        if len(at):
+            ends = np.maximum.reduceat(starts[at] + depth[at], cuts)
+            a = at[cuts]
+            out.append(pd.DataFrame({"found": True, "prefix": np.int64(0), "doc_id": ids[a], "tie": ties[a], "start": starts[a], "size": ends - starts[a], "words": b""}))
+        at = np.flatnonzero(leads & part["large"].to_numpy()[owner])
+        if len(at):
+            names, place = longer_prefixes(w, w.first[owner[at]] + nth[at], anchors + 1, length, k)
+            cuts = np.flatnonzero(np.concatenate([[True], (owner[at][1:] != owner[at][:-1]) | (nth[at][1:] != nth[at][:-1] + 1) | (names[1:] != names[:-1]) | (place[1:] != place[:-1])]))
+            a, b = at[cuts], at[np.append(cuts[1:], len(at)) - 1]
+            low, high = w.starts[w.first[owner[a]] + nth[a]], w.ends[w.first[owner[b]] + nth[b] + length - 1]
+            blobs = [w.buf[x:y] for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+            out.append(pd.DataFrame({"found": False, "prefix": names[cuts].view(np.int64), "doc_id": ids[a], "tie": ties[a], "start": starts[a], "size": np.int64(0), "words": blobs}))
+        return pd.concat(out)
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            cuts = np.flatnonzero(batch["prefix"].to_numpy()[1:] != batch["prefix"].to_numpy()[:-1]) + 1
+            size += len(batch)
+            if size < 2 * GROUP or not len(cuts):
+                held.append(batch)
+                continue
+            yield grow(pd.concat([*held, batch.iloc[: cuts[-1]]], ignore_index=True))
+            held, size = [batch.iloc[cuts[-1] :]], len(batch) - int(cuts[-1])
+        if size:
+            yield grow(pd.concat(held, ignore_index=True))
+
+    return run
+
 
 def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROUP, with_text: bool = True) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, if with_text, kept (the words left, joined by a space).
 
     Documents are ordered by doc_id (null last), those of one doc_id by their text's hash. Rows of one doc_id and one
-    text are one document, and each gets its result. Null and empty texts have no words."""
+    text are one document, and each gets its result. Null and empty texts have no words. length: words of a repeat, at
+    least 1; anchors are as short as it if it is below six. group: rows in memory at once, 2 at least."""
+    if length < 1:
+        raise ValueError("length must be at least 1")
+    k, group = min(ANCHOR, length), max(group, 2)
     spark = docs.sparkSession
+    n = partitions(spark)
     rows = documents(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(int(LAST_ID))).alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")
 
     def scan(batch: pd.DataFrame) -> pd.DataFrame:
         w = K.words(batch["text"].tolist())
-        starts, place, h = least_anchors(w, length)
+        starts, place, h = least_anchors(w, length, k)
         at = place[np.concatenate([[True], place[1:] != place[:-1]])] if len(place) else place
         again = K.equal_earlier(w.doc[at], h[at])[1] if len(at) else np.zeros(0, bool)
         doc = w.doc[at]
@@ -97,114 +184,58 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
     anchors = staged(rows.select("doc_id", "tie", "text").mapInPandas(in_chunks(scan, size=1 << 20), "anchor long, doc_id long, tie long, pos int, again boolean"))
     # copies of one text come to its first document alone
     heads = staged(rows.groupBy("digest").agg(F.min(F.struct("doc_id", "tie")).alias("head")).select("head.doc_id", "head.tie"))
-    repeated = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("tie").alias("low"), F.max("tie").alias("high"), F.max("again").alias("again")).where("low <> high or again").select("anchor", (F.col("n") > group).alias("large"))
-    found = anchors.select("anchor", "doc_id", "tie", "pos").join(repeated, "anchor").join(heads.select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi")
-    places = staged(found.groupBy("doc_id", "tie").agg(F.collect_list(F.col("pos") * 2 + F.col("large").cast("int")).alias("places")))
+    repeated = anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("tie").alias("low"), F.max("tie").alias("high"), F.max("again").alias("again")).where("low <> high or again")
+    repeated = staged(repeated.select("anchor", F.ceil(F.col("n") / group).cast("int").alias("parts"), "n"))
+    # anchors so frequent that their rows would crowd one task: at most HOT
+    often = F.col("n") > anchors.count() / HOT
+    hot = repeated.where(often).select("anchor", "parts")
+    sites = anchors.select("anchor", "doc_id", "tie", "pos")
+    beside = sites.join(F.broadcast(hot.select("anchor")), "anchor", "left_anti")
+    found = sites.join(F.broadcast(hot), "anchor").unionByName(beside.join(repeated.where(~often).select("anchor", "parts"), "anchor"))
+    found = found.join(heads.select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi")
+    places = staged(found.groupBy("doc_id", "tie").agg(F.collect_list("pos").alias("places"), F.collect_list("parts").alias("parts")))
 
     def suffixes(batch: pd.DataFrame) -> pd.DataFrame:
         w = K.words(batch["text"].tolist())
-        starts, place, h = least_anchors(w, length)
-        wanted = np.zeros(len(w.hashes) + 1, np.int8)
-        for first, p in zip(w.first[:-1].tolist(), batch["places"], strict=True):
-            p = np.asarray(p)
-            wanted[first + (p >> 1)] = 1 + (p & 1)
-        keep = wanted[place] > 0
+        starts, place, h = least_anchors(w, length, k)
+        parts = np.zeros(len(w.hashes) + 1, np.int64)
+        for first, at, p in zip(w.first[:-1].tolist(), batch["places"], batch["parts"], strict=True):
+            parts[first + np.asarray(at)] = p
+        keep = parts[place] > 0
         starts, place = starts[keep], place[keep]
-        short = w.hashes.astype(np.uint32)
-        doc = w.doc[starts]
-        ids, ties = batch["doc_id"].to_numpy(), batch["tie"].to_numpy()
-        large = wanted[place] == 2
-        # one row for each anchor with all its windows: their words, or in large groups a hash of each one's words
+        # one row for neighbours of one anchor, with all their words
         runs = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)])) if len(starts) else starts
         a, b = starts[runs], starts[np.append(runs[1:], len(starts)) - 1] if len(starts) else starts
-        d = doc[runs]
-        split = large[runs]
-        whole = np.zeros(len(w.hashes), np.uint64)
-        at, content = K.windows(w, length)
-        whole[at] = content
-        words = [(whole[x : y + 1] if s else short[x : y + length]).tobytes() for x, y, s in zip(a.tolist(), b.tolist(), split.tolist(), strict=True)]
-        return pd.DataFrame({"prefix": h[place[runs]].view(np.int64), "doc_id": ids[d], "tie": ties[d], "start": a - w.first[d], "words": words, "large": split})
+        d, p = w.doc[a], place[runs]
+        ids, ties = batch["doc_id"].to_numpy()[d], batch["tie"].to_numpy()[d]
+        with np.errstate(over="ignore"):
+            part = K.mix(K.mix(ties.view(np.uint64)) + a.astype(np.uint64)) % parts[p].astype(np.uint64)
+            prefix = K.mix(h[p] + part)
+        words = [w.buf[x:y] for x, y in zip(w.starts[a].tolist(), w.ends[b + length - 1].tolist(), strict=True)]
+        return pd.DataFrame({"prefix": prefix.view(np.int64), "doc_id": ids, "tie": ties, "start": a - w.first[d], "words": words, "large": parts[p] > 1})
 
     texts = rows.select("doc_id", "tie", "text").join(places.hint("shuffle_hash"), ["doc_id", "tie"])
-    groups = staged(texts.mapInPandas(in_chunks(suffixes, size=1 << 20), "prefix long, doc_id long, tie long, start long, words binary, large boolean"))
-
-    def trees(batches):
-        held, size = [], 0
-
-        def grow(part: pd.DataFrame) -> pd.DataFrame:
-            flat = np.frombuffer(b"".join(part["words"]), np.uint32)
-            words = np.array([len(x) // 4 for x in part["words"]])
-            n = words - length + 1
-            first = np.cumsum(words) - words
-            owner = np.repeat(np.arange(len(part)), n)
-            nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-            suffix = np.lib.stride_tricks.sliding_window_view(flat, length)[first[owner] + nth]
-            ids, ties, starts = part["doc_id"].to_numpy()[owner], part["tie"].to_numpy()[owner], part["start"].to_numpy()[owner] + nth
-            later = deep_nodes(part["prefix"].to_numpy().view(np.uint64)[owner], suffix, [ids, ties, starts])
-            # removed windows of a row in one value, a bit for each
-            bits = np.zeros(len(part), np.int64)
-            np.bitwise_or.at(bits, owner[later], np.int64(1) << nth[later])
-            hit = bits != 0
-            return pd.DataFrame({"doc_id": part["doc_id"][hit], "tie": part["tie"][hit], "start": part["start"][hit], "windows": bits[hit]})
-
-        for batch in batches:
-            cuts = np.flatnonzero(batch["prefix"].to_numpy()[1:] != batch["prefix"].to_numpy()[:-1]) + 1
-            size += len(batch)
-            if size < 20_000 or not len(cuts):
-                held.append(batch)
-                continue
-            yield grow(pd.concat([*held, batch.iloc[: cuts[-1]]], ignore_index=True))
-            held, size = [batch.iloc[cuts[-1] :]], len(batch) - int(cuts[-1])
-        if held:
-            yield grow(pd.concat(held, ignore_index=True))
-
-    n = partitions(spark)
-    small = groups.where("not large").repartition(n, "prefix").sortWithinPartitions("prefix").mapInPandas(trees, "doc_id long, tie long, start long, windows long")
-
-    def leaves(batches):
-        """The earliest of each batch's equal windows, so that a passage many documents share is shuffled as few rows."""
-        for part in batches:
-            size = np.array([len(x) // 8 for x in part["words"]])
-            owner = np.repeat(np.arange(len(part)), size)
-            nth = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
-            content = np.frombuffer(b"".join(part["words"]), np.int64)
-            ids, ties, starts = part["doc_id"].to_numpy()[owner], part["tie"].to_numpy()[owner], part["start"].to_numpy()[owner] + nth
-            order = np.lexsort((starts, ties, ids, content))
-            first = np.flatnonzero(np.concatenate([[True], content[order][1:] != content[order][:-1]]))
-            at = order[first]
-            yield pd.DataFrame({"prefix": part["prefix"].to_numpy()[owner][at], "content": content[at], "doc_id": ids[at], "tie": ties[at], "start": starts[at], "n": np.diff(np.append(first, len(order)))})
-
-    split = groups.where("large").drop("large")
-    found = split.mapInPandas(leaves, "prefix long, content long, doc_id long, tie long, start long, n long")
-    found = found.groupBy("prefix", "content").agg(F.min(F.struct("doc_id", "tie", "start")).alias("leaf"), F.sum("n").alias("n")).where("n > 1")
-    deep = staged(found.select("prefix", "content", "leaf.doc_id", "leaf.tie", "leaf.start"))
-    # the deep nodes of a prefix in lists of bounded size
-    lists = deep.groupBy("prefix").agg(F.ceil(F.count("*") / 256).alias("lists"))
-    listed = deep.join(lists, "prefix").groupBy("prefix", F.expr("pmod(content, lists)").alias("list")).agg(F.collect_list(F.struct("content", "doc_id", "tie", "start")).alias("nodes"))
-    listed = listed.select("prefix", *[F.col(f"nodes.{c}").alias(f"node_{c}") for c in ("content", "doc_id", "tie", "start")])
-
-    def mark(batches):
-        for part in batches:
-            out = []
-            for doc_id, tie, start, words, contents, ids, ties, starts in zip(*(part[c] for c in ("doc_id", "tie", "start", "words", "node_content", "node_doc_id", "node_tie", "node_start")), strict=True):
-                nodes = dict(zip(contents.tolist(), zip(ids.tolist(), ties.tolist(), starts.tolist(), strict=True), strict=True))
-                bits = 0
-                for j, c in enumerate(np.frombuffer(words, np.int64).tolist()):
-                    if (leaf := nodes.get(c)) is not None and leaf != (doc_id, tie, start + j):
-                        bits |= 1 << j
-                if bits:
-                    out.append((doc_id, tie, start, bits))
-            yield pd.DataFrame(out, columns=["doc_id", "tie", "start", "windows"])
-
-    # rows of one anchor are salted and its lists, small beside them, repeated, so that no anchor is one task's
-    salted = split.withColumn("salt", F.expr(f"pmod(xxhash64(doc_id, start), {SALTS})").cast("int"))
-    repeated_lists = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    large = salted.join(repeated_lists, ["prefix", "salt"]).mapInPandas(mark, "doc_id long, tie long, start long, windows long")
-    removed = staged(small.unionByName(large).groupBy("doc_id", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("windows").alias("windows")))
+    runs = texts.mapInPandas(in_chunks(suffixes, size=1 << 20), _RUN)
+    span, rounds, marks = length - k + 1, 1, []
+    while True:
+        out = staged(runs.repartition(n, "prefix").sortWithinPartitions("prefix").mapInPandas(_trees(length, min(rounds, span), k), _OUT))
+        marks.append(out.where("found").select("doc_id", "tie", "start", "size"))
+        ahead = out.where("not found").select("prefix", "doc_id", "tie", "start", "words")
+        if ahead.isEmpty():
+            break
+        # groups of several runs go on, those too large in parts
+        counts = ahead.groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select("prefix", F.ceil(F.col("n") / group).alias("parts"))
+        part = F.expr(f"if(parts > 1, xxhash64(prefix, pmod(xxhash64(doc_id, tie, start, {rounds}), parts)), prefix)")
+        runs = ahead.join(counts, "prefix").select(part.alias("prefix"), "doc_id", "tie", "start", "words", (F.col("parts") > 1).alias("large"))
+        rounds += 1
+    removed = marks[0]
+    for more in marks[1:]:
+        removed = removed.unionByName(more)
+    removed = staged(removed.groupBy("doc_id", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes")))
 
     def strip(batch: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc_id, text, head, starts, windows in zip(batch["doc_id"], batch["text"], batch["head"], batch["starts"], batch["windows"], strict=True):
+        for doc_id, text, head, starts, sizes in zip(batch["doc_id"], batch["text"], batch["head"], batch["starts"], batch["sizes"], strict=True):
             words = (text or "").encode("utf-8", "surrogatepass").split()
             n = len(words)
             if not head and n >= length:
@@ -212,9 +243,10 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
             elif starts is None or not head:
                 kept, gone = words, 0
             else:
-                s, bits = np.asarray(starts), np.asarray(windows)
-                at = np.concatenate([s[(bits >> j) & 1 == 1] + j for j in range(length)])
-                left = ~K.covered(n, at, length)
+                edge = np.zeros(n + 1, np.int64)
+                np.add.at(edge, np.asarray(starts), 1)
+                np.add.at(edge, np.asarray(starts) + np.asarray(sizes), -1)
+                left = np.cumsum(edge[:n]) == 0
                 kept = list(compress(words, left.tolist()))
                 gone = n - len(kept)
             joined = b" ".join(kept)
@@ -226,7 +258,7 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
     every = rows.select("doc_id", "tie", "text").join(removed.hint("shuffle_hash"), ["doc_id", "tie"], "left")
     first_ids = heads.select("doc_id", "tie", F.lit(True).alias("first")).distinct()
     every = every.join(first_ids.hint("shuffle_hash"), ["doc_id", "tie"], "left").withColumn("head", F.coalesce("first", F.lit(False)))
-    return every.select("doc_id", "text", "head", "starts", "windows").mapInPandas(in_chunks(strip), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+    return every.select("doc_id", "text", "head", "starts", "sizes").mapInPandas(in_chunks(strip), "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

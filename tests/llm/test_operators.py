@@ -181,6 +181,58 @@ def test_substring_dedup(docs, group):
     assert set(got) == set(want) and sum(got.values()) == len(ROWS)
 
 
+def _removed(rows, length):
+    """Words kept of each (doc_id, text), by brute force."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(rows):
+        w = WORD.findall(text)
+        gone = [False] * len(w)
+        for s in range(len(w) - length + 1):
+            key = tuple(w[s : s + length])
+            if key in seen:
+                gone[s : s + length] = [True] * length
+            seen.add(key)
+        out[doc_id] = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+    return out
+
+
+@pytest.mark.parametrize("length, group", [(1, 2), (4, 3), (20, 2), (20, 8), (75, 4)])
+def test_substring_dedup_of_shared_passages(spark, length, group):
+    """One passage in all documents, one phrase in all with words of their own around it, periodic texts and near copies."""
+    rng = random.Random(17)
+    passage, phrase, base = sentence(rng, 80), sentence(rng, 7), sentence(rng, 150).split()
+    texts = [f"{sentence(rng, rng.randint(0, 9))} {passage} {sentence(rng, 20)} {phrase} {sentence(rng, 20)}" for _ in range(24)]
+    texts += ["a b " * 60, "a " * 100, " ".join(base), *[" ".join([*base[:i], "x", *base[i:]]) for i in range(0, 150, 10)]]
+    rows = list(enumerate(texts))
+    out = substring.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), length=length, group=group).collect()
+    assert {r.doc_id: r.kept for r in out} == _removed(rows, length)
+
+
+def test_words_of_one_hash_are_told_apart():
+    w = kernels.words(["a bb a cc bb ddd", "ddd a", None])
+    w.hashes[:] = 7
+    plain = b"a bb a cc bb ddd ddd a".split()
+    got = kernels.names(w)
+    assert [[x == y for y in got] for x in got] == [[x == y for y in plain] for x in plain]
+    assert len(kernels.names(kernels.words([None, ""]))) == 0
+
+
+def test_deep_nodes():
+    """Suffix order, depths and earliest leaves against all pairs."""
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 2, 300)
+    first = np.arange(270)
+    sizes = rng.integers(5, 25, 270)
+    group = rng.integers(0, 2, 270).astype(np.uint64)
+    depth, later, leads = substring.deep_nodes(words, first, sizes, group, [first], 5)
+    for i in range(270):
+        equal = [j for j in range(270) if group[i] == group[j] and (words[first[i] : first[i] + 5] == words[first[j] : first[j] + 5]).all()]
+        shared = min(sizes[j] for j in equal)
+        while not all((words[first[j] : first[j] + shared] == words[first[i] : first[i] + shared]).all() for j in equal):
+            shared -= 1
+        assert depth[i] == shared and later[i] == (i != min(equal)) and leads[i] == (i == min(equal))
+
+
 def test_packing(docs):
     out = packing.pack_documents(docs).toPandas()
     for _, s in out.groupby("sequence_id"):
