@@ -37,35 +37,56 @@ def documents(docs: DataFrame, *names: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors and the driver share; one of our own only if none is set."""
+    """The folder in spark.checkpoint.dir, which all executors and the driver share. In a local session that sets none, one
+    of our own; on a cluster that is an error, since no other folder is known to be shared."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         at = spark.sparkContext._jsc.sc().getCheckpointDir()
         at = at.get() if at.isDefined() else None
     if not at:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="tandemlake-")
         spark.sparkContext.setCheckpointDir(at)
     return at.rstrip("/")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # noqa: BLE001  the session has ended; its folder goes with the cluster's checkpoints
-        pass
+#: Staged tables that are still there, by their paths.
+_staged: dict[str, SparkSession] = {}
+
+
+def _remove(path: str) -> None:
+    spark = _staged.pop(path, None)
+    if spark is None or spark.sparkContext._jsc is None:  # a session that has ended leaves its folder to the cluster
+        return
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@atexit.register
+def _remove_all() -> None:
+    for path in list(_staged):
+        _remove(path)
 
 
 def staged(df: DataFrame, *partition_by: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends here and a lost executor loses nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    _staged[path] = spark
     df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
-    atexit.register(_remove, spark, path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # lets the cleaner remove the shuffle files that led to this table
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes staged tables that nothing still to be computed reads."""
+    for df in tables:
+        _remove(getattr(df, "staged_at", ""))
 
 
 def in_chunks(fn: Callable[[pd.DataFrame], pd.DataFrame], column: str = "text", size: int = 1 << 20) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -85,14 +106,22 @@ def in_chunks(fn: Callable[[pd.DataFrame], pd.DataFrame], column: str = "text",
     return run
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Input bytes to a task, and the most tasks.
+TASK_BYTES, MOST_TASKS = 1 << 27, 1 << 17
+
+
+def partitions(df: DataFrame) -> int:
+    """Tasks of a shuffle: by the bytes that df's plan reads, and at least spark.sql.shuffle.partitions."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(n for n in sizes if n < 1 << 60)  # a table without statistics claims more than there can be
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(known // TASK_BYTES + 1, MOST_TASKS))
 
 
-def ordered(df: DataFrame, *order: str) -> DataFrame:
+def ordered(df: DataFrame, *order: str, tasks: int | None = None) -> DataFrame:
     """df range-partitioned and sorted by ``order``, staged, with its partition's number in ``pid``."""
-    n = partitions(df.sparkSession)
-    return staged(df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order]).withColumn("pid", F.spark_partition_id()))
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    return staged(df.repartitionByRange(tasks or partitions(df), *keys).sortWithinPartitions(*keys).withColumn("pid", F.spark_partition_id()))
 
 
 def running_sum(df: DataFrame, value: str, order: list[str], out: str, group: str | None = None) -> DataFrame:

@@ -225,7 +225,7 @@ def model_parts(counts: DataFrame, most_grams: int) -> Parts | None:
     languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
     if not languages:
         return None
-    n = partitions(spark)
+    n = partitions(counts)
     levels = {ORDER: counts.select("lang", "gram", F.col("n").cast("long").alias("n"))}
     for order in range(ORDER - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1).cast("long"))

@@ -1,8 +1,12 @@
 """Media columns: GIF.
 
-``store_gif`` writes bytes as the 8-bit samples of an animated GIF, ``decode_gif`` reads any GIF's code streams, applies
-palettes, disposal and transparency rules, and ``media_columns`` turns both into columns with timed frames and a colour
-histogram. Null texts count as empty; an empty text is one frame of the filler. Equal texts give equal values.
+``store_gif`` writes bytes as the 8-bit samples of an animated GIF: frames of 24 x 24 palette indices in LZW code streams
+with a growing table. ``decode_gifs`` reads any GIF: code streams, global and local palettes, interlacing, transparency,
+disposal, and frames with their times. ``media_columns`` makes columns of what it reads.
+
+A code stream is decoded without a loop over its codes. The table's entry j is the string of code j and one more byte, so
+an entry is a place in the output and a length; lengths follow from each code's chain of entries, and a byte that copies
+another one leads to a literal, both by pointer doubling over all streams of a batch at once.
 """
 
 from __future__ import annotations
@@ -10,7 +14,6 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,103 +26,145 @@ SIDE = 24
 PIXELS = SIDE * SIDE
 FILLER = 255
 DELAY = 10  # hundredths of a second
+MOST_CODES = 4096
 
 
-def _literal_stream(pixels: np.ndarray) -> np.ndarray:
-    """LZW code streams of frames (one in each row) at a constant width of 9 bits: before the table could outgrow that
-    width, a clear code empties it."""
-    n, run = pixels.shape[1], 254
-    heads = np.arange(0, n, run)
-    codes = np.insert(pixels.astype(np.uint16), heads, 256, axis=1)
-    codes = np.concatenate([codes, np.full((len(pixels), 1), 257, np.uint16)], axis=1)
-    bits = (codes[:, :, None] >> np.arange(9, dtype=np.uint16)) & 1
-    return np.packbits(bits.reshape(len(pixels), -1).astype(np.uint8), axis=1, bitorder="little")
-
-
-def _sub_blocks(rows: np.ndarray) -> np.ndarray:
-    """The rows cut into sub-blocks of at most 255 bytes, each after its length, with the block terminator."""
-    parts = []
-    for i in range(0, rows.shape[1], 255):
-        cut = rows[:, i : i + 255]
-        parts += [np.full((len(rows), 1), cut.shape[1], np.uint8), cut]
-    return np.concatenate([*parts, np.zeros((len(rows), 1), np.uint8)], axis=1)
+def pad(payload: bytes) -> bytes:
+    """The payload with filler up to a positive multiple of a frame's samples."""
+    return payload + bytes([FILLER]) * (-len(payload) % PIXELS if payload else PIXELS)
 
 
-#: The global palette: grey i at index i.
-_HEAD = b"GIF89a" + struct.pack("<HHBBB", SIDE, SIDE, 0xF7, 0, 0) + np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
-_CONTROL = b"\x21\xf9\x04" + struct.pack("<BHBB", 1 << 2, DELAY, 0, 0)
-_IMAGE = b"\x2c" + struct.pack("<HHHHB", 0, 0, SIDE, SIDE, 0) + b"\x08"
+def _width(t: np.ndarray, least: int) -> np.ndarray:
+    """Bits of the t-th code after a clear code: the table has 2^least + 2 codes, and one more from each code but the first."""
+    entries = (1 << least) + 2 + np.maximum(t - 1, 0)
+    return np.clip(np.floor(np.log2(entries)).astype(np.int64) + 1, least + 1, 12)
+
+
+def _phrases(pixels: bytes) -> list[int]:
+    """LZW codes of at most 3800 pixels of 8 bits: the longest known string each, then the table grows by it and the next pixel."""
+    known: dict[int, int] = {}
+    code, free, out = pixels[0], 258, []
+    for c in pixels[1:]:
+        key = code << 8 | c
+        longer = known.get(key)
+        if longer is None:
+            out.append(code)
+            known[key] = free
+            free += 1
+            code = c
+        else:
+            code = longer
+    out.append(code)
+    return out
 
 
-def pad(payload: bytes) -> bytes:
-    """The payload with filler up to a positive multiple of a frame's samples."""
-    return payload + bytes([FILLER]) * (-len(payload) % PIXELS if payload else PIXELS)
+#: The global palette: three bits of red and green and two of blue, the first ones of the index first.
+_INDEX = np.arange(256)
+PALETTE = np.column_stack([(_INDEX >> 5) * 255 // 7, (_INDEX >> 2 & 7) * 255 // 7, (_INDEX & 3) * 255 // 3]).astype(np.uint8)
+_HEAD = b"GIF89a" + struct.pack("<HHBBB", SIDE, SIDE, 0xF7, 0, 0) + PALETTE.tobytes()
+_FRAME = b"\x21\xf9\x04" + struct.pack("<BHBB", 1 << 2, DELAY, 0, 0) + b"\x2c" + struct.pack("<HHHHB", 0, 0, SIDE, SIDE, 0) + b"\x08"
 
 
 def store_gif(payloads: list[bytes]) -> list[bytes]:
     """A GIF for each padded payload: a frame of 24 x 24 samples for each 576 bytes."""
-    frames = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, PIXELS)
-    body = _sub_blocks(_literal_stream(frames))
-    lead = np.broadcast_to(np.frombuffer(_CONTROL + _IMAGE, np.uint8), (len(frames), len(_CONTROL + _IMAGE)))
-    blocks = np.concatenate([lead, body], axis=1)
+    frames = [p[i : i + PIXELS] for p in payloads for i in range(0, len(p), PIXELS)]
+    codes = [_phrases(f) for f in frames]
+    # clear code, the phrases, end code
+    count = np.array([len(c) + 2 for c in codes])
+    flat = np.concatenate([np.array([256, *c, 257], np.uint32) for c in codes]) if codes else np.zeros(0, np.uint32)
+    first = np.cumsum(count) - count
+    nth = np.arange(len(flat)) - np.repeat(first, count)
+    width = np.where(nth == 0, 9, _width(nth - 1, 8))
+    place = np.cumsum(width) - width
+    place -= np.repeat(place[first], count)
+    sizes = (place[first + count - 1] + width[first + count - 1] + 7) // 8 if codes else count
+    begin = np.cumsum(sizes) - sizes
+    # a code of at most 12 bits touches three bytes; two codes share no bits, so sums are unions
+    low = np.repeat(begin, count) + place // 8
+    value = flat << (place % 8).astype(np.uint32)
+    body = np.zeros(int(sizes.sum()) + 3, np.uint32)
+    for j in range(3):
+        body += np.bincount(low + j, weights=(value >> np.uint32(8 * j) & np.uint32(255)), minlength=len(body)).astype(np.uint32)
+    streams = body.astype(np.uint8).tobytes()
     out, at = [], 0
     for p in payloads:
-        k = len(p) // PIXELS
-        out.append(_HEAD + blocks[at : at + k].tobytes() + b"\x3b")
-        at += k
+        parts = [_HEAD]
+        for k in range(at, at + len(p) // PIXELS):
+            parts.append(_FRAME)
+            for i in range(int(begin[k]), int(begin[k] + sizes[k]), 255):
+                cut = streams[i : min(i + 255, int(begin[k] + sizes[k]))]
+                parts += [bytes([len(cut)]), cut]
+            parts.append(b"\0")
+        at += len(p) // PIXELS
+        out.append(b"".join([*parts, b"\x3b"]))
     return out
 
 
-def lzw_decode(data: bytes, least: int, n: int) -> np.ndarray:
-    """The n pixels of a code stream whose literals have ``least`` bits. Streams of nothing but 9-bit literals and clear
-    codes are unpacked by numpy; all others by a table that grows code by code."""
-    clear = 1 << least
-    width = least + 1
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")
-    count = len(bits) // width
-    plain = bits[: count * width].reshape(count, width).astype(np.uint16) @ (1 << np.arange(width, dtype=np.uint16))
-    stop = int(np.argmax(plain == clear + 1)) if (plain == clear + 1).any() else count
-    marks = np.flatnonzero(plain[:stop] == clear)
-    if stop and len(marks) and marks[0] == 0 and plain[:stop].max() <= clear and np.diff(np.append(marks, stop)).max() <= (1 << width) - clear - 1:
-        out = plain[:stop][plain[:stop] != clear].astype(np.uint8)[:n]
-    else:
-        out = np.frombuffer(_lzw_grow(data, least, n), np.uint8)
-    return np.concatenate([out, np.zeros(n - len(out), np.uint8)]) if len(out) < n else out
-
-
-def _lzw_grow(data: bytes, least: int, n: int) -> bytes:
+def _doubled(pointer: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Where each chain of pointers ends (at one that points at itself), and the sum of weights along it."""
+    while True:
+        further = pointer[pointer]
+        if weight is not None:
+            weight = weight + weight[pointer]
+        if (further == pointer).all():
+            return pointer, weight
+        pointer = further
+
+
+def lzw_decode(streams: list[bytes], least: int, pixels: list[int]) -> list[np.ndarray]:
+    """The pixels of code streams whose literals have ``least`` bits. A stream that breaks off or has an impossible code
+    gives fewer pixels than asked for."""
     clear, end = 1 << least, (1 << least) + 1
-    literals = [bytes([i]) for i in range(clear)] + [b"", b""]
-    words, width, last, out, size = list(literals), least + 1, None, [], 0
-    acc = held = 0
-    for byte in data:
-        acc |= byte << held
-        held += 8
-        while held >= width:
-            code = acc & ((1 << width) - 1)
-            acc >>= width
-            held -= width
-            if code == clear:
-                words, width, last = list(literals), least + 1, None
-                continue
-            if code == end or size >= n:
-                return b"".join(out)[:n]
-            if last is None:
-                if code >= clear:
-                    return b"".join(out)[:n]
-                word = words[code]
-            else:
-                if code > len(words):
-                    return b"".join(out)[:n]
-                word = words[code] if code < len(words) else last + last[:1]
-                if len(words) < 4096:
-                    words.append(last + word[:1])
-                    if len(words) == 1 << width and width < 12:
-                        width += 1
-            out.append(word)
-            size += len(word)
-            last = word
-    return b"".join(out)[:n]
+    out: list[list[np.ndarray]] = [[] for _ in streams]
+    wanted = np.array(pixels, np.int64)
+    data = np.frombuffer(b"".join(streams) + b"\0\0\0", np.uint8).astype(np.uint32)
+    sizes = np.array([len(s) for s in streams], np.int64)
+    base = (np.cumsum(sizes) - sizes) * 8
+    last = base + sizes * 8
+    at = base.copy()
+    live = np.flatnonzero(wanted > 0)
+    while len(live):
+        # the codes from here to the next clear or end code, as if there were none
+        most = int((last[live] - at[live]).max()) // (least + 1) + 1
+        t = np.arange(most)
+        width = _width(t, least)
+        offset = np.cumsum(width) - width
+        bit = at[live][:, None] + offset
+        inside = bit + width <= last[live][:, None]
+        byte = np.where(inside, bit >> 3, 0)
+        codes = (data[byte] | data[byte + 1] << np.uint32(8) | data[byte + 2] << np.uint32(16)) >> (bit & 7).astype(np.uint32)
+        codes = (codes & ((1 << width) - 1).astype(np.uint32)).astype(np.int64)
+        stops = ~inside | (codes == clear) | (codes == end) | (codes > np.minimum(clear + 1 + t, MOST_CODES - 1)) | ((t == 0) & (codes > end))
+        stops[:, -1] = True
+        count = stops.argmax(1)
+        stop = codes[np.arange(len(live)), count]
+        goes_on = inside[np.arange(len(live)), count] & (stop == clear)
+        at[live] += offset[count] + width[count]
+        owner = np.repeat(np.arange(len(live)), count)
+        if len(owner):
+            first = np.cumsum(count) - count
+            code = codes[owner, np.arange(len(owner)) - first[owner]]
+            literal = code < clear
+            me = np.arange(len(code))
+            parent = np.where(literal, me, first[owner] + code - clear - 2)
+            length = 1 + _doubled(parent, (~literal).astype(np.int64))[1]
+            # bytes beyond those wanted needn't be made
+            begin = np.cumsum(length) - length
+            begin_own = begin - begin[first[owner]]
+            used = begin_own < wanted[live][owner]
+            code, literal, length, parent = code[used], literal[used], length[used], (np.cumsum(used) - 1)[parent[used]]
+            begin = np.cumsum(length) - length
+            phrase = np.repeat(np.arange(len(code)), length)
+            x = np.arange(len(phrase))
+            source, _ = _doubled(np.where(literal[phrase], x, begin[parent[phrase]] + x - begin[phrase]))
+            made = code[phrase[source]].astype(np.uint8)
+            ends = np.cumsum(np.bincount(owner[used], weights=length, minlength=len(live)).astype(np.int64))
+            for i, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True)):
+                part = made[a:b][: wanted[live[i]]]
+                out[live[i]].append(part)
+                wanted[live[i]] -= len(part)
+        live = live[goes_on & (wanted[live] > 0)]
+    return [np.concatenate(p) if p else np.zeros(0, np.uint8) for p in out]
 
 
 @dataclass
@@ -128,107 +173,152 @@ class Frame:
     duration_ms: int
     disposal: int
     indices: np.ndarray  # the block's own samples, row by row
-    canvas: np.ndarray | None  # height x width x 4, after this frame is drawn
-
-
-def _palette(data: bytes, at: int, packed: int) -> tuple[np.ndarray | None, int]:
-    if not packed & 0x80:
-        return None, at
-    size = 3 << ((packed & 7) + 1)
-    return np.frombuffer(data[at : at + size], np.uint8).reshape(-1, 3), at + size
-
-
-def _blocks(data: bytes, at: int) -> tuple[bytes, int]:
-    parts = []
-    while at < len(data) and data[at]:
-        parts.append(data[at + 1 : at + 1 + data[at]])
-        at += 1 + data[at]
-    return b"".join(parts), at + 1
-
-
-def decode_gif(data: bytes, render: bool = True) -> Iterator[Frame]:
-    """The frames in order. render: draw them on the canvas (local before global palette, transparent index, offsets,
-    interlacing; disposal 2 clears the frame's area, 3 restores what was there)."""
-    if data[:3] != b"GIF":
-        return
-    width, height, packed = *struct.unpack_from("<HH", data, 6), data[10]
-    common, at = _palette(data, 13, packed)
-    canvas = np.zeros((height, width, 4), np.uint8) if render else None
-    control, clock = (0, 0, -1), 0
-    while at < len(data) and data[at] != 0x3B:
-        if data[at] == 0x21:
-            label = data[at + 1]
-            body, at = _blocks(data, at + 2)
-            if label == 0xF9 and len(body) >= 4:
+    canvas: np.ndarray  # height x width x 4, after this frame is drawn
+
+
+@dataclass
+class _Block:
+    """An image block as it stands in the file."""
+
+    place: tuple[int, int, int, int]  # x, y, width, height
+    interlaced: bool
+    palette: np.ndarray | None
+    least: int
+    stream: bytes
+    disposal: int
+    duration_ms: int
+    clear: int  # transparent index, -1 for none
+
+
+class Damaged(ValueError):
+    """Bytes that aren't a whole GIF."""
+
+
+class _Reader:
+    def __init__(self, data: bytes):
+        self.data, self.at = data, 0
+
+    def take(self, n: int) -> bytes:
+        if self.at + n > len(self.data):
+            raise Damaged("the file ends early")
+        self.at += n
+        return self.data[self.at - n : self.at]
+
+    def palette(self, packed: int) -> np.ndarray | None:
+        return np.frombuffer(self.take(3 << (packed & 7) + 1), np.uint8).reshape(-1, 3) if packed & 0x80 else None
+
+    def blocks(self) -> bytes:
+        parts = []
+        while n := self.take(1)[0]:
+            parts.append(self.take(n))
+        return b"".join(parts)
+
+
+def parse_gif(data: bytes) -> tuple[int, int, np.ndarray | None, list[_Block]]:
+    """Width, height, global palette and image blocks. Damaged if the bytes aren't a GIF with its trailer."""
+    r = _Reader(data)
+    if r.take(6) not in (b"GIF87a", b"GIF89a"):
+        raise Damaged("not a GIF")
+    width, height, packed, _, _ = struct.unpack("<HHBBB", r.take(7))
+    common = r.palette(packed)
+    control, images = (0, 0, -1), []
+    while (kind := r.take(1)) != b"\x3b":
+        if kind == b"\x21":
+            label, body = r.take(1), r.blocks()
+            if label == b"\xf9" and len(body) >= 4:
                 control = (body[0] >> 2 & 7, struct.unpack_from("<H", body, 1)[0] * 10, body[3] if body[0] & 1 else -1)
-            continue
-        if data[at] != 0x2C:
-            return
-        x, y, w, h, packed = struct.unpack_from("<HHHHB", data, at + 1)
-        own, at = _palette(data, at + 10, packed)
-        least = data[at]
-        body, at = _blocks(data, at + 1)
-        indices = lzw_decode(body, least, w * h)
-        disposal, duration, clearing = control
-        if packed & 0x40 and h:
-            order = [*range(0, h, 8), *range(4, h, 8), *range(2, h, 4), *range(1, h, 2)]
-            straight = np.empty((h, w), np.uint8)
-            straight[order] = indices.reshape(h, w)
-            indices = straight.reshape(-1)
-        if render:
-            colours = own if own is not None else common if common is not None else np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(-1, 3)
-            before = canvas.copy() if disposal == 3 else None
-            area = canvas[y : y + h, x : x + w]
-            shown = indices.reshape(h, w)[: area.shape[0], : area.shape[1]]
-            drawn = shown != clearing
-            area[drawn] = np.concatenate([colours[np.minimum(shown[drawn], len(colours) - 1)], np.full((int(drawn.sum()), 1), 255, np.uint8)], axis=1)
-        yield Frame(clock, duration, disposal, indices, canvas.copy() if render else None)
-        if render and disposal == 2:
+        elif kind == b"\x2c":
+            *place, packed = struct.unpack("<HHHHB", r.take(9))
+            own = r.palette(packed)
+            least = r.take(1)[0]
+            if not 1 <= least <= 8:
+                raise Damaged("no such code size")
+            images.append(_Block(tuple(place), bool(packed & 0x40), own, least, r.blocks(), *control))
+            control = (0, 0, -1)
+        else:
+            raise Damaged("no such block")
+    return width, height, common, images
+
+
+_GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(-1, 3)
+
+
+def _draw(width: int, height: int, common: np.ndarray | None, images: list[_Block], pixels: list[np.ndarray]) -> list[Frame]:
+    """The frames: indices through local or else global palettes, but for transparent ones, on a canvas that disposal 2
+    clears in the frame's area and 3 restores."""
+    canvas, clock, frames = np.zeros((height, width, 4), np.uint8), 0, []
+    for image, indices in zip(images, pixels, strict=True):
+        x, y, w, h = image.place
+        if len(indices) < w * h:
+            raise Damaged("a code stream ends early")
+        grid = indices.reshape(h, w)
+        if image.interlaced and h:
+            straight = np.empty_like(grid)
+            straight[[*range(0, h, 8), *range(4, h, 8), *range(2, h, 4), *range(1, h, 2)]] = grid
+            grid = straight
+        colours = image.palette if image.palette is not None else common if common is not None else _GREY
+        before = canvas
+        canvas = canvas.copy()
+        area = canvas[y : y + h, x : x + w]
+        shown = grid[: area.shape[0], : area.shape[1]]
+        rgba = np.full((*shown.shape, 4), 255, np.uint8)
+        rgba[..., :3] = colours.take(shown, axis=0, mode="clip")
+        if image.clear < 0:
+            area[:] = rgba
+        else:
+            drawn = shown != image.clear
+            area[drawn] = rgba[drawn]
+        frames.append(Frame(clock, image.duration_ms, image.disposal, grid.reshape(-1), canvas))
+        clock += image.duration_ms
+        if image.disposal == 2:
+            canvas = canvas.copy()
             canvas[y : y + h, x : x + w] = 0
-        elif render and disposal == 3:
+        elif image.disposal == 3:
             canvas = before
-        clock += duration
-        control = (0, 0, -1)
-
-
-def _is_ours(data: bytes) -> bool:
-    size = len(_CONTROL + _IMAGE) + _BODY
-    return data.startswith(_HEAD) and (len(data) - len(_HEAD) - 1) % size == 0
-
-
-_BODY = _sub_blocks(_literal_stream(np.zeros((1, PIXELS), np.uint8))).shape[1]
-
-
-def read_samples(data: bytes) -> tuple[bytes, int, int]:
-    """Samples of all frames, number of frames and total milliseconds, read from the stored form.
-
-    Frames in a row with blocks of equal sizes (as store_gif writes them) are unpacked together; the result is that of
-    decode_gif, which serves all others."""
-    size = len(_CONTROL + _IMAGE) + _BODY
-    if _is_ours(data):
-        grid = np.frombuffer(data, np.uint8)[len(_HEAD) : -1].reshape(-1, size)
-        lead, body = grid[:, : size - _BODY], grid[:, size - _BODY :]
-        if (lead == np.frombuffer(_CONTROL + _IMAGE, np.uint8)).all():
-            keep, at = np.ones(_BODY, bool), 0
-            while at < _BODY:
-                keep[at] = False
-                at += 1 + int(body[0, at])
-            if (body[:, ~keep] == body[0, ~keep]).all():
-                bits = np.unpackbits(np.ascontiguousarray(body[:, keep]), axis=1, bitorder="little")
-                count = PIXELS + len(range(0, PIXELS, 254)) + 1
-                low = np.packbits(bits[:, : count * 9].reshape(-1, 9)[:, :8], axis=1, bitorder="little").reshape(len(grid), count)
-                high = bits[:, : count * 9].reshape(len(grid), count, 9)[:, :, 8].astype(bool)
-                expected = np.zeros(count, bool)
-                expected[np.arange(0, PIXELS, 254) + np.arange(len(range(0, PIXELS, 254)))] = True
-                expected[-1] = True
-                if (high == expected).all():
-                    return low[:, ~expected].tobytes(), len(grid), len(grid) * DELAY * 10
-    frames = list(decode_gif(data, render=False))
-    return b"".join(f.indices.tobytes() for f in frames), len(frames), sum(f.duration_ms for f in frames)
+    return frames
+
+
+def decode_gifs(files: list[bytes | None]) -> list[list[Frame] | None]:
+    """The frames of each file in order; None for a null or damaged file. All code streams are decoded together."""
+    parsed: list = []
+    for data in files:
+        try:
+            parsed.append(parse_gif(data) if data is not None else None)
+        except Damaged:
+            parsed.append(None)
+    images = [image for p in parsed if p is not None for image in p[3]]
+    pixels: list = [None] * len(images)
+    for least in {image.least for image in images}:
+        mine = [i for i, image in enumerate(images) if image.least == least]
+        for i, found in zip(mine, lzw_decode([images[i].stream for i in mine], least, [images[i].place[2] * images[i].place[3] for i in mine]), strict=True):
+            pixels[i] = found
+    out, at = [], 0
+    for p in parsed:
+        if p is None:
+            out.append(None)
+            continue
+        own = pixels[at : at + len(p[3])]
+        at += len(p[3])
+        try:
+            out.append(_draw(*p, own))
+        except Damaged:
+            out.append(None)
+    return out
+
+
+def histograms(frames: list[Frame]) -> np.ndarray:
+    """For each frame the opaque pixels of 64 colours (two bits of each channel)."""
+    if not frames:
+        return np.zeros((0, 64), np.int64)
+    shown = np.stack([f.canvas.reshape(-1, 4) for f in frames])
+    bins = (shown[..., 0] >> 6 << 4 | shown[..., 1] >> 6 << 2 | shown[..., 2] >> 6).astype(np.int64) + 64 * np.arange(len(frames))[:, None]
+    return np.bincount(bins[shown[..., 3] > 0], minlength=64 * len(frames)).reshape(-1, 64)
 
 
 def to_media(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes (of the text) and media, a GIF that holds the whole text."""
+    """doc_id, n_bytes (of the text) and media, a GIF that holds the whole text.
+
+    A null text is an empty one: one frame of the filler. Equal texts have equal media; repeated rows stay."""
 
     def store(batch: pd.DataFrame) -> pd.DataFrame:
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in batch["text"]]
@@ -237,44 +327,48 @@ def to_media(docs: DataFrame) -> DataFrame:
     return documents(docs, "doc_id", "text").mapInPandas(in_chunks(store), "doc_id long, n_bytes long, media binary")
 
 
+_COLUMNS = [
+    ("doc_id", "long"), ("n_bytes", "long"), ("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"),
+    ("feature", "string"), ("n_frames", "long"), ("duration_ms", "long"), ("histogram", "array<long>"),
+]
+
+
 def media_columns(media: DataFrame) -> DataFrame:
-    """What the stored bytes hold: payload digests, frames with their times, and the colour histogram (16 bins of the
-    palette's red channel; with grey palettes that is the brightness) as counts."""
-
-    def read(batches):
-        for batch in batches:
-            rows = []
-            for doc_id, n, data in zip(batch["doc_id"], batch["n_bytes"], batch["media"], strict=True):
-                payload, frames, ms = read_samples(data)
-                bins = np.bincount(np.frombuffer(payload, np.uint8) >> 4, minlength=16)
-                rows.append(
-                    (doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(),
-                     f"frames={frames};ms={ms};hist=" + ",".join(map(str, bins)), frames, ms, bins.tolist())
-                )
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames", "duration_ms", "histogram"])
-
-    return media.mapInPandas(
-        read,
-        "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, duration_ms long, histogram array<long>",
-    )
+    """What the decoder reads in the stored bytes (doc_id, n_bytes, media): digests of the payload (all frames' samples),
+    number of frames, their time, and the histogram of 64 colours over all of them, also rendered in ``feature``.
+
+    A null file gives nulls in all but doc_id and n_bytes; a damaged one has media_bytes and media_sha256 besides."""
+
+    def read(batch: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        files = [None if d is None else bytes(d) for d in batch["media"]]
+        for doc_id, n, data, frames in zip(batch["doc_id"], batch["n_bytes"], files, decode_gifs(files), strict=True):
+            stored = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
+            if frames is None:
+                rows.append((doc_id, n, None, None, None, *stored, None, None, None, None))
+                continue
+            payload = b"".join(f.indices.tobytes() for f in frames)
+            bins, ms = histograms(frames).sum(0), sum(f.duration_ms for f in frames)
+            feature = f"frames={len(frames)};ms={ms};hist=" + ",".join(map(str, bins.tolist()))
+            rows.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored, feature, len(frames), ms, bins.tolist()))
+        out = pd.DataFrame(rows, columns=[c for c, _ in _COLUMNS])
+        return out.astype({c: "Int64" for c, kind in _COLUMNS if kind == "long"})
+
+    return media.select("doc_id", "n_bytes", "media").mapInPandas(in_chunks(read, "media", 1 << 19), ", ".join(" ".join(c) for c in _COLUMNS))
 
 
 def frames_table(media: DataFrame) -> DataFrame:
     """One row for each frame of any GIF: doc_id, frame, start_ms, duration_ms, disposal, rgba (the canvas) and histogram
-    (64 colours: two bits of each channel, opaque pixels)."""
-
-    def read(batches):
-        for batch in batches:
-            for doc_id, data in zip(batch["doc_id"], batch["media"], strict=True):
-                rows = []
-                for i, f in enumerate(decode_gif(data or b"")):
-                    shown = f.canvas.reshape(-1, 4)
-                    c = shown[shown[:, 3] > 0].astype(np.int64) >> 6
-                    bins = np.bincount(c[:, 0] * 16 + c[:, 1] * 4 + c[:, 2], minlength=64)
-                    rows.append((doc_id, i, f.start_ms, f.duration_ms, f.disposal, f.canvas.tobytes(), bins.tolist()))
-                yield pd.DataFrame(rows, columns=["doc_id", "frame", "start_ms", "duration_ms", "disposal", "rgba", "histogram"])
-
-    return media.select("doc_id", "media").mapInPandas(read, "doc_id long, frame int, start_ms long, duration_ms long, disposal int, rgba binary, histogram array<long>")
+    (64 colours: two bits of each channel, opaque pixels). Null and damaged files have no rows."""
+
+    def read(batch: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for doc_id, frames in zip(batch["doc_id"], decode_gifs([None if d is None else bytes(d) for d in batch["media"]]), strict=True):
+            bins = histograms(frames or []).tolist()
+            rows += [(doc_id, i, f.start_ms, f.duration_ms, f.disposal, f.canvas.tobytes(), b) for i, (f, b) in enumerate(zip(frames or [], bins, strict=True))]
+        return pd.DataFrame(rows, columns=["doc_id", "frame", "start_ms", "duration_ms", "disposal", "rgba", "histogram"])
+
+    return media.select("doc_id", "media").mapInPandas(in_chunks(read, "media", 1 << 19), "doc_id long, frame int, start_ms long, duration_ms long, disposal int, rgba binary, histogram array<long>")
 
 
 def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, trees: int
     wanted = members.select("node").distinct().join(nodes, "node").select(F.col("doc_id").alias("rep"), F.col("node").alias("rep_node"), "signature")
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("node") == F.col("rep_node"))).select("node", "text")
     content = staged(texts.mapInPandas(in_chunks(sets), "node binary, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles")))
-    loaded = units.join(content, "node").join(nodes.select("node", "signature"), "node").repartition(partitions(docs.sparkSession), "unit").sortWithinPartitions("unit", "node")
+    loaded = units.join(content, "node").join(nodes.select("node", "signature"), "node").repartition(partitions(docs), "unit").sortWithinPartitions("unit", "node")
 
     def links(batches):
         out = []

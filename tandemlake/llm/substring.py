@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import documents, in_chunks, partitions, staged, table
+from .common import documents, in_chunks, partitions, release, staged, table
 
 LENGTH = 20
 ANCHOR = 6
 #: Rows (runs of neighbouring suffixes with one anchor) in a group, or in a part of a larger one.
-GROUP = 4096
+GROUP = 2048
 #: An anchor with more than this part of all rows is hot: there are at most so many of them, and they are broadcast.
 HOT = 4096
 
@@ -117,7 +117,8 @@ _OUT = "found boolean, prefix long, doc_id long, tie long, start long, size long
 
 
 def _trees(length: int, anchors: int, k: int):
-    """A mapInPandas function over runs sorted by prefix: repeats found (start and size), and the runs that go on."""
+    """A mapInPandas function over runs sorted by prefix: repeats found (start and size), and the runs that go on, with
+    prefixes of so many anchors."""
 
     def grow(part: pd.DataFrame) -> pd.DataFrame:
         w = K.words_of([bytes(x) for x in part["words"]])
@@ -136,7 +137,7 @@ def _trees(length: int, anchors: int, k: int):
             out.append(pd.DataFrame({"found": True, "prefix": np.int64(0), "doc_id": ids[a], "tie": ties[a], "start": starts[a], "size": ends - starts[a], "words": b""}))
         at = np.flatnonzero(leads & part["large"].to_numpy()[owner])
         if len(at):
-            names, place = longer_prefixes(w, w.first[owner[at]] + nth[at], anchors + 1, length, k)
+            names, place = longer_prefixes(w, w.first[owner[at]] + nth[at], anchors, length, k)
             cuts = np.flatnonzero(np.concatenate([[True], (owner[at][1:] != owner[at][:-1]) | (nth[at][1:] != nth[at][:-1] + 1) | (names[1:] != names[:-1]) | (place[1:] != place[:-1])]))
             a, b = at[cuts], at[np.append(cuts[1:], len(at)) - 1]
             low, high = w.starts[w.first[owner[a]] + nth[a]], w.ends[w.first[owner[b]] + nth[b] + length - 1]
@@ -169,8 +170,7 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
     if length < 1:
         raise ValueError("length must be at least 1")
     k, group = min(ANCHOR, length), max(group, 2)
-    spark = docs.sparkSession
-    n = partitions(spark)
+    n = partitions(docs)
     rows = documents(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(int(LAST_ID))).alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")
 
     def scan(batch: pd.DataFrame) -> pd.DataFrame:
@@ -194,6 +194,7 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
     found = sites.join(F.broadcast(hot), "anchor").unionByName(beside.join(repeated.where(~often).select("anchor", "parts"), "anchor"))
     found = found.join(heads.select("doc_id", "tie").distinct(), ["doc_id", "tie"], "left_semi")
     places = staged(found.groupBy("doc_id", "tie").agg(F.collect_list("pos").alias("places"), F.collect_list("parts").alias("parts")))
+    release(anchors, repeated)
 
     def suffixes(batch: pd.DataFrame) -> pd.DataFrame:
         w = K.words(batch["text"].tolist())
@@ -216,9 +217,10 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
 
     texts = rows.select("doc_id", "tie", "text").join(places.hint("shuffle_hash"), ["doc_id", "tie"])
     runs = texts.mapInPandas(in_chunks(suffixes, size=1 << 20), _RUN)
-    span, rounds, marks = length - k + 1, 1, []
+    span, rounds, marks, outs = length - k + 1, 0, [], []
     while True:
-        out = staged(runs.repartition(n, "prefix").sortWithinPartitions("prefix").mapInPandas(_trees(length, min(rounds, span), k), _OUT))
+        out = staged(runs.repartition(n, "prefix").sortWithinPartitions("prefix").mapInPandas(_trees(length, min(2 << rounds, span), k), _OUT))
+        outs.append(out)
         marks.append(out.where("found").select("doc_id", "tie", "start", "size"))
         ahead = out.where("not found").select("prefix", "doc_id", "tie", "start", "words")
         if ahead.isEmpty():
@@ -232,6 +234,7 @@ def dedup_substrings(docs: DataFrame, *, length: int = LENGTH, group: int = GROU
     for more in marks[1:]:
         removed = removed.unionByName(more)
     removed = staged(removed.groupBy("doc_id", "tie").agg(F.collect_list("start").alias("starts"), F.collect_list("size").alias("sizes")))
+    release(places, *outs)
 
     def strip(batch: pd.DataFrame) -> pd.DataFrame:
         out = []

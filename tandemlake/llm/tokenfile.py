@@ -104,7 +104,7 @@ def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_
             yield last
 
     rows = documents(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("doc_id"), "text")
-    dealt = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id").select(F.spark_partition_id().alias("pid"), "doc_id", "text")
+    dealt = rows.repartitionByRange(partitions(docs), "doc_id").sortWithinPartitions("doc_id").select(F.spark_partition_id().alias("pid"), "doc_id", "text")
     tokens = staged(dealt.mapInPandas(counted, "pid int, doc_id long, n_tokens long, ids binary, place long, seen binary"))
 
     # one row for each range of doc_ids: where its ids begin

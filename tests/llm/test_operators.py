@@ -372,8 +372,56 @@ def test_media(docs):
     for r in ROWS:
         raw = (r[1] or "").encode()
         p = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
-        want[(r[0], len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))] += 1
-    assert by_row(out, ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32"]) == want
+        stored = media.store_gif([p])[0]
+        bins = [0] * 64
+        for i in p:  # the colours of the palette: 3, 3 and 2 bits, of which a bin keeps two each
+            red, green, blue = (i >> 5) * 255 // 7, (i >> 2 & 7) * 255 // 7, (i & 3) * 255 // 3
+            bins[red // 64 * 16 + green // 64 * 4 + blue // 64] += 1
+        feature = f"frames={len(p) // 576};ms={len(p) // 576 * 100};hist=" + ",".join(map(str, bins))
+        want[(r[0], len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature)] += 1
+    assert by_row(out, ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]) == want
+
+
+def _plain_lzw(data: bytes, least: int) -> bytes:
+    """A plain decoder, code by code."""
+    clear, bits = 1 << least, int.from_bytes(data, "little")
+    left = 8 * len(data)
+    words, width, last, out = [], least + 1, None, b""
+    while left >= width:
+        code = bits & (1 << width) - 1
+        bits >>= width
+        left -= width
+        if code == clear:
+            words, width, last = [bytes([i]) for i in range(clear)] + [b"", b""], least + 1, None
+            continue
+        if code == clear + 1:
+            break
+        word = words[code] if code < len(words) else last + last[:1]
+        if last is not None and len(words) < 4096:
+            words.append(last + word[:1])
+            width += len(words) == 1 << width and width < 12
+        out, last = out + word, word
+    return out
+
+
+def test_stored_code_streams_grow_a_table():
+    rng = random.Random(12)
+    payload = media.pad(sentence(rng, 300).encode() + bytes(range(256)) + b"a" * 2000)
+    _, _, palette, images = media.parse_gif(media.store_gif([payload])[0])
+    assert b"".join(_plain_lzw(i.stream, i.least) for i in images) == payload and (palette == media.PALETTE).all()
+    assert sum(len(i.stream) for i in images) < len(payload)
+
+
+def test_damaged_media(spark):
+    good = media.store_gif([media.pad(b"some text " * 100)])[0]
+    cut = [good[:n] for n in [0, 3, 8, 12, 300, 785, 790, 800, len(good) - 1]]
+    wrong = [b"PNG" + good[3:], good[:781] + b"\x99" + good[782:], good[:-1] + b"\x21", good.replace(good[-40:-30], b"\xff" * 10)]
+    rows = [(i, 1, None if d is None else bytearray(d)) for i, d in enumerate([good, None, *cut, *wrong])]
+    df = spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")
+    out = {r.doc_id: r for r in media.media_columns(df).collect()}
+    assert out[0].payload_bytes == 1152 and out[1].media_bytes is None and len(out) == len(rows)
+    assert all(out[i].payload_bytes is None and out[i].feature is None and out[i].media_bytes == len(rows[i][2]) for i in range(2, 2 + len(cut)))
+    assert {r.doc_id for r in media.frames_table(df).collect()} == {i for i in out if out[i].payload_bytes is not None}
 
 
 def _lzw(pixels: bytes, least: int) -> bytes:
@@ -418,7 +466,9 @@ def test_lzw_with_a_growing_table():
     rng = random.Random(8)
     for least, n in ((2, 300), (4, 5000), (8, 20000)):
         pixels = bytes(rng.choice([0, 1, 2, 3][: 1 << least]) if rng.random() < 0.9 else rng.randrange(1 << least) for _ in range(n))
-        assert media.lzw_decode(_lzw(pixels, least), least, n).tobytes() == pixels
+        streams = [_lzw(pixels, least), _lzw(pixels[: n // 3], least), _lzw(pixels, least)[: n // 20]]
+        whole, third, part = (x.tobytes() for x in media.lzw_decode(streams, least, [n, n // 3, n]))
+        assert whole == pixels == _plain_lzw(streams[0], least) and third == pixels[: n // 3] and len(part) < n and pixels.startswith(part)
 
 
 def test_disposal_and_transparency(spark):
@@ -429,7 +479,7 @@ def test_disposal_and_transparency(spark):
         return b"\x21\xf9\x04" + struct.pack("<BHBB", disposal << 2 | (clear is not None), delay, clear or 0, 0) + b"\x2c" + struct.pack("<HHHHB", x, y, w, h, 0) + b"\x02" + bytes([len(body)]) + body + b"\x00"
 
     gif = b"GIF89a" + struct.pack("<HHBBB", 2, 2, 0x81, 0, 0) + palette + frame(0, 0, 2, 2, [1, 1, 1, 1], 1) + frame(0, 0, 2, 1, [2, 0], 3, clear=0) + frame(1, 1, 1, 1, [3], 2) + frame(0, 0, 1, 1, [2], 0) + b"\x3b"
-    frames = list(media.decode_gif(gif))
+    frames = media.decode_gifs([gif])[0]
     red, green, blue, none = (255, 0, 0, 255), (0, 255, 0, 255), (0, 0, 255, 255), (0, 0, 0, 0)
     shown = [[tuple(p) for p in f.canvas.reshape(-1, 4).tolist()] for f in frames]
     assert shown == [[red] * 4, [green, red, red, red], [red, red, red, blue], [green, red, red, none]]
