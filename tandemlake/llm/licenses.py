@@ -1,12 +1,15 @@
 """License scans by canonical digest, in DataFrame functions only.
 
 A text is canonical once its ASCII case, punctuation, copyright lines and equivalent spellings are normalised. The digest
-of the whole canonical text is hash-joined to the digests of the known licences; lines that are known notices are
-reported beside it. The known table is fixed in this module, so its broadcast has a proven bound.
+of the whole canonical text is hash-joined to the digests of the known licences: the texts in this module and, whole,
+those in license_texts. Lines whose canonical form is a known notice are reported beside it. The known table is fixed
+here, so its broadcast has a proven bound.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,10 +70,14 @@ NOTICES = [
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
 ]
+#: Entire texts of longer licences, as published, named by their files.
+WHOLE = [(f.stem, f.read_text("utf-8")) for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+_END = "END OF TERMS AND CONDITIONS"
 LICENSES = [
     ("MIT", "MIT License\n\n" + _MIT), ("MIT", "The MIT License (MIT)\n\n" + _MIT), ("MIT", _MIT), ("ISC", "ISC License\n\n" + _ISC), ("ISC", _ISC),
     ("BSD-2-Clause", _BSD_HEAD + _BSD_TAIL), ("BSD-2-Clause", "BSD 2-Clause License\n\n" + _BSD_HEAD + _BSD_TAIL), ("BSD-3-Clause", _BSD_HEAD + _BSD_THIRD + _BSD_TAIL), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + _BSD_HEAD + _BSD_THIRD + _BSD_TAIL),
     ("Zlib", _ZLIB), ("Zlib", "zlib License\n\n" + _ZLIB), ("Apache-2.0", _APACHE), ("GPL-3.0", _GPL3), ("BSL-1.0", _BSL), ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n\n" + _BSL),
+    *WHOLE, *((name, text[: text.index(_END) + len(_END)]) for name, text in WHOLE if _END in text),  # also without the appendix on how to apply them
     *NOTICES,
 ]
 # Equivalent spellings, in canonical (lower-case, unpunctuated) form.
@@ -79,7 +86,8 @@ SPELLINGS = [
     ("fulfil ", "fulfill "), ("whilst", "while"), ("wilful", "willful"), ("per cent", "percent"), ("non infringement", "noninfringement"), ("non commercial", "noncommercial"), ("http ", "https "),
 ]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ\u2018\u2019\u201c\u201d\u2013\u2014", "abcdefghijklmnopqrstuvwxyz''\"\"--"
-_COPYRIGHT = "(^|\\n)[ \\t*#/>-]*(copyright|\\(c\\)|\u00a9|all rights reserved)[^\\n]*"
+# a line that names a holder or a year; not one of running text that begins with the word, or an item (c)
+_COPYRIGHT = "(^|\\n)[ \\t*#/>-]*(copyright[ \\t:]*(\\(c\\)|\u00a9|[0-9<{\\[]|by )|\\(c\\)[ \\t]*[0-9<{\\[]|\u00a9|all rights reserved)[^\\n]*"
 _PUNCTUATION = "[\\x00-\\x2f\\x3a-\\x60\\x7b-\\x7f\u00a0]+"
 
 
@@ -92,13 +100,17 @@ def _plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _PUNCTUATION, " "))
 
 
-def canonical(text: Column) -> Column:
-    out = _plain(_lines(text))
+def _spelled(text: Column) -> Column:
+    out = _plain(text)
     for a, b in SPELLINGS:
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
 
 
+def canonical(text: Column) -> Column:
+    return _spelled(_lines(text))
+
+
 def _known(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, "license string, body string")
 
@@ -112,12 +124,11 @@ def license_scan(docs: DataFrame, known: list[tuple[str, str]] | None = None) ->
     spark = docs.sparkSession
     bodies = _known(spark, known or LICENSES)
     digests = bodies.select(F.sha2(canonical(F.col("body")), 256).alias("known_digest"), F.col("license")).where(F.col("known_digest") != F.sha2(F.lit(""), 256)).groupBy("known_digest").agg(F.min("license").alias("license"))
-    canonical_notices = _known(spark, NOTICES).select(_plain(_lines(F.col("body"))).alias("line"), "license").groupBy("line").agg(F.min("license").alias("license"))
-    notices = canonical_notices.agg(F.map_from_entries(F.collect_list(F.struct("line", "license"))).alias("by_line"))
-    lines = _lines(F.col("text"))
+    by_line = {r.line: r.license for r in _known(spark, NOTICES[::-1]).select(canonical(F.col("body")).alias("line"), "license").collect()}
+    notices = F.create_map(*[F.lit(x) for pair in by_line.items() for x in pair])
     rows = documents(docs, "doc_id", "text")
-    found = F.filter(F.transform(F.filter(F.split(lines, "\n"), lambda line: line.contains("licen")), lambda line: F.element_at(F.col("by_line"), _plain(line))), lambda x: x.isNotNull())
-    scanned = rows.crossJoin(F.broadcast(notices)).select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("digest"), found.alias("found"))
+    found = F.filter(F.transform(F.filter(F.split(_lines(F.col("text")), "\n"), lambda line: line.contains("licen")), lambda line: F.element_at(notices, _spelled(line))), lambda x: x.isNotNull())
+    scanned = rows.select("doc_id", F.sha2(canonical(F.col("text")), 256).alias("digest"), found.alias("found"))
     joined = scanned.join(F.broadcast(digests), F.col("digest") == F.col("known_digest"), "left")
     return joined.select("doc_id", "digest", "license", F.size("found").cast("long").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notices"))
 
@@ -130,16 +141,20 @@ def _oracle() -> str:
     q = lambda s: "'" + s.replace("'", "''") + "'"
     lines = lambda x: f"regexp_replace(translate(coalesce({x}, ''), {q(_UPPER)}, {q(_LOWER)}), {q(_COPYRIGHT)}, chr(10), 'g')"
     plain = lambda x: f"trim(regexp_replace({x}, {q(_PUNCTUATION)}, ' ', 'g'))"
-    whole = "c"
-    for a, b in SPELLINGS:
-        whole = f"replace({whole}, {q(a)}, {q(b)})"
+
+    def spelled(x: str) -> str:
+        x = plain(x)
+        for a, b in SPELLINGS:
+            x = f"replace({x}, {q(a)}, {q(b)})"
+        return x
+
     values = lambda rows: ", ".join(f"({q(k)}, {q(v)})" for k, v in rows)
     return f"""
-WITH known AS (SELECT sha256({whole}) AS digest, min(license) AS license FROM (SELECT license, {plain(lines("body"))} AS c FROM (VALUES {values(LICENSES)}) v(license, body)) GROUP BY 1),
-notice AS (SELECT {plain(lines("body"))} AS line, min(license) AS license FROM (VALUES {values(NOTICES)}) v(license, body) GROUP BY 1),
+WITH known AS (SELECT sha256({spelled(lines("body"))}) AS digest, min(license) AS license FROM (VALUES {values(LICENSES)}) v(license, body) GROUP BY 1),
+notice AS (SELECT {spelled(lines("body"))} AS line, min(license) AS license FROM (VALUES {values(NOTICES)}) v(license, body) GROUP BY 1),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {lines("text")} AS kept FROM documents),
-w AS (SELECT rid, doc_id, sha256({whole}) AS digest FROM (SELECT rid, doc_id, {plain("kept")} AS c FROM d)),
-l AS (SELECT rid, {plain("line")} AS line FROM (SELECT rid, unnest(string_split(kept, chr(10))) AS line FROM d) WHERE contains(line, 'licen')),
+w AS (SELECT rid, doc_id, sha256({spelled("kept")}) AS digest FROM d),
+l AS (SELECT rid, {spelled("line")} AS line FROM (SELECT rid, unnest(string_split(kept, chr(10))) AS line FROM d) WHERE contains(line, 'licen')),
 n AS (SELECT rid, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM l JOIN notice USING (line) GROUP BY rid)
 SELECT doc_id, digest, known.license, coalesce(n.n, 0) AS n_notices, coalesce(n.notices, '') AS notices
 FROM w LEFT JOIN known USING (digest) LEFT JOIN n USING (rid)"""

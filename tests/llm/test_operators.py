@@ -267,9 +267,26 @@ def test_licenses(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r.license, r.n_notices, r.notices) for r in licenses.license_scan(docs).collect()}
     assert got[0][0] == "MIT" and got[1][0] == "ISC" and got[3] == (None, 2, "CC-BY-NC-4.0,MIT") and got[7][0] is None
+    assert got[2] == (None, 1, "MIT")
     assert all(got[i] == (None, 0, "") for i in (4, 5, 6))
 
 
+def test_whole_licenses(spark):
+    """Each known licence, entire, in another case, spelling, wrapping and punctuation and under another's copyright line;
+    with a word more or less it is none."""
+    assert {"Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= {name for name, _ in licenses.WHOLE}
+    rows, want = [], []
+    for name, text in licenses.LICENSES:
+        own = re.sub("(?i)license", "licence", text).replace("organization", "organisation").replace("(c) You must", "(c)  You must")
+        own = "\n".join("  # " + line.rstrip().replace(",", " , ") for line in own.split("\n"))
+        rows += ["  Copyright (C) 2024 Some One\n\n" + own.upper(), text + " and more", " ".join(text.split()[1:])]
+        want += [name, None, None]
+    known = {tuple(WORD.findall(t)) for _, t in licenses.LICENSES}
+    want = [w if i % 3 == 0 or tuple(rows[i].split()) not in known else "any" for i, w in enumerate(want)]
+    got = licenses.license_scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.license if w != "any" else "any" for r, w in zip(got, want, strict=True)] == want
+
+
 @pytest.mark.parametrize("block", [neardup.BLOCK, 700])
 def test_near_duplicates(docs, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
