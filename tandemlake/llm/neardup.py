@@ -1,10 +1,12 @@
 """N-gram Jaccard join by a MinHash LSH forest.
 
-Each distinct text is a node. A tree of the forest is a trie of one slice of the nodes' MinHash signatures, kept as the
-sorted order of prefixes; nodes match in a tree where they share a prefix. Prefixes begin at full depth and are
-shortened until the chance that a pair at the threshold matches in some tree reaches the target recall. All pairs that
-match are then verified on their whole shingle sets, in blocks of bounded size, each pair in the first tree it shares.
-Verified links give counts and, by alternating stars, connected classes.
+Each distinct text is a node with a MinHash signature. A tree of the forest is a trie of one slice of the signatures: its
+labels in sorted order, where the nodes below a trie node stand together. Nodes match where they share a prefix of a label.
+Prefixes begin at full depth; all pairs that match are verified on their whole shingle sets, in blocks of bounded size, each
+pair in the first tree it shares. Each verified similarity says with what chance a pair like it matches at this depth, so the
+found links say how many there must be (a Horvitz-Thompson sum). While that recall is below the target, prefixes are
+shortened by one value and the pairs that match only now are verified. Links give counts and, by alternating stars,
+connected classes.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import documents, in_chunks, ordered, partitions, running_sum, staged, table
+from .common import documents, in_chunks, ordered, partitions, release, running_sum, staged, table
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -36,11 +38,10 @@ def recall(similarity: float, depth: int, trees: int) -> float:
     return 1 - (1 - similarity**depth) ** trees
 
 
-def matched_depth(similarity: float, trees: int, depth: int, target: float) -> int:
-    """The longest prefix that reaches the target recall; the shortest one if none does."""
-    while depth > 1 and recall(similarity, depth, trees) < target:
-        depth -= 1
-    return depth
+def estimated_recall(found: int, expected: float, threshold: float, depth: int, trees: int) -> float:
+    """The share of links that have been found: of those that must be there by the found ones' similarities; without any,
+    the chance at the threshold."""
+    return found / expected if found else recall(threshold, depth, trees)
 
 
 def shingles(texts: list[str | None], k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -65,21 +66,22 @@ def signatures(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarr
     return out, n
 
 
-def prefixes(sig: np.ndarray, trees: int, depth: int, used: int) -> np.ndarray:
-    """A hash of each tree's prefix of length ``used``: nodes x trees."""
-    out = np.zeros((len(sig), trees), np.uint64)
-    with np.errstate(over="ignore"):
-        for t in range(trees):
-            h = np.full(len(sig), t + 1, np.uint64)
-            for j in range(used):
-                h = K.mix(h * _U(0x9E3779B97F4A7C15) + sig[:, t * depth + j])
-            out[:, t] = h
-    return out
+def labels(sig: np.ndarray, trees: int, depth: int) -> list[bytes]:
+    """The label of each node in each tree: the tree's number and its slice of the signature, in bytes that sort like them."""
+    out = np.zeros((len(sig), trees, 1 + 4 * depth), np.uint8)
+    out[:, :, 0] = np.arange(trees)
+    out[:, :, 1:] = sig.reshape(len(sig), trees, depth).astype(">u4").view(np.uint8).reshape(len(sig), trees, -1)
+    return [x.tobytes() for x in out.reshape(-1, out.shape[2])]
 
 
-def verify(tree: int, keys: np.ndarray, sets: list[np.ndarray], side: np.ndarray, cross: bool, threshold: float) -> np.ndarray:
-    """Pairs (i < j) of a block, or of two blocks (cross), whose Jaccard similarity reaches the threshold and which share
-    no earlier tree."""
+def shared_prefix(sig: np.ndarray, a: np.ndarray, b: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """Values of the common prefix of the labels of nodes a and b: pairs x trees."""
+    same = (sig[a] == sig[b]).reshape(len(a), trees, depth)
+    return np.where(same.all(2), depth, same.argmin(2))
+
+
+def verify(sets: list[np.ndarray], side: np.ndarray, cross: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i < j) of a block, or of two blocks (cross), whose Jaccard similarity reaches the threshold, and it."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
@@ -103,25 +105,21 @@ def verify(tree: int, keys: np.ndarray, sets: list[np.ndarray], side: np.ndarray
     linked = np.triu(common >= threshold * union - 1e-6, 1)
     if cross:
         linked &= side[:, None] != side[None, :]
-    for t in range(tree):
-        linked &= keys[:, t][:, None] != keys[:, t][None, :]
-    return np.argwhere(linked)
+    pairs = np.argwhere(linked)
+    return pairs, (common[linked] / union[linked]).astype(float)
 
 
 def _roots(n: int, pairs: np.ndarray) -> np.ndarray:
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for a, b in pairs.tolist():
-        x, y = find(a), find(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-    return np.array([find(i) for i in range(n)])
+    """The least of n nodes in each one's component."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        least = np.minimum(label[pairs[:, 0]], label[pairs[:, 1]])
+        np.minimum.at(label, pairs[:, 0], least)
+        np.minimum.at(label, pairs[:, 1], least)
+        label = label[label]
+        if (label == before).all():
+            return label
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -186,8 +184,9 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, trees: int
     itself included), node (the text's digest) and keeper (true for one document of each class).
 
     Equal texts are one node, however short; texts of fewer than five words link to no other text. A null text is a
-    class of its own, as are others by the same doc_id. Repeated rows are copies."""
-    used = matched_depth(threshold, trees, depth, target)
+    class of its own, as are others by the same doc_id. Repeated rows are copies. target: the estimated recall at which
+    prefixes are short enough."""
+    n_tasks = partitions(docs)
     rows = documents(docs, "doc_id", "text").select("doc_id", text_node().alias("node"), "text")
 
     def sign(batch: pd.DataFrame) -> pd.DataFrame:
@@ -200,54 +199,78 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, trees: int
     def forest(batches):
         for batch in batches:
             sig = np.frombuffer(b"".join(batch["signature"]), np.uint32).reshape(-1, trees * depth)
-            keys = prefixes(sig, trees, depth, used).view(np.int64)
-            yield pd.DataFrame({"tree": np.tile(np.arange(trees, dtype=np.int32), len(batch)), "prefix": keys.reshape(-1), "node": np.repeat(batch["node"].to_numpy(), trees), "cost": np.repeat(batch["n_shingles"].to_numpy() + NODE_COST, trees)})
-
-    placed = nodes.where("n_shingles > 0").select("node", "n_shingles", "signature").mapInPandas(forest, "tree int, prefix long, node binary, cost long")
-    shared = placed.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where("n > 1").select("tree", "prefix")
-    members = ordered(placed.join(shared, ["tree", "prefix"]), "prefix", "node")
-    members = running_sum(members, "cost", ["prefix", "node"], "before", group="prefix").withColumn("block", F.floor(F.col("before") / BLOCK))
-    blocks = members.groupBy("tree", "prefix").agg((F.max("block") + 1).alias("blocks"))
-    # a unit is a block with itself or with another one of its prefix
-    paired = members.join(blocks, ["tree", "prefix"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("tree", "node", "block", F.xxhash64("prefix", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), (F.col("block") != F.col("other")).alias("cross"))
-    units = staged(paired)
-    # a unit whose nodes are just those of one in an earlier tree has no pair of its own
-    lists = units.groupBy("unit").agg(F.min("tree").alias("tree"), F.count("*").alias("n"), F.sum(F.xxhash64("node", "cross", F.lit(1)).cast("decimal(20,0)")).cast("string").alias("x"), F.sum(F.xxhash64("node", "cross", F.lit(2)).cast("decimal(20,0)")).cast("string").alias("y"))
-    first = lists.groupBy("n", "x", "y").agg(F.min(F.struct("tree", "unit")).alias("first")).select("first.unit")
-    units = units.join(first, "unit")
+            yield pd.DataFrame({"label": labels(sig, trees, depth), "node": np.repeat(batch["node"].to_numpy(), trees), "cost": np.repeat(batch["n_shingles"].to_numpy() + NODE_COST, trees)})
+
+    placed = nodes.where("n_shingles > 0").select("node", "n_shingles", "signature").mapInPandas(forest, "label binary, node binary, cost long")
+
+    def units_at(used: int) -> tuple[DataFrame, DataFrame]:
+        """Nodes that share a prefix of this length with another one, and the blocks and pairs of blocks to verify."""
+        prefix = F.substring("label", 1, 1 + 4 * used)
+        shared = placed.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n")).where("n > 1").select("prefix")
+        members = ordered(placed.withColumn("prefix", prefix).join(shared, "prefix"), "label", "node", tasks=n_tasks)
+        split = running_sum(members, "cost", ["label", "node"], "before", group="prefix").withColumn("block", F.floor(F.col("before") / BLOCK))
+        blocks = split.groupBy("prefix").agg((F.max("block") + 1).alias("blocks"))
+        # a unit is a block with itself or with another one of its prefix
+        paired = split.join(blocks, "prefix").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        tree = F.conv(F.hex(F.substring("label", 1, 1)), 16, 10).cast("int")
+        units = staged(paired.select(tree.alias("tree"), "node", "block", F.xxhash64("prefix", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), (F.col("block") != F.col("other")).alias("cross")))
+        # a unit whose nodes are just those of one in an earlier tree has no pair of its own
+        lists = units.groupBy("unit").agg(F.min("tree").alias("tree"), F.count("*").alias("n"), F.sum(F.xxhash64("node", "cross", F.lit(1)).cast("decimal(20,0)")).cast("string").alias("x"), F.sum(F.xxhash64("node", "cross", F.lit(2)).cast("decimal(20,0)")).cast("string").alias("y"))
+        first = lists.groupBy("n", "x", "y").agg(F.min(F.struct("tree", "unit")).alias("first")).select("first.unit")
+        return members, units.join(first, "unit")
 
     def sets(batch: pd.DataFrame) -> pd.DataFrame:
         h, at = shingles(batch["text"].tolist())
         return pd.DataFrame({"node": batch["node"], "shingles": [np.unique(h[a:b]).tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]})
 
-    wanted = members.select("node").distinct().join(nodes, "node").select(F.col("doc_id").alias("rep"), F.col("node").alias("rep_node"), "signature")
-    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("node") == F.col("rep_node"))).select("node", "text")
-    content = staged(texts.mapInPandas(in_chunks(sets), "node binary, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles")))
-    loaded = units.join(content, "node").join(nodes.select("node", "signature"), "node").repartition(partitions(docs), "unit").sortWithinPartitions("unit", "node")
-
-    def links(batches):
-        out = []
-        for run in _runs(batches, "unit"):
-            sig = np.frombuffer(b"".join(run["signature"]), np.uint32).reshape(-1, trees * depth)
-            found = [np.frombuffer(s, np.uint64) for s in run["shingles"]]
-            pairs = verify(int(run["tree"].iloc[0]), prefixes(sig, trees, depth, used), found, run["block"].to_numpy(), bool(run["cross"].iloc[0]), threshold)
-            if len(pairs):
-                counts = np.bincount(pairs.reshape(-1), minlength=len(run))
-                roots = _roots(len(run), pairs)
-                hit = np.flatnonzero(counts)
-                names = run["node"].to_numpy()
-                out.append(pd.DataFrame({"node": names[hit], "root": names[roots[hit]], "n": counts[hit]}))
-            if len(out) > 200:
+    def verified_at(used: int) -> DataFrame:
+        """Links of pairs whose longest shared prefix has ``used`` values (or more, at full depth): per unit and node the
+        number of links and a root, and sums over the unit's links of what each stands for at every depth."""
+        members, units = units_at(used)
+        wanted = members.select("node").distinct().join(nodes, "node").select(F.col("doc_id").alias("rep"), F.col("node").alias("rep_node"), "signature")
+        texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("node") == F.col("rep_node"))).select("node", "text")
+        content = staged(texts.mapInPandas(in_chunks(sets), "node binary, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles")))
+        loaded = units.join(content, "node").join(nodes.select("node", "signature"), "node").repartition(n_tasks, "unit").sortWithinPartitions("unit", "node")
+
+        def links(batches):
+            out = []
+            for run in _runs(batches, "unit"):
+                sig = np.frombuffer(b"".join(run["signature"]), np.uint32).reshape(-1, trees * depth)
+                pairs, similar = verify([np.frombuffer(s, np.uint64) for s in run["shingles"]], run["block"].to_numpy(), bool(run["cross"].iloc[0]), threshold)
+                if len(pairs):
+                    # a pair is this unit's if no earlier tree has it, and no longer prefix had it before
+                    common = shared_prefix(sig, pairs[:, 0], pairs[:, 1], trees, depth)
+                    own = (common[:, : int(run["tree"].iloc[0])] < used).all(1) & (common.max(1) <= used)
+                    pairs, similar = pairs[own], similar[own]
+                if len(pairs):
+                    counts = np.bincount(pairs.reshape(-1), minlength=len(run))
+                    roots = _roots(len(run), pairs)
+                    hit = np.flatnonzero(counts)
+                    names = run["node"].to_numpy()
+                    part = pd.DataFrame({"node": names[hit], "root": names[roots[hit]], "n": counts[hit]})
+                    part["stands_for"] = [[]] * len(part)
+                    part.at[0, "stands_for"] = [float((1 / recall(similar, d, trees)).sum()) for d in range(1, depth + 1)]
+                    out.append(part)
+                if len(out) > 200:
+                    yield pd.concat(out, ignore_index=True)
+                    out = []
+            if out:
                 yield pd.concat(out, ignore_index=True)
-                out = []
-        if out:
-            yield pd.concat(out, ignore_index=True)
 
-    verified = staged(loaded.mapInPandas(links, "node binary, root binary, n long"))
+        found = staged(loaded.mapInPandas(links, "node binary, root binary, n long, stands_for array<double>"))
+        release(members, content)
+        return found
+
+    verified, used = verified_at(depth), depth
+    while used > 1:
+        sums = verified.agg(F.sum("n").alias("ends"), *[F.sum(F.get("stands_for", F.lit(d - 1))).alias(f"d{d}") for d in range(1, depth + 1)]).first()
+        if estimated_recall((sums.ends or 0) // 2, sums[f"d{used}"], threshold, used, trees) >= target:
+            break
+        used -= 1
+        verified = verified.unionByName(verified_at(used))
     counts = verified.groupBy("node").agg(F.sum("n").alias("n_links"))
-    labels = connected(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    known = nodes.select("node", "doc_id", "n_copies").join(counts, "node", "left").join(labels, "node", "left").select("node", "doc_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("label", "node").alias("label"))
+    components = connected(verified.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    known = nodes.select("node", "doc_id", "n_copies").join(counts, "node", "left").join(components, "node", "left").select("node", "doc_id", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("label", "node").alias("label"))
     classes = known.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("head"))
     resolved = known.select("node", "n_copies", "n_links", "label", F.col("doc_id").alias("first_id")).join(classes, "label").select("node", "n_copies", "n_links", "class_id", "first_id", (F.col("head.node") == F.col("node")).alias("leads"))
     # copies of a text, however many, stay where they lie: the text's row comes to them

@@ -317,11 +317,43 @@ def test_near_duplicates(docs, monkeypatch, block):
 def test_connected_components(spark):
     edges = [(b"%04d" % i, b"%04d" % (i + 1)) for i in range(200) if i % 50] + [(b"a", b"b"), (b"c", b"b"), (b"b", b"a")]
     got = {r.node: r.label for r in neardup.connected(spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in edges], "a binary, b binary")).collect()}
-    assert got[bytearray(b"c") if False else b"c"] == b"a" and got[b"0049"] == b"0001" and got[b"0199"] == b"0151"
+    assert got[b"c"] == b"a" and got[b"0049"] == b"0001" and got[b"0199"] == b"0151"
 
 
 def test_recall_of_prefixes():
-    assert neardup.matched_depth(0.8, 12, 4, 0.9995) == 3 and neardup.recall(0.8, 3, 12) > 0.9995 and neardup.matched_depth(0.8, 1, 4, 0.99) == 1
+    assert neardup.recall(0.8, 3, 12) > 0.9995 > neardup.recall(0.8, 4, 12)
+    assert neardup.estimated_recall(0, 0.0, 0.8, 3, 12) == neardup.recall(0.8, 3, 12)
+    # of many pairs the found ones tell how many there are
+    rng = np.random.default_rng(3)
+    similar = rng.uniform(0.8, 1, 20000)
+    found = similar[rng.random(20000) < neardup.recall(similar, 4, 3)]
+    assert abs(neardup.estimated_recall(len(found), (1 / neardup.recall(found, 4, 3)).sum(), 0.8, 4, 3) - len(found) / 20000) < 0.01
+
+
+def test_labels_are_a_trie():
+    rng = np.random.default_rng(4)
+    sig = rng.integers(0, 3, (200, 8)).astype(np.uint32)
+    found = neardup.labels(sig, 2, 4)
+    a, b = np.triu_indices(200, 1)
+    common = neardup.shared_prefix(sig, a, b, 2, 4)
+    for t in (0, 1):
+        own = found[t::2]
+        brute = [next((j for j in range(4) if own[x][1 + 4 * j : 5 + 4 * j] != own[y][1 + 4 * j : 5 + 4 * j]), 4) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+        assert common[:, t].tolist() == brute and all(x[0] == t for x in own)
+        assert sorted(range(200), key=lambda i: own[i]) == sorted(range(200), key=lambda i: sig[i, 4 * t : 4 * t + 4].tolist())
+
+
+def test_prefixes_are_shortened_until_the_target(spark):
+    """Pairs at 0.8 and few trees: full prefixes miss some, shortened ones find all."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(120):
+        w = sentence(rng, 85, 1 << 20).split()
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(["x", "y", *w[1:40], "z", *w[41:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    full, short = (neardup.near_duplicates(docs, trees=3, target=t).toPandas() for t in (0.0, 0.995))
+    assert (full.n_links > 0).mean() < 0.95 and (short.n_links == 1).mean() > 0.95
+    assert (short.class_id == short.doc_id // 2 * 2)[short.n_links == 1].all()
 
 
 def test_mixing(docs):
