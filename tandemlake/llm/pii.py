@@ -1,8 +1,10 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field over word-shape features.
 
 The patterns give the base spans of e-mail addresses, IP addresses, card numbers and phone numbers. The field is trained
-on the small labelled table below by maximum likelihood (forward-backward in numpy) and decodes, by Viterbi over padded
-batches, the words around every word that could belong to such data. It adds spans that no base span touches.
+on the driver on the small labelled table below, by maximum likelihood (forward-backward in numpy). It decodes all words of
+every text by Viterbi in numpy batches. Where no span over a word, however it begins and ends, can score as much as no
+data there, the best path has none; texts are cut at such words, which changes no result. The field adds spans of a kind's
+form that no base span touches.
 """
 
 from __future__ import annotations
@@ -10,12 +12,14 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .common import documents, in_chunks, table
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -71,6 +75,7 @@ def render(spans: list[Span]) -> str:
 
 
 # --- the labelled table -------------------------------------------------------------------------------------------
+# Invented for this table; no such address, number or key is anyone's.
 # Sentences whose marked words, {kind words}, are personal data. Every sentence without marks is a
 # counter-example of the same shapes.
 LABELLED = [
@@ -97,6 +102,19 @@ LABELLED = [
     "dial {phone +44 20 7946 0958} from abroad",
     "mobile {phone 0049 30 1234567} works",
     "cell {phone 415.555.0132} rings",
+    "write to {email tom [at] example [dot] net} because the winter garden opens again tomorrow morning with several friends",
+    "{email info@site.example} remains the address that everybody should remember during these long and quiet winters",
+    "ask {email lee at example dot org} whether Morning trains still leave before seven from the northern station",
+    "mail {email eva (at) post (dot) example} when another letter arrives, because nobody else reads them",
+    "then {email ann(at)example.org} answered that neither painting would ever be finished without more colours",
+    "call {phone 415-555-0132} whenever somebody finds another yellow umbrella near the harbour entrance",
+    "phone {phone +44 20 7946 0000} because our older neighbours never open their letters before evening",
+    "card {card 4111-1111-1111-1111} belongs to someone whose travelling companions forgot everything",
+    "host {ip 10.1.2.3} serves pictures of mountain villages and their winding little streets",
+    "host {ip fe80::1:2:3} serves nothing except several quiet pages about gardens",
+    "Several friends remember that winter, although nothing important happened between these mountains",
+    "a very quiet morning at the old harbour where nobody ever painted anything yellow",
+    "everything else, including dot patterns and tiny flowers, arrives again tomorrow",
     "Licensed under the Apache License, Version 2.0.",
     "Licensed under CC BY-NC 4.0.",
     "License, version 3.",
@@ -139,7 +157,7 @@ _AT = frozenset(["[at]", "(at)", "{at}", "<at>"])
 
 def _shape(word: str) -> str:
     out = []
-    for c in word[:64]:
+    for c in word:
         k = "9" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c
         if not out or out[-1] != k or k not in "9Aa":
             out.append(k)
@@ -161,24 +179,45 @@ def _own(word: str) -> tuple[str, ...]:
     )
 
 
+_EDGE = ("edge",) * 12
+_BESIDE = (-2, -1, 1, 2)
+
+
+def _beside(d: int, own: tuple[str, ...]) -> list[str]:
+    """Features that a word has by another one, with features ``own``, at distance d."""
+    return [f"{d}{own[0]}", f"{d}{own[1]}", f"{d}{own[9]}"]
+
+
+def _numeric(own: tuple[str, ...]) -> bool:
+    return own[1] != "d=0" and own[0].strip("s=9-()+.") == ""
+
+
+def _run(words: list[str], i: int, a: int, b: int) -> list[str]:
+    """Features of the digits in words a to b, a run around i."""
+    run = _NO_DIGIT.sub("", "".join(words[a : b + 1]))
+    return [f"run={min(len(run), 20)}:{i - a}:{b - i}", f"runluhn={13 <= len(run) <= 19 and luhn(run)}:{b > a}"]
+
+
+def _run_bounds(numeric: list[bool], i: int, first: int, last: int) -> tuple[int, int]:
+    """The run of words of digits around word i of those from first to last, at most four to each side."""
+    a = b = i
+    while a > first and i - a < 4 and numeric[a - 1]:
+        a -= 1
+    while b < last and b - i < 4 and numeric[b + 1]:
+        b += 1
+    return a, b
+
+
 def _features(words: list[str]) -> np.ndarray:
-    """Hashed features of each word, with those of its neighbours: words x features."""
+    """Slots of each word's features, with those of its neighbours: words x features."""
     own = [_own(w) for w in words]
-    edge = ("edge",) * len(own[0])
+    numeric = [_numeric(o) for o in own]
     rows = []
     for i in range(len(words)):
         row = ["0" + f for f in own[i]]
-        for d in (-2, -1, 1, 2):
-            other = own[i + d] if 0 <= i + d < len(words) else edge
-            row += [f"{d}{other[0]}", f"{d}{other[1]}", f"{d}{other[9]}" if len(other) > 9 else f"{d}edge"]
-        # digits of the run of words of digits that this one stands in
-        a = b = i
-        while a > 0 and i - a < 4 and own[a - 1][0].strip("s=9-()+.") == "" and own[a - 1][1] != "d=0":
-            a -= 1
-        while b + 1 < len(words) and b - i < 4 and own[b + 1][0].strip("s=9-()+.") == "" and own[b + 1][1] != "d=0":
-            b += 1
-        run = _NO_DIGIT.sub("", "".join(words[a : b + 1]))
-        row += [f"run={min(len(run), 20)}:{i - a}:{b - i}", f"runluhn={13 <= len(run) <= 19 and luhn(run)}:{b > a}"]
+        for d in _BESIDE:
+            row += _beside(d, own[i + d] if 0 <= i + d < len(words) else _EDGE)
+        row += _run(words, i, *_run_bounds(numeric, i, 0, len(words) - 1))
         rows.append([_slot(f) for f in row])
     return np.array(rows, np.int64)
 
@@ -247,70 +286,171 @@ def train(rounds: int = 150, rate: float = 0.3, l2: float = 2e-3) -> tuple[np.nd
     return w, np.where(_ALLOWED, t, -1e4)
 
 
-def viterbi(sequences: list[np.ndarray], w: np.ndarray, t: np.ndarray) -> list[np.ndarray]:
-    """The best labels of each sequence of feature rows, all sequences of a batch in step."""
-    if not sequences:
+#: Scores of a sequence's first label.
+_START = np.where([b.startswith("I") for b in LABELS], -1e4, 0.0)
+
+
+def viterbi(scores: list[np.ndarray], t: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None) -> list[np.ndarray]:
+    """The best labels of each sequence of words' label scores, all sequences of a batch in step. before and after: which
+    sequences follow, and precede, a word that has no label."""
+    if not scores:
         return []
-    lengths = np.array([len(s) for s in sequences])
+    k = len(LABELS)
+    lengths = np.array([len(s) for s in scores])
     order = np.argsort(-lengths, kind="stable")
-    steps, k = int(lengths.max()), len(LABELS)
-    e = np.zeros((len(sequences), steps, k))
-    for r, i in enumerate(order):
-        e[r, : lengths[i]] = w[sequences[i]].sum(1)
     sizes = lengths[order]
-    best = e[:, 0] + np.where([b.startswith("I") for b in LABELS], -1e4, 0.0)
-    back = np.zeros((len(sequences), steps, k), np.int8)
-    for i in range(1, steps):
+    e = np.zeros((len(scores), int(sizes[0]), k))
+    for r, i in enumerate(order):
+        e[r, : lengths[i]] = scores[i]
+    rows = np.arange(len(scores))
+    if after is not None:
+        e[rows, sizes - 1] += np.where(after[order, None], t[:, 0], 0.0)
+    best = e[:, 0] + (_START if before is None else np.where(before[order, None], t[0], _START))
+    back = np.zeros(e.shape, np.int8)
+    for i in range(1, e.shape[1]):
         live = int(np.searchsorted(-sizes, -i, side="left"))  # sequences longer than i
-        scores = best[:live, :, None] + t[None]
-        back[:live, i] = scores.argmax(1)
-        best[:live] = scores.max(1) + e[:live, i]
-    out = np.zeros((len(sequences), steps), np.int8)
+        steps = best[:live, :, None] + t[None]
+        back[:live, i] = steps.argmax(1)
+        best[:live] = steps.max(1) + e[:live, i]
+    out = np.zeros(e.shape[:2], np.int8)
     label = best.argmax(1)
-    rows = np.arange(len(sequences))
-    for i in range(steps - 1, -1, -1):
+    for i in range(e.shape[1] - 1, -1, -1):
         label = np.where(sizes - 1 == i, best.argmax(1), label)
         out[:, i] = np.where(i < sizes, label, 0)
         label = np.where(i < sizes, back[rows, i, label], label)
     return [out[r, : sizes[r]] for r in np.argsort(order)]
 
 
-_SEED = re.compile(r"[0-9]|[\[({<]at[\])}>]|@| at \S+ dot ")
-REACH = 6
-
-
-def _sequences(text: str) -> list[tuple[list[str], list[tuple[int, int]]]]:
-    """Runs of words within REACH of a word that could belong to personal data, with their places."""
-    out: list = []
-    last_end = -1
-    run: list[tuple[int, int]] = []
-    for m in _SEED.finditer(text):
-        if m.start() < last_end:
-            continue
-        # whole words on both sides, cut at white space; a window of characters bounds the search
-        a = max(last_end, m.start() - 160, 0)
-        b = min(len(text), m.end() + 160)
-        left = [(x.start() + a, x.end() + a) for x in _WORD.finditer(text[a : m.start()])]
-        if a > max(last_end, 0) and left:
-            left = left[1:]
-        begin = left[-REACH][0] if len(left) >= REACH else (left[0][0] if left else m.start())
-        words = [(x.start() + begin, x.end() + begin) for x in _WORD.finditer(text[begin:b])]
-        if b < len(text) and words:
-            words = words[:-1]
-        after = [i for i, (s, e) in enumerate(words) if s >= m.end()]
-        words = words[: after[REACH - 1] + 1] if len(after) >= REACH else words
-        if not words:
-            continue
-        if run and words[0][0] <= last_end + 1:
-            run += [x for x in words if x[0] >= last_end]
-        else:
-            if run:
-                out.append(run)
-            run = words
-        last_end = run[-1][1]
-    if run:
-        out.append(run)
-    return [([text[s:e] for s, e in r], r) for r in out]
+def _most_gains(t: np.ndarray) -> list[tuple[float, float]]:
+    """For each kind, what transitions into and out of a span can gain at most over those of no data, and what one inside
+    it can."""
+    out = []
+    for k in range(1, len(LABELS), 2):
+        into = max(0.0, *(t[p, k] - t[p, 0] for p in range(len(LABELS))))
+        after = [n for n in range(len(LABELS)) if not LABELS[n].startswith("I")]
+        out.append((into + max(0.0, *(t[last, n] - t[0, n] for last in (k, k + 1) for n in after)), max(t[k, k + 1], t[k + 1, k + 1]) - t[0, 0]))
+    return out
+
+
+_LOWER = np.zeros(256, bool)
+_LOWER[97:123] = True
+_ENDS = np.zeros(256, np.int64)
+_ENDS[list(b".,;:!?")] = np.arange(1, 7)
+
+
+def _classes(w: K.Words) -> np.ndarray:
+    """A number for each word, equal only for words of the same features: for lower-case words of over three letters, which
+    may begin with a capital and end with a mark, by these and the length; for all others by the word."""
+    size = w.ends - w.starts
+    lower = np.concatenate([[0], np.cumsum(_LOWER[w.a])])
+    capital = (w.a[w.starts] >= 65) & (w.a[w.starts] <= 90)
+    mark = _ENDS[w.a[w.ends - 1]]
+    core = size - (mark > 0)
+    plain = (lower[w.ends] - lower[w.starts] + capital == core) & (core > 3)
+    out = np.minimum(core, 20) * 16 + capital * 8 + mark
+    other = np.flatnonzero(~plain)
+    out[other] = 1024 + K.names(replace(w, starts=w.starts[other], ends=w.ends[other], hashes=w.hashes[other]))
+    return out
+
+
+@dataclass
+class Field:
+    """A trained field: weights of feature slots by label, and transitions."""
+
+    w: np.ndarray
+    t: np.ndarray
+    known: dict[str, np.ndarray] = field(default_factory=dict)
+
+    #: Words whose vectors are kept; beyond, all are forgotten.
+    MOST = 1 << 16
+
+    def __post_init__(self):
+        self.gains = _most_gains(self.t)
+        self.edge = np.stack([self.w[[_slot(f) for f in _beside(d, _EDGE)]].sum(0) for d in _BESIDE])
+
+    def __getstate__(self):
+        return {"w": self.w, "t": self.t}
+
+    def __setstate__(self, state):
+        self.__init__(**state)
+
+    def vectors(self, word: str) -> np.ndarray:
+        """Label scores that a word gives itself, and words at each distance of _BESIDE from which it is seen; the last
+        row is the share of digits standing alone in the first."""
+        found = self.known.get(word)
+        if found is None:
+            own = _own(word)
+            alone = self.w[[_slot(f) for f in _run([word], 0, 0, 0)]].sum(0)
+            found = np.stack([self.w[[_slot("0" + f) for f in own]].sum(0) + alone, *(self.w[[_slot(f) for f in _beside(d, own)]].sum(0) for d in _BESIDE), alone])
+            if len(self.known) >= self.MOST:
+                self.known.clear()
+            self.known[word] = found
+        return found
+
+    def scores(self, w: K.Words) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Label scores of all words of a batch, words that are told apart by features, and each word's number among them."""
+        _, first, number = np.unique(_classes(w), return_index=True, return_inverse=True)
+        distinct = [w.buf[a:b].decode("utf-8", "surrogatepass") for a, b in zip(w.starts[first].tolist(), w.ends[first].tolist(), strict=True)]
+        if not distinct:
+            return np.zeros((0, len(LABELS))), distinct, number
+        table_ = np.stack([self.vectors(x) for x in distinct])
+        e = table_[number, 0]
+        for j, d in enumerate(_BESIDE):
+            place = np.arange(len(number)) + d
+            there = (place >= w.first[w.doc]) & (place < w.first[w.doc + 1])
+            e += np.where(there[:, None], table_[number[np.where(there, place, 0)], 1 + j], self.edge[j])
+        # words with a word of digits beside them: the whole run
+        numeric = np.array([_numeric(_own(x)) for x in distinct])[number]
+        same = w.doc[1:] == w.doc[:-1]
+        near = np.zeros(len(number), bool)
+        near[1:] |= numeric[:-1] & same
+        near[:-1] |= numeric[1:] & same
+        flags = numeric.tolist()
+        for i in np.flatnonzero(near).tolist():
+            lo, hi = int(w.first[w.doc[i]]), int(w.first[w.doc[i] + 1]) - 1
+            a, b = _run_bounds(flags, i, lo, hi)
+            run = _run([distinct[n] for n in number[a : b + 1]], i - a, 0, b - a)
+            e[i] += self.w[[_slot(f) for f in run]].sum(0) - table_[number[i], 5]
+        return e, distinct, number
+
+    def open_words(self, w: K.Words, e: np.ndarray) -> np.ndarray:
+        """Words that a span on a best path could cover: the best span over each scores no less than no data would."""
+        opens = np.append(True, w.doc[1:] != w.doc[:-1])
+        out = np.zeros(len(e), bool)
+        for (edge, inside), k in zip(self.gains, range(1, len(LABELS), 2), strict=True):
+            # sums along a text; one so low at each text's first word that no span goes over it
+            total = np.cumsum(np.where(opens, -1e5, e[:, k + 1] - e[:, 0] + inside))
+            begun = np.maximum.accumulate(e[:, k] - e[:, 0] - total)
+            ended = np.maximum.accumulate(total[::-1])[::-1]
+            out |= begun + ended + edge >= -1e-6
+        return out
+
+    def decode(self, texts: list[str]) -> tuple[K.Words, list[tuple[int, np.ndarray]]]:
+        """The words of the texts, and the first word and the labels of each run of words that have any; all others have none."""
+        w = K.words(texts)
+        if not len(w.hashes):
+            return w, []
+        e, _, _ = self.scores(w)
+        open_ = self.open_words(w, e)
+        at = np.flatnonzero(open_)
+        if not len(at):
+            return w, []
+        cuts = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (w.doc[at][1:] != w.doc[at][:-1])])
+        first = at[cuts]
+        last = at[np.append(np.flatnonzero(cuts)[1:], len(at)) - 1]
+        out = []
+        # sequences of like lengths in step, in batches of bounded size
+        order = np.argsort(last - first, kind="stable")
+        batch: list[int] = []
+        for i in [*order.tolist(), None]:
+            if i is None or (batch and (len(batch) + 1) * (last[i] - first[i] + 1) > 1 << 17):
+                a, b = first[batch], last[batch]
+                found = viterbi([e[x : y + 1] for x, y in zip(a.tolist(), b.tolist(), strict=True)], self.t, a > w.first[w.doc[a]], b + 1 < w.first[w.doc[b] + 1])
+                out += list(zip(a.tolist(), found, strict=True))
+                batch = []
+            if i is not None:
+                batch.append(i)
+        return w, sorted(out, key=lambda x: x[0])
 
 
 #: What a decoded span must look like to be added, by kind.
@@ -334,20 +474,17 @@ def _trim(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def added_spans(texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
+def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[list[Span]]:
     """What the field finds in each text that no base span touches."""
-    w, t = train()
-    where, feats = [], []
-    for i, text in enumerate(texts):
-        if _SEED.search(text):
-            for words, places in _sequences(text):
-                # words that base spans cover are known; without others like them there is nothing to find
-                if all(any(a < e and s < b for _, a, b in base[i]) or not _SEED.search(word) for word, (s, e) in zip(words, places, strict=True)) and " dot " not in text:
-                    continue
-                where.append((i, places))
-                feats.append(_features(words))
     out: list[list[Span]] = [[] for _ in texts]
-    for (i, places), labels in zip(where, viterbi(feats, w, t), strict=True):
+    w, runs = model.decode(texts)
+    if not runs:
+        return out
+    # code points before each byte
+    points = np.concatenate([[0], np.cumsum((w.a & 0xC0) != 0x80)])
+    for first, labels in runs:
+        i = int(w.doc[first])
+        zero = points[w.offsets[i]]
         j = 0
         while j < len(labels):
             name = LABELS[labels[j]]
@@ -357,18 +494,18 @@ def added_spans(texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
             k = j + 1
             while k < len(labels) and LABELS[labels[k]] == "I-" + name[2:]:
                 k += 1
-            a, b = _trim(texts[i], places[j][0], places[k - 1][1])
+            a, b = _trim(texts[i], int(points[w.starts[first + j]] - zero), int(points[w.ends[first + k - 1]] - zero))
             if a < b and _holds(name[2:], texts[i][a:b]) and not any(x < b and a < y for _, x, y in base[i] + out[i]):
                 out[i].append((name[2:], a, b))
             j = k
     return out
 
 
-def find(texts: list[str | None]) -> list[tuple[list[Span], list[Span]]]:
+def find(texts: list[str | None], model: Field) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text."""
     whole = [t or "" for t in texts]
     base = [base_spans(t) for t in whole]
-    more = added_spans(whole, base)
+    more = added_spans(whole, base, model)
     return [(b, sorted(b + m, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))) for b, m in zip(base, more, strict=True)]
 
 
@@ -376,10 +513,11 @@ def find_pii(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, counts of base spans by kind, base_sha256, n_added and spans (kind:start:end in code points).
 
     A null text is empty and has no spans; repeated rows give repeated results."""
+    model = docs.sparkSession.sparkContext.broadcast(Field(*train()))  # of fixed size
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for doc_id, (base, every) in zip(batch["doc_id"], find(batch["text"].tolist()), strict=True):
+        for doc_id, (base, every) in zip(batch["doc_id"], find(batch["text"].tolist(), model.value), strict=True):
             kinds = [k for k, _, _ in base]
             rows.append((doc_id, *(kinds.count(k) for k in KINDS), hashlib.sha256(render(base).encode()).hexdigest(), render(every), len(every) - len(base)))
         return pd.DataFrame(rows, columns=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"]).astype({"doc_id": "Int64"})
@@ -398,10 +536,12 @@ def redact(text: str, spans: list[Span]) -> str:
 
 
 def redact_pii(docs: DataFrame) -> DataFrame:
-    """The columns of documents with all spans redacted from text; n_chars is the new length. Null texts stay null."""
+    """The columns of documents with all spans redacted from text; n_chars is the new length. Null texts stay null, and
+    repeated rows stay."""
+    model = docs.sparkSession.sparkContext.broadcast(Field(*train()))
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        found = find(batch["text"].tolist())
+        found = find(batch["text"].tolist(), model.value)
         batch["text"] = [t if t is None else redact(t, every) if every else t for t, (_, every) in zip(batch["text"], found, strict=True)]
         return batch
 

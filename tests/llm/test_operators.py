@@ -409,12 +409,57 @@ def test_viterbi_is_the_best_path():
     seqs = [rng.integers(0, 50, (n, 3)) for n in (1, 4, 2, 3)]
     import itertools
 
-    for s, got in zip(seqs, pii.viterbi(seqs, w, t), strict=True):
+    for s, got in zip(seqs, pii.viterbi([w[s].sum(1) for s in seqs], t), strict=True):
         e = w[s].sum(1)
         score = lambda y: sum(e[i, v] for i, v in enumerate(y)) + sum(t[a, b] for a, b in zip(y[:-1], y[1:], strict=True)) + (-1e4 if pii.LABELS[y[0]].startswith("I") else 0)  # noqa: E731, B023
         assert abs(score(got) - max(score(y) for y in itertools.product(range(k), repeat=len(s)))) < 1e-9
 
 
+def _field_texts():
+    rng = random.Random(31)
+    marked = [re.sub(r"\{\w+ ([^}]*)\}", r"\1", line) for line in pii.LABELLED]
+    texts = [" ".join(rng.choice([*marked, sentence(rng, 6), "4111", "1111", "555-12", "at", "dot", "(at)", "x" * 1000 + "9", "É日本"]) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    return [*texts, "", " ", "one", "tel 555-123-4567", "(212) 555-0199", " ".join(marked)]
+
+
+def test_field_scores():
+    """Scores by distinct words are the sums of each word's feature weights."""
+    model = pii.Field(*pii.train())
+    texts = _field_texts()
+    w = kernels.words(texts)
+    e, _, _ = model.scores(w)
+    for i, t in enumerate(texts):
+        own = WORD.findall(t)
+        if own:
+            assert np.allclose(e[w.first[i] : w.first[i + 1]], model.w[pii._features(own)].sum(1))
+
+
+def test_field_decodes_whole_texts():
+    """Cutting where a label is certain gives the labels of whole texts decoded at once, also by random transitions."""
+    rng = np.random.default_rng(7)
+    w, t = pii.train()
+    for model in (pii.Field(w, t), pii.Field(w, np.where(pii._ALLOWED, t + rng.normal(size=t.shape), -1e4))):
+        texts = _field_texts()
+        words, runs = model.decode(texts)
+        got = np.zeros(len(words.hashes), int)
+        for first, labels in runs:
+            got[first : first + len(labels)] = labels
+        e, _, _ = model.scores(words)
+        for i in range(len(texts)):
+            a, b = words.first[i : i + 2]
+            if a < b:
+                assert got[a:b].tolist() == pii.viterbi([e[a:b]], model.t)[0].tolist()
+        assert model.open_words(words, e).mean() < 0.6 and (got > 0).any()
+
+
+def test_field_finds_beyond_long_words():
+    """Data after a word of 1,000 characters, and in the middle of a long text."""
+    model = pii.Field(*pii.train())
+    text = sentence(random.Random(1), 3000) + " call " + "y" * 1000 + " phone (555) 123-4567 after five " + "z" * 1000
+    at = text.index("(555)")
+    assert pii.find([text], model)[0][1] == [("phone", at, at + 14)]
+
+
 def test_media(docs):
     out = media.media_columns(media.to_media(docs)).toPandas()
     want = collections.Counter()
