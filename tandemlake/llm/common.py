@@ -134,7 +134,7 @@ def running_sum(df: DataFrame, value: str, order: list[str], out: str, group: st
     keys = ["pid"] + ([group] if group else [])
     sums = df.groupBy(*keys).agg(F.sum(value).alias("_part"))
     before = Window.partitionBy(*([group] if group else [])).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(*keys, F.coalesce(F.sum("_part").over(before), F.lit(0)).cast("long").alias("_base"))
+    base = sums.select(*keys, F.coalesce(F.sum("_part").over(before), F.lit(0)).alias("_base"))
     inner = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     joined = df.alias("d").join(base.alias("b"), [F.col(f"d.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]).select("d.*", "b._base")
-    return joined.withColumn(out, (F.coalesce(F.sum(value).over(inner), F.lit(0)) + F.col("_base")).cast("long")).drop("_base")
+    return joined.withColumn(out, F.coalesce(F.sum(value).over(inner), F.lit(0)) + F.col("_base")).drop("_base")

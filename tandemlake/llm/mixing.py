@@ -8,11 +8,10 @@ where the sum of its sizes is nearest to what the target leaves. u comes from a
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, ordered, running_sum, staged, table
+from .common import DOCUMENT_SCHEMA, documents, ordered, running_sum, staged, table
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -21,52 +20,52 @@ MOST = 2.0
 POWER = 0.25
 
 
-def water_fill(sizes: np.ndarray, weights: np.ndarray, total: float, most: float = MOST) -> np.ndarray:
-    """Targets by weight that stop at ``most`` times a size, the excess reshared by weight until none is above."""
-    caps = sizes * most
-    targets, full = np.zeros(len(sizes)), np.zeros(len(sizes), bool)
-    while not full.all():
-        level = max(0.0, total - caps[full].sum()) / weights[~full].sum()
-        targets[~full] = level * weights[~full]
-        over = ~full & (targets > caps)
-        if not over.any():
-            break
-        full |= over
-        targets[full] = caps[full]
-    return targets
+def source_weights(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+    """source, place (by code point, null last, from 0) and weight (taken in turn) of all sources of rows."""
+    found = ordered(rows.select("source").distinct().withColumn("last", F.col("source").isNull()).withColumn("one", F.lit(1)), "last", "source")
+    placed = running_sum(found, "one", ["last", "source"], "place")
+    return placed.select("source", "place", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int")).alias("weight"))
+
+
+def water_fill(sizes: DataFrame, total: float, most: float = MOST) -> DataFrame:
+    """source, size, weight and target: targets by weight that sum to total and stop at ``most`` times a size, the excess
+    reshared by weight until none is above.
+
+    In the order of size over weight, those that stop come first. With all before a source stopped, the rest shares by one
+    level; the true level is the greatest of these, and a source gets its weight times it, or its cap."""
+    capped = sizes.withColumn("cap", F.col("size") * most).withColumn("turn", F.col("size") / F.col("weight"))
+    rows = ordered(capped, "turn", "place")
+    rows = running_sum(running_sum(rows, "cap", ["turn", "place"], "capped"), "weight", ["turn", "place"], "passed")
+    every = sizes.agg(F.sum("weight")).first()[0]
+    level = rows.agg(F.max((F.lit(total) - F.col("capped")) / (F.lit(every) - F.col("passed")))).first()[0] if every else None
+    return rows.withColumn("target", F.least("cap", F.col("weight") * F.lit(level or 0.0)))
 
 
 def row_key() -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
 
 
+def row_digest() -> Column:
+    """Tells rows apart by all their columns; the text and doc_id stand in ``key``."""
+    return F.md5(F.to_json(F.struct("key", "lang", "source", "n_chars")))
+
+
 def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, power: float = POWER) -> DataFrame:
     """Per document: doc_id, size (words; null text: 0), source_size, target, copies and taken (copies * size).
 
     Sources by code point, null last, take the weights in turn. Targets share ``share`` times all sizes and never exceed
     ``most`` times their source's size; no document is copied more often than that, rounded up. Documents without words
     are copied as the whole copies say. Repeated rows are documents of their own."""
-    rows = documents(docs, "doc_id", "text", "source")
     words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: F.length(w) > 0)).cast("long")
-    key = row_key()
-    sized = staged(rows.select("doc_id", "source", words.alias("size"), key.alias("key"), F.monotonically_increasing_id().alias("uid")).withColumn("bucket", (F.length(F.bin(F.col("size") + 1)) - 1).cast("int")))
-    # a row for each source and power of two of sizes
-    found = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words")).collect()
-    sources = sorted({r.source for r in found}, key=lambda s: (s is None, s or ""))
-    buckets: dict = {s: {} for s in sources}
-    for r in found:
-        buckets[r.source][r.bucket] = float(r.words)
-    sizes = np.array([sum(buckets[s].values()) for s in sources])
-    targets = water_fill(sizes, np.array([weights[i % len(weights)] for i in range(len(sources))]), share * sizes.sum(), most) if sources else sizes
-    plan = []
-    for s, size, target in zip(sources, sizes.tolist(), targets.tolist(), strict=True):
-        whole = int(target // size) if size else 0
-        rest = target - whole * size
-        # p = scale * 2 ** (power * bucket): the expected words of the sample are the rest, but for p that stop at 1
-        raised = sum(v * 2 ** (power * b) for b, v in sorted(buckets[s].items()))
-        plan.append((s, int(size), target, whole, rest, rest / raised if raised else 0.0))
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(plan, "source string, source_size long, target double, whole int, rest double, scale double")
+    whole_row = documents(docs, *(f.name for f in DOCUMENT_SCHEMA)).withColumn("key", row_key()).withColumn("row", row_digest())
+    sized = staged(whole_row.select("doc_id", "source", words.alias("size"), "key", "row", F.monotonically_increasing_id().alias("uid")).withColumn("bucket", (F.length(F.bin(F.col("size") + 1)) - 1).cast("int")))
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.pow(F.lit(2.0), F.col("bucket") * power)).alias("raised"))
+    sizes = staged(sizes.alias("a").join(source_weights(sized, weights).alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.*", "b.place", "b.weight"))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    whole = F.when(F.col("size") > 0, F.floor(F.col("target") / F.col("size"))).otherwise(0)
+    # p = scale * 2 ** (power * bucket): the expected words of the sample are the rest, but for p that stop at 1
+    plan = water_fill(sizes, share * total, most).withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("size"))
+    plan = plan.select("source", F.col("size").alias("source_size"), "target", "whole", "rest", F.when(F.col("raised") > 0, F.col("rest") / F.col("raised")).otherwise(0.0).alias("scale"))
     u = (F.conv(F.substring("key", 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
     joined = sized.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))).select("d.*", "p.source_size", "p.target", "p.whole", "p.rest", "p.scale")
     p = F.least(F.lit(1.0), F.col("scale") * F.pow(F.lit(2.0), F.col("bucket") * power))
@@ -76,16 +75,21 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, share:
     # the head ends where its words come nearest to the rest
     extra = (F.col("size") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("rest")) & (F.col("rest") > 0)
     copies = F.col("whole") + F.when(extra, 1).otherwise(0)
-    return summed.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "key", "source")
+    return summed.select("doc_id", "size", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "row", "source")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The columns of documents, each document as often as mix_sources copies it; rows repeated whole get equal copies."""
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    rows = documents(docs, *columns)
-    copies = staged(mix_sources(rows).groupBy(F.col("key").alias("_key")).agg(F.max("copies").alias("_copies")).where("_copies > 0"))
-    both = rows.withColumn("_own", row_key()).join(copies, F.col("_own") == F.col("_key"))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*columns)
+    """The columns of documents, each document as often as mix_sources copies it. Of rows repeated whole one has the copies
+    of all. Null texts have no words, and are copied as the whole copies of their source say."""
+    columns = [f.name for f in DOCUMENT_SCHEMA]
+    rows = documents(docs, *columns).withColumn("key", row_key()).withColumn("own", row_digest())
+    copies = staged(mix_sources(docs).groupBy("row").agg(F.sum("copies").cast("int").alias("copies"), F.count("*").alias("repeats")).where("copies > 0"))
+    both = rows.join(copies, F.col("own") == F.col("row"))
+    once = both.where("repeats = 1").select(*columns, "copies")
+    if not copies.where("repeats > 1").isEmpty():
+        again = both.where("repeats > 1").groupBy("own").agg(F.first(F.struct(*columns, "copies")).alias("r"))
+        once = once.unionByName(again.select("r.*"))
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -249,6 +249,34 @@ def test_packing(docs):
         assert all(p.ids == wide[4 * p.start : 4 * (p.start + p.length)] for p in pieces.itertuples())
 
 
+@pytest.mark.parametrize("weights, grain", [((3.0, 1.0, 2.0), 128), ((1.0, 50.0), 7), (None, 16)])
+def test_packing_is_a_literal_round_robin(docs, weights, grain):
+    """The stream of pieces against queues that are credited and served one round after the other."""
+    length = 64
+    out = packing.pack_documents(docs, weights=weights, grain=grain, length=length).toPandas()
+    queues = {}
+    for r in sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0)):
+        queues.setdefault(r[3], []).extend(np.frombuffer(encoding.encode_bytes([r[1]])[0] + b"\0\0", np.uint16).tolist())
+    names = sorted(queues, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] if weights else float(len(queues[s])) for i, s in enumerate(names)}
+    quantum = {s: weight[s] / sum(weight.values()) * length for s in names}
+    stream, turn, served, pieces = [], 0, dict.fromkeys(names, 0), dict.fromkeys(names, 0)
+    while any(served[s] < len(queues[s]) for s in names):
+        for s in names:
+            size = max(quantum[s], grain)
+            while pieces[s] * size < (turn + 1) * quantum[s] - 1e-7 and served[s] < len(queues[s]):
+                pieces[s] += 1
+                upto = min(len(queues[s]), int(np.ceil(pieces[s] * size - 1e-9)))
+                stream += [(s, t) for t in queues[s][served[s] : upto]]
+                served[s] = upto
+        turn += 1
+    out = out.sort_values(["sequence_id", "offset"])
+    got = [(None if r.source is None or r.source != r.source else r.source, t) for r in out.itertuples() for t in np.frombuffer(r.ids, "<u4").tolist()]
+    # tokens by source; documents of one doc_id may come in any order
+    assert [s for s, _ in got] == [s for s, _ in stream]
+    assert collections.Counter(got) == collections.Counter(stream)
+
+
 def test_packing_follows_target_shares(spark):
     rows = [(i, "a b c d e f g h " * 8, None, "x" if i % 4 else "y", 1) for i in range(800)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
@@ -360,15 +388,47 @@ def test_mixing(docs):
     a, b = mixing.mix_sources(docs).toPandas(), mixing.mix_sources(docs.repartition(5)).toPandas()
     cols = ["doc_id", "size", "source_size", "target", "taken"]
     assert by_row(a, cols) == by_row(b, cols) and len(a) == len(ROWS)
-    assert (a.taken <= 2 * a["size"]).all() and (a["size"] == [len(WORD.findall(t or "")) for t in [None] * 0] if False else True)
+    assert (a.taken <= 2 * a["size"]).all()
+    assert by_row(a, ["doc_id", "size"]) == collections.Counter((r[0], len(WORD.findall(r[1] or ""))) for r in ROWS)
     sums = a.groupby("source", dropna=False).agg(target=("target", "first"), taken=("taken", "sum"), most=("size", "max"), size=("size", "sum"))
     assert (abs(sums.taken - sums.target) <= sums.most).all() and abs(sums.target.sum() - 1.5 * sums["size"].sum()) < 1e-6
     assert mixing.mixed_documents(docs).count() > 0
 
 
-def test_water_fill():
-    t = mixing.water_fill(np.array([10.0, 100.0, 100.0]), np.array([3.0, 1.0, 2.0]), 300.0)
-    assert t[0] == 20 and abs(t.sum() - 300) < 1e-9 and (t <= [20, 200, 200]).all() and abs(t[2] - 2 * t[1]) < 1e-9
+def _brute_fill(sizes, weights, total, most):
+    caps, full = [most * s for s in sizes], set()
+    while len(full) < len(sizes):
+        level = max(0.0, total - sum(caps[i] for i in full)) / sum(w for i, w in enumerate(weights) if i not in full)
+        over = {i for i in range(len(sizes)) if i not in full and level * weights[i] > caps[i]}
+        if not over:
+            break
+        full |= over
+    return [caps[i] if i in full else level * weights[i] for i in range(len(sizes))]
+
+
+def test_water_fill(spark):
+    rng = random.Random(3)
+    for n in (1, 3, 40):
+        sizes = [rng.choice([0, 10, 100, rng.randrange(5000)]) for _ in range(n)]
+        weights = [(3.0, 1.0, 2.0)[i % 3] for i in range(n)]
+        rows = [(f"s{i:03}", s, i, w) for i, (s, w) in enumerate(zip(sizes, weights, strict=True))]
+        out = {r.source: r.target for r in mixing.water_fill(spark.createDataFrame(rows, "source string, size long, place long, weight double"), 1.5 * sum(sizes)).collect()}
+        assert np.allclose([out[f"s{i:03}"] for i in range(n)], _brute_fill(sizes, weights, 1.5 * sum(sizes), 2.0))
+
+
+def test_source_weights(spark):
+    rows = [(s,) for s in ["b", None, "a", "\U0001f600", "\uffee", "a", "", "Z"]]
+    got = sorted((r.place, r.source, r.weight) for r in mixing.source_weights(spark.createDataFrame(rows, "source string").repartition(3)).collect())
+    assert got == [(i, s, (3.0, 1.0, 2.0)[i % 3]) for i, s in enumerate(["", "Z", "a", "b", "\uffee", "\U0001f600", None])]
+
+
+def test_mixed_documents_copies_each_row_as_planned(docs):
+    plan = mixing.mix_sources(docs).toPandas()
+    out = mixing.mixed_documents(docs).toPandas()
+    assert len(out) == plan.copies.sum()
+    want = plan.fillna({"doc_id": -1}).groupby("doc_id").copies.sum()
+    got = out.fillna({"doc_id": -1}).groupby("doc_id").size()
+    assert got.to_dict() == want[want > 0].to_dict()
 
 
 def test_base_spans():
