@@ -70,12 +70,18 @@ def _remove_all() -> None:
         _remove(path)
 
 
-def staged(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: lineage ends here and a lost executor loses nothing."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed when the process ends."""
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     _staged[path] = spark
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    return path
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Writes df as Parquet in the shared folder and reads it back: lineage ends here and a lost executor loses nothing."""
+    spark = df.sparkSession
+    path = scratch(spark)
+    df.write.option("compression", "zstd").parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()  # lets the cleaner remove the shuffle files that led to this table
     out = spark.read.schema(df.schema).parquet(path)

@@ -25,7 +25,8 @@ from .kernels import mix
 ORDER = 4
 #: 4-grams times languages in a part of the models: what the driver gathers and sends out at once, besides the last key's.
 MOST_GRAMS = 1 << 20
-#: Characters of evidence a score counts at most.
+#: The score is the chance of the best language for a text of so many characters, or its own if it has fewer, at the whole
+#: text's mean cross-entropies. A whole text's own chance is 1 for any text of some length, so it could reject nothing.
 EVIDENCE = 40
 BINS = 200
 #: One in so many learning texts is left out of the models that rejection is calibrated with.
@@ -327,8 +328,9 @@ def identify_language(docs: DataFrame, *, most_grams: int = MOST_GRAMS) -> DataF
     """Per document: doc_id, held_out, lang_pred, score, entropy (nats a character), rejected and text_hash.
 
     Learning rows: non-null lang, and crc32(doc_id) mod 5 not 0 (a null doc_id is held out). A null text, one without
-    letters, and any text where nothing could be learned are ``und`` with score 0, and rejected. So is a text whose score is
-    too low, or whose entropy is too high for its language: of a script or language that was not learned, or no language."""
+    letters, and any text where nothing could be learned are ``und`` with score 0, and rejected. The prediction and entropy
+    come from the whole text; the score is the best language's chance at these entropies for EVIDENCE characters, so that
+    long and short texts have one scale. Rejected is also a text whose score is too low, or whose entropy is too high for its language: of a script or language that was not learned, or no language."""
     spark = docs.sparkSession
     rows = documents(docs, "doc_id", "text", "lang").withColumn("text_hash", F.xxhash64("text")).withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True)))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import documents, in_chunks, staged, table
+from .common import documents, in_chunks, release, staged, table
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 EXTRA = ["n_upper", "n_digits", "n_punct", "n_lines", "n_distinct", "n_bytes"]
@@ -170,7 +170,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, *, sample_rows: int
     """Per document: doc_id, the base statistics, base_failed, probability (of good quality; null without a model) and kept.
 
     ``labels`` has doc_id and quality (0 or 1); rows with nulls in either are left out. The ensemble is fitted on the
-    ``sample_rows`` labelled documents that come first by a hash of doc_id: a bound on the driver's data, the same at
+    ``sample_rows`` labelled documents that come first by a hash of doc_id and statistics: a bound on the driver's data, the same at
     every input size. Without labels of both kinds there is no model and all that pass the base are kept.
     """
     columns = BASE + EXTRA
@@ -182,7 +182,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame | None, *, sample_rows: int
     model = None
     if labels is not None:
         known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-        rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *columns).limit(sample_rows).toPandas()
+        # rows repeated whole count once; few more than sample_rows lie below the cut, and only they leave their tasks
+        seen = staged(stats.join(known, "doc_id").distinct().withColumn("hash", F.xxhash64("doc_id", *columns)))
+        n = seen.count()
+        share = (sample_rows + 6 * sample_rows**0.5) / n if n > sample_rows else 1.0
+        below = F.col("hash") <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63)))
+        rows = seen.where(below).toPandas().sort_values(["hash", "doc_id", *columns]).head(sample_rows)
+        release(seen)
         if rows["quality"].nunique() == 2:
             model = fit(features(rows), rows["quality"].to_numpy(float), list(FEATURES.values()))
 

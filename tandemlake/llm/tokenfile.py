@@ -2,15 +2,15 @@
 
 A shard holds consecutive documents: a header, their ids and lengths, two bits for each token (its bytes less one, four
 tokens to a control byte), and the tokens' bytes. A token is written as its rank by corpus frequency, so the commonest
-256 take one byte. Shards are rows of a Parquet table in the shared folder, so that any file system Spark knows holds
-them and a lost task is simply written again; ``vocabulary`` beside them has the rank table.
+256 take one byte. A token file is a folder: ``shards`` is a Parquet table with a shard in each row, so that any file
+system Spark knows holds them and a lost task is simply written again; ``vocabulary`` has the id and count of each rank.
+The folder is all that a reader needs.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import encoding
-from .common import documents, in_chunks, partitions, staged, table
+from .common import documents, in_chunks, partitions, release, scratch, staged, table
 
 MAGIC = b"FRV1"
 END_ID = 2
@@ -64,24 +64,18 @@ def unpack(shard: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, counts, ranks
 
 
-@dataclass
-class TokenFiles:
-    """Written shards: shard (binary), start (ids before it), of ids in the order of by_rank."""
-
-    shards: DataFrame
-    by_rank: np.ndarray
-    counts: np.ndarray
-
-
 #: Stands for a null doc_id in a shard; nulls come first.
 NULL_ID = np.iinfo(np.int64).min
 
 
-def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_id: int = END_ID) -> TokenFiles:
-    """Encodes every whole text (null: empty), appends end_id, and writes all ids in ascending doc_id order.
+def write_tokens(docs: DataFrame, path: str | None = None, *, vocabulary: str = "word_bpe_49k.json", end_id: int = END_ID) -> str:
+    """Encodes every whole text (null: empty), appends end_id, and writes all ids in ascending doc_id order to a token file
+    at path, by default one that goes when the process ends. Returns the path.
 
-    Null doc_ids come first, rows with equal ids in any order; each row is a document of its own."""
+    Null doc_ids come first, rows of one doc_id in the order of a hash of their texts; each row, repeated ones too, is a
+    document of its own. An empty table gives a file without shards."""
     spark = docs.sparkSession
+    path = path or scratch(spark)
 
     def encode(batch: pd.DataFrame) -> pd.DataFrame:
         end = end_id.to_bytes(2, "little")
@@ -103,8 +97,9 @@ def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_
             last.loc[len(last) - 1, "seen"] = zlib.compress(seen.tobytes(), 1)
             yield last
 
-    rows = documents(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("doc_id"), "text")
-    dealt = rows.repartitionByRange(partitions(docs), "doc_id").sortWithinPartitions("doc_id").select(F.spark_partition_id().alias("pid"), "doc_id", "text")
+    rows = documents(docs, "doc_id", "text").select(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("doc_id"), F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("uid"), "text")
+    # by text and row too, so that no doc_id is one task's
+    dealt = rows.repartitionByRange(partitions(docs), "doc_id", "tie", "uid").sortWithinPartitions("doc_id", "tie", "uid").select(F.spark_partition_id().alias("pid"), "doc_id", "text")
     tokens = staged(dealt.mapInPandas(counted, "pid int, doc_id long, n_tokens long, ids binary, place long, seen binary"))
 
     # one row for each range of doc_ids: where its ids begin
@@ -139,13 +134,18 @@ def write_tokens(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_
                 ranks = rank[np.frombuffer(b"".join(part["ids"]), np.uint16)]
                 yield pd.DataFrame({"start": [part["start"].iloc[0]], "n_docs": [len(part)], "shard": [pack(part["doc_id"].to_numpy(), part["n_tokens"].to_numpy(), ranks)]})
 
-    return TokenFiles(staged(tokens.drop("seen").mapInPandas(shard, "start long, n_docs long, shard binary")), by_rank, counts)
+    tokens.drop("seen").mapInPandas(shard, "start long, n_docs long, shard binary").write.parquet(f"{path}/shards")
+    ranked = pd.DataFrame({"rank": np.arange(VOCABULARY), "id": by_rank.astype(np.int64), "n": counts[by_rank]})
+    spark.createDataFrame(ranked).coalesce(1).write.parquet(f"{path}/vocabulary")
+    release(tokens)
+    return path
 
 
-def read_tokens(files: TokenFiles, *, ids: bool = True) -> DataFrame:
-    """Per document, from the shards: doc_id, start, n_tokens, ids_crc32 and, if asked for, ids (little-endian, unsigned,
+def read_tokens(spark: SparkSession, path: str, *, ids: bool = True) -> DataFrame:
+    """Per document, from a token file: doc_id, start, n_tokens, ids_crc32 and, if asked for, ids (little-endian, unsigned,
     32 bits)."""
-    by_rank = files.by_rank
+    ranked = spark.read.parquet(f"{path}/vocabulary").orderBy("rank").select("id").toPandas()  # a row for each id there is
+    by_rank = ranked["id"].to_numpy(np.uint32)
 
     def read(batches):
         for batch in batches:
@@ -157,11 +157,12 @@ def read_tokens(files: TokenFiles, *, ids: bool = True) -> DataFrame:
                 out = {"doc_id": pd.Series(doc_ids, dtype="Int64").mask(doc_ids == NULL_ID), "start": start + ends - counts, "n_tokens": counts.astype(np.int64), "ids_crc32": [zlib.crc32(p) for p in parts]}
                 yield pd.DataFrame(out | ({"ids": parts} if ids else {}))
 
-    return files.shards.select("start", "shard").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
+    shards = spark.read.schema("start long, n_docs long, shard binary").parquet(f"{path}/shards")
+    return shards.select("start", "shard").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids)
 
 
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_tokens(write_tokens(table(spark, sf_dir, "documents")), ids=False)
+    return read_tokens(spark, write_tokens(table(spark, sf_dir, "documents")), ids=False)
 
 
 QUERIES = {"op3_token_file": op3_token_file}

@@ -59,7 +59,7 @@ def by_row(pdf, columns):
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     for out in (quality.quality_rules(empty, labels), langid.identify_language(empty), substring.dedup_substrings(empty), packing.pack_documents(empty), licenses.license_scan(empty), neardup.near_duplicates(empty),
-                mixing.mix_sources(empty), pii.find_pii(empty), media.media_columns(media.to_media(empty)), tokenfile.read_tokens(tokenfile.write_tokens(empty))):
+                mixing.mix_sources(empty), pii.find_pii(empty), media.media_columns(media.to_media(empty)), tokenfile.read_tokens(spark, tokenfile.write_tokens(empty))):
         assert out.count() == 0
 
 
@@ -86,6 +86,35 @@ def test_quality_rules(spark, docs):
     assert quality.quality_rules(docs, None).where("not kept and not base_failed").count() == 0
 
 
+def test_flat_trees_score_like_a_walk():
+    """Node arrays against one row at a time, node by node, and each signed feature against its sign."""
+    rng = np.random.default_rng(11)
+    signs = list(quality.FEATURES.values())
+    x = np.round(rng.random((800, len(signs))), 2)
+    model = quality.fit(x, (x[:, 0] + x[:, 5] + 0.3 * rng.random(800) < 1).astype(float), signs)
+    for row, got in zip(x[:100], model.margin(x[:100]), strict=True):
+        total = model.bias
+        for node in model.roots.tolist():
+            while model.left[node] != node:
+                node = int(model.left[node] if row[model.feature[node]] <= model.threshold[node] else model.right[node])
+            total += model.value[node]
+        assert abs(total - got) < 1e-9
+    for j, sign in enumerate(signs):
+        line = np.repeat(x[:1], 50, axis=0)
+        line[:, j] = np.linspace(0, 1, 50)
+        assert not sign or (np.diff(model.margin(line)) * sign >= -1e-12).all()
+
+
+def test_quality_sample_is_bounded(spark, docs, monkeypatch):
+    """The fit sees just sample_rows labelled rows, the same ones however the rows lie."""
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y, signs: seen.append((x, y)) or quality.Ensemble(np.zeros(0, int), np.zeros(0), np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0, int), 0, 0.0))
+    for rows in (docs, docs.repartition(6)):
+        quality.quality_rules(rows, labels, sample_rows=12)
+    assert seen[0][0].shape[0] == 12 and (seen[0][0] == seen[1][0]).all() and (seen[0][1] == seen[1][1]).all()
+
+
 def test_ensemble_is_monotone_and_fits():
     rng = np.random.default_rng(1)
     x = rng.random((2000, 3))
@@ -115,6 +144,46 @@ def test_language_models():
     assert p.argmax(1).tolist() == [0, 1]
 
 
+def _kneser_ney(texts, history, symbol, vocabulary):
+    """The interpolated probability by its definition, from plain counters."""
+    grams = {}
+    whole = collections.Counter()
+    for t in texts:
+        padded = "\1\1\1" + t
+        whole.update(padded[i - 3 : i + 1] for i in range(3, len(padded)))
+    grams[4] = whole
+    for order in (3, 2, 1):
+        grams[order] = collections.Counter(g[1:] for g in grams[order + 1])
+    p = 1 / vocabulary
+    for order in (1, 2, 3, 4):
+        ones, twos = (sum(c == v for c in grams[order].values()) for v in (1, 2))
+        discount = min(max(ones / max(ones + 2 * twos, 1) if ones + twos else 0.5, 0.05), 0.95)
+        of = history[len(history) - order + 1 :] if order > 1 else ""
+        follow = {g: c for g, c in grams[order].items() if g[:-1] == of}
+        total = sum(follow.values())
+        if total:
+            p = max(follow.get(of + symbol, 0) - discount, 0) / total + discount * len(follow) / total * p
+    return p
+
+
+def test_language_models_are_kneser_ney():
+    rng = random.Random(14)
+    texts = {lang: [" ".join("".join(rng.choice(parts) for _ in range(2)) for _ in range(30)) for _ in range(8)] for lang, parts in (("aa", ["ba", "lo", "mi"]), ("bb", ["st", "un", "kei", "lo"]))}
+    lang, gram, n = [], [], []
+    for i, t in enumerate(texts.values()):
+        g, c = np.unique(langid.symbols(t).grams, return_counts=True)
+        lang.append(np.full(len(g), i)), gram.append(g), n.append(c)
+    model = langid.train(list(texts), np.concatenate(lang), np.concatenate(gram), np.concatenate(n))
+    vocabulary = len({c for t in texts.values() for x in t for c in x}) + 1
+    for text in ("bal", "un lost", "kei mi"):
+        found = np.exp(model.log_probabilities(langid.symbols([text]).grams))
+        padded = "\1\1\1" + text
+        for i in range(len(text)):
+            for k, own in enumerate(texts.values()):
+                if (got := _kneser_ney(own, padded[i : i + 3], text[i], vocabulary)) and any(text[i] in x for x in own):
+                    assert abs(found[i, k] - got) < 1e-6, (text, i, k)
+
+
 def test_language_id(docs):
     out = langid.identify_language(docs).toPandas()
     assert len(out) == len(ROWS) and out.score.between(0, 1).all()
@@ -154,13 +223,20 @@ def test_shard_round_trip():
         tokenfile.unpack(b"none")
 
 
-def test_token_file(docs):
-    out = tokenfile.read_tokens(tokenfile.write_tokens(docs)).toPandas().sort_values("start")
+def test_token_file(spark, docs, tmp_path):
+    path = tokenfile.write_tokens(docs, f"file:{tmp_path}/tokens")
+    out = tokenfile.read_tokens(spark, path).toPandas().sort_values("start")
     want = collections.Counter((r[0], encoding.encode_words([r[1]])[0] + b"\2\0") for r in ROWS)
     got = collections.Counter((None if pd.isna(r.doc_id) else r.doc_id, np.frombuffer(r.ids, "<u4").astype(np.uint16).tobytes()) for r in out.itertuples())
     assert got == want
     assert out.start.tolist() == (out.n_tokens.cumsum() - out.n_tokens).tolist() and out.doc_id.dropna().is_monotonic_increasing
     assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in out.itertuples())
+    # the folder alone decodes, without any of the library's state, and reruns agree
+    ranked = spark.read.parquet(f"{path}/vocabulary").orderBy("rank").toPandas()
+    counts = collections.Counter(t for r in out.itertuples() for t in np.frombuffer(r.ids, "<u4").tolist())
+    assert ranked.n.is_monotonic_decreasing and {i: n for i, n in zip(ranked.id, ranked.n, strict=True) if n} == counts
+    again = tokenfile.read_tokens(spark, tokenfile.write_tokens(docs.repartition(7))).toPandas().sort_values("start")
+    assert again.ids.tolist() == out.ids.tolist() and again.start.tolist() == out.start.tolist()
 
 
 @pytest.mark.parametrize("group", [1, 256])
