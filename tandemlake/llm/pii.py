@@ -198,6 +198,9 @@ def _run(words: list[str], i: int, a: int, b: int) -> list[str]:
     return [f"run={min(len(run), 20)}:{i - a}:{b - i}", f"runluhn={13 <= len(run) <= 19 and luhn(run)}:{b > a}"]
 
 
+_NO_RUN = ["run=0:0:0", "runluhn=False:False"]
+
+
 def _run_bounds(numeric: list[bool], i: int, first: int, last: int) -> tuple[int, int]:
     """The run of words of digits around word i of those from first to last, at most four to each side."""
     a = b = i
@@ -359,9 +362,9 @@ class Field:
 
     w: np.ndarray
     t: np.ndarray
-    known: dict[str, np.ndarray] = field(default_factory=dict)
+    known: dict[tuple, np.ndarray] = field(default_factory=dict)
 
-    #: Words whose vectors are kept; beyond, all are forgotten.
+    #: Kinds of words whose vectors are kept; beyond, all are forgotten.
     MOST = 1 << 16
 
     def __post_init__(self):
@@ -377,14 +380,16 @@ class Field:
     def vectors(self, word: str) -> np.ndarray:
         """Label scores that a word gives itself, and words at each distance of _BESIDE from which it is seen; the last
         row is the share of digits standing alone in the first."""
-        found = self.known.get(word)
+        own = _own(word)
+        run = _run([word], 0, 0, 0) if own[1] != "d=0" else _NO_RUN
+        key = (own, *run)
+        found = self.known.get(key)
         if found is None:
-            own = _own(word)
-            alone = self.w[[_slot(f) for f in _run([word], 0, 0, 0)]].sum(0)
+            alone = self.w[[_slot(f) for f in run]].sum(0)
             found = np.stack([self.w[[_slot("0" + f) for f in own]].sum(0) + alone, *(self.w[[_slot(f) for f in _beside(d, own)]].sum(0) for d in _BESIDE), alone])
             if len(self.known) >= self.MOST:
                 self.known.clear()
-            self.known[word] = found
+            self.known[key] = found
         return found
 
     def scores(self, w: K.Words) -> tuple[np.ndarray, list[str], np.ndarray]:
