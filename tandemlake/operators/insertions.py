@@ -71,30 +71,23 @@ def length_candidates(lengths: DataFrame, keys: list[str], min_reads: int, min_f
     return near.where(ok).select(*keys, "ins_len", "n")
 
 
-def pick_modes(counts: dict[int, int], min_reads: int, min_fraction: float, min_gap: int = MIN_GAP, max_valley: float = MAX_VALLEY) -> list[int]:
-    """Lengths that mark separate insertions: local maxima, commonest first, kept at least min_gap from all kept ones if the
-    counts between fall to max_valley of the smaller one."""
-    total = sum(counts.values())
-    c = lambda x: counts.get(x, 0)
-    tops = [x for x, n in counts.items() if total and n >= min_reads and n >= min_fraction * total and n >= c(x - 1) and n > c(x + 1)]
-    kept: list[int] = []
-    for x in sorted(tops, key=lambda x: (-counts[x], x)):
-        if all(abs(x - y) >= min_gap and min(map(c, range(min(x, y) + 1, max(x, y)))) <= max_valley * min(counts[x], counts[y]) for y in kept):
-            kept.append(x)
-    return sorted(kept)
-
-
-def length_modes(lengths: DataFrame, key: str, min_reads: int, min_fraction: float) -> DataFrame:
-    """key, mode, n of each mode: lengths are counted by Spark, a group's few hundred counts are picked from in one task."""
-    counts = lengths.groupBy(key, F.col("ins_len").cast("int").alias("ins_len")).agg(F.count("*").alias("n"))
-
-    def pick(part: pd.DataFrame) -> pd.DataFrame:
-        by = dict(zip(part["ins_len"].tolist(), part["n"].tolist(), strict=True))
-        modes = pick_modes(by, min_reads, min_fraction)
-        return pd.DataFrame({key: [part[key].iloc[0]] * len(modes), "mode": modes, "n": [by[m] for m in modes]})
-
-    kind = lengths.schema[key].dataType.simpleString()
-    return counts.groupBy(key).applyInPandas(pick, f"{key} {kind}, mode int, n long")
+def length_modes(lengths: DataFrame, key: str, min_reads: int, min_fraction: float, min_gap: int = MIN_GAP, max_valley: float = MAX_VALLEY) -> DataFrame:
+    """key, mode, n: lengths that mark separate insertions. Candidates are folded in by descending count (the lower length on
+    ties); one stays if it is min_gap away from each that stays and the counts between fall to max_valley of the smaller.
+    A key has a few hundred lengths at most, so its counts are one row's map."""
+    rows = lengths.select(key, F.col("ins_len").cast("int").alias("ins_len"))
+    counts = rows.groupBy(key, "ins_len").agg(F.count("*").alias("n")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ins_len", "n"))).alias("counts"))
+    tops = length_candidates(rows, [key], min_reads, min_fraction)
+    order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("rank"), F.col("ins_len").alias("len"))))
+    both = tops.groupBy(key).agg(order.alias("tops")).join(counts, key)
+
+    def apart(x: Column, y: Column) -> Column:
+        inner = F.sequence(F.least(x.len, y.len) + 1, F.greatest(x.len, y.len) - 1)
+        valley = F.array_min(F.transform(inner, lambda at: F.coalesce(F.element_at("counts", at), F.lit(0))))
+        return (F.abs(x.len - y.len) >= min_gap) & (valley <= F.least(-x["rank"], -y["rank"]) * max_valley)
+
+    kept = F.aggregate("tops", F.slice("tops", 1, 0), lambda kept, x: F.when(F.forall(kept, lambda y: apart(x, y)), F.concat(kept, F.array(x))).otherwise(kept))
+    return both.select(key, F.explode(kept).alias("m")).select(key, F.col("m.len").alias("mode"), (-F.col("m.rank")).alias("n"))
 
 
 def nearest_mode(lengths: DataFrame, modes: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -151,6 +150,3 @@ def peaks_frame(spark: SparkSession, peaks: list[dict]) -> DataFrame:
     rows = [(p["alias"], p["mean_bp"], p["sd_bp"], p["fraction"], int(p.get("effective_read_count", 0)), float(p.get("effective_allele_freq", 0.0)), p["putative_itd_size"], p["is_wt"]) for p in peaks]
     return spark.createDataFrame(rows, "peak_alias string, mean_bp double, sd_bp double, fraction double, effective_read_count long, effective_allele_freq double, putative_itd_size double, is_wt boolean")
 
-
-def is_finite(x: float) -> bool:
-    return x is not None and math.isfinite(x)

@@ -605,9 +605,9 @@ def fasta_export(spark, sf_dir):
     return consensus.reference_alleles(calls).select(fasta_record().alias("record"))
 
 
-@query(with_reads(", t AS (SELECT DISTINCT substr(read_seq, 130, 45) AS s FROM reads WHERE read_id % 3 = 0), q AS (SELECT substr(w, 136, 45) AS c FROM wt) SELECT s, contains(c || c, s) AND length(s) = length(c) AS rotated, contains(c || c, substr(s, 21) || substr(s, 1, 20)) AND length(s) = length(c) AS turned FROM t, q"))
+@query(with_reads(", t AS (SELECT DISTINCT substr(read_seq, 130, 45) AS s FROM reads), q AS (SELECT substr(w, 136, 45) AS c FROM wt) SELECT s, contains(c || c, s) AND length(s) = length(c) AS rotated, contains(c || c, substr(s, 21) || substr(s, 1, 20)) AND length(s) = length(c) AS turned FROM t, q"))
 def rotation_match(spark, sf_dir):
-    t = reads(spark, sf_dir).where("read_id % 3 = 0").select(F.substring("read_seq", 130, 45).alias("s")).distinct()
+    t = reads(spark, sf_dir).select(F.substring("read_seq", 130, 45).alias("s")).distinct()
     turned = F.concat(S.tail(F.col("s"), 20), S.head(F.col("s"), 20))
     return t.select("s", S.is_rotation(F.lit(WT[135:180]), F.col("s")).alias("rotated"), S.is_rotation(F.lit(WT[135:180]), turned).alias("turned"))
 

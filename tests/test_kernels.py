@@ -12,7 +12,7 @@ from tandemlake.kernels import anchors, mixture, msa
 from tandemlake.kernels.align import DISCOVERY, LOCATOR, VALIDATION, align_batch, score_of
 from tandemlake.kernels.denoise import denoise
 from tandemlake.kernels.trim import ends_of, trim_read
-from tandemlake.operators.insertions import pick_modes
+from tandemlake.operators.insertions import length_modes
 from tandemlake.operators.peaks import merge_close, name_peaks, refine_length, window_floor
 
 
@@ -57,21 +57,66 @@ def test_alignment_finds_the_insertion():
 
 
 def test_known_answers():
-    assert anchor_coordinates(336, 20, 10) == (15, 325) and anchor_coordinates(336, 20, 15) == (10, 330)
-    assert msa.context_window([(120, 180), (150, 200)], [10, 10], 336, flank=30) == (120, 156)
-    assert pick_modes({49: 10, 50: 12, 51: 536, 52: 17, 53: 4, 54: 5, 55: 2, 56: 7, 57: 172}, 20, 0.15) == [51, 57]
-    assert window_floor("ITD_1", {"ITD_1": 51.0, "ITD_2": 62.0}, 10) == 5.5
-    odds, p = fisher_exact(2753, 2829, 4166, 3789)
-    assert round(odds, 3) == 0.885 and round(p, 6) == 0.000478
-    assert round(fisher_exact(8, 2, 1, 5)[1], 6) == 0.034965
-    assert resolve_contig(["1", "13"]) == "13"
+    assert anchor_coordinates(300, 16, 4) == (21, 283) and anchor_coordinates(300, 16, 0) == (25, 279)
+    assert window_floor("ITD_2", {"ITD_1": 30.0, "ITD_2": 36.0, "ITD_3": 80.0}, 8) == 3.0
+    assert window_floor("ITD_3", {"ITD_1": 30.0, "ITD_3": 80.0}, 8) == 8.0 and window_floor("x", {}, 4) == 4.0
+    odds, p = fisher_exact(6, 3, 2, 7)
+    assert odds == 7.0 and round(p, 6) == round((math.comb(9, 6) * math.comb(9, 2) + math.comb(9, 7) * math.comb(9, 1) + math.comb(9, 8)) * 2 / math.comb(18, 8), 6)
+    assert resolve_contig(["2", "13"]) == "13"
     with pytest.raises(ValueError):
-        resolve_contig(["x"])
-    for bad in ((336, 0, 10), (336, 20, 30), (336, 160, 10)):
+        resolve_contig(["chr2"])
+    for bad in ((300, 0, 4), (300, 16, 26), (300, 135, 4)):
         with pytest.raises(ValueError):
             anchor_coordinates(*bad)
     with pytest.raises(ValueError):
-        Settings(min_observed_reads=2)
+        Settings(min_observed_reads=1)
+
+
+def test_context_window():
+    assert msa.context_window([(10, 12), (11, 15), (40, 41)], [5, 4, 1], 100, flank=3) == (8, 57)
+    assert msa.context_window([(10, 12), (11, 15), (40, 41)], [5, 4, 1], 100, flank=3, share=0.9) == (8, 86)
+    assert msa.context_window([(50, 60), (20, 30), (80, 81), (9, 10)], [6, 2, 2, 1], 100, flank=0, share=0.7) == (30, 50)
+    rng = random.Random(77)
+    for _ in range(200):
+        spans = [(a := rng.randrange(80), a + rng.randrange(12)) for _ in range(rng.randint(1, 8))]
+        w = [rng.randint(1, 9) for _ in spans]
+        left, right = msa.context_window(spans, w, 100, flank=0)
+        low, high = left, 100 - right
+        assert sum(x for (a, b), x in zip(spans, w, strict=True) if a <= high and b >= low) >= 0.95 * sum(w)
+        # it holds a point of the most weight, and no end could be drawn in
+        most = max(sum(x for (a, b), x in zip(spans, w, strict=True) if a <= p <= b) for p in range(100))
+        assert any(sum(x for (a, b), x in zip(spans, w, strict=True) if a <= p <= b) == most for p in range(low, high + 1))
+        if low < high:
+            assert any(b == low for _, b in spans) or any(a == low for a, _ in spans)
+
+
+def test_length_modes(spark):
+    def modes(counts, least, share):
+        rows = spark.createDataFrame([("p", x) for x, n in counts.items() for _ in range(n)], "peak string, ins_len int")
+        return sorted((r["mode"], r.n) for r in length_modes(rows, "peak", least, share).collect())
+
+    assert modes({30: 100, 31: 8, 32: 3, 36: 60, 37: 58, 60: 20, 61: 25}, 10, 0.05) == [(30, 100), (36, 60), (61, 25)]
+    assert modes({50: 100, 51: 70, 52: 65, 53: 80}, 10, 0.05) == [(50, 100)]  # no valley
+    assert modes({20: 40, 22: 40, 25: 40}, 5, 0.1) == [(20, 40), (25, 40)]  # 22 is too near
+    assert modes({20: 4, 40: 90}, 5, 0.01) == [(40, 90)] and modes({20: 4}, 5, 0.01) == []
+
+
+def test_weighted_consensus_against_counting():
+    rng = random.Random(19)
+    for _ in range(200):
+        rows = ["".join(rng.choice("ACGT--") for _ in range(12)) for _ in range(rng.randint(1, 7))]
+        w = [rng.randint(0, 5) for _ in rows]
+        got = msa.weighted_consensus(rows, w, 0.6, 0.5)
+        total = sum(w) or 1
+        columns = [list(zip(c, w, strict=True)) for c in zip(*rows, strict=True)]
+        covers = [sum(x for c, x in col if c != "-") for col in columns]
+        keep = [j for j in range(12) if covers[j] / total >= 0.5] or [covers.index(max(covers))]
+        text = ""
+        for j in [j for j in keep if any(c != "-" for c, _ in columns[j])]:
+            sums = {c: sum(x for d, x in columns[j] if d == c) for c, _ in columns[j] if c != "-"}
+            best = next(c for c, _ in columns[j] if c != "-" and sums[c] == max(sums.values()))
+            text += best if covers[j] and sums[best] / covers[j] >= 0.6 else "N"
+        assert got.sequence == text
 
 
 def test_boundary_interval_is_the_brute_force_set():
@@ -86,10 +131,10 @@ def test_boundary_interval_is_the_brute_force_set():
 
 
 def test_anchor_hits_are_exhaustive():
-    rng = random.Random(3021)
+    rng = random.Random(8)
     for _ in range(100):
-        seq, anchor = "".join(rng.choice("ACGTN") for _ in range(60)), "".join(rng.choice("ACGT") for _ in range(8))
-        brute = [(p, sum(a != b for a, b in zip(seq[p : p + 8], anchor, strict=True))) for p in range(53) if "N" not in seq[p : p + 8]]
+        seq, anchor = "".join(rng.choice("ACGTN") for _ in range(70)), "".join(rng.choice("ACGT") for _ in range(7))
+        brute = [(p, sum(a != b for a, b in zip(seq[p : p + 7], anchor, strict=True))) for p in range(64) if "N" not in seq[p : p + 7]]
         assert anchors.hits(seq, anchor, 3) == [x for x in brute if x[1] <= 3]
 
 
