@@ -11,24 +11,21 @@ from pyspark.sql import functions as F
 
 from tandemlake.assay import EXTRACTION, Settings, resolve_contig
 from tandemlake.operators import quantify
-from tandemlake.operators.reads import region_scan, restore_orientation, trim_primers
+from tandemlake.operators.reads import keep_last, region_scan, restore_orientation, trim_primers
 from tandemlake.plans import pipeline
-from tandemlake.sources import bam, sinks
+from tandemlake.sources import bam, files, sinks
 
 
 def read_sample(spark: SparkSession, path: str, settings: Settings) -> DataFrame:
     """Trimmed reads of a BAM file: the extraction window, sequencing orientation, primers, length band."""
     bam.register(spark)
     rows = spark.read.format("bam").load(path)
-    names = [r.chrom for r in rows.where("chrom is not null").select("chrom").distinct().limit(10_000).collect()]
-    if not names:
-        return trim_primers(rows.select(F.col("read_name").alias("read_id"), F.col("seq").alias("read_seq"), F.col("qual").alias("read_qual")).limit(0), settings)
+    names = bam.read_header(files.listed(path, ".bam")[0][0]).contigs
     start, end = EXTRACTION["hg38" if settings.genome == "hg38" else "hg19"]
     inside = region_scan(rows.where(F.col("chrom") == resolve_contig(names)), start, end, settings.min_mapping_quality)
-    oriented = restore_orientation(inside).select(F.col("read_name").alias("read_id"), F.col("seq").alias("read_seq"), F.col("qual").alias("read_qual"))
-    # of equal names one record is kept, by a total order
-    one = oriented.groupBy("read_id").agg(F.max(F.struct("read_seq", "read_qual")).alias("r")).select("read_id", "r.read_seq", "r.read_qual")
-    return trim_primers(one, settings)
+    oriented = restore_orientation(inside).select(F.col("read_name").alias("read_id"), F.col("seq").alias("read_seq"), F.col("qual").alias("read_qual"), "place")
+    # of equal names the record that stands last in the file
+    return trim_primers(keep_last(oriented, ["read_id"], [F.col("place")]).drop("place", "n_rows"), settings)
 
 
 def run_sample(spark: SparkSession, path: str, out: str, sample: str, settings: Settings, report: bool = True) -> int:

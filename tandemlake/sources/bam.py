@@ -1,96 +1,275 @@
-"""BAM as a Python data source: BGZF blocks and alignment records, with pushed filters; and a writer for fixtures.
+"""BAM as a Python data source: BGZF blocks and alignment records, split and filtered; and a writer for fixtures.
 
-``spark.read.format("bam").load(path)`` after ``register(spark)``. Each file is a partition.
-Filters on mapping quality and on positions are evaluated while records are decoded, before rows are made.
+``spark.read.format("bam").load(path)`` after ``register(spark)``. A file is cut into ranges of bytes; a task finds the
+first block in its range and the first record in that block, and reads the records that begin there, block by block.
+Filters on flag, contig, position and mapping quality are tested on a record's fixed fields, before its name, sequence or
+qualities are decoded; all others on the row. With an index beside the file (``.bai``) reading starts at the filtered
+region; in a file sorted by position it ends after it.
 """
 
 from __future__ import annotations
 
+import bisect
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+import numpy as np
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual
 
-SCHEMA = "read_name string, flag int, chrom string, pos int, pos_end int, mapq int, cigar string, seq string, qual string"
+from tandemlake.sources import files
+
+SCHEMA = "read_name string, flag int, chrom string, pos int, pos_end int, mapq int, cigar string, seq string, qual string, place long"
 # Codes of the format.
 _BASES = "=ACMGRSVTWYHKDBN"
 _CIGAR = "MIDNSHP=X"
 _CONSUMES_REFERENCE = frozenset("MDN=X")
 _EOF = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+_BLOCK = bytes.fromhex("1f8b0804")
+_FIXED = struct.Struct("<iiBBHHHiiii")
+_PAIRS = [a + b for a in _BASES for b in _BASES]
 
 
-def inflate(data: bytes) -> bytes:
-    """The contents of all gzip members."""
-    out = []
-    while data:
-        z = zlib.decompressobj(31)
-        out.append(z.decompress(data))
-        data = z.unused_data
-    return b"".join(out)
-
-
-def parse(data: bytes) -> Iterator[tuple]:
-    """Rows of SCHEMA from an uncompressed BAM."""
-    if data[:4] != b"BAM\1":
-        raise ValueError("not a BAM file")
-    (text,) = struct.unpack_from("<i", data, 4)
-    at = 8 + text
-    (n,) = struct.unpack_from("<i", data, at)
-    at += 4
-    names = []
-    for _ in range(n):
-        (size,) = struct.unpack_from("<i", data, at)
-        names.append(data[at + 4 : at + 3 + size].decode())
-        at += 8 + size
-    while at + 4 <= len(data):
-        (size,) = struct.unpack_from("<i", data, at)
-        ref, pos, name_size, mapq, _, ops, flag, bases, _, _, _ = struct.unpack_from("<iiBBHHHiiii", data, at + 4)
-        p = at + 36
-        name = data[p : p + name_size - 1].decode()
-        p += name_size
-        cigar = [(v >> 4, _CIGAR[v & 15]) for v in struct.unpack_from(f"<{ops}I", data, p)]
-        p += 4 * ops
-        packed = data[p : p + (bases + 1) // 2]
-        seq = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:bases]
-        p += (bases + 1) // 2
-        raw = data[p : p + bases]
-        qual = None if raw[:1] == b"\xff" else "".join(chr(min(q, 93) + 33) for q in raw)
-        span = sum(k for k, op in cigar if op in _CONSUMES_REFERENCE) or 1
-        yield name, flag, names[ref] if ref >= 0 else None, pos + 1, pos + span, mapq, "".join(f"{k}{op}" for k, op in cigar) or "*", seq, qual
-        at += 4 + size
+def blocks(f, at: int, size: int) -> Iterator[tuple[int, bytes]]:
+    """Offset and contents of each BGZF block from ``at`` on; at is a block's offset."""
+    held, base = b"", at
+    f.seek(at)
+    while True:
+        if len(held) < 1 << 16:
+            more = f.read(1 << 20)
+            held += more
+            if not held:
+                return
+        (extra,) = struct.unpack_from("<H", held, 10)
+        fields, p = held[12 : 12 + extra], 0
+        while fields[p : p + 2] != b"BC":
+            p += 4 + struct.unpack_from("<H", fields, p + 2)[0]
+        whole = struct.unpack_from("<H", fields, p + 4)[0] + 1
+        yield base, zlib.decompress(held[12 + extra : whole - 8], -15)
+        held, base = held[whole:], base + whole
 
 
-_TESTS = {GreaterThan: lambda a, b: a > b, GreaterThanOrEqual: lambda a, b: a >= b, LessThan: lambda a, b: a < b, LessThanOrEqual: lambda a, b: a <= b, EqualTo: lambda a, b: a == b}
-_COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+def first_block(f, start: int, size: int) -> int:
+    """The offset of the first block at or after start: one whose successor, or the file's end, stands where it says."""
+    f.seek(start)
+    window = f.read(1 << 18)
+    at = window.find(_BLOCK)
+    while at >= 0:
+        if window[at + 12 : at + 14] == b"BC" and len(window) >= at + 18:
+            after = start + at + struct.unpack_from("<H", window, at + 16)[0] + 1
+            if after == size or window[after - start : after - start + 4] == _BLOCK:
+                return start + at
+        at = window.find(_BLOCK, at + 1)
+    return size
+
+
+@dataclass
+class Header:
+    contigs: list[str]
+    sorted_: bool
+    block: int  # where the first record begins
+    inside: int
+
+
+def read_header(path: str) -> Header:
+    """Contigs, order and the place of the first record, from the file's first blocks."""
+    data, starts = b"", []
+    with files.opened(path) as f:
+        size = f.size()
+        for offset, body in blocks(f, 0, size):
+            starts.append((len(data), offset))
+            data += body
+            if data[:4] != b"BAM\1":
+                raise ValueError("not a BAM file")
+            try:
+                (text,) = struct.unpack_from("<i", data, 4)
+                at = 8 + text
+                (n,) = struct.unpack_from("<i", data, at)
+                at += 4
+                names = []
+                for _ in range(n):
+                    (length,) = struct.unpack_from("<i", data, at)
+                    names.append(data[at + 4 : at + 3 + length].decode())
+                    at += 8 + length
+                if at > len(data):
+                    continue
+            except struct.error:
+                continue
+            k = bisect.bisect_right(starts, (at, size)) - 1
+            return Header(names, b"SO:coordinate" in data[8 : 8 + text].split(b"\n")[0], starts[k][1], at - starts[k][0])
+    raise ValueError("not a BAM file")
+
+
+def _plausible(data: bytes, at: int, contigs: int) -> int:
+    """Where the record that may begin here ends; -1 if none can, -2 if the data end before that is known."""
+    if at + 36 > len(data):
+        return -2
+    (size,) = struct.unpack_from("<i", data, at)
+    ref, pos, name, _, _, ops, _, bases, other, place, _ = _FIXED.unpack_from(data, at + 4)
+    if not (-1 <= ref < contigs and -1 <= other < contigs and pos >= -1 and place >= -1 and name > 0 and bases >= 0):
+        return -1
+    if size < 32 + name + 4 * ops + (bases + 1) // 2 + bases:
+        return -1
+    if at + 36 + name <= len(data) and (data[at + 35 + name] or 0 in data[at + 36 : at + 35 + name]):
+        return -1
+    return at + 4 + size
+
+
+def first_record(data: bytes, contigs: int, owned: int) -> int | None:
+    """The first place before ``owned`` from which records follow one another to the end of the data."""
+    a = np.frombuffer(data, np.uint8)
+    n = min(owned, len(a) - 36)
+    if n <= 0:
+        return None
+    word = lambda k: a[k : k + n].astype(np.int64) | a[k + 1 : k + 1 + n].astype(np.int64) << 8 | a[k + 2 : k + 2 + n].astype(np.int64) << 16 | a[k + 3 : k + 3 + n].astype(np.int64) << 24
+    ref = word(4)
+    likely = ((ref < contigs) | (ref == 0xFFFFFFFF)) & (word(0) >= 32) & (word(0) < 1 << 28) & (a[12 : 12 + n] > 0)
+    for at in np.flatnonzero(likely).tolist():
+        end, seen = at, 0
+        while end >= 0 and end < len(data):
+            following = _plausible(data, end, contigs)
+            if following == -2:
+                break
+            end, seen = following, seen + 1
+        if end >= 0 and seen:
+            return at
+    return None
 
 
-class _File(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
+_TESTS = {GreaterThan: lambda a, b: a > b, GreaterThanOrEqual: lambda a, b: a >= b, LessThan: lambda a, b: a < b, LessThanOrEqual: lambda a, b: a <= b, EqualTo: lambda a, b: a == b}
+_COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+_EARLY = {"flag": 0, "chrom": 1, "pos": 2, "mapq": 3}
 
 
 class BamReader(DataSourceReader):
-    def __init__(self, path: str) -> None:
-        self.path = path
-        self.filters: list[tuple[int, type, object]] = []
+    def __init__(self, path: str, size: int = files.SPLIT) -> None:
+        self.path, self.size = path, size
+        self.early: list[tuple[int, type, object]] = []
+        self.late: list[tuple[int, type, object]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
-            if type(f) in _TESTS and len(f.attribute) == 1 and f.attribute[0] in _COLUMNS:
-                self.filters.append((_COLUMNS.index(f.attribute[0]), type(f), f.value))
+            name = f.attribute[0] if type(f) in _TESTS and len(f.attribute) == 1 else None
+            if name in _EARLY:
+                self.early.append((_EARLY[name], type(f), f.value))
+            elif name in _COLUMNS:
+                self.late.append((_COLUMNS.index(name), type(f), f.value))
             else:
                 yield f
 
-    def partitions(self) -> list[InputPartition]:
-        p = Path(self.path)
-        return [_File(str(f)) for f in (sorted(p.glob("*.bam")) if p.is_dir() else [p])]
+    def _begin(self, path: str, head: Header) -> tuple[int, int]:
+        """The block and the place in it where records that pass can begin: after the header, or where the index says."""
+        chrom = next((v for i, kind, v in self.early if i == _EARLY["chrom"] and kind is EqualTo), None)
+        least = max((v for i, kind, v in self.late if i == _COLUMNS.index("pos_end") and kind in (GreaterThan, GreaterThanOrEqual)), default=None)
+        if chrom not in head.contigs or least is None or not files.there(path + ".bai"):
+            return head.block, head.inside
+        with files.opened(path + ".bai") as f:
+            data = f.read()
+        at = 8
+        for ref in range(struct.unpack_from("<i", data, 4)[0]):
+            (bins,) = struct.unpack_from("<i", data, at)
+            at += 4
+            for _ in range(bins):
+                at += 8 + 16 * struct.unpack_from("<i", data, at + 4)[0]
+            (n,) = struct.unpack_from("<i", data, at)
+            if head.contigs[ref] == chrom:
+                windows = struct.unpack_from(f"<{n}Q", data, at + 4)
+                first = next((w for w in windows[max(0, least - 1) >> 14 :] if w), 0)
+                if first:
+                    return first >> 16, first & 0xFFFF
+                break
+            at += 4 + 8 * n
+        return head.block, head.inside
+
+    def partitions(self) -> list[files.Split]:
+        out = []
+        for path, size in files.listed(self.path, ".bam"):
+            head = read_header(path)
+            begin, inside = self._begin(path, head)
+            out.append(_Part(path, begin, min(begin + self.size, size), head, inside))
+            out += [_Part(path, a, min(a + self.size, size), head, None) for a in range(begin + self.size, size, self.size)]
+        return out
+
+    def read(self, partition) -> Iterator[tuple]:
+        head = partition.head
+        names = head.contigs
+        target = next((names.index(v) for i, kind, v in self.early if i == 1 and kind is EqualTo and v in names), None)
+        most = min((v for i, kind, v in self.early if i == 2 and kind in (LessThan, LessThanOrEqual)), default=None)
+        with files.opened(partition.path) as f:
+            size = f.size()
+            start = partition.start if partition.inside is not None else first_block(f, partition.start, size)
+            if start >= size:
+                return
+            source = blocks(f, start, size)
+            data, marks, owned, ended = b"", [], 0, False
+
+            def more() -> bool:
+                nonlocal data, owned, ended
+                for offset, body in source:
+                    marks.append((len(data), offset))
+                    data += body
+                    if offset < partition.end:
+                        owned = len(data)
+                    return True
+                ended = True
+                return False
+
+            at = partition.inside
+            while at is None:
+                # enough data that a chance record would break off
+                while not ended and len(data) - owned < 1 << 17 and more():
+                    pass
+                at = first_record(data, len(names), owned)
+                if at is None and ended or (at is None and owned < len(data)):
+                    return
+            while True:
+                while at + 36 > len(data) and more():
+                    pass
+                if at >= owned and (owned < len(data) or ended) or at + 36 > len(data):
+                    return
+                (length,) = struct.unpack_from("<i", data, at)
+                while at + 4 + length > len(data) and more():
+                    pass
+                ref, pos, name_size, mapq, _, ops, flag, bases, _, _, _ = _FIXED.unpack_from(data, at + 4)
+                if head.sorted_ and target is not None and most is not None and (ref > target or ref < 0 or (ref == target and pos + 1 > most)):
+                    return
+                early = (flag, names[ref] if ref >= 0 else None, pos + 1, mapq)
+                if all(early[i] is not None and _TESTS[kind](early[i], value) for i, kind, value in self.early):
+                    k = bisect.bisect_right(marks, (at, size)) - 1
+                    row = _row(data, at + 36, early, name_size, ops, bases, marks[k][1] << 16 | at - marks[k][0])
+                    if all(row[i] is not None and _TESTS[kind](row[i], value) for i, kind, value in self.late):
+                        yield row
+                at += 4 + length
+                if at > 1 << 22:
+                    # what has been read goes
+                    k = max(0, bisect.bisect_right(marks, (at, size)) - 1)
+                    cut = min(marks[k][0], owned)
+                    data, marks, at, owned = data[cut:], [(a - cut, b) for a, b in marks[k:]], at - cut, owned - cut
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        for row in parse(inflate(Path(partition.path).read_bytes())):
-            if all(row[i] is not None and _TESTS[kind](row[i], value) for i, kind, value in self.filters):
-                yield row
+
+class _Part(files.Split):
+    """A split whose first record is known (inside its first block), or is to be found."""
+
+    def __init__(self, path: str, start: int, end: int, head: Header, inside: int | None) -> None:
+        super().__init__(path, start, end)
+        self.head, self.inside = head, inside
+
+
+def _row(data: bytes, p: int, early: tuple, name_size: int, ops: int, bases: int, place: int) -> tuple:
+    """A row of SCHEMA; p is where the record's name begins."""
+    flag, chrom, pos, mapq = early
+    name = data[p : p + name_size - 1].decode()
+    p += name_size
+    cigar = [(v >> 4, _CIGAR[v & 15]) for v in struct.unpack_from(f"<{ops}I", data, p)]
+    p += 4 * ops
+    seq = "".join([_PAIRS[b] for b in data[p : p + (bases + 1) // 2]])[:bases]
+    p += (bases + 1) // 2
+    raw = data[p : p + bases]
+    qual = None if raw[:1] == b"\xff" else (np.minimum(np.frombuffer(raw, np.uint8), 93) + 33).astype(np.uint8).tobytes().decode()
+    span = sum(k for k, op in cigar if op in _CONSUMES_REFERENCE) or 1
+    return name, flag, chrom, pos, pos - 1 + span, mapq, "".join(f"{k}{op}" for k, op in cigar) or "*", seq, qual, place
 
 
 class BamSource(DataSource):
@@ -102,7 +281,7 @@ class BamSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> BamReader:
-        return BamReader(self.options["path"])
+        return BamReader(self.options["path"], int(self.options.get("splitsize", files.SPLIT)))
 
 
 def register(spark) -> None:
@@ -122,6 +301,24 @@ def _bgzf(data: bytes) -> bytes:
     return b"".join([*out, _EOF])
 
 
+def write_index(path: str) -> None:
+    """A linear index (.bai without bins) beside a BAM file sorted by position."""
+    head = read_header(path)
+    windows: list[dict[int, int]] = [{} for _ in head.contigs]
+    reader = BamReader(path)
+    for part in reader.partitions():
+        for row in reader.read(part):
+            if row[2] is not None:
+                own = windows[head.contigs.index(row[2])]
+                for w in range((row[3] - 1) >> 14, ((row[4] - 1) >> 14) + 1):
+                    own[w] = min(own.get(w, row[9]), row[9])
+    out = [b"BAI\1", struct.pack("<i", len(windows))]
+    for own in windows:
+        n = max(own, default=-1) + 1
+        out.append(struct.pack("<ii", 0, n) + b"".join(struct.pack("<Q", own.get(w, 0)) for w in range(n)))
+    Path(path + ".bai").write_bytes(b"".join(out))
+
+
 def write_bam(path: str, contigs: list[tuple[str, int]], records: list[tuple]) -> None:
     """Records (name, flag, contig index, 1-based pos, mapq, [(length, op)], seq, qual) as a BAM file."""
     text = b"@HD\tVN:1.6\tSO:coordinate\n" + b"".join(f"@SQ\tSN:{n}\tLN:{k}\n".encode() for n, k in contigs)

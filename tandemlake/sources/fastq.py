@@ -1,19 +1,79 @@
-"""FASTQ by Spark's text reader: four lines a record."""
+"""FASTQ as a Python data source, split by bytes: four lines a record."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader
+
+from tandemlake.sources import files
+
+
+class FastqReader(DataSourceReader):
+    def __init__(self, path: str, size: int) -> None:
+        self.path, self.size = path, size
+
+    def partitions(self) -> list[files.Split]:
+        return files.splits(self.path, ".fastq", self.size)
+
+    def read(self, partition: files.Split) -> Iterator[tuple]:
+        """Records that begin in the split. Lines from a split's middle on are a record's if the first begins with @, the
+        third with + and the second and fourth are of one length."""
+        with files.opened(partition.path) as f:
+            lines = _lines(f, max(0, partition.start - 1))
+            if partition.start:
+                next(lines, None)  # the rest of the line that stands at the split's edge
+            four: list[tuple[int, str]] = []
+            known = partition.start == 0
+            for at, line in lines:
+                four.append((at, line))
+                if len(four) < 4:
+                    continue
+                if not known and not (four[0][1][:1] == "@" and four[2][1][:1] == "+" and len(four[1][1]) == len(four[3][1])):
+                    four.pop(0)
+                    continue
+                known = True
+                if four[0][0] >= partition.end:
+                    return
+                yield four[0][1][1:], four[1][1], four[3][1], four[0][0]
+                four = []
+
+
+def _lines(f, at: int) -> Iterator[tuple[int, str]]:
+    """Offset and text of each line from byte ``at`` on."""
+    f.seek(at)
+    rest = b""
+    while chunk := f.read(1 << 20):
+        parts = (rest + chunk).split(b"\n")
+        for line in parts[:-1]:
+            yield at, line.rstrip(b"\r").decode()
+            at += len(line) + 1
+        rest = parts[-1]
+    if rest:
+        yield at, rest.rstrip(b"\r").decode()
+
+
+class FastqSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "fastq"
+
+    def schema(self) -> str:
+        return "header string, seq string, qual string, place long"
+
+    def reader(self, schema) -> FastqReader:
+        return FastqReader(self.options["path"], int(self.options.get("splitsize", files.SPLIT)))
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """read_id, read_seq, read_qual, strand (- if the header ends in `` rc``), place. Records are split at line feeds before @
-    with a + line two lines on, so a file is split only into whole records; the last of equal ids wins in dedup_reads."""
-    lines = spark.read.text(path, wholetext=True)
-    records = lines.select(F.posexplode(F.regexp_extract_all("value", F.lit(r"@([^\n]*)\r?\n([^\n]*)\r?\n\+[^\n]*\r?\n([^\n]*)"), F.lit(0))).alias("place", "record"))
-    part = F.split("record", r"\r?\n")
-    head = F.substring(part[0], F.lit(2), F.length(part[0]))
-    return records.select(F.substring_index(head, " ", 1).alias("read_id"), F.upper(part[1]).alias("read_seq"), part[3].alias("read_qual"), F.when(head.endswith(" rc"), "-").otherwise("+").alias("strand"), F.col("place").cast("long").alias("place"))
+def read_fastq(spark: SparkSession, path: str, split_size: int = files.SPLIT) -> DataFrame:
+    """read_id, read_seq, read_qual, strand (- if the header ends in `` rc``) and place, the byte where the record begins;
+    the last of equal ids wins in dedup_reads."""
+    spark.dataSource.register(FastqSource)
+    rows = spark.read.format("fastq").option("splitsize", str(split_size)).load(path)
+    head = F.col("header")
+    return rows.select(F.substring_index(head, " ", 1).alias("read_id"), F.upper("seq").alias("read_seq"), F.col("qual").alias("read_qual"), F.when(head.endswith(" rc"), "-").otherwise("+").alias("strand"), "place")
 
 
 def dedup_reads(reads: DataFrame) -> DataFrame:

@@ -1,12 +1,18 @@
 """Formats and reports, and the pipeline's empty result."""
 
+import random
+import time
+
 from pyspark.sql import Row
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual
 
 from tandemlake.assay import WT, Settings
 from tandemlake.operators import consensus, observed
 from tandemlake.plans import pipeline
 from tandemlake.sources import sinks
-from tandemlake.sources.bam import register, write_bam
+from tandemlake.operators.reads import keep_last
+from tandemlake.sources.bam import BamReader, register, write_bam, write_index
 from tandemlake.sources.fastq import dedup_reads, fastq_records, read_fastq
 
 
@@ -23,9 +29,10 @@ def test_bam_round_trip(spark, tmp_path):
 
 
 def test_fastq(spark, tmp_path):
+    """Records, places in order, and the last of equal ids."""
     p = tmp_path / "a.fastq"
     p.write_text("@a x\nACGT\n+\nIIII\n@b rc\nacg\n+\n@II\n@a\nTTTT\n+\n5555\n")
-    rows = {(r.read_id, r.place): r for r in read_fastq(spark, str(p)).collect()}
+    rows = {(r.read_id, i): r for i, r in enumerate(sorted(read_fastq(spark, str(p)).collect(), key=lambda r: r.place))}
     assert rows[("b", 1)].strand == "-" and rows[("b", 1)].read_seq == "ACG" and rows[("b", 1)].read_qual == "@II"
     last = {r.read_id: (r.read_seq, r.n_rows) for r in dedup_reads(read_fastq(spark, str(p))).collect()}
     assert last == {"a": ("TTTT", 2), "b": ("ACG", 1)}
@@ -33,6 +40,59 @@ def test_fastq(spark, tmp_path):
     assert out == ["@x\nACG\n+\nIII"]
 
 
+def test_fastq_splits(spark, tmp_path):
+    """Every way to cut the bytes gives each record once, also with qualities that look like headers."""
+    rng = random.Random(2)
+    want = []
+    for i in range(60):
+        n = rng.randint(1, 30)
+        want.append((f"r{i}", "".join(rng.choice("ACGT") for _ in range(n)), "".join(rng.choice("@+I") for _ in range(n))))
+    (tmp_path / "a.fastq").write_text("".join(f"@{a} x\n{b}\n+\n{c}\n" for a, b, c in want))
+    for size in (40, 137, 1 << 20):
+        got = sorted(read_fastq(spark, str(tmp_path), size).collect(), key=lambda r: r.place)
+        assert [(r.read_id, r.read_seq, r.read_qual) for r in got] == want
+
+
+def test_bam_splits_index_and_duplicates(spark, tmp_path):
+    """Many blocks, cut anywhere, give each record once and in order; an index and the sort order change no result."""
+    rng = random.Random(6)
+    records = []
+    for i in range(4000):
+        n = rng.randint(1, 400)
+        records.append((f"r{i % 3900}", rng.choice([0, 16]), 0, 1 + 20 * i, rng.randrange(61), [(n, "M")], "".join(rng.choice("ACGTN") for _ in range(n)), "".join(chr(33 + rng.randrange(60)) for _ in range(n))))
+    path = str(tmp_path / "a.bam")
+    write_bam(path, [("chr13", 114364328), ("chr14", 1000)], [*records, ("last", 4, -1, 0, 0, [], "", "")])
+    register(spark)
+    for size in (700, 100_000, 1 << 30):
+        got = sorted(spark.read.format("bam").option("splitsize", str(size)).load(path).collect(), key=lambda r: r.place)
+        assert [(r.read_name, r.flag, r.pos, r.mapq, r.seq, r.qual) for r in got[:-1]] == [(a, b, d, e, g, h) for a, b, _, d, e, _, g, h in records]
+        assert got[-1].read_name == "last" and got[-1].chrom is None
+    near = lambda: sorted(r.read_name for r in spark.read.format("bam").option("splitsize", "50000").load(path).where("chrom = 'chr13' and pos <= 62000 and pos_end >= 60000 and mapq >= 20").collect())
+    want = sorted(r[0] for r in records if r[3] <= 62000 and r[3] + r[5][0][0] - 1 >= 60000 and r[4] >= 20)
+    assert near() == want and want
+    write_index(path)
+    reader = BamReader(path)
+    list(reader.pushFilters([EqualTo(("chrom",), "chr13"), GreaterThanOrEqual(("pos_end",), 60000)]))
+    assert reader.partitions()[0].start > 0 and near() == want
+    twice = spark.read.format("bam").load(path).where("read_name = 'r7'").collect()
+    assert len(twice) == 2
+    one = keep_last(spark.read.format("bam").load(path), ["read_name"], [F.col("place")]).where("read_name = 'r7'").first()
+    assert one.seq == records[3907][6] and one.n_rows == 2
+
+
+def test_bam_reads_in_linear_time(tmp_path):
+    """Ten times the records take about ten times as long."""
+    took = []
+    for n in (2000, 20000):
+        path = str(tmp_path / f"{n}.bam")
+        write_bam(path, [("chr13", 114364328)], [(f"r{i}", 0, 0, 1 + i, 60, [(300, "M")], "ACGT" * 75, "I" * 300) for i in range(n)])
+        reader = BamReader(path, 1 << 30)
+        began = time.perf_counter()
+        assert sum(1 for part in reader.partitions() for _ in reader.read(part)) == n
+        took.append(time.perf_counter() - began)
+    assert took[1] < 40 * took[0]
+
+
 def test_vcf_and_report(spark, tmp_path):
     calls = spark.createDataFrame([("ITD_1", 180, WT[135:180])], "peak_alias string, consensus_ins_pos_ref int, consensus_seq string")
     summary = spark.createDataFrame([("ITD_1", 40, 100, 0.4, 22, 18, 0.55, 1.1, 0.8)], "ref_alias string, n_itd_reads long, n_total_reads long, allele_frequency double, plus_reads long, minus_reads long, strand_ratio double, odds_ratio double, fisher_p double")
