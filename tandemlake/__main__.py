@@ -45,16 +45,28 @@ def run_sample(spark: SparkSession, path: str, out: str, sample: str, settings:
     result = pipeline.run(reads, settings)
     if result.audit is not None:
         sinks.write_tsv(result.audit, str(folder / "observed_audit"))
+    if result.insertions is not None:
+        sinks.write_tsv(result.insertions, str(folder / "insertions"), one=False)
+    if result.unresolved is not None:
+        sinks.write_tsv(result.unresolved, str(folder / "unresolved_consensus"))
+    warnings = []
+    if result.consensus is not None:
+        sinks.write_tsv(result.consensus, str(folder / "consensus"))
+        warnings = [r.peak_alias for r in pipeline.mixed_consensus(result.consensus).orderBy("peak_alias").collect()]
+        sinks.record_stage(log, "consensus", mixed=warnings)
     calls = []
     if result.validation is not None:
         sinks.write_tsv(result.summary, str(folder / "summary"))
+        sinks.write_tsv(result.validation, str(folder / "read_support"), one=False)
+        support = result.validation.groupBy("ref_alias", "valid_support").agg(F.count("*").alias("n")).orderBy("ref_alias", "valid_support").collect()
+        sinks.record_stage(log, "validation", support=[r.asDict() for r in support])
         quantify.final_support_lengths(result.validation, reads, result.summary)
         calls = result.summary.join(result.references, "ref_alias").orderBy(F.desc("allele_frequency"), "ref_alias").collect()
         result.references.select(sinks.fasta_record().alias("value")).coalesce(1).write.mode("overwrite").text(str(folder / "references"))
-    sinks.write_vcf(str(folder / f"{sample}.vcf"), sample, sinks.vcf_lines(result.summary, result.references, result.peaks) if calls else None, settings.genome)
+    sinks.write_vcf(str(folder / f"{sample}.vcf"), sample, sinks.vcf_lines(result.summary, result.references, result.peaks, result.audit) if calls else None, settings.genome)
     if report:
         lengths = [(r.read_len, r.n) for r in reads.groupBy("read_len").agg(F.count("*").alias("n")).orderBy("read_len").collect()]
-        (folder / f"{sample}.html").write_text(sinks.html_report(sample, calls, lengths, result.reason))
+        (folder / f"{sample}.html").write_text(sinks.html_report(sample, calls, lengths, result.reason, warnings))
     sinks.record_stage(log, "calls", rows=len(calls), reason=result.reason)
     return len(calls)
 

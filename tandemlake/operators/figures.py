@@ -91,14 +91,3 @@ def column_agreement(alleles: DataFrame, keys: list[str]) -> DataFrame:
     votes = cells.groupBy(*keys, "col", "base").agg(F.sum("n").alias("w"))
     return votes.groupBy(*keys, "col").agg((F.max("w") / F.sum("w")).alias("agreement"))
 
-
-def alignment_text(allele: str, ref: str = WT, width: int = 60) -> str:
-    """The reference and an allele with one insertion, one above the other."""
-    low, _ = msa.boundary_interval(allele, ref)
-    gap = len(allele) - len(ref)
-    top = ref[:low] + "-" * gap + ref[low:]
-    lines = []
-    for i in range(0, len(top), width):
-        a, b = top[i : i + width], allele[i : i + width]
-        lines += [f"WT  {a}", "    " + "".join("|" if x == y else " " for x, y in zip(a, b, strict=True)), f"ITD {b}", ""]
-    return "\n".join(lines)

@@ -84,11 +84,46 @@ def discover(reads: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
 
 
 def sequence_alternatives(candidates: DataFrame) -> DataFrame:
-    """allele_id, alternatives: other candidates of one length that differ in at most one base, comma-joined."""
-    a, b = candidates.select("allele_id", "allele").alias("a"), candidates.select("allele_id", "allele").alias("b")
-    near = (F.length("a.allele") == F.length("b.allele")) & (F.col("a.allele_id") != F.col("b.allele_id")) & (F.levenshtein(F.col("a.allele"), F.col("b.allele"), 1) >= 0)
-    joined = a.join(b, near, "left").groupBy(F.col("a.allele_id").alias("allele_id"))
-    return joined.agg(F.array_join(F.array_sort(F.collect_list("b.allele_id")), ",").alias("alternatives"))
+    """allele_id, alternatives: other candidates of one length that differ in at most one base, comma-joined.
+
+    Such a pair has the first or the second half in common, so only alleles that share a half are compared."""
+    size = F.length("allele")
+    middle = F.floor(size / 2).cast("int")
+    halves = F.array(F.struct(F.lit(0).alias("side"), S.head(F.col("allele"), middle).alias("half")), F.struct(F.lit(1).alias("side"), S.tail(F.col("allele"), middle).alias("half")))
+    keyed = candidates.select("allele_id", "allele", size.alias("size"), F.explode(halves).alias("h")).select("allele_id", "allele", "size", "h.side", "h.half")
+    a, b = keyed.alias("a"), keyed.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("size", "side", "half")]
+    near = (F.col("a.allele_id") != F.col("b.allele_id")) & (F.levenshtein(F.col("a.allele"), F.col("b.allele"), 1) >= 0)
+    pairs = a.join(b, [*same, near]).select(F.col("a.allele_id").alias("allele_id"), F.col("b.allele_id").alias("other")).distinct()
+    found = pairs.groupBy("allele_id").agg(F.array_join(F.array_sort(F.collect_list("other")), ",").alias("alternatives"))
+    return candidates.select("allele_id").join(found, "allele_id", "left").select("allele_id", F.coalesce("alternatives", F.lit("")).alias("alternatives"))
+
+
+#: Statuses of candidates that were eligible before add_observed.
+_CANDIDATES = ("eligible", "existing_candidate", "added_for_competition", "candidate_cap")
+
+
+def annotate_candidates(audit: DataFrame, reads: DataFrame, assigned: DataFrame | None, unresolved: DataFrame | None, settings: Settings, ref: str = WT) -> DataFrame:
+    """The audit with, for each candidate: source_assignments (peaks of the reads that show it, as alias:reads by alias,
+    None for reads of no peak), failed_consensus_exact_reads (those of peaks without a consensus), sequence_alternatives and
+    a note. assigned: read_id, gmm_peak_alias; unresolved: peak_alias."""
+    candidates = audit.where(F.col("status").isin(*_CANDIDATES)).select("allele_id", "allele", "window")
+    members = anchored_windows(reads, settings, ref).join(F.broadcast(candidates.select("allele_id", "window")), "window").select("allele_id", "read_id")
+    if assigned is None:
+        members = members.withColumn("alias", F.lit("None"))
+    else:
+        members = members.join(assigned.select("read_id", F.col("gmm_peak_alias").alias("alias")), "read_id", "left").withColumn("alias", F.coalesce("alias", F.lit("None")))
+    by_alias = members.groupBy("allele_id", "alias").agg(F.count("*").alias("n"))
+    failed = by_alias.withColumn("failed", F.lit(False))
+    if unresolved is not None:
+        failed = by_alias.join(F.broadcast(unresolved.select(F.col("peak_alias").alias("alias"), F.lit(True).alias("failed"))), "alias", "left")
+    entry = F.array_sort(F.collect_list(F.struct("alias", F.concat_ws(":", "alias", F.col("n").cast("string")).alias("text"))))
+    sources = failed.groupBy("allele_id").agg(F.array_join(entry["text"], ";").alias("source_assignments"), F.sum(F.when(F.col("failed"), F.col("n")).otherwise(0)).alias("failed_consensus_exact_reads"))
+    other = sequence_alternatives(candidates).withColumnRenamed("alternatives", "sequence_alternatives")
+    out = audit.join(F.broadcast(sources), "allele_id", "left").join(F.broadcast(other), "allele_id", "left")
+    kind = F.when(F.col("sequence_alternatives") != "", "alternatives of one base were seen; separate clones are not shown").otherwise("recurrent interior sequence, found without length peaks")
+    flanks = F.format_string("; anchors corrected to the reference in %d of %d reads; adjacent duplication identity %.1f%%", F.col("normalized_flank_reads"), F.col("exact_reads"), F.col("duplication_identity") * 100)
+    return out.withColumn("note", F.when(F.col("sequence_alternatives").isNotNull(), F.concat(kind, flanks)))
 
 
 def add_observed(consensus: DataFrame, audit: DataFrame, settings: Settings, ref: str = WT) -> tuple[DataFrame, DataFrame]:

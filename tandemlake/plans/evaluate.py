@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tandemlake.assay import WT, reverse_complement
 
@@ -112,3 +113,74 @@ def match_calls(truth: list[tuple[str, str, int, float]], calls: list[tuple[str,
                 used.add(call)
                 break
     return found, [c[0] for c in calls if c[0] not in used]
+
+
+def truth_reads(reads: DataFrame, scenario: str) -> DataFrame:
+    """read_id, haplotype, is_itd, itd_len, ins_pos_local, strand, observed_len of simulated reads."""
+    known = reads.sparkSession.createDataFrame([(h.name, int(h.size > 0), h.size, h.pos if h.size else None) for h in SCENARIOS[scenario]], "haplotype string, is_itd int, itd_len int, ins_pos_local int")
+    return reads.join(F.broadcast(known), "haplotype").select("read_id", "haplotype", "is_itd", "itd_len", "ins_pos_local", "strand", F.col("read_len").alias("observed_len"))
+
+
+def truth_haplotypes(reads: DataFrame, scenario: str) -> DataFrame:
+    """haplotype, target_af, realised_af, n_reads, itd_len, ins_pos_local, itd_seq of a scenario and its simulated reads."""
+    parts = SCENARIOS[scenario]
+    known = reads.sparkSession.createDataFrame([(i, h.name, h.share, h.size, h.pos if h.size else None, h.inserted if h.size else "") for i, h in enumerate(parts)], "place int, haplotype string, target_af double, itd_len int, ins_pos_local int, itd_seq string")
+    counts = reads.groupBy("haplotype").agg(F.count("*").alias("n_reads"))
+    total = reads.count()
+    n = F.coalesce("n_reads", F.lit(0))
+    return known.join(F.broadcast(counts), "haplotype", "left").orderBy("place").select("haplotype", "target_af", (n / F.lit(max(total, 1))).alias("realised_af"), n.alias("n_reads"), "itd_len", "ins_pos_local", "itd_seq")
+
+
+def self_check(haplotypes: DataFrame, n_reads: int, n_records: int) -> list[str]:
+    """What is wrong with a simulated sample: shares off their targets by more than four deviations (and a percent), equal
+    insertions under two names, or other numbers of reads than asked for. haplotypes: truth_haplotypes, a handful."""
+    rows = haplotypes.collect()
+    problems = []
+    for r in rows:
+        if abs(r.realised_af - r.target_af) > max(0.01, 4 * (r.target_af * (1 - r.target_af) / max(n_reads, 1)) ** 0.5):
+            problems.append(f"{r.haplotype}: share {r.realised_af:.4f} for a target of {r.target_af:.4f}")
+    seen: dict[str, str] = {}
+    for r in rows:
+        if r.itd_len and seen.setdefault(r.itd_seq, r.haplotype) != r.haplotype:
+            problems.append(f"{seen[r.itd_seq]} and {r.haplotype} have one inserted sequence")
+    told = sum(r.n_reads for r in rows)
+    if not told == n_reads == n_records:
+        problems.append(f"{n_reads} reads asked for, {told} in the truth, {n_records} in the file")
+    return problems
+
+
+@dataclass(frozen=True)
+class Score:
+    """Calls against the truth: a row for each planted insertion, and totals."""
+
+    haplotypes: list[dict]
+    extra: list[str]
+    mean_af_error: float | None
+    max_af_error: float | None
+    consensus_ns: int
+    peaks_with_ns: int
+    agreement: dict | None
+
+
+def score(truth: list[tuple[str, str, int, float]], calls: list[tuple[str, str, int, float]], consensus: DataFrame | None = None, assigned: DataFrame | None = None, reads: DataFrame | None = None) -> Score:
+    """truth and calls: name, insertion, position, frequency. consensus: peak_alias, consensus_seq, for its unresolved bases.
+    assigned (read_id, gmm_peak_alias) and reads (read_id, haplotype): the agreement of clusters over reads that both have."""
+    from tandemlake.operators.quantify import cluster_agreement
+
+    found, extra = match_calls(truth, calls)
+    by_name = {c[0]: c for c in calls}
+    rows = []
+    for name, inserted, _, share in sorted(truth, key=lambda t: (-t[3], t[0])):
+        call = by_name.get(found.get(name))
+        rows.append({"haplotype": name, "true_af": share, "true_len": len(inserted), "recovered": call is not None, "called": call[0] if call else None, "af_error": round(call[3] - share, 4) if call else None, "len_error": len(call[1]) - len(inserted) if call else None})
+    errors = [abs(r["af_error"]) for r in rows if r["recovered"]]
+    ns, with_ns = 0, 0
+    if consensus is not None:
+        n = F.length(F.regexp_replace("consensus_seq", "[^N]", ""))
+        totals = consensus.agg(F.sum(n).alias("ns"), F.count_if(n > 0).alias("peaks")).first()
+        ns, with_ns = totals.ns or 0, totals.peaks or 0
+    agreement = None
+    if assigned is not None and reads is not None:
+        both = reads.select("read_id", F.col("haplotype").alias("truth")).join(assigned.select("read_id", F.col("gmm_peak_alias").alias("label")), "read_id")
+        agreement = None if both.isEmpty() else cluster_agreement(both).first().asDict()
+    return Score(rows, extra, round(sum(errors) / len(errors), 4) if errors else None, max(errors) if errors else None, int(ns), int(with_ns), agreement)

@@ -23,6 +23,9 @@ class Result:
     peaks: DataFrame | None
     validation: DataFrame | None
     reason: str = ""
+    insertions: DataFrame | None = None
+    consensus: DataFrame | None = None
+    unresolved: DataFrame | None = None  # peaks with insertions but no consensus
 
 
 _EMPTY_CONSENSUS = consensus.CONSENSUS + ", duplication_identity double, normalized_flank_reads long"
@@ -45,7 +48,7 @@ def run(reads: DataFrame, settings: Settings) -> Result:
     audit = observed.discover(reads, settings).cache() if settings.observed_rescue else None
     found = spark.createDataFrame([], _EMPTY_CONSENSUS)
     named: list[dict] = []
-    frame = None
+    frame, assigned, inserted, unresolved = None, None, None, None
     lengths = reads.drop("read_qual")
     try:
         named, assigned = peaks.fit_length_peaks(lengths, settings)
@@ -64,20 +67,29 @@ def run(reads: DataFrame, settings: Settings) -> Result:
         inserted = insertions.extract_insertions(assigned.where("gmm_peak_alias <> 'WT'"), windows).cache()
         inserted = _split_by_length(inserted, settings)
         found = _small(consensus.peak_consensus(inserted, settings))
+        unresolved = _small(inserted.select("peak_alias").distinct().join(F.broadcast(found), "peak_alias", "left_anti").withColumn("status", F.lit("no_resolved_consensus")))
         owners = consensus.merge_duplicates(found)
         found = found.join(F.broadcast(owners.where("peak_alias = owner").select("peak_alias")), "peak_alias", "left_semi")
         reads = reads if not settings.validate_peak_reads_only else reads.join(parents.select("read_id"), "read_id", "left_semi")
     if audit is not None:
         found, audit = observed.add_observed(found, audit, settings)
         found = _small(found)
+        audit = observed.annotate_candidates(audit, reads, assigned, unresolved, settings)
     references = consensus.reference_alleles(found, settings.genome)
     if found.isEmpty():
-        return Result(spark.createDataFrame([], _EMPTY_SUMMARY), references, audit, frame, None, "no candidate allele")
+        return Result(spark.createDataFrame([], _EMPTY_SUMMARY), references, audit, frame, None, "no candidate allele", inserted, found, unresolved)
     validated = validation.competitive_validation(reads, references).cache()
     summary = quantify.allele_frequencies(validated, settings.min_allele_frequency)
     if audit is not None:
         audit = quantify.audit_status(audit, validated, summary)
-    return Result(summary, references, audit, frame, validated)
+    return Result(summary, references, audit, frame, validated, "", inserted, found, unresolved)
+
+
+def mixed_consensus(found: DataFrame, most_minor: float = 0.15, most_unresolved: float = 0.05) -> DataFrame:
+    """peak_alias, max_minor_fraction, n_fraction of consensus sequences that may stand for a mixture: a column with too
+    heavy a second base, or too many unresolved bases."""
+    unresolved = F.length(F.regexp_replace("consensus_seq", "[^N]", "")) / F.length("consensus_seq")
+    return found.select("peak_alias", "max_minor_fraction", unresolved.alias("n_fraction")).where((F.col("max_minor_fraction") > most_minor) | (F.col("n_fraction") > most_unresolved))
 
 
 def _small(rows: DataFrame, most: int = 4096) -> DataFrame:

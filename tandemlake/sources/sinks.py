@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tandemlake.assay import WT
 from tandemlake.functions.sequence import mid
@@ -28,9 +29,18 @@ def vcf_site() -> Column:
     return F.concat_ws("\t", "chrom", F.col("genomic_pos").cast("string"), F.lit("."), _anchor(), F.concat(_anchor(), "itd_seq"), F.lit("."), F.lit("PASS"))
 
 
-def vcf_lines(summary: DataFrame, references: DataFrame, peaks: DataFrame | None = None) -> DataFrame:
-    """line of each call, by descending frequency: alleles, INFO and one sample's FORMAT fields."""
+_NOTES = {"sequence_alternatives": "string", "duplication_identity": "double", "normalized_flank_reads": "long"}
+
+
+def vcf_lines(summary: DataFrame, references: DataFrame, peaks: DataFrame | None = None, audit: DataFrame | None = None) -> DataFrame:
+    """line of each call, by descending frequency: alleles, INFO and one sample's FORMAT fields. audit: adds what is noted of
+    the observed allele that a call is (one-base alternatives, duplication identity, reads with corrected flanks)."""
     j = summary.join(F.broadcast(references), "ref_alias")
+    if audit is not None:
+        noted = audit.where("peak_alias is not null").groupBy(F.col("peak_alias").alias("ref_alias")).agg(*[F.max(F.col(c).cast(kind)).alias(c) for c, kind in _NOTES.items()])
+        j = j.join(F.broadcast(noted), "ref_alias", "left")
+    else:
+        j = j.withColumns({c: F.lit(None).cast(kind) for c, kind in _NOTES.items()})
     fitted = peaks.select(F.col("peak_alias").alias("ref_alias"), F.col("effective_allele_freq").alias("af_gmm"), F.col("fraction").alias("af_fitted")) if peaks is not None else None
     j = j.join(F.broadcast(fitted), "ref_alias", "left") if fitted is not None else j.withColumns({"af_gmm": F.lit(None).cast("double"), "af_fitted": F.lit(None).cast("double")})
     number = lambda c: F.coalesce(F.format_string("%.5f", F.col(c)), F.lit("."))
@@ -38,6 +48,8 @@ def vcf_lines(summary: DataFrame, references: DataFrame, peaks: DataFrame | None
     info = F.concat(
         F.lit("TYPE=ITD;AF="), number("allele_frequency"), F.lit(";DP="), F.col("n_total_reads").cast("string"), F.lit(";AF_GMM="), number("af_gmm"), F.lit(";AF_FITTED="), number("af_fitted"), F.lit(";FISHER_P="), short("fisher_p"),
         F.lit(";STRAND_OR="), short("odds_ratio"), F.lit(";ITD_LEN="), F.col("itd_len").cast("string"), F.lit(";INS_POS="), F.col("local_pos").cast("string"),
+        F.when(F.col("sequence_alternatives") != "", ";SEQUENCE_UNCERTAINTY").otherwise(""), F.when(F.col("duplication_identity").isNotNull(), F.concat(F.lit(";DUP_IDENTITY="), F.format_string("%.4f", F.col("duplication_identity")))).otherwise(""),
+        F.coalesce(F.concat(F.lit(";FLANK_NORMALIZED_READS="), F.col("normalized_flank_reads").cast("string")), F.lit("")),
     )
     rest = F.greatest(F.col("n_total_reads") - F.col("n_itd_reads"), F.lit(0))
     sample = F.concat_ws(":", F.lit("0/1"), F.col("n_total_reads").cast("string"), number("allele_frequency"), F.concat_ws(",", rest.cast("string"), F.col("n_itd_reads").cast("string")), F.concat_ws(",", F.col("plus_reads").cast("string"), F.col("minus_reads").cast("string")))
@@ -45,7 +57,7 @@ def vcf_lines(summary: DataFrame, references: DataFrame, peaks: DataFrame | None
 
 
 def vcf_header(sample: str, genome: str = "hg38") -> str:
-    meta = [("TYPE", "1", "String", "Variant type"), ("AF", "1", "Float", "Allele frequency"), ("DP", "1", "Integer", "Supporting reads of all alleles"), ("AF_GMM", "1", "Float", "Share of reads in the length peak"), ("AF_FITTED", "1", "Float", "Weight of the length peak"), ("FISHER_P", "1", "Float", "Strand test p"), ("STRAND_OR", "1", "Float", "Strand odds ratio"), ("ITD_LEN", "1", "Integer", "Inserted bases"), ("INS_POS", "1", "Integer", "Insertion boundary in the amplicon")]
+    meta = [("TYPE", "1", "String", "Variant type"), ("AF", "1", "Float", "Allele frequency"), ("DP", "1", "Integer", "Supporting reads of all alleles"), ("AF_GMM", "1", "Float", "Share of reads in the length peak"), ("AF_FITTED", "1", "Float", "Weight of the length peak"), ("FISHER_P", "1", "Float", "Strand test p"), ("STRAND_OR", "1", "Float", "Strand odds ratio"), ("ITD_LEN", "1", "Integer", "Inserted bases"), ("INS_POS", "1", "Integer", "Insertion boundary in the amplicon"), ("SEQUENCE_UNCERTAINTY", "0", "Flag", "One-base alternatives were seen"), ("DUP_IDENTITY", "1", "Float", "Identity with the adjacent copy"), ("FLANK_NORMALIZED_READS", "1", "Integer", "Reads whose anchors were corrected to the reference")]
     formats = [("GT", "1", "String", "Genotype"), ("DP", "1", "Integer", "Depth"), ("AF", "1", "Float", "Allele frequency"), ("AD", "R", "Integer", "Reads by allele"), ("SB", "2", "Integer", "Reads by strand")]
     lines = ["##fileformat=VCFv4.2", f"##contig=<ID=chr13,length={CHR13['hg38' if genome == 'hg38' else 'hg19']}>"]
     lines += [f'##{kind}=<ID={i},Number={n},Type={t},Description="{d}">' for kind, rows in (("INFO", meta), ("FORMAT", formats)) for i, n, t, d in rows]
@@ -73,9 +85,17 @@ def fasta_record() -> Column:
     return F.concat(F.lit(">"), "ref_alias", F.lit(" len="), F.length("ref_seq").cast("string"), F.lit(" itd="), F.col("itd_len").cast("string"), F.lit(" pos="), where, F.lit("\n"), "ref_seq")
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """One TSV file with a header in a folder, for tables of a few rows."""
-    df.coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True)
+def write_tsv(df: DataFrame, path: str, one: bool = True) -> None:
+    """TSV with a header in a folder: one file for tables of a few rows, else one of each task. Nested columns as JSON."""
+    flat = [F.to_json(c).alias(c) if isinstance(df.schema[c].dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(c) for c in df.columns]
+    out = df.select(*flat)
+    (out.coalesce(1) if one else out).write.mode("overwrite").csv(path, sep="\t", header=True)
+
+
+def read_tsv(spark, path: str, schema: str | None = None) -> DataFrame:
+    """A table that write_tsv wrote."""
+    reader = spark.read.option("sep", "\t").option("header", True)
+    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
 def wrap(seq: str, width: int = 60) -> str:
@@ -109,14 +129,16 @@ def histogram_svg(rows: list[tuple[int, int]], width: int = 640, height: int = 1
     return f'<svg viewBox="0 0 {width} {height}" width="{width}" height="{height}" fill="#4a6fa5">{bars}</svg>'
 
 
-def html_report(sample: str, calls: list[Row], lengths: list[tuple[int, int]] = (), reason: str = "") -> str:
-    """A self-contained report: verdict, length profile, table and a card for each call."""
+def html_report(sample: str, calls: list[Row], lengths: list[tuple[int, int]] = (), reason: str = "", mixed: list[str] = ()) -> str:
+    """A self-contained report: verdict, length profile, table, a card for each call, and a warning for each consensus that
+    may be a mixture."""
     e = html.escape
     verdict = f"{len(calls)} internal tandem duplication{'s' * (len(calls) != 1)} reported" if calls else f"No internal tandem duplication reported. {e(reason)}"
     rows = "".join(f"<tr><td>{e(c.ref_alias)}</td><td>{c.itd_len}</td><td>{c.allele_frequency:.4f}</td><td>{c.n_itd_reads}</td><td>{c.plus_reads}/{c.minus_reads}</td></tr>" for c in calls)
     cards = "".join(f"<section><h2>{e(c.ref_alias)}: {c.itd_len} bp at chr13:{c.genomic_pos}</h2><p>{e('; '.join(flags(c)) or 'no flags')}</p><pre>{e(wrap(c.itd_seq))}</pre></section>" for c in calls)
     table = f"<table><tr><th>Call</th><th>Size</th><th>Frequency</th><th>Reads</th><th>+/-</th></tr>{rows}</table>" if calls else ""
-    return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{e(sample)}</title></head><body><h1>{e(sample)}</h1><p>{verdict}</p>{histogram_svg(list(lengths))}{table}{cards}</body></html>"
+    warnings = "".join(f"<p class='warning'>The consensus of {e(m)} may stand for several alleles.</p>" for m in mixed)
+    return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{e(sample)}</title></head><body><h1>{e(sample)}</h1><p>{verdict}</p>{histogram_svg(list(lengths))}{table}{cards}{warnings}</body></html>"
 
 
 def record_stage(path: str, stage: str, **facts) -> None:

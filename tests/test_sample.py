@@ -4,7 +4,7 @@ from tandemlake.__main__ import run_sample
 from tandemlake.assay import Settings, reverse_complement
 from tandemlake.plans.evaluate import SCENARIOS, match_calls, simulate
 from tandemlake.sources.bam import write_bam
-from tandemlake.sources.sinks import read_vcf
+from tandemlake.sources.sinks import read_tsv, read_vcf
 
 
 def test_simulated_sample(spark, tmp_path):
@@ -24,6 +24,10 @@ def test_simulated_sample(spark, tmp_path):
     assert n >= 1 and "ITD_A" in found
     assert abs(next(c[3] for c in calls if c[0] == found["ITD_A"]) - 0.32) < 0.08
     assert (tmp_path / "out/s.html").exists()
+    support = read_tsv(spark, str(tmp_path / "out/read_support"))
+    assert support.count() > 0 and {"read_id", "ref_alias", "valid_support"} <= set(support.columns)
+    assert read_tsv(spark, str(tmp_path / "out/insertions")).count() > 0 and read_tsv(spark, str(tmp_path / "out/consensus")).count() >= 1
+    assert (tmp_path / "out/unresolved_consensus").exists()
 
 
 def test_no_reads(spark, tmp_path):

@@ -127,3 +127,44 @@ def test_observed_statuses(spark):
 def test_wild_type_alone_is_a_negative_result(spark):
     result = pipeline.run(_reads(spark, [WT] * 300), Settings())
     assert result.summary.isEmpty() and result.reason
+
+
+def test_candidates_are_annotated(spark):
+    """Peaks of the reads that show an allele, alternatives of one base, and what of it a VCF line says."""
+    a = WT[:180] + WT[135:180] + WT[180:]
+    b = WT[:180] + WT[135:150] + ("A" if WT[150] != "A" else "C") + WT[151:180] + WT[180:]
+    c = WT[:120] + WT[75:120] + WT[120:]
+    rows = _reads(spark, [a] * 30 + [b] * 26 + [c] * 24 + [WT] * 10)
+    assigned = rows.where("read_id % 3 <> 0").withColumn("gmm_peak_alias", F.when(F.col("read_id") < 40, "ITD_1").otherwise("ITD_2"))
+    unresolved = spark.createDataFrame([("ITD_2", "x")], "peak_alias string, status string")
+    audit = observed.annotate_candidates(observed.discover(rows, Settings()), rows, assigned, unresolved, Settings())
+    got = {r.allele: r for r in audit.where("status = 'eligible'").collect()}
+    ids = {s: r.allele_id for s, r in got.items()}
+    assert got[a].source_assignments == "ITD_1:20;None:10" and got[a].failed_consensus_exact_reads == 0
+    assert got[b].source_assignments == "ITD_1:6;ITD_2:11;None:9" and got[b].failed_consensus_exact_reads == 11
+    assert got[a].sequence_alternatives == ids[b] and got[b].sequence_alternatives == ids[a] and got[c].sequence_alternatives == ""
+    assert "clones" in got[a].note and "without length peaks" in got[c].note
+    named = audit.withColumn("peak_alias", F.when(F.col("allele") == a, "ITD_1"))
+    calls = spark.createDataFrame([("ITD_1", 180, WT[135:180])], "peak_alias string, consensus_ins_pos_ref int, consensus_seq string")
+    summary = spark.createDataFrame([("ITD_1", 40, 100, 0.4, 22, 18, 0.55, 1.1, 0.8)], "ref_alias string, n_itd_reads long, n_total_reads long, allele_frequency double, plus_reads long, minus_reads long, strand_ratio double, odds_ratio double, fisher_p double")
+    line = sinks.vcf_lines(summary, consensus.reference_alleles(calls), None, named).first().line
+    assert ";SEQUENCE_UNCERTAINTY;DUP_IDENTITY=1.0000;FLANK_NORMALIZED_READS=0" in line
+
+
+def test_truth_tables_self_check_and_score(spark):
+    from tandemlake.plans.evaluate import SCENARIOS, score, self_check, simulate, truth_haplotypes, truth_reads
+
+    reads = simulate(spark, "D", 400, seed=3).cache()
+    haps = truth_haplotypes(reads, "D")
+    assert self_check(haps, 400, 400) == [] and len(self_check(haps, 400, 399)) == 1
+    wrong = haps.withColumn("realised_af", F.lit(0.5)).withColumn("itd_seq", F.lit("ACG"))
+    assert len(self_check(wrong, 400, 400)) == 4
+    t = truth_reads(reads, "D").collect()
+    assert len(t) == 400 and all((r.is_itd, r.itd_len) == ((0, 0) if r.haplotype == "WT" else (1, 45)) for r in t)
+    truth = [(h.name, h.inserted, h.pos, h.share) for h in SCENARIOS["D"] if h.size]
+    calls = [("x", truth[0][1], truth[0][2], 0.30), ("z", "ACGT" * 9, 40, 0.02)]
+    found = spark.createDataFrame([("x", "ACNN"), ("y", "ACG")], "peak_alias string, consensus_seq string")
+    s = score(truth, calls, found, reads.select("read_id", F.col("haplotype").alias("gmm_peak_alias")), reads)
+    assert [r["recovered"] for r in s.haplotypes] == [True, False] and s.extra == ["z"] and s.mean_af_error == s.max_af_error == 0.02
+    assert (s.consensus_ns, s.peaks_with_ns) == (2, 1) and s.agreement["ari"] == 1.0
+    assert score(truth, []).mean_af_error is None
