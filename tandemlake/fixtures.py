@@ -47,3 +47,16 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_reads(select: str) -> str:
     """DuckDB SQL with the reads in scope; select may begin with further common table expressions."""
     return f"WITH {READS_CTES}{select if select.lstrip().startswith(',') else ' ' + select}"
+
+
+#: Reads with two more substitutions each, at places that run through the read: nearly every sequence is another one.
+NOISY = """noisy AS (
+  SELECT read_id, strand, haplotype, read_qual, read_len,
+         concat(substr(read_seq, 1, p - 1), translate(substr(read_seq, p, 1), 'ACGT', 'CGTA'), substr(read_seq, p + 1, q - p - 1), translate(substr(read_seq, q, 1), 'ACGT', 'GTAC'), substr(read_seq, q + 1)) AS read_seq
+  FROM (SELECT *, CAST(20 + read_id * 37 % 140 AS INT) AS p, CAST(170 + read_id * 53 % 150 AS INT) AS q FROM reads) y)"""
+
+
+def noisy_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """reads, nearly all of them unique."""
+    text = READS_CTES.replace("FROM orders)", "FROM {orders})")
+    return spark.sql(f"WITH {text}, {NOISY} SELECT * FROM noisy", orders=orders(spark, sf_dir))

@@ -62,7 +62,7 @@ def align_batch(target: str, queries: list[str], s: Scoring) -> list[Alignment]:
     for i, q in enumerate(queries):
         by_length.setdefault(len(q), []).append(i)
     for m, rows in by_length.items():
-        step = max(1, (1 << 25) // (max(m, 1) * max(len(target), 1)))
+        step = max(1, (1 << 23) // (max(m, 1) * max(len(target), 1)))
         for a in range(0, len(rows), step):
             part = rows[a : a + step]
             for i, r in zip(part, _align(target, [queries[i] for i in part], m, s), strict=True):
@@ -82,54 +82,63 @@ def _align(target: str, queries: list[str], m: int, s: Scoring) -> list[Alignmen
     h = np.broadcast_to(end_cost(j), (b, m + 1)).copy()
     d = np.full((b, m + 1), _LOW, np.int32)
     moves = np.zeros((n + 1, b, m + 1), np.int8)  # 0 diagonal, 1 deletion, 2 insertion
+    runs = np.zeros((n + 1, b, m + 1), np.int16)  # diagonal moves in a row that end here
     longer = np.zeros((n + 1, b, m + 1), bool)  # the deletion goes on
     origin = np.zeros((n + 1, b, m + 1), np.int16)  # where the insertion begins
     moves[0] = 2
+    # scores of all queries against each base of the target
+    against = {c: np.where(q == c, np.int32(s.match), np.int32(s.mismatch)) for c in np.unique(t).tolist()}
+    places = np.broadcast_to(j.astype(np.int16), (b, m + 1))
+    new, on, lifted, low = (np.empty((b, m + 1), np.int32) for _ in range(4))
+    top, ins = np.full((b, m + 1), _LOW, np.int32), np.full((b, m + 1), _LOW, np.int32)
+    at = np.empty((b, m + 1), np.int16)
     for i in range(1, n + 1):
-        new = h + s.del_open
-        on = d + s.del_extend
+        np.add(h, np.int32(s.del_open), out=new)
+        np.add(d, np.int32(s.del_extend), out=on)
         # deletions at the query's end are end gaps
         new[:, m], on[:, m] = h[:, m] + s.end_open, d[:, m] + s.end_extend
-        longer[i] = on > new
-        d = np.maximum(new, on)
-        d[:, 0] = end_cost(np.array([i]))[0]
+        np.greater(on, new, out=longer[i])
+        np.maximum(new, on, out=d)
+        d[:, 0] = s.end_open + (i - 1) * s.end_extend
         longer[i, :, 0] = i > 1
-        top = np.full((b, m + 1), _LOW, np.int32)
-        top[:, 1:] = h[:, :-1] + np.where(q == t[i - 1], s.match, s.mismatch).astype(np.int32)
-        move = np.where(d > top, 1, 0).astype(np.int8)
-        best = np.maximum(top, d)
+        np.add(h[:, :-1], against[int(t[i - 1])], out=top[:, 1:])
+        move = moves[i]
+        np.greater(d, top, out=move.view(bool))
+        np.maximum(top, d, out=h)
         first, further = (s.end_open, s.end_extend) if i == n else (s.ins_open, s.ins_extend)
-        lifted = best - further * j
-        low = np.maximum.accumulate(lifted, axis=1)
-        at = np.maximum.accumulate(np.where(lifted == low, j, 0), axis=1)
-        ins = np.full((b, m + 1), _LOW, np.int32)
-        ins[:, 1:] = low[:, :-1] + first + further * (j[1:] - 1)
-        origin[i, :, 1:] = at[:, :-1]
-        move[ins > best] = 2
-        h = np.maximum(best, ins)
-        moves[i] = move
-    return [_trace(target, queries[r], moves[:, r], longer[:, r], origin[:, r], int(h[r, m])) for r in range(b)]
-
-
-def _trace(target: str, query: str, moves: np.ndarray, longer: np.ndarray, origin: np.ndarray, score: int) -> Alignment:
-    i, j = len(target), len(query)
-    blocks: list[list[int]] = []
+        np.subtract(h, further * j, out=lifted)
+        np.maximum.accumulate(lifted, axis=1, out=low)
+        np.multiply(places, lifted == low, out=at)
+        np.maximum.accumulate(at[:, :-1], axis=1, out=origin[i, :, 1:])
+        np.add(low[:, :-1], first + further * (j[1:] - 1), out=ins[:, 1:])
+        move[ins > h] = 2
+        np.maximum(h, ins, out=h)
+        np.multiply(runs[i - 1, :, :-1] + np.int16(1), move[:, 1:] == 0, out=runs[i, :, 1:])
+    return [_trace(t, q[r], moves[:, r], runs[:, r], longer[:, r], origin[:, r], int(h[r, m])) for r in range(b)]
+
+
+def _trace(t: np.ndarray, q: np.ndarray, moves: np.ndarray, runs: np.ndarray, longer: np.ndarray, origin: np.ndarray, score: int) -> Alignment:
+    """The best path from its end: a whole block, deletion or insertion at a time."""
+    i, j = len(t), len(q)
+    blocks: list[tuple[int, int, int, int]] = []
     while i > 0 and j > 0:
         move = moves[i, j]
         if move == 0:
-            i, j = i - 1, j - 1
-            if blocks and blocks[-1][0] == i + 1 and blocks[-1][2] == j + 1:
-                blocks[-1][0], blocks[-1][2] = i, j
+            k = int(runs[i, j])
+            if blocks and blocks[-1][0] == i and blocks[-1][2] == j:
+                last = blocks.pop()
+                blocks.append((i - k, last[1], j - k, last[3]))
             else:
-                blocks.append([i, i + 1, j, j + 1])
+                blocks.append((i - k, i, j - k, j))
+            i, j = i - k, j - k
         elif move == 1:
             while i > 0 and longer[i, j]:
                 i -= 1
             i -= 1
         else:
             j = int(origin[i, j])
-    blocks = [tuple(x) for x in reversed(blocks)]
-    matches = sum(sum(a == c for a, c in zip(target[x[0] : x[1]], query[x[2] : x[3]], strict=True)) for x in blocks)
+    blocks.reverse()
+    matches = sum(int((t[a:b] == q[c:d]).sum()) for a, b, c, d in blocks)
     return Alignment(score, blocks, matches, sum(x[1] - x[0] for x in blocks))
 
 

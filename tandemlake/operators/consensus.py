@@ -13,12 +13,21 @@ from tandemlake.kernels import msa
 from tandemlake.kernels.align import DISCOVERY, align_batch, insertions
 
 
+#: Parts of a key's sequences, each of which is cut to the panel's size by itself.
+PARTS = 64
+
+
 def panel(counts: DataFrame, keys: list[str], max_unique: int, min_coverage: float) -> DataFrame:
     """The heaviest sequences (seq, n, first) of each key until they cover min_coverage of its reads, the one that crosses
     included, at most max_unique."""
-    w = Window.partitionBy(*keys).orderBy(F.desc("n"), "first")
+    total = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    # only the heaviest of a key can be chosen: they are found in parts, so that no task sorts all of a key's sequences
+    part = counts.withColumn("_part", F.pmod(F.xxhash64("n", "first"), F.lit(PARTS)))
+    order = [F.desc("n"), F.col("first")]
+    heavy = part.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))).where(F.col("_rank") <= max_unique).drop("_part", "_rank")
+    w = Window.partitionBy(*keys).orderBy(*order)
     before = F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = counts.withColumns({"panel_rank": F.row_number().over(w), "_before": before, "_total": F.sum("n").over(Window.partitionBy(*keys))})
+    ranked = heavy.withColumns({"panel_rank": F.row_number().over(w), "_before": before}).join(total, keys)
     return ranked.where((F.col("panel_rank") <= max_unique) & ((F.col("panel_rank") == 1) | (F.col("_before") / F.col("_total") < min_coverage))).drop("_before", "_total")
 
 

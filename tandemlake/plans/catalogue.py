@@ -527,6 +527,14 @@ def competitive_validation(spark, sf_dir):
     return v.groupBy("ref_alias", "support_call", "filter_reason").agg(F.count("*").alias("n"))
 
 
+@query(with_reads(f", {fixtures.NOISY}" + _nearest_sql("SELECT haplotype AS ref_alias, allele AS ref_seq FROM haps WHERE haplotype <> 'ITD_D'").replace("FROM reads)", "FROM noisy)") + " SELECT ref_alias, CASE WHEN ref_alias = 'WT' THEN 'WT-supporting' ELSE 'ITD-supporting' END AS support_call, 'pass' AS filter_reason, count(*) AS n FROM noisy JOIN near USING (read_seq) GROUP BY 1"))
+def noisy_competition(spark, sf_dir):
+    """Competition of reads that are nearly all unique, as long reads are: each one is aligned."""
+    known = spark.createDataFrame([("ITD_A", 180, WT[135:180]), ("ITD_B", 120, WT[75:120]), ("ITD_C", 180, WT[150:180])], "peak_alias string, consensus_ins_pos_ref int, consensus_seq string")
+    v = validation.competitive_validation(fixtures.noisy_reads(spark, sf_dir), consensus.reference_alleles(known))
+    return v.groupBy("ref_alias", "support_call", "filter_reason").agg(F.count("*").alias("n"))
+
+
 # --- quantification and reporting ------------------------------------------------------------------------------------
 
 _VALID = ", val AS (SELECT read_id, strand, CAST(read_len AS BIGINT) AS read_len, haplotype AS ref_alias, CASE WHEN haplotype = 'WT' THEN 'WT-supporting' WHEN read_id % 19 = 0 THEN 'Ambiguous' ELSE 'ITD-supporting' END AS support_call, CASE WHEN read_id % 7 = 0 THEN 'too_many_gaps(9)' ELSE 'pass' END AS filter_reason, read_id % 7 <> 0 AS valid_support FROM reads), sup AS (SELECT * FROM val WHERE valid_support AND filter_reason = 'pass' AND support_call IN ('ITD-supporting', 'WT-supporting'))"
