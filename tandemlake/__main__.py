@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import shutil
 from dataclasses import fields
 from pathlib import Path
 
@@ -28,9 +29,13 @@ def read_sample(spark: SparkSession, path: str, settings: Settings) -> DataFrame
     return trim_primers(keep_last(oriented, ["read_id"], [F.col("place")]).drop("place", "n_rows"), settings)
 
 
-def run_sample(spark: SparkSession, path: str, out: str, sample: str, settings: Settings, report: bool = True) -> int:
+#: Tables that are written on the way to the calls.
+TABLES = ["insertions", "unresolved_consensus", "consensus", "read_support", "observed_audit", "references"]
+
+
+def run_sample(spark: SparkSession, path: str, out: str, sample: str, settings: Settings, report: bool = True, keep_tables: bool = True) -> int:
     """Writes calls (VCF), tables (TSV) and, if asked for, a report; returns the number of calls. Without calls, the same files
-    with headers alone."""
+    with headers alone. Without keep_tables, only calls, summary, report and log stay."""
     folder = Path(out)
     folder.mkdir(parents=True, exist_ok=True)
     log = str(folder / "stages.jsonl")
@@ -66,8 +71,11 @@ def run_sample(spark: SparkSession, path: str, out: str, sample: str, settings:
     sinks.write_vcf(str(folder / f"{sample}.vcf"), sample, sinks.vcf_lines(result.summary, result.references, result.peaks, result.audit) if calls else None, settings.genome)
     if report:
         lengths = [(r.read_len, r.n) for r in reads.groupBy("read_len").agg(F.count("*").alias("n")).orderBy("read_len").collect()]
-        (folder / f"{sample}.html").write_text(sinks.html_report(sample, calls, lengths, result.reason, warnings))
+        (folder / f"{sample}.html").write_text(sinks.html_report(sample, calls, lengths, result.reason, warnings, settings.genome))
     sinks.record_stage(log, "calls", rows=len(calls), reason=result.reason)
+    if not keep_tables:
+        for name in TABLES:
+            shutil.rmtree(folder / name, ignore_errors=True)
     return len(calls)
 
 
@@ -77,6 +85,7 @@ def main() -> None:
     p.add_argument("-o", "--output-folder", required=True)
     p.add_argument("-s", "--sample-name", required=True)
     p.add_argument("--html-report", action="store_true")
+    p.add_argument("--keep-tables", action=argparse.BooleanOptionalAction, default=True)
     for f in fields(Settings):
         flag = "--" + f.name.replace("_", "-")
         if isinstance(f.default, bool):
@@ -86,7 +95,7 @@ def main() -> None:
     a = vars(p.parse_args())
     settings = Settings(**{f.name: a[f.name] for f in fields(Settings)})
     spark = SparkSession.builder.appName("tandemlake").getOrCreate()
-    print(f"{run_sample(spark, a['bam'], a['output_folder'], a['sample_name'], settings, a['html_report'])} calls")
+    print(f"{run_sample(spark, a['bam'], a['output_folder'], a['sample_name'], settings, a['html_report'], a['keep_tables'])} calls")
 
 
 if __name__ == "__main__":

@@ -16,6 +16,19 @@ REVERSE_PRIMER = "CTGTACCTTTCAGCATTTTGACG"
 #: Amplicon and extraction window (first and last base, 1-based) on chromosome 13, by genome build.
 AMPLICON = {"hg38": (28033881, 28034216), "hg19": (28608018, 28608353)}
 EXTRACTION = {"hg38": (28033301, 28034800), "hg19": (28607438, 28608937)}
+# First and last base of the gene's exons on chromosome 13 of hg38, by position.
+EXONS_HG38 = [
+    (28003273, 28004174), (28014451, 28014557), (28015156, 28015256), (28015589, 28015701), (28018466, 28018589), (28023349, 28023477), (28024860, 28024943), (28027087, 28027241),
+    (28028177, 28028288), (28033886, 28033991), (28034081, 28034214), (28034300, 28034407), (28035494, 28035673), (28035934, 28036043), (28037184, 28037288), (28048274, 28048443),
+    (28049383, 28049537), (28049634, 28049774), (28050094, 28050222), (28052544, 28052674), (28057346, 28057462), (28061866, 28062069), (28070490, 28070612), (28100467, 28100576),
+]
+
+
+def exons(genome: str) -> list[tuple[str, int, int]]:
+    """Label, first and last base of each exon by position. The gene is read from the minus strand, so the last is exon 1; in
+    hg19 all stand as far off as the amplicon does."""
+    shift = AMPLICON["hg38" if genome == "hg38" else "hg19"][0] - AMPLICON["hg38"][0]
+    return [(f"Ex{len(EXONS_HG38) - i}", a + shift, b + shift) for i, (a, b) in enumerate(EXONS_HG38)]
 
 
 def reverse_complement(seq: str) -> str:

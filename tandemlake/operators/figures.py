@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tandemlake.assay import WT
+from tandemlake.assay import WT, exons
 from tandemlake.kernels import msa
 from tandemlake.operators.consensus import panel
 from tandemlake.operators.quantify import final_support
@@ -48,11 +48,28 @@ def pileup_rows(insertions_: DataFrame, most: int = 30) -> DataFrame:
 
 
 def exon_overlaps(exons: DataFrame, start: int, end: int) -> DataFrame:
-    """Exons (label, exon_start, exon_end) that overlap a range, cut to it."""
+    """Exons (label, exon_start, exon_end) that overlap a range, cut to it: label, from, to."""
     hit = exons.where((F.col("exon_start") <= end) & (F.col("exon_end") >= start))
     return hit.select("label", F.greatest("exon_start", F.lit(start)).alias("from"), F.least("exon_end", F.lit(end)).alias("to"))
 
 
+def exons_frame(spark: SparkSession, genome: str = "hg38") -> DataFrame:
+    return spark.createDataFrame(exons(genome), "label string, exon_start long, exon_end long")
+
+
+def genome_view(references: DataFrame, genome: str = "hg38") -> DataFrame:
+    """ref_alias, genomic_pos, itd_len, exon (null between exons) of each ITD allele."""
+    spans = F.broadcast(exons_frame(references.sparkSession, genome))
+    itd = references.where("ref_alias <> 'WT'")
+    return itd.join(spans, F.col("genomic_pos").between(F.col("exon_start"), F.col("exon_end")), "left").select("ref_alias", "genomic_pos", "itd_len", F.col("label").alias("exon"))
+
+
+def density_allowed(insertions: DataFrame) -> DataFrame:
+    """allowed: whether a smooth density of lengths can be drawn, that is, every peak has more than one length."""
+    kinds = insertions.groupBy("peak_alias").agg(F.countDistinct("ins_len").alias("n"))
+    return kinds.agg(F.coalesce(F.min("n") > 1, F.lit(True)).alias("allowed"))
+
+
 def reported_calls(references: DataFrame, summary: DataFrame) -> DataFrame:
     """ITD calls of the summary with their alleles, by size and alias."""
     itd = references.where((F.col("ref_alias") != "WT") & (F.col("itd_len") > 0))

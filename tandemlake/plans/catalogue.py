@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandemlake import fixtures
-from tandemlake.assay import AMPLICON, EXTRACTION, FORWARD_PRIMER, REVERSE_PRIMER, WT, Settings, anchor_coordinates, reverse_complement
+from tandemlake.assay import AMPLICON, EXTRACTION, FORWARD_PRIMER, REVERSE_PRIMER, WT, Settings, anchor_coordinates, exons, reverse_complement
 from tandemlake.fixtures import reads, with_reads
 from tandemlake.functions import sequence as S
 from tandemlake.operators import consensus, figures, insertions, observed, peaks, quantify, validation
@@ -665,6 +665,25 @@ def insertion_size_distribution(spark, sf_dir):
     return f.select("peak_alias", long("ins_len"), "n", F.round("mean_len", 6).alias("mean_len"), F.round("sd_len", 6).alias("sd_len"))
 
 
+@query(with_reads(f"{_EXACT} SELECT coalesce(min(n) > 1, true) AS allowed FROM (SELECT strand, count(DISTINCT ins_len) AS n FROM ins GROUP BY 1)"))
+def density_allowed(spark, sf_dir):
+    return figures.density_allowed(_exact(spark, sf_dir).select(F.col("strand").alias("peak_alias"), "ins_len"))
+
+
+_EXONS = "exons AS (SELECT * FROM (VALUES " + ", ".join(f"('{e}', {a}, {b})" for e, a, b in exons("hg19")) + ") v(label, exon_start, exon_end))"
+
+
+@query(f"WITH {_EXONS} SELECT label, CAST(greatest(exon_start, {EXTRACTION['hg19'][0]}) AS BIGINT) AS \"from\", CAST(least(exon_end, {EXTRACTION['hg19'][1]}) AS BIGINT) AS \"to\" FROM exons WHERE exon_start <= {EXTRACTION['hg19'][1]} AND exon_end >= {EXTRACTION['hg19'][0]}")
+def exon_overlaps(spark, sf_dir):
+    return figures.exon_overlaps(figures.exons_frame(spark, "hg19"), *EXTRACTION["hg19"]).select("label", long("from"), long("to"))
+
+
+@query(with_reads(f"{_EXACT}, e AS (SELECT * FROM (VALUES " + ", ".join(f"('{e}', {a}, {b})" for e, a, b in exons("hg38")) + f") v(label, a, b)), p AS (SELECT read_id, {AMPLICON['hg38'][0]} + ins_pos - 1 AS pos, ins_len FROM ins) SELECT read_id, CAST(pos AS BIGINT) AS genomic_pos, label AS exon FROM p LEFT JOIN e ON pos BETWEEN a AND b"))
+def genome_view(spark, sf_dir):
+    found = _exact(spark, sf_dir).select(F.col("read_id").cast("string").alias("ref_alias"), S.genomic_position(F.col("ins_pos"), AMPLICON["hg38"][0], len(WT)).alias("genomic_pos"), F.col("ins_len").alias("itd_len"))
+    return figures.genome_view(found).select(F.col("ref_alias").cast("long").alias("read_id"), long("genomic_pos"), "exon")
+
+
 @query(with_reads(f"{_EXACT}, r AS (SELECT strand AS peak_alias, read_id, ins_pos, ins_len, row_number() OVER (PARTITION BY strand ORDER BY ins_pos, ins_len, read_id) - 1 AS i, count(*) OVER (PARTITION BY strand) AS n FROM ins) SELECT peak_alias, read_id, CAST(ins_pos AS BIGINT) AS ins_pos, CAST(ins_len AS BIGINT) AS ins_len FROM r WHERE n <= 30 OR i IN (SELECT k * n // 30 FROM range(30) t(k))"))
 def pileup_sample(spark, sf_dir):
     rows = _exact(spark, sf_dir).select(F.col("strand").alias("peak_alias"), "read_id", F.col("ins_pos").alias("ins_pos_ref"), "ins_len")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tandemlake.assay import WT
+from tandemlake.assay import AMPLICON, WT, exons
 from tandemlake.functions.sequence import mid
 
 # Lengths of chromosome 13.
@@ -102,6 +102,11 @@ def wrap(seq: str, width: int = 60) -> str:
     return "\n".join(seq[i : i + width] for i in range(0, len(seq), width))
 
 
+def marked(text: str) -> str:
+    """HTML of a wrapped sequence with its unresolved bases marked."""
+    return html.escape(text).replace("N", "<mark>N</mark>")
+
+
 def flags(call: Row) -> list[str]:
     """What a reader of the report should know about a call."""
     out = []
@@ -129,14 +134,39 @@ def histogram_svg(rows: list[tuple[int, int]], width: int = 640, height: int = 1
     return f'<svg viewBox="0 0 {width} {height}" width="{width}" height="{height}" fill="#4a6fa5">{bars}</svg>'
 
 
-def html_report(sample: str, calls: list[Row], lengths: list[tuple[int, int]] = (), reason: str = "", mixed: list[str] = ()) -> str:
+def genome_svg(calls: list[Row], genome: str = "hg38", width: int = 640) -> str:
+    """The amplicon with its exons, and a mark where each call inserts."""
+    start, end = AMPLICON["hg38" if genome == "hg38" else "hg19"]
+    x = lambda pos: (pos - start) * width / (end - start)
+    boxes = "".join(
+        f'<rect x="{x(max(a, start)):.1f}" y="30" width="{x(min(b, end)) - x(max(a, start)):.1f}" height="14" fill="#9db4d3"><title>{label}</title></rect><text x="{x(max(a, start)):.1f}" y="60" font-size="11">{label}</text>'
+        for label, a, b in exons(genome) if a <= end and b >= start
+    )
+    marks = "".join(f'<line x1="{x(c.genomic_pos):.1f}" x2="{x(c.genomic_pos):.1f}" y1="8" y2="44" stroke="#b03a2e"><title>{html.escape(c.ref_alias)}: {c.itd_len} bp</title></line>' for c in calls)
+    return f'<svg viewBox="0 0 {width} 64" width="{width}" height="64"><line x1="0" x2="{width}" y1="37" y2="37" stroke="#666"/>{boxes}{marks}</svg>'
+
+
+def _letters(calls: list[Row]) -> dict[str, str]:
+    """Each call's size, with a letter where several calls have it, as quantify.display_labels gives."""
+    by_size: dict[int, list[str]] = {}
+    for c in sorted(calls, key=lambda c: c.ref_alias):
+        by_size.setdefault(c.itd_len, []).append(c.ref_alias)
+    return {alias: f"{size} bp" + (f" {chr(65 + i)}" if len(names) > 1 else "") for size, names in by_size.items() for i, alias in enumerate(names)}
+
+
+def html_report(sample: str, calls: list[Row], lengths: list[tuple[int, int]] = (), reason: str = "", mixed: list[str] = (), genome: str = "hg38") -> str:
     """A self-contained report: verdict, length profile, table, a card for each call, and a warning for each consensus that
     may be a mixture."""
     e = html.escape
     verdict = f"{len(calls)} internal tandem duplication{'s' * (len(calls) != 1)} reported" if calls else f"No internal tandem duplication reported. {e(reason)}"
-    rows = "".join(f"<tr><td>{e(c.ref_alias)}</td><td>{c.itd_len}</td><td>{c.allele_frequency:.4f}</td><td>{c.n_itd_reads}</td><td>{c.plus_reads}/{c.minus_reads}</td></tr>" for c in calls)
-    cards = "".join(f"<section><h2>{e(c.ref_alias)}: {c.itd_len} bp at chr13:{c.genomic_pos}</h2><p>{e('; '.join(flags(c)) or 'no flags')}</p><pre>{e(wrap(c.itd_seq))}</pre></section>" for c in calls)
-    table = f"<table><tr><th>Call</th><th>Size</th><th>Frequency</th><th>Reads</th><th>+/-</th></tr>{rows}</table>" if calls else ""
+    label = _letters(calls)
+    number = lambda v, f: "." if v is None or math.isnan(v) else format(v, f)
+    rows = "".join(
+        f"<tr><td>{e(c.ref_alias)}</td><td>{e(label[c.ref_alias])}</td><td>{c.allele_frequency:.4f}</td><td>{c.n_itd_reads} of {c.n_total_reads}</td><td>{c.plus_reads}/{c.minus_reads}</td><td>{number(c.odds_ratio, '.3g')}</td><td>{number(c.fisher_p, '.3g')}</td></tr>"
+        for c in calls
+    )
+    cards = "".join(f"<section><h2>{e(c.ref_alias)}: {e(label[c.ref_alias])} at chr13:{c.genomic_pos}</h2><p>{e('; '.join(flags(c)) or 'no flags')}</p><pre>{marked(wrap(c.itd_seq))}</pre></section>" for c in calls)
+    table = f"<table><tr><th>Call</th><th>Size</th><th>Frequency</th><th>Reads</th><th>+/-</th><th>Strand odds</th><th>p</th></tr>{rows}</table>{genome_svg(calls, genome)}" if calls else ""
     warnings = "".join(f"<p class='warning'>The consensus of {e(m)} may stand for several alleles.</p>" for m in mixed)
     return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{e(sample)}</title></head><body><h1>{e(sample)}</h1><p>{verdict}</p>{histogram_svg(list(lengths))}{table}{cards}{warnings}</body></html>"
 

@@ -102,8 +102,11 @@ def test_vcf_and_report(spark, tmp_path):
     row = sinks.read_vcf(spark, path).first()
     assert row.pos == 28033881 + 179 and row.inserted == WT[135:180] and row.info["AF"] == "0.40000" and row.info["ITD_LEN"] == "45"
     assert sinks.write_vcf(path, "s", None) == 0
-    call = Row(**(summary.first().asDict() | {"itd_len": 45, "itd_seq": WT[135:180], "genomic_pos": 1}))
+    call = Row(**(summary.first().asDict() | {"itd_len": 45, "itd_seq": WT[135:180], "genomic_pos": 28034060}))
     page = sinks.html_report("s", [call], [(336, 60), (381, 40)])
+    assert "40 of 100" in page and ">1.1<" in page and "Ex14" in page and page.count("<line") == 2
+    two = [Row(**(call.asDict() | {"ref_alias": "ITD_2", "itd_seq": "ACN" * 15})), call]
+    assert "45 bp A" in sinks.html_report("s", two) and "45 bp B" in sinks.html_report("s", two) and "<mark>N</mark>" in sinks.html_report("s", two)
     assert "fewer than 50 reads" in page and "<svg" in page and "No internal" in sinks.html_report("s", [], reason="nothing")
     log = str(tmp_path / "log.jsonl")
     sinks.record_stage(log, "a", rows=1)
