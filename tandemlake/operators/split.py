@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tandemlake.assay import Settings
 from tandemlake.kernels.denoise import differences, log_tail
 from tandemlake.operators.insertions import cluster_guardrails, relabel
+from tandemlake.operators.lineage import cut
 
 STATE = "gmm_peak_alias string, seq string, n long, first {first}, owner int, d int"
 
@@ -85,7 +86,7 @@ def denoise_labels(reads: DataFrame, settings: Settings) -> DataFrame:
     large = counts.groupBy("gmm_peak_alias").agg(F.sum("n").alias("_n")).where(F.col("_n") >= 2 * settings.min_haplotype_reads)
     counted = counts.join(F.broadcast(large), "gmm_peak_alias", "left_semi").persist(StorageLevel.MEMORY_AND_DISK)
     # each round's plan begins here, not at the reads
-    counts = counted.checkpoint() if reads.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else counted.localCheckpoint()
+    counts = cut(counted)
     counted.unpersist()
     owned, centres = _centres(counts, settings.omega_a)
     first = counts.schema["first"].dataType.simpleString()
