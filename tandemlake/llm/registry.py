@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["quality", "langid", "tokenfile", "substring", "packing", "licenses", "neardup", "mixing", "pii", "media", "importance", "balltree"]
+MODULES = ["quality", "langid", "tokenfile", "substring", "packing", "licenses", "neardup", "mixing", "pii", "media", "importance", "balltree", "maxent"]
 
 
 def queries() -> dict:
