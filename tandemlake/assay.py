@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from tandemlake.kernels.denoise import Denoiser
+
 # Public human-genome sequence (plus strand) and the assay's primers.
 WT = (
     "CTGTACCTTTCAGCATTTTGACGGCAACCTGGATTGAGACTCCTGTTTTGCTAATTCCATAAGCTGTTGCGTTCATCACTTTTC"
@@ -71,6 +73,9 @@ class Settings:
     cluster_wt_peak: bool = False
     min_haplotype_reads: int = 20
     omega_a: float = 1e-40
+    band_size: int = 32
+    homopolymer_gap_penalty: int = -1
+    singleton_centres: bool = True
     min_subpeak_fraction: float = 0.15
     subpeak_refinement: bool = True
     msa_max_unique: int = 150
@@ -90,6 +95,10 @@ class Settings:
             raise ValueError("anchor_max_mismatches must be at least 0 and below anchor_length")
         anchor_coordinates(self.wt_amplicon_length, self.anchor_length, self.anchor_shift)
 
+    @property
+    def denoiser(self) -> Denoiser:
+        return Denoiser(self.omega_a, self.band_size, self.homopolymer_gap_penalty, self.singleton_centres, least_reads=self.min_haplotype_reads, least_share=self.min_subpeak_fraction)
+
     @property
     def max_read_length(self) -> int:
         return self.wt_amplicon_length + int(self.max_itd_size * 1.1)

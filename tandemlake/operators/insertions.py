@@ -57,26 +57,6 @@ def exact_insertion(sequences: DataFrame, ref: str = WT) -> DataFrame:
     return sequences.select("seq").mapInPandas(run, "seq string, ins_pos int, ins_len int, ins_seq string")
 
 
-def leftmost_place(pos: int, inserted: str, ref: str = WT, penalty: int = 3) -> int:
-    """The first of the boundaries at which nearly the same allele could have been written: the insertion is moved left past
-    bases that match, each mismatch costing ``penalty`` matches, to where that pays most."""
-    n = len(inserted)
-    back = np.frombuffer((ref[:pos] + inserted).encode(), np.uint8)
-    same = back[:pos][::-1] == back[n:][::-1]
-    gain = np.cumsum(np.where(same, 1, -penalty))
-    return pos - (int(gain.argmax()) + 1 if len(gain) and gain.max() > 0 else 0)
-
-
-def placed(insertions_: DataFrame, ref: str = WT) -> DataFrame:
-    """Adds place: the leftmost boundary of each insertion."""
-
-    @F.pandas_udf("int")
-    def place(pos: pd.Series, seq: pd.Series) -> pd.Series:
-        return pd.Series([leftmost_place(int(p), s, ref) for p, s in zip(pos, seq, strict=True)], dtype="int32")
-
-    return insertions_.withColumn("place", place("ins_pos_ref", "ins_seq"))
-
-
 def length_candidates(lengths: DataFrame, keys: list[str], min_reads: int, min_fraction: float) -> DataFrame:
     """keys, ins_len, n: local maxima of the counts by length (not below the length before, above the next one) with enough
     reads and share. A missing length counts 0."""

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tandemlake.assay import WT, reverse_complement
+from tandemlake.kernels.rotation import least_rotation, rotational_identity
 
 
 @dataclass(frozen=True)
@@ -88,27 +89,55 @@ def simulate(spark: SparkSession, scenario: str, n_reads: int, seed: int = 42) -
     return spark.range(n_reads).mapInPandas(run, "read_id long, haplotype string, strand string, read_seq string, read_qual string, read_len int")
 
 
-def same_itd(a: str, b: str, pos_a: int, pos_b: int, min_identity: float = 0.9, tolerance: int = 2) -> bool:
-    """Do two insertions tell of one duplication: nearly one size, places equal up to whole copies, and sequences equal up to
-    a rotation with enough identity."""
-    if abs(len(a) - len(b)) > tolerance:
-        return False
-    size = max(len(a), len(b))
-    apart = abs(pos_a - pos_b)
-    if min(apart % size, -apart % size) > tolerance and apart > size:
+#: The scorer's tolerance of sizes, the further one of places, and the least identity of rotations.
+SIZE_TOLERANCE, PLACE_SLACK, LEAST_IDENTITY = 2, 2, 0.85
+
+
+def same_itd(called: str, true: str, called_pos: int, true_pos: int, min_identity: float = LEAST_IDENTITY, tolerance: int = SIZE_TOLERANCE) -> bool:
+    """Do two insertions tell of one duplication: nearly one size, and either one is a rotation of the other, wherever they
+    stand, or they stand at one place, or one whole copy before or after it, and some rotation has enough identity."""
+    if abs(len(called) - len(true)) > tolerance:
         return False
-    n = min(len(a), len(b))
-    return max(sum(x == y for x, y in zip(a, b[k:] + b[:k], strict=False)) / n for k in range(len(b))) >= min_identity
+    if called and least_rotation(called) == least_rotation(true):
+        return True
+    apart = min(abs(called_pos - true_pos), abs(called_pos - true_pos + len(true)), abs(called_pos - len(called) - true_pos))
+    return apart <= tolerance + PLACE_SLACK and rotational_identity(called, true) >= min_identity
+
+
+def itd_pairs(truth: DataFrame, calls: DataFrame, min_identity: float = LEAST_IDENTITY, tolerance: int = SIZE_TOLERANCE) -> DataFrame:
+    """name and call of all pairs that same_itd accepts. truth: name, seq, pos; calls: call, seq, pos. Rotations of each other
+    meet at their canonical rotation; other candidates at a size and a stretch of places, one row for each that is near enough."""
+
+    @F.pandas_udf("string")
+    def canonical(seq: pd.Series) -> pd.Series:
+        return seq.map(least_rotation)
+
+    @F.pandas_udf("boolean")
+    def same(a: pd.Series, b: pd.Series, pa: pd.Series, pb: pd.Series) -> pd.Series:
+        return pd.Series([same_itd(x, y, int(p), int(q), min_identity, tolerance) for x, y, p, q in zip(a, b, pa, pb, strict=True)], dtype=bool)
+
+    reach = tolerance + PLACE_SLACK
+    width = 2 * reach + 1
+    t = truth.where("seq <> ''").select("name", F.col("seq").alias("t_seq"), F.col("pos").alias("t_pos"))
+    c = calls.where("seq <> ''").select("call", F.col("seq").alias("c_seq"), F.col("pos").alias("c_pos"))
+    turned = t.withColumn("key", canonical("t_seq")).join(c.withColumn("key", canonical("c_seq")), "key").drop("key")
+    sizes = F.explode(F.sequence(F.length("c_seq") - tolerance, F.length("c_seq") + tolerance))
+    # a call's places: its own, a true copy's length further and its own length back, each within reach of a stretch
+    place = F.explode(F.array("c_pos", F.col("c_pos") + F.col("size"), F.col("c_pos") - F.length("c_seq")))
+    bins = lambda p: F.floor(p / width)
+    spread = c.withColumn("size", sizes).withColumn("at", place).withColumn("bin", F.explode(F.array_distinct(F.array(bins(F.col("at") - reach), bins(F.col("at") + reach)))))
+    near = t.withColumns({"size": F.length("t_seq"), "bin": bins(F.col("t_pos"))}).join(spread, ["size", "bin"]).select(*turned.columns).distinct()
+    return turned.unionByName(near.where(same("c_seq", "t_seq", "c_pos", "t_pos"))).select("name", "call").distinct()
 
 
 def match_calls(truth: list[tuple[str, str, int, float]], calls: list[tuple[str, str, int, float]]) -> tuple[dict[str, str], list[str]]:
-    """Greedy one-to-one matches of truth to calls (name, insertion, position, frequency), the most frequent truth first; and
-    the calls left over. At most a handful of each."""
+    """Greedy one-to-one matches of truth to calls (name, insertion, position, frequency), both in the order given; and the
+    calls left over. At most a handful of each."""
     used: set[str] = set()
     found: dict[str, str] = {}
-    for name, ins, pos, _ in sorted(truth, key=lambda t: (-t[3], t[0])):
-        for call, other, place, _ in sorted(calls, key=lambda c: (-c[3], c[0])):
-            if call not in used and same_itd(ins, other, pos, place):
+    for name, ins, pos, _ in truth:
+        for call, other, place, _ in calls:
+            if call not in used and same_itd(other, ins, place, pos):
                 found[name] = call
                 used.add(call)
                 break
@@ -170,7 +199,7 @@ def score(truth: list[tuple[str, str, int, float]], calls: list[tuple[str, str,
     found, extra = match_calls(truth, calls)
     by_name = {c[0]: c for c in calls}
     rows = []
-    for name, inserted, _, share in sorted(truth, key=lambda t: (-t[3], t[0])):
+    for name, inserted, _, share in truth:
         call = by_name.get(found.get(name))
         rows.append({"haplotype": name, "true_af": share, "true_len": len(inserted), "recovered": call is not None, "called": call[0] if call else None, "af_error": round(call[3] - share, 4) if call else None, "len_error": len(call[1]) - len(inserted) if call else None})
     errors = [abs(r["af_error"]) for r in rows if r["recovered"]]

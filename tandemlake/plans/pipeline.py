@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandemlake.assay import WT, Settings
@@ -50,9 +50,8 @@ def run(reads: DataFrame, settings: Settings) -> Result:
     found = spark.createDataFrame([], _EMPTY_CONSENSUS)
     named: list[dict] = []
     frame, assigned, inserted, unresolved = None, None, None, None
-    lengths = reads.drop("read_qual")
     try:
-        named, assigned = peaks.fit_length_peaks(lengths, settings)
+        named, assigned = peaks.fit_length_peaks(reads, settings)
     except ValueError as nothing:
         if audit is None or audit.where("status = 'eligible'").isEmpty():
             return Result(spark.createDataFrame([], _EMPTY_SUMMARY), consensus.reference_alleles(found), audit, None, None, str(nothing))
@@ -62,13 +61,11 @@ def run(reads: DataFrame, settings: Settings) -> Result:
         parents = assigned
         if settings.subpeak_refinement:
             assigned = split.split_peaks(assigned, settings)
-        assigned = cut(assigned)
+        assigned = cut(assigned.drop("read_qual"))
         sizes = _small(_child_sizes(assigned, frame, settings))
         windows = peaks.size_windows(sizes, settings.min_gmm_peak_distance, settings.itd_sd_factor, settings.min_itd_size, settings.max_itd_size)
         inserted = cut(insertions.extract_insertions(assigned.where("gmm_peak_alias <> 'WT'"), windows))
-        # each split's plan begins at the one before
         inserted = cut(_split_by_length(inserted, settings))
-        inserted = cut(_split_by_place(inserted, settings))
         found = _small(consensus.peak_consensus(inserted, settings))
         unresolved = _small(inserted.select("peak_alias").distinct().join(F.broadcast(found), "peak_alias", "left_anti").withColumn("status", F.lit("no_resolved_consensus")))
         owners = consensus.merge_duplicates(found)
@@ -113,27 +110,10 @@ def _child_sizes(assigned: DataFrame, frame: DataFrame, settings: Settings) -> D
 
 def _split_by_length(inserted: DataFrame, settings: Settings) -> DataFrame:
     """Insertions of peaks with several length modes under an alias for each mode."""
-    return _split_by_modes(inserted, F.col("ins_len"), "bp", settings, settings.min_subpeak_fraction)
-
-
-#: Bases of a bin of places, and the least distance of two modes of them.
-PLACE_BIN, PLACE_GAP = 6, 18
-
-
-def _split_by_place(inserted: DataFrame, settings: Settings) -> DataFrame:
-    """Insertions of peaks with several modes of leftmost places under an alias for each. Duplications of one size from
-    different places, which errors keep from recurring exactly, are told apart so. A mode may have half the least share: the
-    guardrails count all reads nearest to it."""
-    bins = (F.floor(F.col("place") / PLACE_BIN) * PLACE_BIN).cast("int")
-    return _split_by_modes(insertions.placed(inserted), bins, "at", settings, settings.min_subpeak_fraction / 2, PLACE_GAP).drop("place")
-
-
-def _split_by_modes(inserted: DataFrame, value: Column, unit: str, settings: Settings, share: float, gap: int = insertions.MIN_GAP) -> DataFrame:
-    valued = inserted.withColumn("value", value)
-    values = valued.select("peak_alias", F.col("value").alias("ins_len"))
-    modes = _small(insertions.length_modes(values, "peak_alias", settings.min_haplotype_reads, share, gap))
+    lengths = inserted.select("peak_alias", "ins_len")
+    modes = _small(insertions.length_modes(lengths, "peak_alias", settings.min_haplotype_reads, settings.min_subpeak_fraction))
     several = modes.groupBy("peak_alias").agg(F.count("*").alias("_n")).where("_n > 1")
-    nearest = insertions.nearest_mode(values, modes.join(F.broadcast(several), "peak_alias", "left_semi"), "peak_alias").withColumnRenamed("ins_len", "value")
-    labels = valued.join(F.broadcast(nearest), ["peak_alias", "value"], "left").withColumn("label", F.when(F.col("mode").isNotNull(), F.concat(F.col("mode").cast("string"), F.lit(unit))))
+    nearest = insertions.nearest_mode(lengths, modes.join(F.broadcast(several), "peak_alias", "left_semi"), "peak_alias")
+    labels = inserted.join(F.broadcast(nearest), ["peak_alias", "ins_len"], "left").withColumn("label", F.when(F.col("mode").isNotNull(), F.concat(F.col("mode").cast("string"), F.lit("bp"))))
     children = insertions.cluster_guardrails(labels.select(F.col("peak_alias").alias("parent"), "read_id", "label"), settings.min_haplotype_reads, settings.min_subpeak_fraction)
-    return insertions.relabel(labels.withColumnRenamed("peak_alias", "gmm_peak_alias"), children, F.col("label")).withColumnRenamed("gmm_peak_alias", "peak_alias").drop("label", "mode", "value")
+    return insertions.relabel(labels.withColumnRenamed("peak_alias", "gmm_peak_alias"), children, F.col("label")).withColumnRenamed("gmm_peak_alias", "peak_alias").drop("label", "mode")

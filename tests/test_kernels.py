@@ -227,9 +227,132 @@ def test_denoise_labels_of_all_uniques(spark):
         count[s] = count.get(s, 0) + 1
     unique = sorted(count, key=lambda s: (-count[s], first[s]))
     assert len(unique) > 2000
-    owner = denoise(unique, [count[s] for s in unique], Settings().omega_a)
+    owner = denoise(unique, [count[s] for s in unique], settings=Settings().denoiser)
     want = {s: f"c{o:04d}" for s, o in zip(unique, owner, strict=True)}
     assert len(set(owner)) == 3
     for peak in ("ITD_1", "ITD_2"):
         part = out[out.gmm_peak_alias == peak]
         assert part.label.tolist() == [want[s] for s in part.read_seq]
+
+
+def test_log_tail_against_exact_sums():
+    """Poisson tails against sums of all terms that matter, for means from 1e-6 to 1e7 on both sides of the count."""
+    from tandemlake.kernels.denoise import log_at_least, log_tail
+
+    def exact(count, mean):
+        reach = int(60 * math.sqrt(max(count, mean)) + 200)
+        k = np.arange(count, max(count, int(mean)) + reach, dtype=float)
+        logs = k * math.log(mean) - mean - np.concatenate([[math.lgamma(count + 1)], math.lgamma(count + 1) + np.cumsum(np.log(k[1:]))])
+        return logs.max() + math.log(np.exp(logs - logs.max()).sum())
+
+    cases = [(100, 950.0), (950, 100.0), (2, 1e-6), (1, 0.3), (5, 5.0), (10**5, 1.01e5), (10**6, 0.99e6), (10**7, 1e7), (10**7 - 20000, 1e7), (10**7 + 40000, 1e7), (3, 1e7)]
+    for count, mean in cases:
+        assert math.isclose(float(log_at_least(np.array([count]), np.array([mean]))[0]), min(exact(count, mean), 0), rel_tol=1e-6, abs_tol=1e-7)
+    seen = log_tail(np.array([2.0, 1.0]), np.array([0.5, 1e-12]))
+    assert math.isclose(seen[0], math.log((1 - 1.5 * math.exp(-0.5)) / (1 - math.exp(-0.5)))) and abs(seen[1]) < 1e-9
+
+
+@pytest.mark.parametrize("depth", [1, 10, 100])
+def test_deep_peaks_are_not_split(depth):
+    """One true sequence with its one-base errors at uneven counts is one centre at every depth."""
+    rng = np.random.default_rng(1)
+    base = "".join(rng.choice(list("ACGT"), 60))
+    errors = [base[:i] + c + base[i + 1 :] for i in range(60) for c in "ACGT" if c != base[i]]
+    counts = [100_000 * depth] + [int(x) * depth for x in rng.integers(60, 220, len(errors))]
+    assert set(denoise([base, *errors], counts)) == {0}
+
+
+def test_banded_alignment_equals_the_full_matrix():
+    """Scores against a cell-by-cell table with free ends and cheap gaps in homopolymers, where the band holds the best path;
+    and a narrow band never scores more."""
+    from tandemlake.kernels import denoise as d
+
+    rng = random.Random(3)
+
+    def full(c, s, gap_c, gap_s):
+        h = [[0] * (len(s) + 1) for _ in range(len(c) + 1)]
+        for i in range(1, len(c) + 1):
+            for j in range(1, len(s) + 1):
+                h[i][j] = max(h[i - 1][j - 1] + (d.MATCH if c[i - 1] == s[j - 1] else d.MISMATCH), h[i - 1][j] + gap_c[i - 1], h[i][j - 1] + gap_s[j - 1])
+        return max(max(h[-1]), max(row[-1] for row in h))
+
+    def gaps(s):
+        x = d.in_homopolymer(d.codes([s])[0])[0]
+        return [-1 if v else d.GAP for v in x]
+
+    centre = "".join(rng.choice("ACGT") for _ in range(40)) + "AAAA" + "".join(rng.choice("ACGT") for _ in range(20))
+    seqs = [centre]
+    for _ in range(30):
+        s = list(centre)
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(s))
+            s[at : at + rng.randrange(2)] = rng.choice(["", "A", "CG", "T"])
+        seqs.append("".join(s))
+    c = d.codes([centre])[0][0]
+    x, sizes = d.codes(seqs)
+    beside, score = d.banded(c, x, sizes, 100, -1)
+    assert score.tolist() == [full(centre, s, gaps(centre), gaps(s)) for s in seqs]
+    assert beside[0].tolist() == c.tolist() + [4] * (x.shape[1] - len(c))
+    assert (d.banded(c, x, sizes, 2, -1)[1] <= score).all()
+    # alone or in a batch, a sequence has one alignment
+    for i in (3, 9):
+        one, size = d.codes([seqs[i]])
+        assert d.banded(c, one, size, 5, -1)[0][0].tolist() == d.banded(c, x, sizes, 5, -1)[0][i][: len(seqs[i])].tolist()
+
+
+def test_error_rates_and_chances():
+    """Chances against a product over aligned bases; rates near those that made the reads, falling with quality."""
+    from tandemlake.kernels import denoise as d
+
+    rng = np.random.default_rng(6)
+    base = "".join(rng.choice(list("ACGT"), 200))
+    true = {q: 10 ** (-q / 10) for q in (10, 20, 30)}
+    seqs, quals = [], []
+    for _ in range(3000):
+        q = rng.choice([10, 20, 30], 200)
+        wrong = rng.random(200) < np.array([true[v] for v in q])
+        seqs.append("".join("ACGT"[("ACGT".index(c) + rng.integers(1, 4)) % 4] if w else c for c, w in zip(base, wrong)))
+        quals.append(bytes(q.astype(np.uint8)))
+    beside = [d.codes([base])[0][0].tobytes()] * len(seqs)
+    cells, _ = d.transitions(seqs, quals, beside)
+    rates = d.error_rates(np.bincount(cells, minlength=16 * d.QUALITIES).reshape(4, 4, d.QUALITIES))
+    for q, p in true.items():
+        assert abs(1 - np.mean([rates[a, a, q] for a in range(4)]) - p) < 0.25 * p
+    assert np.allclose(rates.sum(1), 1)
+    got = d.log_chances(seqs[:20], quals[:20], beside[:20], rates)
+    for s, q, v in zip(seqs[:20], quals[:20], got):
+        assert math.isclose(v, sum(math.log(rates["ACGT".index(a), "ACGT".index(b), k]) for a, b, k in zip(base, s, q)))
+    # the regression passes through a parabola
+    x = np.arange(12.0)
+    assert np.allclose(d.smooth(x, 2 - 0.3 * x + 0.05 * x * x, np.ones(12), x), 2 - 0.3 * x + 0.05 * x * x)
+
+
+def test_rotations_against_all_of_them():
+    from tandemlake.kernels.rotation import least_rotation, rotation_matches, rotational_identity
+    from tandemlake.plans.evaluate import same_itd
+
+    rng = random.Random(2)
+    for _ in range(200):
+        a = "".join(rng.choice("ACGTN") for _ in range(rng.randrange(1, 30)))
+        b = "".join(rng.choice("ACGTN") for _ in range(rng.randrange(1, 30))) if rng.random() < 0.7 else a[len(a) // 3 :] + a[: len(a) // 3]
+        turns = [a[i:] + a[:i] for i in range(len(a))]
+        assert rotation_matches(a, b).tolist() == [sum(x == y and x != "N" for x, y in zip(t, b)) for t in turns]
+        assert least_rotation(a) == min(turns)
+        identity = max(sum(x == y and x != "N" for x, y in zip(t, b)) for t in turns) / max(len(a), len(b))
+        assert math.isclose(rotational_identity(a, b), identity)
+        pa, pb = rng.randrange(80), rng.randrange(80)
+        near = min(abs(pa - pb), abs(pa - (pb - len(b))), abs(pa - len(a) - pb)) <= 4
+        assert same_itd(a, b, pa, pb) == (abs(len(a) - len(b)) <= 2 and (b in turns or (near and identity >= 0.85)))
+    assert least_rotation("") == "" and rotational_identity("", "A") == 0
+
+
+def test_itd_pairs_join(spark):
+    """Pairs of the join are those that same_itd accepts among all pairs."""
+    from tandemlake.plans.evaluate import itd_pairs, same_itd
+
+    rng = random.Random(7)
+    seqs = [WT[p : p + n] for p in range(60, 200, 9) for n in (30, 31, 45)]
+    truth = [(f"t{i}", s, rng.randrange(60, 200)) for i, s in enumerate(seqs)]
+    calls = [(f"c{i}", s[k:] + s[:k] if i % 2 else s[: len(s) - 1], t[2] + rng.choice([0, 3, 4, 5, len(s), -len(s), 60])) for i, (t, s) in enumerate(zip(truth, seqs)) for k in (rng.randrange(len(s)),)]
+    got = {tuple(r) for r in itd_pairs(spark.createDataFrame(truth, "name string, seq string, pos int"), spark.createDataFrame(calls, "call string, seq string, pos int")).collect()}
+    assert got == {(n, c) for n, a, p in truth for c, b, q in calls if same_itd(b, a, q, p)} and len(got) > 20

@@ -1,13 +1,13 @@
 """From a simulated BAM file to matched calls."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tandemlake.__main__ import run_sample
 from tandemlake.assay import WT, Settings, reverse_complement
 from tandemlake.functions import sequence as S
-from tandemlake.operators.insertions import leftmost_place
 from tandemlake.plans import pipeline
-from tandemlake.plans.evaluate import SCENARIOS, match_calls, simulate
+from tandemlake.plans.evaluate import SCENARIOS, Haplotype, match_calls, same_itd, simulate
 from tandemlake.sources.bam import write_bam
 from tandemlake.sources.sinks import read_tsv, read_vcf
 
@@ -42,24 +42,30 @@ def test_no_reads(spark, tmp_path):
     assert (tmp_path / "out/e.vcf").read_text().startswith("##fileformat")
 
 
-def test_two_alleles_of_one_size_in_reads_with_errors(spark):
-    """80 to 20, nearly all reads unique: both alleles are called, near their shares and at their places."""
-    reads = simulate(spark, "C", 2500, seed=11)
+def calls_of(spark, scenario, n, seed):
+    reads = simulate(spark, scenario, n, seed=seed)
     seq = F.when(F.col("strand") == "-", S.reverse_complement(F.col("read_seq"))).otherwise(F.col("read_seq"))
     qual = F.when(F.col("strand") == "-", F.reverse("read_qual")).otherwise(F.col("read_qual"))
     turned = reads.withColumns({"read_seq": seq, "read_qual": qual}).select("read_id", "read_seq", "read_qual", "strand", "read_len")
     result = pipeline.run(turned, Settings())
     refs = {r.ref_alias: r for r in result.references.collect()}
-    calls = [(r.ref_alias, refs[r.ref_alias].itd_seq, refs[r.ref_alias].local_pos, r.allele_frequency) for r in result.summary.collect()]
-    found, extra = match_calls([(h.name, h.inserted, h.pos, h.share) for h in SCENARIOS["C"] if h.size], calls)
+    return [(r.ref_alias, refs[r.ref_alias].itd_seq, refs[r.ref_alias].local_pos, r.allele_frequency) for r in result.summary.collect()], result
+
+
+@pytest.mark.parametrize(("scenario", "seed"), [("C", 11), ("C", 12), ("D", 11)])
+def test_two_alleles_of_one_size_in_reads_with_errors(spark, scenario, seed):
+    """Nearly all reads unique: the denoiser alone tells both alleles apart, and they are called near their shares."""
+    calls, _ = calls_of(spark, scenario, 2500, seed)
+    planted = [(h.name, h.inserted, h.pos, h.share) for h in SCENARIOS[scenario] if h.size]
+    found, extra = match_calls(planted, calls)
     share = {c[0]: c[3] for c in calls}
     assert set(found) == {"ITD_A", "ITD_B"} and not extra
-    assert abs(share[found["ITD_A"]] - 0.32) < 0.06 and abs(share[found["ITD_B"]] - 0.08) < 0.04
+    assert all(abs(share[found[name]] - part) < 0.06 for name, _, _, part in planted)
 
 
-def test_leftmost_place():
-    copy = WT[135:180]
-    assert all(leftmost_place(p, (WT[:180] + copy + WT[180:])[p : p + 45]) == 135 for p in range(140, 181, 5))
-    wrong = copy[:20] + ("A" if copy[20] != "A" else "C") + copy[21:]
-    assert leftmost_place(180, wrong) == 135 and leftmost_place(0, "ACGT") == 0
-    assert leftmost_place(100, "N" * 30) == 100
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_one_allele_is_not_split(spark, monkeypatch, seed):
+    """A single allele at a long-read error rate gives one call, in several seeds."""
+    monkeypatch.setitem(SCENARIOS, "one", [Haplotype("WT", 0.6), Haplotype("ITD_A", 0.4, 45, 180)])
+    calls, _ = calls_of(spark, "one", 1500, seed)
+    assert len(calls) == 1 and same_itd(calls[0][1], SCENARIOS["one"][1].inserted, calls[0][2], 180) and abs(calls[0][3] - 0.4) < 0.05
