@@ -58,6 +58,8 @@ class Vocabulary:
     end: int  # the end token's rank, -1 if it is rare
     total: int  # N
     distinct: int  # V
+    head_bits: int = HEAD
+    known_bits: int = KNOWN
     order: np.ndarray = field(init=False)
     sorted: np.ndarray = field(init=False)
     classes: np.ndarray = field(init=False)
@@ -70,22 +72,23 @@ class Vocabulary:
         self.order = np.argsort(self.hashes)
         self.sorted = self.hashes[self.order]
         n = len(self.counts)
-        head = int((self.counts * (1 << HEAD) >= self.total).sum())
+        head = int((self.counts * (1 << self.head_bits) >= self.total).sum())
         self.heads = max(1, -(-head // WIDTH))
         octave = np.floor(np.log2(np.maximum(self.total / np.maximum(self.counts, 1), 1))).astype(np.int64)
-        self.classes = np.where(np.arange(n) < head, np.arange(n) // WIDTH, self.heads + np.clip(octave - HEAD, 0, KNOWN - HEAD - 1)).astype(np.int64)
+        self.classes = np.where(np.arange(n) < head, np.arange(n) // WIDTH, self.heads + np.clip(octave - self.head_bits, 0, self.known_bits - self.head_bits - 1)).astype(np.int64)
         sums = np.bincount(self.classes, weights=self.counts, minlength=self.n_classes)
         sums[-1] = self.rare_tokens
         # log10 of a word's share of its class; a head word's depends on the history
         self.inside = np.where(np.arange(n) < head, 0.0, np.log10(np.maximum(self.counts, 1) / np.maximum(sums[self.classes], 1)))
         self.prior = np.log((sums + 1) / (self.total + len(sums))).astype(np.float32)
+        self.prior[:-1][sums[:-1] == 0] = -1e9  # a class without words has no chance; the rare one has the unseen words
         self.start = np.full((self.heads, WIDTH), -1e9, np.float32)
         ranks = np.arange(head)
         self.start[ranks // WIDTH, ranks % WIDTH] = np.log(self.counts[:head] / sums[ranks // WIDTH])
 
     @property
     def n_classes(self) -> int:
-        return self.heads + KNOWN - HEAD + 1
+        return self.heads + self.known_bits - self.head_bits + 1
 
     @property
     def rare_tokens(self) -> int:
@@ -294,10 +297,10 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInPandas(in_chunks(count, size=1 << 22), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From word_counts: the known words, at most 2**KNOWN of them."""
+def vocabulary(counts: DataFrame, head_bits: int = HEAD, known_bits: int = KNOWN) -> Vocabulary:
+    """From word_counts: the known words, at most 2**known_bits of them."""
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    known = counts.where(F.shiftleft("n", KNOWN) >= totals.n).toPandas()
+    known = counts.where(F.shiftleft("n", known_bits) >= totals.n).toPandas()
     known = known.iloc[sorted(range(len(known)), key=lambda i: (-known["n"].iat[i], bytes(known["word"].iat[i])))]
     words = [bytes(x) for x in known["word"]]
     end = words.index(END.encode()) if END.encode() in words else -1
@@ -305,7 +308,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     hashes = text.hashes.copy()
     if end >= 0:
         hashes[end] = _END_HASH
-    return Vocabulary(hashes, known["n"].to_numpy(np.int64), end, int(totals.n), int(totals.v))
+    return Vocabulary(hashes, known["n"].to_numpy(np.int64), end, int(totals.n), int(totals.v), head_bits, known_bits)
 
 
 def encoded(rows: DataFrame, v: Vocabulary) -> DataFrame:
@@ -363,7 +366,7 @@ def train(docs: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Weights:
     return w
 
 
-def score_texts(docs: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
+def score_texts(docs: DataFrame, *, rounds: int = ROUNDS, head_bits: int = HEAD, known_bits: int = KNOWN) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens (all with the end token), base_score and score, log10 of
     the whole text's probability by the smoothed unigram and by the model.
 
@@ -374,7 +377,7 @@ def score_texts(docs: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
     rows = documents(docs, "doc_id", "text").withColumn("held_out", is_held_out(F.col("doc_id")))
     rows = rows.withColumn("fold", F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))).cast("int"))
     counts = staged(word_counts(rows.where(~F.col("held_out"))))
-    v = vocabulary(counts)
+    v = vocabulary(counts, head_bits, known_bits)
     coded = staged(encoded(rows, v), by="fold")
     w = train(coded, v, rounds)
     sent = docs.sparkSession.sparkContext.broadcast((v, w))
