@@ -52,7 +52,9 @@ def peak_consensus(insertions_: DataFrame, settings: Settings, ref: str = WT) ->
     counted and cut to a panel by Spark; a task gets at most msa_max_unique alleles of a peak."""
     allele = S.reconstruct_allele(F.lit(ref), F.col("ins_pos_ref"), F.col("ins_seq"))
     rows = insertions_.select("peak_alias", F.upper(allele).alias("seq"), F.struct("ins_pos_ref", "ins_len", "read_id").alias("place"), "ins_pos_ref")
-    medians = rows.groupBy("peak_alias").agg(F.median("ins_pos_ref").cast("int").alias("raw_median"), F.count("*").alias("n_total"))
+    # a median from the counts of distinct places
+    by_place = rows.groupBy("peak_alias", "ins_pos_ref").agg(F.count("*").alias("n"))
+    medians = by_place.groupBy("peak_alias").agg(F.percentile("ins_pos_ref", F.lit(0.5), F.col("n")).cast("int").alias("raw_median"), F.sum("n").alias("n_total"))
     counts = rows.groupBy("peak_alias", "seq").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     uniques = counts.groupBy("peak_alias").agg(F.count("*").alias("n_unique"))
     chosen = panel(counts, ["peak_alias"], settings.msa_max_unique, settings.msa_min_weight_coverage).join(F.broadcast(medians.join(uniques, "peak_alias")), "peak_alias")

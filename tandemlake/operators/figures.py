@@ -11,6 +11,7 @@ from tandemlake.assay import WT, exons
 from tandemlake.kernels import msa
 from tandemlake.operators.consensus import panel
 from tandemlake.operators.quantify import final_support
+from tandemlake.operators.ranks import ranked
 
 
 def length_profile(reads: DataFrame, assigned: DataFrame, peaks: DataFrame) -> DataFrame:
@@ -40,11 +41,10 @@ def size_distribution(insertions_: DataFrame) -> DataFrame:
 
 def pileup_rows(insertions_: DataFrame, most: int = 30) -> DataFrame:
     """At most ``most`` insertions of each peak, evenly spaced in the order of place, length and read."""
-    w = Window.partitionBy("peak_alias")
-    ranked = insertions_.withColumns({"_i": F.row_number().over(w.orderBy("ins_pos_ref", "ins_len", "read_id")) - 1, "_n": F.count("*").over(w)})
+    rows = ranked(insertions_, "peak_alias", ["ins_pos_ref", "ins_len", "read_id"])
     # row i is shown if some k of 0..most-1 has floor(k * n / most) = i
     k = F.ceil(F.col("_i") * most / F.col("_n"))
-    return ranked.where((F.col("_n") <= most) | ((k < most) & (F.floor(k * F.col("_n") / most) == F.col("_i")))).drop("_i", "_n")
+    return rows.where((F.col("_n") <= most) | ((k < most) & (F.floor(k * F.col("_n") / most) == F.col("_i")))).drop("_i", "_n")
 
 
 def exon_overlaps(exons: DataFrame, start: int, end: int) -> DataFrame:

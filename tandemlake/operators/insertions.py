@@ -123,5 +123,7 @@ def relabel(reads: DataFrame, children: DataFrame, label: Column) -> DataFrame:
 
 
 def insertion_statistics(insertions_: DataFrame) -> DataFrame:
-    """peak_alias, n_insertions, mean_len, sd_len (sample), median_pos."""
-    return insertions_.groupBy("peak_alias").agg(F.count("*").alias("n_insertions"), F.avg("ins_len").alias("mean_len"), F.stddev_samp("ins_len").alias("sd_len"), F.median("ins_pos_ref").alias("median_pos"))
+    """peak_alias, n_insertions, mean_len, sd_len (sample), median_pos; the median from the counts of distinct places."""
+    sizes = insertions_.groupBy("peak_alias").agg(F.count("*").alias("n_insertions"), F.avg("ins_len").alias("mean_len"), F.stddev_samp("ins_len").alias("sd_len"))
+    places = insertions_.groupBy("peak_alias", "ins_pos_ref").agg(F.count("*").alias("n")).groupBy("peak_alias").agg(F.percentile("ins_pos_ref", F.lit(0.5), F.col("n")).alias("median_pos"))
+    return sizes.join(places, "peak_alias")

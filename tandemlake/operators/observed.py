@@ -39,25 +39,36 @@ def anchored_windows(reads: DataFrame, settings: Settings, ref: str = WT) -> Dat
     """Per read: read_id, strand, mean_q, outcome, window (anchors as in the reference, interior as read), net, lm, rm.
 
     Anchors are located once for each distinct sequence."""
+    rows = reads.select("read_id", "strand", F.upper("read_seq").alias("seq"), S.mean_quality(F.col("read_qual")).alias("mean_q"))
+    return rows.join(_windows(rows, settings, ref), "seq")
+
+
+def _windows(rows: DataFrame, settings: Settings, ref: str) -> DataFrame:
+    """The distinct sequences (seq) of rows with their anchors' outcome, window and net."""
     start, stop = anchor_coordinates(len(ref), settings.anchor_length, settings.anchor_shift)
     n = settings.anchor_length
-    rows = reads.select("read_id", "strand", F.upper("read_seq").alias("seq"), S.mean_quality(F.col("read_qual")).alias("mean_q"))
     located = locate_anchors(distinct_sequences(rows, "seq"), settings, ref)
     interior = S.mid(F.col("seq"), F.col("x") + n, F.col("y") - F.col("x") - n)
     located = located.withColumn("window", F.when(F.col("outcome") == "anchored", F.concat(F.lit(ref[start : start + n]), interior, F.lit(ref[stop - n : stop]))))
-    return rows.join(located.withColumn("net", F.length("window") - (stop - start)), "seq")
+    return located.withColumn("net", F.length("window") - (stop - start))
 
 
 def discover(reads: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
     """The audit: a row for each positive window with its support, status and, if a pure insertion explains it, the
-    insertion's boundary, sequence and duplication identity."""
+    insertion's boundary, sequence and duplication identity.
+
+    Reads are counted by sequence, strand and mean quality before they are shuffled, so a sequence that most reads have is a
+    few rows; a median is selected from the counts of a window's distinct qualities, which partial aggregates merge."""
     start, stop = anchor_coordinates(len(ref), settings.anchor_length, settings.anchor_shift)
     n = settings.anchor_length
-    windows = anchored_windows(reads, settings, ref).where((F.col("net") > 0) & (F.col("net") <= settings.max_itd_size))
+    counted = reads.groupBy(F.upper("read_seq").alias("seq"), "strand", S.mean_quality(F.col("read_qual")).alias("mean_q")).agg(F.count("*").alias("n"))
+    found = _windows(counted, settings, ref).where((F.col("net") > 0) & (F.col("net") <= settings.max_itd_size))
+    windows = counted.join(found, "seq")
     changed = F.col("lm") + F.col("rm") > 0
+    total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))
     audit = windows.groupBy("window", F.col("net").alias("net_size")).agg(
-        F.count("*").alias("exact_reads"), F.count_if(F.col("strand") == "+").alias("plus"), F.coalesce(F.median("mean_q"), F.lit(0.0)).alias("median_q"), F.count_if(~changed).alias("exact_flank_reads"),
-        F.count_if(changed).alias("normalized_flank_reads"), F.sum("lm").alias("left_anchor_substitutions"), F.sum("rm").alias("right_anchor_substitutions"), F.max("lm").alias("max_left_anchor_substitutions"), F.max("rm").alias("max_right_anchor_substitutions"),
+        F.sum("n").alias("exact_reads"), total(F.col("strand") == "+").alias("plus"), F.coalesce(F.percentile("mean_q", F.lit(0.5), F.col("n")), F.lit(0.0)).alias("median_q"), total(~changed).alias("exact_flank_reads"),
+        total(changed).alias("normalized_flank_reads"), F.sum(F.col("lm") * F.col("n")).alias("left_anchor_substitutions"), F.sum(F.col("rm") * F.col("n")).alias("right_anchor_substitutions"), F.max("lm").alias("max_left_anchor_substitutions"), F.max("rm").alias("max_right_anchor_substitutions"),
     )
     audit = audit.withColumns({"minus": F.col("exact_reads") - F.col("plus"), "allele": F.concat(F.lit(ref[:start]), "window", F.lit(ref[stop:]))})
     audit = audit.withColumn("allele_id", S.allele_id(F.col("allele")))

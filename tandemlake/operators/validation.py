@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,38 +64,66 @@ def breakpoint_reason(gap_window: int = 15, max_gap: int = 5, min_pid: float = 0
 
 
 _BLOCKS = "array<struct<t0:int,t1:int,q0:int,q1:int>>"
-
-
-def align_to_references(reads: DataFrame, references: DataFrame, alpha: float = 2.0) -> DataFrame:
-    """seq, ref_alias, score, pct_identity, span_identity, adjusted_score, blocks for each distinct read sequence and each of
-    the references: at most seven rows, which a check bounds, collected and sent with the function."""
+_STANDINGS = f"seq string, ref_alias string, score double, pct_identity double, span_identity double, adjusted_score double, blocks {_BLOCKS}, score_used double, prob_score double, second_best_ref string, second_best_score double, prob_score_second double, metric_value double, delta double, prob_delta double"
+
+
+def standings(scores: np.ndarray, aliases: list[str], beta: float = BETA) -> dict[str, np.ndarray]:
+    """What support_scores and rank_references say of a batch at once: scores has a row for each sequence and a column for
+    each reference. Winner and runner-up (columns; -1 without one), and the softmax and the metric of both."""
+    rows, n = scores.shape
+    e = np.exp(beta * (scores - scores.max(1, keepdims=True)))
+    p = e / (e.sum(1, keepdims=True) + EPSILON)
+    metric = p if n == 2 else (p - p.mean(1, keepdims=True)) / (p.std(1, keepdims=True) + EPSILON)
+    # ties go to the wild type, then to the lesser alias: the first column of the best
+    order = np.array(sorted(range(n), key=lambda i: (aliases[i] != "WT", aliases[i])))
+    at = np.arange(rows)
+    first = order[metric[:, order].argmax(1)]
+    rest = metric.copy()
+    rest[at, first] = -np.inf
+    second = order[rest[:, order].argmax(1)] if n > 1 else np.full(rows, -1)
+    none = np.full(rows, np.nan)
+    return {"first": first, "second": second, "prob": p[at, first], "prob_second": p[at, second] if n > 1 else none, "metric": metric[at, first], "metric_second": metric[at, second] if n > 1 else none}
+
+
+def align_to_references(reads: DataFrame, references: DataFrame, alpha: float = 2.0, beta: float = BETA) -> DataFrame:
+    """One row for each distinct read sequence: the reference that wins, with its alignment (score, identities, blocks), its
+    softmax and metric, and the runner-up's. A sequence meets all references in one task, so nothing is ranked by a shuffle.
+    References are at most seven rows, which a check bounds, collected and sent with the function."""
     refs = [(r.ref_alias, r.ref_seq) for r in references.select("ref_alias", "ref_seq").orderBy("ref_alias").limit(65).collect()]
     if len(refs) > 64:
         raise ValueError("competitive validation takes at most 64 references")
+    aliases = [alias for alias, _ in refs]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seqs = batch["seq"].tolist()
-            for alias, ref in refs:
-                rows = []
-                for seq, a in zip(seqs, align_batch(ref, seqs, VALIDATION), strict=True):
-                    span = a.matches / max(len(ref), len(seq), 1)
-                    adjusted = max(0.0, (span - alpha * a.inserted / (a.aligned or 1)) * ((a.aligned or 1) / len(ref)))
-                    rows.append((seq, alias, a.score / 100, a.matches / a.aligned if a.aligned else 0.0, span, adjusted, [dict(zip(("t0", "t1", "q0", "q1"), b, strict=True)) for b in a.blocks]))
-                yield pd.DataFrame(rows, columns=["seq", "ref_alias", "score", "pct_identity", "span_identity", "adjusted_score", "blocks"])
-
-    return distinct_sequences(reads).mapInPandas(run, f"seq string, ref_alias string, score double, pct_identity double, span_identity double, adjusted_score double, blocks {_BLOCKS}")
+            found = [align_batch(ref, seqs, VALIDATION) for _, ref in refs]
+            lengths = np.array([len(s) for s in seqs])
+            span, used = np.zeros((2, len(seqs), len(refs)))
+            for k, (_, ref) in enumerate(refs):
+                aligned = np.array([a.aligned or 1 for a in found[k]])
+                span[:, k] = np.array([a.matches for a in found[k]]) / np.maximum(np.maximum(lengths, len(ref)), 1)
+                used[:, k] = np.maximum(0.0, (span[:, k] - alpha * np.array([a.inserted for a in found[k]]) / aligned) * (aligned / len(ref)))
+            s = standings(used, aliases, beta)
+            won = [found[k][i] for i, k in enumerate(s["first"].tolist())]
+            at = np.arange(len(seqs))
+            yield pd.DataFrame({
+                "seq": seqs, "ref_alias": [aliases[k] for k in s["first"]], "score": [a.score / 100 for a in won], "pct_identity": [a.matches / a.aligned if a.aligned else 0.0 for a in won],
+                "span_identity": span[at, s["first"]], "adjusted_score": used[at, s["first"]], "blocks": [[dict(zip(("t0", "t1", "q0", "q1"), b, strict=True)) for b in a.blocks] for a in won], "score_used": used[at, s["first"]],
+                "prob_score": s["prob"], "second_best_ref": [aliases[k] if k >= 0 else None for k in s["second"]], "second_best_score": s["metric_second"], "prob_score_second": s["prob_second"],
+                "metric_value": s["metric"], "delta": s["metric"] - s["metric_second"], "prob_delta": s["prob"] - s["prob_second"],
+            })
+
+    rows = distinct_sequences(reads).mapInPandas(run, _STANDINGS)
+    missing = ("second_best_score", "prob_score_second", "delta", "prob_delta")
+    return rows.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in missing}) if len(refs) == 1 else rows
 
 
 def competitive_validation(reads: DataFrame, references: DataFrame) -> DataFrame:
     """One row for each read: its winner, margins, support_call, valid_support and filter_reason. Everything but the join
-    back to reads is done once for each distinct sequence."""
+    back to reads is done once for each distinct sequence, in the task that aligns it; blocks don't leave it."""
     n = references.count()
-    aligned = align_to_references(reads, references)
-    scored = support_scores(aligned.withColumn("read_id", F.col("seq")).withColumn("score_used", F.coalesce("adjusted_score", F.lit(0.0))))
-    metric = "prob_score" if n == 2 else "z_score"
-    best = rank_references(scored, metric).withColumn("metric_type", F.lit("prob_delta" if n == 2 else "z_score"))
-    best = best.withColumn("support_call", classify_support(n == 2))
+    best = align_to_references(reads, references).withColumn("metric_type", F.lit("prob_delta" if n == 2 else "z_score")).withColumn("support_call", classify_support(n == 2))
     known = references.where("ref_alias <> 'WT'").select("ref_alias", F.col("local_pos").alias("ins_pos"), "itd_len")
     best = best.join(F.broadcast(known), "ref_alias", "left").withColumn("filter_reason", breakpoint_reason()).withColumn("valid_support", F.col("filter_reason") == "pass")
-    return reads.select("read_id", "strand", F.col("read_seq").alias("seq"), F.length("read_seq").alias("read_len")).join(best.drop("blocks", "read_id", "z_score", "ins_pos", "itd_len"), "seq").drop("seq")
+    return reads.select("read_id", "strand", F.col("read_seq").alias("seq"), F.length("read_seq").alias("read_len")).join(best.drop("blocks", "ins_pos", "itd_len"), "seq").drop("seq")
