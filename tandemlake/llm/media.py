@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -243,15 +244,13 @@ def parse_gif(data: bytes) -> tuple[int, int, np.ndarray | None, list[_Block]]:
 _GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(-1, 3)
 
 
-def _draw(width: int, height: int, common: np.ndarray | None, images: list[_Block], pixels: list[np.ndarray]) -> list[Frame]:
-    """The frames: indices through local or else global palettes, but for transparent ones, on a canvas that disposal 2
-    clears in the frame's area and 3 restores."""
-    canvas, clock, frames = np.zeros((height, width, 4), np.uint8), 0, []
-    for image, indices in zip(images, pixels, strict=True):
+def _draw(width: int, height: int, common: np.ndarray | None, decoded: Iterator[tuple[_Block, np.ndarray]]) -> Iterator[Frame]:
+    """The frames one after another: indices through local or else global palettes, but for transparent ones, on a canvas that
+    disposal 2 clears in the frame's area and 3 restores."""
+    canvas, clock = np.zeros((height, width, 4), np.uint8), 0
+    for image, indices in decoded:
         x, y, w, h = image.place
-        if len(indices) < w * h:
-            raise Damaged("a code stream ends early")
-        grid = indices.reshape(h, w)
+        grid = indices[: w * h].reshape(h, w)
         if image.interlaced and h:
             straight = np.empty_like(grid)
             straight[[*range(0, h, 8), *range(4, h, 8), *range(2, h, 4), *range(1, h, 2)]] = grid
@@ -268,42 +267,108 @@ def _draw(width: int, height: int, common: np.ndarray | None, images: list[_Bloc
         else:
             drawn = shown != image.clear
             area[drawn] = rgba[drawn]
-        frames.append(Frame(clock, image.duration_ms, image.disposal, grid.reshape(-1), canvas))
+        yield Frame(clock, image.duration_ms, image.disposal, grid.reshape(-1), canvas)
         clock += image.duration_ms
         if image.disposal == 2:
             canvas = canvas.copy()
             canvas[y : y + h, x : x + w] = 0
         elif image.disposal == 3:
             canvas = before
-    return frames
 
 
-def decode_gifs(files: list[bytes | None]) -> list[list[Frame] | None]:
-    """The frames of each file in order; None for a null or damaged file. All code streams are decoded together."""
+#: Pixels of a screen or an image above which a file counts as damaged, and pixels that are decoded at once.
+MOST_PIXELS, DECODED_PIXELS = 1 << 22, 1 << 23
+
+
+def _area(image: _Block) -> int:
+    return image.place[2] * image.place[3]
+
+
+def _decode(images: list[_Block]) -> Iterator[tuple[_Block, np.ndarray]]:
+    """Images with their indices, in order, as many at once as DECODED_PIXELS allow."""
+    at = 0
+    while at < len(images):
+        end, pixels = at, 0
+        while end < len(images) and (end == at or pixels + _area(images[end]) <= DECODED_PIXELS):
+            pixels += _area(images[end])
+            end += 1
+        part, found = images[at:end], {}
+        for least in {image.least for image in part}:
+            mine = [i for i, image in enumerate(part) if image.least == least]
+            found |= zip(mine, lzw_decode([part[i].stream for i in mine], least, [_area(part[i]) for i in mine]), strict=True)
+        for i, image in enumerate(part):
+            if len(found[i]) < _area(image):
+                raise Damaged("a code stream ends early")
+            yield image, found[i]
+        at = end
+
+
+def gif_frames(files: list[bytes | None], most_pixels: int = MOST_PIXELS) -> Iterator[Iterator[Frame] | None]:
+    """For each file in order its frames, one at a time; None for a null or damaged file, or one whose screen or an image of it
+    has more than most_pixels. Streams of many small files are decoded together, those of a large one in parts, after a pass
+    that finds whether it is whole; so memory holds a few screens and DECODED_PIXELS, whatever a header claims."""
     parsed: list = []
     for data in files:
         try:
-            parsed.append(parse_gif(data) if data is not None else None)
+            p = parse_gif(data) if data is not None else None
+            parsed.append(p if p is None or max(p[0] * p[1], *map(_area, p[3]), 0) <= most_pixels else None)
         except Damaged:
             parsed.append(None)
+    at = 0
+    while at < len(parsed):
+        end, pixels = at, 0
+        while end < len(parsed):
+            more = sum(map(_area, parsed[end][3])) if parsed[end] is not None else 0
+            if end > at and pixels + more > DECODED_PIXELS:
+                break
+            pixels += more
+            end += 1
+        yield from _group(parsed[at:end], pixels > DECODED_PIXELS)
+        at = end
+
+
+def _group(parsed: list, large: bool) -> Iterator[Iterator[Frame] | None]:
+    for p in parsed if large else ():
+        try:
+            for _ in _decode(p[3]):
+                pass
+        except Damaged:
+            yield None
+        else:
+            yield _draw(*p[:3], _decode(p[3]))
+    if large:
+        return
     images = [image for p in parsed if p is not None for image in p[3]]
-    pixels: list = [None] * len(images)
+    found: dict[int, np.ndarray] = {}
     for least in {image.least for image in images}:
         mine = [i for i, image in enumerate(images) if image.least == least]
-        for i, found in zip(mine, lzw_decode([images[i].stream for i in mine], least, [images[i].place[2] * images[i].place[3] for i in mine]), strict=True):
-            pixels[i] = found
-    out, at = [], 0
+        found |= zip(mine, lzw_decode([images[i].stream for i in mine], least, [_area(images[i]) for i in mine]), strict=True)
+    at = 0
     for p in parsed:
         if p is None:
-            out.append(None)
+            yield None
             continue
-        own = pixels[at : at + len(p[3])]
+        own = list(zip(p[3], [found[at + i] for i in range(len(p[3]))], strict=True))
         at += len(p[3])
-        try:
-            out.append(_draw(*p, own))
-        except Damaged:
-            out.append(None)
-    return out
+        yield _draw(*p[:3], iter(own)) if all(len(x) >= _area(image) for image, x in own) else None
+
+
+def decode_gifs(files: list[bytes | None]) -> list[list[Frame] | None]:
+    """All frames of a few files at once; None for a null or damaged one."""
+    return [None if frames is None else list(frames) for frames in gif_frames(files)]
+
+
+def _runs(frames: Iterator[Frame], most: int = 1 << 18) -> Iterator[list[Frame]]:
+    """The frames in lists of about ``most`` pixels of canvas and image."""
+    held, pixels = [], 0
+    for f in frames:
+        held.append(f)
+        pixels += f.canvas.size // 4 + len(f.indices)
+        if pixels >= most:
+            yield held
+            held, pixels = [], 0
+    if held:
+        yield held
 
 
 def histograms(frames: list[Frame]) -> np.ndarray:
@@ -337,20 +402,25 @@ def media_columns(media: DataFrame) -> DataFrame:
     """What the decoder reads in the stored bytes (doc_id, n_bytes, media): digests of the payload (all frames' samples),
     number of frames, their time, and the histogram of 64 colours over all of them, also rendered in ``feature``.
 
-    A null file gives nulls in all but doc_id and n_bytes; a damaged one has media_bytes and media_sha256 besides."""
+    A null file gives nulls in all but doc_id and n_bytes; a damaged one, or one of too large a screen (MOST_PIXELS), has
+    media_bytes and media_sha256 besides. Frames are drawn and counted one after another."""
 
     def read(batch: pd.DataFrame) -> pd.DataFrame:
         rows = []
         files = [None if d is None else bytes(d) for d in batch["media"]]
-        for doc_id, n, data, frames in zip(batch["doc_id"], batch["n_bytes"], files, decode_gifs(files), strict=True):
+        for doc_id, n, data, frames in zip(batch["doc_id"], batch["n_bytes"], files, gif_frames(files), strict=True):
             stored = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
             if frames is None:
                 rows.append((doc_id, n, None, None, None, *stored, None, None, None, None))
                 continue
-            payload = b"".join(f.indices.tobytes() for f in frames)
-            bins, ms = histograms(frames).sum(0), sum(f.duration_ms for f in frames)
-            feature = f"frames={len(frames)};ms={ms};hist=" + ",".join(map(str, bins.tolist()))
-            rows.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), *stored, feature, len(frames), ms, bins.tolist()))
+            digest, tail, size, count, ms, bins = hashlib.sha256(), b"", 0, 0, 0, np.zeros(64, np.int64)
+            for some in _runs(frames):
+                part = b"".join(f.indices.tobytes() for f in some)
+                digest.update(part)
+                tail, size, count, ms = (tail + part[-32:])[-32:], size + len(part), count + len(some), ms + sum(f.duration_ms for f in some)
+                bins += histograms(some).sum(0)
+            feature = f"frames={count};ms={ms};hist=" + ",".join(map(str, bins.tolist()))
+            rows.append((doc_id, n, size, digest.hexdigest(), zlib.crc32(tail), *stored, feature, count, ms, bins.tolist()))
         out = pd.DataFrame(rows, columns=[c for c, _ in _COLUMNS])
         return out.astype({c: "Int64" for c, kind in _COLUMNS if kind == "long"})
 
@@ -361,14 +431,21 @@ def frames_table(media: DataFrame) -> DataFrame:
     """One row for each frame of any GIF: doc_id, frame, start_ms, duration_ms, disposal, rgba (the canvas) and histogram
     (64 colours: two bits of each channel, opaque pixels). Null and damaged files have no rows."""
 
-    def read(batch: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for doc_id, frames in zip(batch["doc_id"], decode_gifs([None if d is None else bytes(d) for d in batch["media"]]), strict=True):
-            bins = histograms(frames or []).tolist()
-            rows += [(doc_id, i, f.start_ms, f.duration_ms, f.disposal, f.canvas.tobytes(), b) for i, (f, b) in enumerate(zip(frames or [], bins, strict=True))]
-        return pd.DataFrame(rows, columns=["doc_id", "frame", "start_ms", "duration_ms", "disposal", "rgba", "histogram"])
-
-    return media.select("doc_id", "media").mapInPandas(in_chunks(read, "media", 1 << 19), "doc_id long, frame int, start_ms long, duration_ms long, disposal int, rgba binary, histogram array<long>")
+    columns = ["doc_id", "frame", "start_ms", "duration_ms", "disposal", "rgba", "histogram"]
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
+        for batch in in_chunks(lambda b: b, "media", 1 << 19)(batches):
+            for doc_id, frames in zip(batch["doc_id"], gif_frames([None if d is None else bytes(d) for d in batch["media"]]), strict=True):
+                for i, f in enumerate(frames or ()):
+                    rows.append((doc_id, i, f.start_ms, f.duration_ms, f.disposal, f.canvas.tobytes(), histograms([f])[0].tolist()))
+                    held += f.canvas.nbytes
+                    if held > 4 * DECODED_PIXELS:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows, held = [], 0
+        yield pd.DataFrame(rows, columns=columns)
+
+    return media.select("doc_id", "media").mapInPandas(read, "doc_id long, frame int, start_ms long, duration_ms long, disposal int, rgba binary, histogram array<long>")
 
 
 def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:

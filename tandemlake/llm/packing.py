@@ -44,19 +44,22 @@ def pack_documents(docs: DataFrame, *, weights: tuple[float, ...] | None = None,
     ids (binary).
 
     A null text is empty: its document is the end id alone. Null sources are a queue of their own, repeated rows are
-    documents of their own. Target token proportions: shares, where sources that it leaves out or gives 0 come in the mean
+    documents of their own; those of one source and doc_id, null ones too, follow in the order of a digest of their texts, so
+    that reruns agree however rows lie. Target token proportions: shares, where sources that it leaves out or gives 0 come in the mean
     share of the others; or weights, taken in turn by the sources' code points, null last; or, with neither, each source's
     share of all tokens, which drains all queues together. window: sequences in a round."""
 
     def encode(batch: pd.DataFrame) -> pd.DataFrame:
         end = end_id.to_bytes(2, "little")
         ids = [e + end for e in encoding.encode_bytes(batch["text"].tolist(), vocabulary)]
-        return pd.DataFrame({"doc_id": batch["doc_id"], "source": batch["source"], "doc_tokens": [len(i) // 2 for i in ids], "ids": ids})
+        return pd.DataFrame({"doc_id": batch["doc_id"], "source": batch["source"], "key": batch["key"], "doc_tokens": [len(i) // 2 for i in ids], "ids": ids})
 
-    coded = documents(docs, "doc_id", "text", "source").mapInPandas(in_chunks(encode, size=1 << 21), "doc_id long, source string, doc_tokens long, ids binary")
+    rows = documents(docs, "doc_id", "text", "source").withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
+    coded = rows.mapInPandas(in_chunks(encode, size=1 << 21), "doc_id long, source string, key string, doc_tokens long, ids binary")
     tokens = staged(coded.withColumn("uid", F.monotonically_increasing_id()))
-    queued_rows = ordered(tokens.select("source", "doc_id", "uid", "doc_tokens"), "source", "doc_id", "uid")
-    queued = running_sum(queued_rows, "doc_tokens", ["source", "doc_id", "uid"], "sent", group="source")
+    queue = ["source", "doc_id", "key", "uid"]
+    queued_rows = ordered(tokens.select(*queue, "doc_tokens"), *queue)
+    queued = running_sum(queued_rows, "doc_tokens", queue, "sent", group="source")
     queues = source_weights(tokens, weights or (1.0,))
     if shares:
         given = {k: v for k, v in shares.items() if v > 0}

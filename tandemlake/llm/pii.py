@@ -9,8 +9,11 @@ form that no base span touches.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import itertools
+import random
 import re
 from dataclasses import dataclass, field, replace
 
@@ -144,15 +147,107 @@ LABELLED = [
     "size 1024 x 768 at 60 Hz",
     "version 10.0.19041.1 build 7",
     "sum 3.14159 and 2.71828 or 1.41421",
+    "please write to {email julia [at] forest [dot] example} soon",
+    "you find me at {email mark (dot) low (at) lake (dot) example} again",
+    "{email press(at)station(dot)example} replies to journalists",
+    "{email shop[at]bakery[dot]example[dot]org} takes orders",
+    "{email team{at}valley{dot}example} was founded last spring",
+    "or {email hall <at> castle <dot> example} in case of rain",
+    "{email guide{at}coast.example} knows the islands",
+    "notes to {email a.berg <at> fjord.example} please",
+    "write {email ruth at garden dot example} about seeds",
+    "{email peter dot jones at office dot example} left early",
+    "ask {email jobs at works dot co dot example} for a form",
+    "the address {email mina at post dot example dot net} is new",
+    "{email ticket[at]theatre.example} sells the seats",
+    "{email n_white (at) cloud [dot] example} shares pictures",
+    "router {ip 2001:db8:1f70::999:de8:7648:6e8} went away",
+    "from {ip 2001:db8:3333:4444:5555:6666:7777:8888} came nothing",
+    "address {ip fd00:1234::1} is private",
+    "blocked {ip 2001:db8::a:b:c} twice",
+    "{ip fe80::3c:9aff:fe10:22d7} asked for a name",
+    "bound to {ip ::1:2:3} there",
+    "peer {ip 2001:0db8:0000:0042:0000:8a2e:0370:7334} again",
+    "{ip fdab:cdef:12::34} and {ip 2001:db8:0:0:1::2} are hosts",
+    "net {ip fe80::1234:5678:9abc:def0} is local",
+    "phone {phone 0171 5551234} in the morning",
+    "tel {phone 030 5550123} or later",
+    "free line {phone 0800 555 0199} for guests",
+    "his number {phone 07700 900456} rings",
+    "dial {phone 0201 555 0187} at nine",
+    "{phone 0044 161 496 0345} is the desk",
+    "fax {phone 01632 960123} of the school",
+    "call {phone (089) 555-0112} for rooms",
+    "{phone (0)30 5550144} is the bureau",
+    "number {phone 800-555-0111} costs nothing",
+    "cell {phone 646.555.0177} and home {phone (646) 555-0178}",
+    "card {card 6011 1111 1111 1117} was found",
+    "paid by {card 3056 930902 5904} there",
+    "visa {card 4000 0566 5566 5556} or cash",
+    "amex {card 3714-496353-98431} ended",
+    "host {ip 2001:db8:7d2::6b1e:270:9334} is up",
+    "peer {ip fd98:7654:321a:2::5} is new to us",
+    "seen {ip fe80::31d:82ef:fca6:9850} twice today",
+    "server {ip 2001:db8:10:20:30:40:50:60} and more",
+    "{ip 2001:db8:aa:bb::cc:12} was on the list",
+    "{ip fe80::5054:ff:fe12:3456} joined the ring",
+    "bridge {ip fd00:9876:5432:1::10} carries all",
+    "then she drew the sky dot by dot at night",
+    "visa {card 4111222233331} was taken",
+    "old card {card 4600123409875} expired",
+    "13 digits 4111222233332 are no card",
+    "ring {phone 0044 121 496 0789} at noon",
+    "office {phone 0049 89 5550 199} in town",
+    "under {phone 0033 1 55 50 01 34} you hear news",
+    "{phone 0044 29 2018 0456} is the line",
+    "{email rolf at yard dot co dot example} sells wood",
+    "{email zoe at gym dot co dot uk} teaches",
+    "tell {email sales at port dot example} what you need",
+    "news from {email radio at tower dot example} every day",
+    "{email clara at bridge dot example dot org} paints",
+    "mail {email vet at farm dot example} only when needed",
+    "you reach {email fritz at mine dot co dot example} there",
+    "{email desk dot two at bank dot example} answers",
+    "we ate at home dot matrix style",
+    "look at that dot then at this dot",
+    "meet at the dot on the map",
+    "at midnight dot the sky is dark",
+    "mac 3c:22:fb:9a:10:d7 is printed below",
+    "device 00:0a:95:9d:68:16 has no name",
+    "clock 10:20:30:40 in frames",
+    "mix 1:2:3:4 of four parts",
+    "use a::b and std::string in code",
+    "time 01:02:03 then 04:05:06",
+    "sizes 10:20:30:40:50 of a list",
+    "years 1990 1991 1992 1993 in order",
+    "order 20240101000001 is open",
+    "lot 0815 4711 and part 12-345",
+    "in 2019 2020 and 2021 2022 prices rose",
+    "prices 1.234.567 and 7.654.321 in all",
+    "point 48.1371 11.5754 on the map",
+    "isbn 0-19-853453-1 of the book",
+    "issn 1234-5679 of the paper",
+    "the code (415) is a town and (030) is another",
+    "won 7-6 6-7 6-4 and lost 3-6 2-6",
+    "gate 45 opens 10-12 and 14-18",
+    "people 1 234 567 live there",
+    "weeks 12 to 15, days 101 to 110",
+    "0049 is a prefix and 0800 another",
+    "invoice 0012345678 of May",
+    "number 4111 1111 1111 1112 is no card",
     "the thing was here and there",
     "he is at home and at work",
 ]
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 DIMENSION = 1 << 14
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_MARK = re.compile(r"\{(\w+) ([^}]*)\}")
+_MARK = re.compile(r"\{(\w+) ((?:[^{}]|\{\w+\})*)\}")
 #: Words that may stand for @ in an address.
 _AT = frozenset(["[at]", "(at)", "{at}", "<at>"])
+_DOT = frozenset(["[dot]", "(dot)", "{dot}", "<dot>"])
+#: Short last parts of domains.
+_ENDINGS = frozenset(["com", "org", "net", "edu", "gov", "int", "io", "co", "uk", "de", "fr", "eu", "us"])
+_HEX = frozenset("0123456789abcdefABCDEF")
 
 
 def _shape(word: str) -> str:
@@ -170,16 +265,21 @@ def _own(word: str) -> tuple[str, ...]:
     core = word.strip(".,;:!?\"'")
     digits = _NO_DIGIT.sub("", core)
     n = len(digits)
+    groups = core.split(":")
+    six = "no"
+    if len(groups) > 3 and all(len(g) < 5 and all(c in _HEX for c in g) for g in groups):
+        six = "mac" if [len(g) for g in groups] == [2] * 6 else "short" if "::" in core else "full" if len(groups) == 8 else "part"
     hexes = len(core) > 7 and all(c in "0123456789abcdefABCDEF:" for c in core)
     low = core.lower()
     return (
         "s=" + _shape(core), "d=" + str(min(n, 20)), "l=" + str(min(len(core), 20)), "h=" + str(hexes and ":" in core), "c=" + str(core.count(":") > 1), "p=" + str(core[:1] == "+"), "b=" + str(core[:1] == "("),
         "luhn=" + str(13 <= n <= 19 and n == len(core.replace("-", "")) and luhn(digits)), "g=" + str([len(g) for g in re.split("[-.]", core)] if n and n + core.count("-") + core.count(".") == len(core) else 0),
-        "w=" + (low if low in _AT or low in ("at", "dot", "[dot]", "(dot)") else ""), "m=" + str("@" in core or any(a in low for a in _AT)), "e=" + str(word[-1:] in ".,;:!?"),
+        "w=" + (low if low in _AT or low in _DOT or low in ("at", "dot") else ""), "m=" + str("@" in core or any(a in low for a in _AT)), "e=" + str(word[-1:] in ".,;:!?"),
+        "v=" + six, "o=" + str(any(x in low for x in _DOT)), "z=" + core[: 2 if core[:2] == "00" else 1] * (core[:1] == "0" and n > 1), "n=" + str(n) + ("+" if core[:1] in "(+0" else ""), "t=" + str(low in _ENDINGS),
     )
 
 
-_EDGE = ("edge",) * 12
+_EDGE = ("edge",) * 17
 _BESIDE = (-2, -1, 1, 2)
 
 
@@ -188,6 +288,27 @@ def _beside(d: int, own: tuple[str, ...]) -> list[str]:
     return [f"{d}{own[0]}", f"{d}{own[1]}", f"{d}{own[9]}"]
 
 
+def _sign(own: tuple[str, ...]) -> str:
+    """What a word can be in a spelled-out address."""
+    word = own[9][2:]
+    if word:
+        return "A" if word in _AT else "a" if word == "at" else "D" if word in _DOT else "d"
+    return "T" if own[16] == "t=True" else "@" if own[10] == "m=True" else "." if "." in own[0][2:] else "x"
+
+
+#: Signs near which words have features of the signs around them, and how far off.
+_SIGNS, _REACH = frozenset("ADd"), 3
+
+
+def _around(signs: list[str], i: int, first: int, last: int) -> list[str]:
+    """Features of word i by the signs before and after it, of the words from first to last; none if no sign of an address is
+    within reach."""
+    before, after = "".join(signs[max(i - _REACH, first) : i]), "".join(signs[i + 1 : min(i + _REACH, last) + 1])
+    if _SIGNS.isdisjoint(before + signs[i] + after):
+        return []
+    return [f"after={signs[i]}{after}", f"before={before}{signs[i]}", f"next={signs[i]}{after[:2]}", f"last={before[-2:]}{signs[i]}", f"both={before[-1:]}{signs[i]}{after[:2]}"]
+
+
 def _numeric(own: tuple[str, ...]) -> bool:
     return own[1] != "d=0" and own[0].strip("s=9-()+.") == ""
 
@@ -212,16 +333,18 @@ def _run_bounds(numeric: list[bool], i: int, first: int, last: int) -> tuple[int
 
 
 def _features(words: list[str]) -> np.ndarray:
-    """Slots of each word's features, with those of its neighbours: words x features."""
+    """Slots of each word's features, with those of its neighbours: words x features; DIMENSION stands for none."""
     own = [_own(w) for w in words]
     numeric = [_numeric(o) for o in own]
+    signs = [_sign(o) for o in own]
     rows = []
     for i in range(len(words)):
         row = ["0" + f for f in own[i]]
         for d in _BESIDE:
             row += _beside(d, own[i + d] if 0 <= i + d < len(words) else _EDGE)
         row += _run(words, i, *_run_bounds(numeric, i, 0, len(words) - 1))
-        rows.append([_slot(f) for f in row])
+        around = _around(signs, i, 0, len(words) - 1)
+        rows.append([*map(_slot, row), *map(_slot, around), *[DIMENSION] * (5 - len(around))])
     return np.array(rows, np.int64)
 
 
@@ -244,6 +367,41 @@ def _parse(line: str) -> tuple[list[str], list[int]]:
     return words, labels
 
 
+#: Copies of each labelled sentence with other letters and digits.
+COPIES = 3
+_LETTERS, _HEXES = re.compile(r"[A-Za-z]+"), re.compile(r"[0-9a-f]{1,4}")
+
+
+def varied(line: str, rng: random.Random) -> str:
+    """The sentence with other letters, of other lengths, in its addresses, other groups in hexadecimal ones, and other digits
+    in phone numbers and in whatever isn't personal data. Signs, endings of domains, zeros that lead and cards stay."""
+
+    def digits(text: str) -> str:
+        return re.sub(r"(?<![0-9])0{1,2}|[0-9]", lambda m: m.group() if m.group().startswith("0") else str(rng.randrange(1, 10)), text)
+
+    def name(m: re.Match) -> str:
+        word = m.group()
+        return word if word in _ENDINGS or word in ("at", "dot") else "".join(rng.choice("abcdefghiklmnoprstuvwz") for _ in range(rng.randrange(2, 10)))
+
+    def span(m: re.Match) -> str:
+        kind, text = m.groups()
+        if kind == "email":
+            text = _LETTERS.sub(name, text)
+        elif kind == "ip" and ":" in text:
+            text = _HEXES.sub(lambda g: "".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(1, 5))), text)
+        elif kind == "phone":
+            text = digits(text)
+        return f"{{{kind} {text}}}"
+
+    out, at = [], 0
+    for m in [*_MARK.finditer(line), None]:
+        out.append(digits(line[at : m.start() if m else len(line)]))
+        if m:
+            out.append(span(m))
+            at = m.end()
+    return "".join(out)
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
@@ -254,12 +412,14 @@ _ALLOWED = np.array([[not b.startswith("I") or a[2:] == b[2:] for b in LABELS] f
 
 
 @functools.cache
-def train(rounds: int = 150, rate: float = 0.3, l2: float = 2e-3) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (feature slots x labels) and transitions, by AdaGrad on the penalised log-likelihood."""
-    table_ = [_parse(line) for line in LABELLED]
+def train(rounds: int = 60, rate: float = 0.3, l2: float = 1e-3, copies: int = COPIES) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (feature slots x labels) and transitions, by AdaGrad on the penalised log-likelihood of the labelled sentences
+    and varied copies of them."""
+    rng = random.Random(9)
+    table_ = [_parse(line) for line in [*LABELLED, *(varied(line, rng) for _ in range(copies) for line in LABELLED)]]
     feats = [_features(w) for w, _ in table_]
     k = len(LABELS)
-    w, t = np.zeros((DIMENSION, k)), np.where(_ALLOWED, 0.0, -1e4)
+    w, t = np.zeros((DIMENSION + 1, k)), np.where(_ALLOWED, 0.0, -1e4)
     gw2, gt2 = np.full_like(w, 1e-2), np.full((k, k), 1e-2)
     start = np.where([b.startswith("I") for b in LABELS], -1e4, 0.0)
     for _ in range(rounds):
@@ -278,6 +438,7 @@ def train(rounds: int = 150, rate: float = 0.3, l2: float = 2e-3) -> tuple[np.nd
             p = -np.exp(alpha + beta - z)
             p[np.arange(n), y] += 1
             np.add.at(gw, x, p[:, None, :])
+            gw[DIMENSION] = 0
             for i in range(1, n):
                 gt -= np.exp(alpha[i - 1][:, None] + t + (e[i] + beta[i])[None] - z)
                 gt[y[i - 1], y[i]] += 1
@@ -415,7 +576,19 @@ class Field:
             lo, hi = int(w.first[w.doc[i]]), int(w.first[w.doc[i] + 1]) - 1
             a, b = _run_bounds(flags, i, lo, hi)
             run = _run([distinct[n] for n in number[a : b + 1]], i - a, 0, b - a)
-            e[i] += self.w[[_slot(f) for f in run]].sum(0) - table_[number[i], 5]
+            e[i] += self.w[[_slot(f) for f in run]].sum(0) - table_[number[i], -1]
+        # words near the signs of a spelled-out address
+        of = [_sign(_own(x)) for x in distinct]
+        signed = np.array([x in _SIGNS for x in of])[number]
+        if signed.any():
+            near = signed.copy()
+            for d in range(1, _REACH + 1):
+                together = w.doc[d:] == w.doc[:-d]
+                near[d:] |= signed[:-d] & together
+                near[:-d] |= signed[d:] & together
+            signs = [of[n] for n in number.tolist()]
+            for i in np.flatnonzero(near).tolist():
+                e[i] += self.w[[_slot(f) for f in _around(signs, i, int(w.first[w.doc[i]]), int(w.first[w.doc[i] + 1]) - 1)]].sum(0)
         return e, distinct, number
 
     def open_words(self, w: K.Words, e: np.ndarray) -> np.ndarray:
@@ -458,10 +631,11 @@ class Field:
         return w, sorted(out, key=lambda x: x[0])
 
 
-#: What a decoded span must look like to be added, by kind.
+#: The sane forms of a decoded span, by kind: an address has a name, an at and a domain, however these are spelled; an IP
+#: address four numbers, or hexadecimal groups that are eight or have a gap; a card or phone number its digits.
 _VALID = {
-    "email": re.compile(r"[\w.%+-]+(?:@|\s?[\[({<]at[\])}>]\s?|\sat\s)[\w-]+(?:(?:\.|\s?[\[({<]dot[\])}>]\s?|\sdot\s)[\w-]+)+"),
-    "ip": re.compile(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}|[0-9a-fA-F]{0,4}(?::[0-9a-fA-F]{0,4}){3,7}"),
+    "email": re.compile(r"[\w.%+-]+(?:\s?[\[({<]dot[\])}>]\s?[\w-]+|\sdot\s[\w-]+)*(?:@|\s?[\[({<]at[\])}>]\s?|\sat\s)[\w-]+(?:(?:\.|\s?[\[({<]dot[\])}>]\s?|\sdot\s)[\w-]+)+"),
+    "ip": re.compile(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}|(?=.*::|(?:[^:]*:){7})[0-9a-fA-F]{0,4}(?::[0-9a-fA-F]{0,4}){3,7}"),
     "card": re.compile(r"[0-9](?:[\x20-]?[0-9]){12,18}"),
     "phone": re.compile(r"[+(0-9](?:[\x20().-]{0,2}[0-9]){6,14}"),
 }
@@ -485,6 +659,8 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[
     w, runs = model.decode(texts)
     if not runs:
         return out
+    # of each text's base spans, by start: the furthest end so far, and the starts
+    covers = [(list(itertools.accumulate((y for _, _, y in spans), max)), [x for _, x, _ in spans]) for spans in base]
     # code points before each byte
     points = np.concatenate([[0], np.cumsum((w.a & 0xC0) != 0x80)])
     for first, labels in runs:
@@ -500,8 +676,12 @@ def added_spans(texts: list[str], base: list[list[Span]], model: Field) -> list[
             while k < len(labels) and LABELS[labels[k]] == "I-" + name[2:]:
                 k += 1
             a, b = _trim(texts[i], int(points[w.starts[first + j]] - zero), int(points[w.ends[first + k - 1]] - zero))
-            if a < b and _holds(name[2:], texts[i][a:b]) and not any(x < b and a < y for _, x, y in base[i] + out[i]):
-                out[i].append((name[2:], a, b))
+            if a < b and _holds(name[2:], texts[i][a:b]):
+                # both lists go by place: of the base spans that end behind a, the reach of those that begin before b
+                ends, starts = covers[i]
+                if not (before := bisect.bisect_left(starts, b)) or ends[before - 1] <= a:
+                    if not out[i] or out[i][-1][2] <= a:
+                        out[i].append((name[2:], a, b))
             j = k
     return out
 
