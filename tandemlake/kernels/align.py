@@ -55,6 +55,29 @@ def insertions(blocks: list[tuple[int, int, int, int]]) -> list[tuple[int, int,
     return out
 
 
+def gapped(target: str, query: str, blocks: list[tuple[int, int, int, int]]) -> tuple[str, str]:
+    """Both sequences with dashes, as the blocks lay them; between blocks, what both have left stands in columns of its own."""
+    top, bottom, t, q = [], [], 0, 0
+    for t0, t1, q0, q1 in [*blocks, (len(target), len(target), len(query), len(query))]:
+        top += [target[t:t0], "-" * (q0 - q), target[t0:t1]]
+        bottom += ["-" * (t0 - t), query[q:q0], query[q0:q1]]
+        t, q = t1, q1
+    return "".join(top), "".join(bottom)
+
+
+def render(target: str, query: str, blocks: list[tuple[int, int, int, int]], width: int = 60) -> str:
+    """The alignment as text: lines of target, marks and query, each with the bases before it and up to its end."""
+    top, bottom = gapped(target, query, blocks)
+    marks = "".join("|" if a == b else " " if "-" in (a, b) else "." for a, b in zip(top, bottom, strict=True))
+    lines, t, q = [], 0, 0
+    for i in range(0, len(top), width):
+        a, m, b = (x[i : i + width] for x in (top, marks, bottom))
+        nt, nq = t + len(a) - a.count("-"), q + len(b) - b.count("-")
+        lines.append(f"target {t:>6} {a} {nt}\n{'':13} {m}\nquery  {q:>6} {b} {nq}\n")
+        t, q = nt, nq
+    return "\n".join(lines)
+
+
 def align_batch(target: str, queries: list[str], s: Scoring) -> list[Alignment]:
     """The best alignment of each query."""
     out: list[Alignment | None] = [None] * len(queries)

@@ -308,7 +308,7 @@ class Partition:
 
     centres: list
     totals: np.ndarray
-    rates: np.ndarray = field(default_factory=lambda: np.zeros((4, 4, QUALITIES)))
+    rates: np.ndarray = field(default_factory=lambda: np.full((4, 4, QUALITIES), MOST_RATE))
     once: list[bool] = field(default_factory=lambda: [False])
 
     def add(self, centre, count: int) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +12,7 @@ from pyspark.sql.window import Window
 
 from tandemlake.assay import WT, exons
 from tandemlake.kernels import msa
+from tandemlake.kernels.align import DISCOVERY, align_batch, render
 from tandemlake.operators.consensus import panel
 from tandemlake.operators.quantify import final_support
 from tandemlake.operators.ranks import ranked
@@ -70,6 +74,50 @@ def density_allowed(insertions: DataFrame) -> DataFrame:
     return kinds.agg(F.coalesce(F.min("n") > 1, F.lit(True)).alias("allowed"))
 
 
+def density_curve(insertions: DataFrame, step: float = 0.5) -> DataFrame:
+    """peak_alias, x, density of insertion lengths: a Gaussian kernel over each length, weighted by its count, at places a step
+    apart from the least to the greatest. The bandwidth is the sample deviation times n ** (-1/5), by peak. No rows unless
+    every peak has more than one length (density_allowed). Lengths are bounded by the settings, so a peak's counts are one
+    row, however many insertions it has."""
+    counts = insertions.groupBy("peak_alias", "ins_len").agg(F.count("*").cast("double").alias("w"))
+    whole = counts.groupBy("peak_alias").agg(F.collect_list(F.struct("ins_len", "w")).alias("c"), F.sum("w").alias("n"), F.sum(F.col("w") * F.col("ins_len")).alias("s"), F.min("ins_len").alias("low"), F.max("ins_len").alias("high"))
+    total = lambda value: F.aggregate("c", F.lit(0.0), lambda acc, v: acc + v["w"] * value(v["ins_len"]))
+    mean = F.col("s") / F.col("n")
+    spread = F.sqrt(total(lambda x: (x - mean) * (x - mean)) / F.nullif(F.col("n") - 1, F.lit(0.0)))
+    shaped = whole.withColumn("h", spread * F.pow(F.col("n"), F.lit(-0.2))).withColumn("x", F.explode(F.transform(F.sequence(F.lit(0), F.ceil((F.col("high") - F.col("low")) / step).cast("int")), lambda i: F.least(F.col("low") + i * step, F.col("high").cast("double")))))
+    kernel = total(lambda v: F.exp(-F.pow((F.col("x") - v) / F.col("h"), F.lit(2.0)) / 2))
+    curve = shaped.select("peak_alias", "x", (kernel / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"))
+    return curve.crossJoin(F.broadcast(density_allowed(insertions))).where("allowed").drop("allowed")
+
+
+def top_differences(msa_rows: DataFrame, most: int = 8) -> DataFrame:
+    """ref_alias, rank, n, shown of the heaviest aligned alleles (final_support_msa's rows): a dot where an allele has the column's
+    heaviest base, else its own base, or a dash; and share, the part of the panel's reads that differ from it in some column."""
+    cells = msa_rows.select("ref_alias", "rank", "n", F.posexplode(F.split("aligned", "")).alias("col", "base")).where("base <> ''")
+    votes = cells.groupBy("ref_alias", "col", "base").agg(F.sum("n").alias("w"))
+    heaviest = votes.groupBy("ref_alias", "col").agg(F.min(F.struct(-F.col("w"), "base")).alias("top")).select("ref_alias", "col", F.col("top.base").alias("top"))
+    marks = cells.where(F.col("rank") < most).join(heaviest, ["ref_alias", "col"])
+    mark = F.when(F.col("base") == F.col("top"), ".").otherwise(F.col("base"))
+    shown = marks.groupBy("ref_alias", "rank", "n").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", mark.alias("m")))), lambda c: c["m"]), "").alias("shown"))
+    same = cells.join(heaviest, ["ref_alias", "col"]).groupBy("ref_alias", "rank", "n").agg(F.bool_and(F.col("base") == F.col("top")).alias("same"))
+    share = same.groupBy("ref_alias").agg((F.sum(F.when(~F.col("same"), F.col("n")).otherwise(0)) / F.sum("n")).alias("share"))
+    return shown.join(F.broadcast(share), "ref_alias").orderBy("ref_alias", "rank")
+
+
+def alignment_texts(references: DataFrame, ref: str = WT, width: int = 60) -> DataFrame:
+    """ref_alias and text of each ITD allele: a heading, and the allele's alignment to the wild type in lines of both sequences
+    with bars between equal bases, dots between others, and dashes in gaps. Alleles are a handful, one row each."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            found = align_batch(ref, t["ref_seq"].tolist(), DISCOVERY)
+            heads = [f"# allele {r.ref_alias}\n# insertion at {r.chrom}:{r.genomic_pos:,}, {r.itd_len} bp\n# score {a.score / 100:g}\n\n" for r, a in zip(t.itertuples(), found, strict=True)]
+            yield pd.DataFrame({"ref_alias": t["ref_alias"], "text": [h + render(ref, q, a.blocks, width) for h, q, a in zip(heads, t["ref_seq"], found, strict=True)]})
+
+    itd = references.where("ref_alias <> 'WT'").select("ref_alias", "ref_seq", "itd_len", "chrom", "genomic_pos")
+    return itd.mapInPandas(run, "ref_alias string, text string")
+
+
 def reported_calls(references: DataFrame, summary: DataFrame) -> DataFrame:
     """ITD calls of the summary with their alleles, by size and alias."""
     itd = references.where((F.col("ref_alias") != "WT") & (F.col("itd_len") > 0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -99,9 +99,10 @@ def nearest_mode(lengths: DataFrame, modes: DataFrame, key: str) -> DataFrame:
     return near.groupBy(key, "ins_len").agg(F.min_by("mode", order).alias("mode"))
 
 
-def cluster_guardrails(assigned: DataFrame, min_reads: int, min_fraction: float) -> DataFrame:
+def cluster_guardrails(assigned: DataFrame, min_reads: int, min_fraction: float, used: Sequence[str] = ()) -> DataFrame:
     """parent, label, kept, target, child, child_reads: clusters below the guardrails fold into the parent's largest; a parent
-    with fewer than two kept clusters stays whole (child is null). assigned: parent, read_id, label (null: no cluster)."""
+    with fewer than two kept clusters stays whole (child is null). assigned: parent, read_id, label (null: no cluster). A child's name that is among ``used`` gets the first free
+    number behind it."""
     counts = assigned.groupBy("parent", "label").agg(F.count("*").alias("n"))
     w = Window.partitionBy("parent")
     clustered = F.sum(F.when(F.col("label").isNotNull(), F.col("n"))).over(w)
@@ -112,6 +113,9 @@ def cluster_guardrails(assigned: DataFrame, min_reads: int, min_fraction: float)
     sizes = counts.where("target is not null").groupBy("parent", "target").agg(F.sum("n").alias("child_reads"))
     prefix = F.when(F.upper("parent") == "WT", "ITD_WT").otherwise(F.col("parent"))
     named = sizes.withColumn("child", F.concat(prefix, F.lit("_H"), F.row_number().over(Window.partitionBy("parent").orderBy(F.desc("child_reads"), "target")).cast("string")))
+    if used:
+        tries = F.array(F.col("child"), *[F.concat("child", F.lit(f"_{i}")) for i in range(2, len(used) + 2)])
+        named = named.withColumn("child", F.get(F.filter(tries, lambda name: ~name.isin(list(used))), F.lit(0)))
     return counts.select("parent", "label", "n", "kept", "target").join(named, ["parent", "target"], "left").select("parent", "label", "n", "kept", "target", "child", "child_reads")
 
 

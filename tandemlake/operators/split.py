@@ -261,7 +261,8 @@ def split_peaks(reads: DataFrame, settings: Settings) -> DataFrame:
     if settings.haplotype_method not in METHODS:
         raise ValueError(f"unknown haplotype method {settings.haplotype_method!r}; known: {', '.join(sorted(METHODS))}")
     labelled = METHODS[settings.haplotype_method](reads, settings)
-    children = cluster_guardrails(labelled.select(F.col("gmm_peak_alias").alias("parent"), "read_id", "label"), settings.min_haplotype_reads, settings.min_subpeak_fraction)
+    used = [r.a for r in reads.select(F.col("gmm_peak_alias").alias("a")).distinct().collect()]  # a handful of peaks
+    children = cluster_guardrails(labelled.select(F.col("gmm_peak_alias").alias("parent"), "read_id", "label"), settings.min_haplotype_reads, settings.min_subpeak_fraction, used)
     split = relabel(labelled, children, F.col("label")).drop("label")
     return _keep_wild_type(split, settings) if settings.cluster_wt_peak else split
 

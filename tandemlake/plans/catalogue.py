@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -332,6 +333,16 @@ def insertion_extract(spark, sf_dir):
     return found.groupBy("ins_len", "ins_pos_ref").agg(F.count("*").alias("n"))
 
 
+@query()
+def insertion_table_function(spark, sf_dir):
+    """The rows of insertion_extract by SQL alone: LATERAL over distinct sequences; a test holds them against each other."""
+    from tandemlake.functions import tables
+
+    tables.register(spark)
+    sql = "SELECT ins_len, ins_pos_ref, sum(n) AS n FROM (SELECT read_seq, count(*) AS n FROM {reads} GROUP BY read_seq) d, LATERAL insertions_of(d.read_seq) WHERE ins_len >= 12 GROUP BY ins_len, ins_pos_ref"
+    return spark.sql(sql, reads=reads(spark, sf_dir))
+
+
 _LENGTHS = ", len AS (SELECT CASE WHEN strand = '+' THEN 'P' ELSE 'M' END AS peak_alias, CAST(30 + u2 AS INT) AS ins_len FROM (SELECT strand, CASE WHEN read_id % 10 < 5 THEN 21 WHEN read_id % 10 = 5 THEN 20 WHEN read_id % 10 = 6 THEN 22 WHEN read_id % 10 = 7 AND strand = '+' THEN 27 WHEN read_id % 10 = 8 THEN 27 WHEN read_id % 40 = 9 THEN 24 ELSE 35 END AS u2 FROM reads))"
 
 
@@ -364,10 +375,13 @@ def nearest_mode_assign(spark, sf_dir):
 _CLUSTERS = ", cl AS (SELECT CASE WHEN strand = '+' THEN 'WT' ELSE 'ITD_2' END AS parent, CASE WHEN read_id % 20 < 9 THEN 'a' WHEN read_id % 20 < 15 THEN 'b' WHEN read_id % 20 < 18 AND strand = '+' THEN 'c' WHEN read_id % 20 = 18 THEN 'd' END AS label FROM reads)"
 
 
-@query(with_reads(_CLUSTERS + """, c AS (SELECT parent, label, count(*) AS n FROM cl GROUP BY 1, 2), g AS (SELECT *, label IS NOT NULL AND n >= 20 AND n / sum(CASE WHEN label IS NOT NULL THEN n END) OVER (PARTITION BY parent) >= 0.15 AS kept FROM c),
+_GUARDRAILS = """g AS (SELECT *, label IS NOT NULL AND n >= 20 AND n / sum(CASE WHEN label IS NOT NULL THEN n END) OVER (PARTITION BY parent) >= 0.15 AS kept FROM c),
   b AS (SELECT *, count(*) FILTER (WHERE kept) OVER (PARTITION BY parent) AS nk, first_value(label) OVER (PARTITION BY parent ORDER BY kept DESC, n DESC, label) AS big FROM g), t AS (SELECT *, CASE WHEN nk >= 2 THEN CASE WHEN kept THEN label ELSE big END END AS target FROM b),
   s AS (SELECT parent, target, sum(n) AS child_reads FROM t WHERE target IS NOT NULL GROUP BY 1, 2), k AS (SELECT *, CASE WHEN parent = 'WT' THEN 'ITD_WT' ELSE parent END || '_H' || row_number() OVER (PARTITION BY parent ORDER BY child_reads DESC, target) AS child FROM s)
-  SELECT t.parent, t.label, t.n, t.kept, t.target, k.child, CAST(k.child_reads AS BIGINT) AS child_reads FROM t LEFT JOIN k ON t.parent = k.parent AND t.target = k.target"""))
+  SELECT t.parent, t.label, t.n, t.kept, t.target, k.child, CAST(k.child_reads AS BIGINT) AS child_reads FROM t LEFT JOIN k ON t.parent = k.parent AND t.target = k.target"""
+
+
+@query(with_reads(_CLUSTERS + ", c AS (SELECT parent, label, count(*) AS n FROM cl GROUP BY 1, 2), " + _GUARDRAILS))
 def cluster_guardrails(spark, sf_dir):
     d = F.col("read_id") % 20
     label = F.when(d < 9, "a").when(d < 15, "b").when((d < 18) & (F.col("strand") == "+"), "c").when(d == 18, "d")
@@ -443,13 +457,33 @@ def peak_consensus(spark, sf_dir):
     return consensus.peak_consensus(found, SETTINGS)
 
 
-@query()
+# with at most one edit in a read, its centre is the allele of the fewest edits; centres are numbered by their exact copies
+_BY_EDITS = f"{_ASSIGNED}, al AS (SELECT CASE haplotype WHEN 'ITD_C' THEN 'ITD_1' ELSE 'ITD_2' END AS parent, allele, CASE haplotype WHEN 'ITD_B' THEN 'c0001' WHEN 'ITD_D' THEN 'c0002' ELSE 'c0000' END AS label FROM haps WHERE haplotype <> 'WT'), lb AS (SELECT parent, read_seq, label FROM (SELECT DISTINCT gmm_peak_alias, read_seq FROM assigned) JOIN al ON parent = gmm_peak_alias QUALIFY row_number() OVER (PARTITION BY parent, read_seq ORDER BY levenshtein(read_seq, allele), label) = 1), lr AS (SELECT a.*, lb.label FROM assigned a LEFT JOIN lb ON lb.parent = a.gmm_peak_alias AND lb.read_seq = a.read_seq)"
+
+
+@query(with_reads(_BY_EDITS + ", c AS (SELECT gmm_peak_alias AS parent, label, count(*) AS n FROM lr GROUP BY 1, 2), " + _GUARDRAILS.replace("CAST(k.child_reads AS BIGINT)", "coalesce(CAST(k.child_reads AS BIGINT), 0)")))
 def denoise_split(spark, sf_dir):
-    """Abundance test on unique sequences; rows only."""
+    """Clusters of each peak by the denoiser, under the size guardrails."""
     from tandemlake.operators.split import denoise_labels
 
     labels = denoise_labels(_by_peak(spark, sf_dir), SETTINGS)
-    return insertions.cluster_guardrails(labels.select(F.col("gmm_peak_alias").alias("parent"), "read_id", "label"), SETTINGS.min_haplotype_reads, SETTINGS.min_subpeak_fraction)
+    rows = insertions.cluster_guardrails(labels.select(F.col("gmm_peak_alias").alias("parent"), "read_id", "label"), SETTINGS.min_haplotype_reads, SETTINGS.min_subpeak_fraction)
+    return rows.withColumn("child_reads", F.coalesce("child_reads", F.lit(0)))
+
+
+@query(with_reads(_BY_EDITS + ", f AS (SELECT *, CASE WHEN label IN ('c0000', 'c0002') AND gmm_peak_alias = 'ITD_2' THEN 'ITD_2_H1' WHEN label = 'c0001' THEN 'ITD_2_H2' ELSE gmm_peak_alias END AS alias FROM lr), m AS (SELECT alias, gmm_peak_alias, count(*) AS n, alias LIKE '%_H_' AS child, avg(read_len) AS mean, stddev_pop(read_len) AS sd FROM f GROUP BY 1, 2) SELECT alias AS peak_alias, gmm_peak_alias AS parent_peak_alias, n AS effective_read_count, round(n / (SELECT sum(n) FROM m), 6) AS fraction, CAST(child AS INTEGER) AS refinement_level, CASE WHEN child THEN 'sequence' ELSE '' END AS split_by, CASE WHEN child THEN round(mean, 6) END AS child_mean, CASE WHEN child THEN round(sd, 6) END AS child_sd FROM m"))
+def peak_lineage(spark, sf_dir):
+    """The peaks' table after a split by sequence: shares of all reads, moments of children."""
+    from tandemlake.operators import aliases
+    from tandemlake.operators.split import split_peaks
+
+    by_peak = aliases.begin(_by_peak(spark, sf_dir))
+    counts = {r.gmm_peak_alias: r.effective_read_count for r in peaks.effective_counts(by_peak).collect()}
+    frame = peaks.peaks_frame(spark, [{"alias": a, "mean_bp": m, "sd_bp": s, "fraction": f, "effective_read_count": counts.get(a, 0), "putative_itd_size": m - 336.0, "is_wt": a == "WT"} for _, m, s, f, a in PEAKS])
+    split = aliases.refined("_before", split_peaks(by_peak.withColumn("_before", F.col("gmm_peak_alias")), SETTINGS), "sequence")
+    t = aliases.peak_table(frame, split, SETTINGS)
+    child = F.col("refinement_level") > 0
+    return t.select("peak_alias", "parent_peak_alias", "effective_read_count", F.round("fraction", 6).alias("fraction"), "refinement_level", "split_by", F.when(child, F.round("mean_bp", 6)).alias("child_mean"), F.when(child, F.round("sd_bp", 6)).alias("child_sd"))
 
 
 # --- competition -----------------------------------------------------------------------------------------------------
@@ -629,6 +663,21 @@ def rotation_match(spark, sf_dir):
     return t.select("s", S.is_rotation(F.lit(WT[135:180]), F.col("s")).alias("rotated"), S.is_rotation(F.lit(WT[135:180]), turned).alias("turned"))
 
 
+# all rotations, base by base
+@query(with_reads(", t AS (SELECT DISTINCT substr(read_seq, 120, 20 + CAST(read_id % 30 AS INT)) AS s FROM reads), q AS (SELECT substr(w, 136, 45) AS c FROM wt), k AS (SELECT s, c, unnest(range(45)) AS k FROM t, q), r AS (SELECT s, k, substr(c || c, CAST(k + 1 AS INT), CAST(least(length(s), 45) AS INT)) AS turn FROM k), m AS (SELECT s, k, list_sum(list_transform(range(1, length(turn) + 1), lambda i: CASE WHEN turn[i] = s[i] THEN 1 ELSE 0 END)) AS same FROM r) SELECT s, round(max(same) / greatest(length(s), 45)::DOUBLE, 6) AS identity FROM m GROUP BY s"))
+def rotational_identity(spark, sf_dir):
+    """The best identity of any rotation of a known insertion with a piece of each read."""
+    from tandemlake.kernels.rotation import rotational_identity as best
+
+    @F.pandas_udf("double")
+    def identity(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: best(WT[135:180], x))
+
+    size = (20 + F.col("read_id") % 30).cast("int")
+    t = reads(spark, sf_dir).select(F.substring("read_seq", F.lit(120), size).alias("s")).distinct()
+    return t.select("s", F.round(identity("s"), 6).alias("identity"))
+
+
 @query("SELECT x, regexp_replace(x, '(_H[0-9]+(_[0-9]+)?)+$', '') AS root, length(x) % 3 = 0 AS in_frame FROM (SELECT DISTINCT concat('ITD_', o_custkey % 7, '_H', o_orderkey % 3, CASE WHEN o_orderkey % 2 = 0 THEN '_2' ELSE '' END) AS x FROM orders)")
 def root_alias(spark, sf_dir):
     o = fixtures.orders(spark, sf_dir)
@@ -665,6 +714,12 @@ def insertion_size_distribution(spark, sf_dir):
     return f.select("peak_alias", long("ins_len"), "n", F.round("mean_len", 6).alias("mean_len"), F.round("sd_len", 6).alias("sd_len"))
 
 
+@query(with_reads(f"{_EXACT}, c AS (SELECT strand AS peak_alias, ins_len AS l, count(*)::DOUBLE AS w FROM ins GROUP BY 1, 2), m AS (SELECT strand AS peak_alias, count(*)::DOUBLE AS n, stddev_samp(ins_len) * power(count(*), -0.2) AS h, min(ins_len) AS low, max(ins_len) AS high FROM ins GROUP BY 1), g AS (SELECT *, unnest(range(0, CAST((high - low) * 2 + 1 AS INT))) / 2.0 + low AS x FROM m) SELECT g.peak_alias, CAST(x AS DOUBLE) AS x, round(sum(w * exp(-power((x - l) / h, 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 9) AS density FROM g JOIN c USING (peak_alias) GROUP BY ALL"))
+def density_curve(spark, sf_dir):
+    f = figures.density_curve(_exact(spark, sf_dir).select(F.col("strand").alias("peak_alias"), "ins_len"))
+    return f.select("peak_alias", "x", F.round("density", 9).alias("density"))
+
+
 @query(with_reads(f"{_EXACT} SELECT coalesce(min(n) > 1, true) AS allowed FROM (SELECT strand, count(DISTINCT ins_len) AS n FROM ins GROUP BY 1)"))
 def density_allowed(spark, sf_dir):
     return figures.density_allowed(_exact(spark, sf_dir).select(F.col("strand").alias("peak_alias"), "ins_len"))

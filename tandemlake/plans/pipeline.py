@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandemlake.assay import WT, Settings
-from tandemlake.operators import consensus, insertions, observed, peaks, quantify, split, validation
+from tandemlake.operators import aliases, consensus, insertions, observed, peaks, quantify, split, validation
 from tandemlake.operators.lineage import cut
 
 
@@ -27,6 +27,7 @@ class Result:
     insertions: DataFrame | None = None
     consensus: DataFrame | None = None
     unresolved: DataFrame | None = None  # peaks with insertions but no consensus
+    assigned: DataFrame | None = None  # reads under the alias they have after all splits and merges
 
 
 _EMPTY_CONSENSUS = consensus.CONSENSUS + ", duplication_identity double, normalized_flank_reads long"
@@ -59,17 +60,25 @@ def run(reads: DataFrame, settings: Settings) -> Result:
     if assigned is not None:
         frame = peaks.peaks_frame(spark, named)
         parents = assigned
+        assigned = aliases.begin(assigned)
         if settings.subpeak_refinement:
-            assigned = split.split_peaks(assigned, settings)
+            assigned = aliases.refined("_before", split.split_peaks(assigned.withColumn("_before", F.col("gmm_peak_alias")), settings), "sequence")
         assigned = cut(assigned.drop("read_qual"))
         sizes = _small(_child_sizes(assigned, frame, settings))
         windows = peaks.size_windows(sizes, settings.min_gmm_peak_distance, settings.itd_sd_factor, settings.min_itd_size, settings.max_itd_size)
         inserted = cut(insertions.extract_insertions(assigned.where("gmm_peak_alias <> 'WT'"), windows))
-        inserted = cut(_split_by_length(inserted, settings))
+        modes = _small(insertions.length_modes(inserted.select("peak_alias", "ins_len"), "peak_alias", settings.min_haplotype_reads, settings.min_subpeak_fraction))
+        if modes.groupBy("peak_alias").count().where("count > 1").count():
+            assigned = cut(aliases.split_by_length(assigned, inserted, modes, settings))
+            inserted = cut(aliases.follow(inserted, assigned))
         found = _small(consensus.peak_consensus(inserted, settings))
         unresolved = _small(inserted.select("peak_alias").distinct().join(F.broadcast(found), "peak_alias", "left_anti").withColumn("status", F.lit("no_resolved_consensus")))
         owners = consensus.merge_duplicates(found)
         found = found.join(F.broadcast(owners.where("peak_alias = owner").select("peak_alias")), "peak_alias", "left_semi")
+        if not owners.where("peak_alias <> owner").isEmpty():
+            assigned = aliases.merged(assigned, owners)
+            inserted = aliases.follow(inserted, assigned)
+        frame = _small(aliases.peak_table(frame, assigned, settings))
         reads = reads if not settings.validate_peak_reads_only else reads.join(parents.select("read_id"), "read_id", "left_semi")
     if audit is not None:
         found, audit = observed.add_observed(found, audit, settings)
@@ -77,12 +86,12 @@ def run(reads: DataFrame, settings: Settings) -> Result:
         audit = observed.annotate_candidates(audit, reads, assigned, unresolved, settings)
     references = consensus.reference_alleles(found, settings.genome)
     if found.isEmpty():
-        return Result(spark.createDataFrame([], _EMPTY_SUMMARY), references, audit, frame, None, "no candidate allele", inserted, found, unresolved)
+        return Result(spark.createDataFrame([], _EMPTY_SUMMARY), references, audit, frame, None, "no candidate allele", inserted, found, unresolved, assigned)
     validated = validation.competitive_validation(reads, references).cache()
     summary = quantify.allele_frequencies(validated, settings.min_allele_frequency)
     if audit is not None:
         audit = quantify.audit_status(audit, validated, summary)
-    return Result(summary, references, audit, frame, validated, "", inserted, found, unresolved)
+    return Result(summary, references, audit, frame, validated, "", inserted, found, unresolved, assigned)
 
 
 def mixed_consensus(found: DataFrame, most_minor: float = 0.15, most_unresolved: float = 0.05) -> DataFrame:
@@ -106,14 +115,3 @@ def _child_sizes(assigned: DataFrame, frame: DataFrame, settings: Settings) -> D
     wt = frame.where("is_wt").agg(F.coalesce(F.max("mean_bp"), F.lit(float(settings.wt_amplicon_length))).alias("wt_mean"))
     j = moments.join(F.broadcast(frame.select("peak_alias", "putative_itd_size", "sd_bp")), "peak_alias", "left").crossJoin(F.broadcast(wt))
     return j.select("peak_alias", F.coalesce("putative_itd_size", F.col("mean") - F.col("wt_mean")).alias("putative_itd_size"), F.coalesce("sd_bp", F.greatest("sd", F.lit(0.5))).alias("sd_bp"))
-
-
-def _split_by_length(inserted: DataFrame, settings: Settings) -> DataFrame:
-    """Insertions of peaks with several length modes under an alias for each mode."""
-    lengths = inserted.select("peak_alias", "ins_len")
-    modes = _small(insertions.length_modes(lengths, "peak_alias", settings.min_haplotype_reads, settings.min_subpeak_fraction))
-    several = modes.groupBy("peak_alias").agg(F.count("*").alias("_n")).where("_n > 1")
-    nearest = insertions.nearest_mode(lengths, modes.join(F.broadcast(several), "peak_alias", "left_semi"), "peak_alias")
-    labels = inserted.join(F.broadcast(nearest), ["peak_alias", "ins_len"], "left").withColumn("label", F.when(F.col("mode").isNotNull(), F.concat(F.col("mode").cast("string"), F.lit("bp"))))
-    children = insertions.cluster_guardrails(labels.select(F.col("peak_alias").alias("parent"), "read_id", "label"), settings.min_haplotype_reads, settings.min_subpeak_fraction)
-    return insertions.relabel(labels.withColumnRenamed("peak_alias", "gmm_peak_alias"), children, F.col("label")).withColumnRenamed("gmm_peak_alias", "peak_alias").drop("label", "mode")

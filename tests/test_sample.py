@@ -1,5 +1,7 @@
 """From a simulated BAM file to matched calls."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +35,24 @@ def test_simulated_sample(spark, tmp_path):
     assert support.count() > 0 and {"read_id", "ref_alias", "valid_support"} <= set(support.columns)
     assert read_tsv(spark, str(tmp_path / "out/insertions")).count() > 0 and read_tsv(spark, str(tmp_path / "out/consensus")).count() >= 1
     assert (tmp_path / "out/unresolved_consensus").exists()
+    # the figures' data: shares of all peaks sum to 1, children have theirs in the VCF, alignments and members of each call
+    peaks = read_tsv(spark, str(tmp_path / "out/peaks")).collect()
+    assert abs(sum(p.fraction for p in peaks) - 1) < 1e-6 and sum(p.effective_read_count for p in peaks) > 0
+    found_calls = read_vcf(spark, str(tmp_path / "out/s.vcf")).collect()
+    assert any(c.info["AF_GMM"] != "." for c in found_calls)
+    labels = read_tsv(spark, str(tmp_path / "out/reported_calls")).collect()
+    assert len(labels) == n and all(r.label.startswith(f"{r.itd_len} bp") for r in labels)
+    texts = [p.read_text() for p in (tmp_path / "out").glob("alignment_*.txt")]
+    assert len(texts) == n and all("target" in t and "|||" in t and "---" in t for t in texts)
+    members = spark.read.json(str(tmp_path / "out/membership")).groupBy("ref_alias").count().collect()
+    assert {r.ref_alias: r["count"] for r in members} == {r.ref_alias: r.n_itd_reads for r in labels}
+    for name in ("length_profile", "insertion_sizes", "insertion_density", "pileup", "support_lengths", "support_alignment", "column_agreement", "allele_differences", "genome_view"):
+        assert read_tsv(spark, str(tmp_path / "out" / name)).count() > 0, name
+    stages = [json.loads(x) for x in (tmp_path / "out/stages.jsonl").read_text().splitlines()]
+    assert next(x for x in stages if x["stage"] == "anchors")["anchored"] > 0
+    # without its tables, a run leaves calls, report, log and texts
+    assert run_sample(spark, path, str(tmp_path / "bare"), "s", Settings(), keep_tables=False) == n
+    assert not [p.name for p in (tmp_path / "bare").iterdir() if p.is_dir() and p.name != "summary"]
 
 
 def test_no_reads(spark, tmp_path):
