@@ -1,15 +1,17 @@
-"""BAM as a Python data source: BGZF blocks and alignment records, split and filtered; and a writer for fixtures.
+"""BAM as a Python data source: BGZF blocks and alignment records, split and filtered, and written by tasks.
 
 ``spark.read.format("bam").load(path)`` after ``register(spark)``. A file is cut into ranges of bytes; a task finds the
 first block in its range and the first record in that block, and reads the records that begin there, block by block.
 Filters on flag, contig, position and mapping quality are tested on a record's fixed fields, before its name, sequence or
-qualities are decoded; all others on the row. With an index beside the file (``.bai``) reading starts at the filtered
-region; in a file sorted by position it ends after it.
+qualities are decoded; all others on the row. With an index beside the file (``.bai``, ``.csi``) only the stretches are read that
+its bins name for the filtered region; in a file sorted by position reading ends after it.
 """
 
 from __future__ import annotations
 
 import bisect
+import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -19,7 +21,7 @@ from pathlib import Path
 import numpy as np
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual
 
-from tandemlake.sources import files
+from tandemlake.sources import files, parts
 
 SCHEMA = "read_name string, flag int, chrom string, pos int, pos_end int, mapq int, cigar string, seq string, qual string, place long"
 # Codes of the format.
@@ -27,6 +29,7 @@ _BASES = "=ACMGRSVTWYHKDBN"
 _CIGAR = "MIDNSHP=X"
 _CONSUMES_REFERENCE = frozenset("MDN=X")
 _EOF = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+_OPERATION = re.compile("([0-9]+)([MIDNSHP=X])")
 _BLOCK = bytes.fromhex("1f8b0804")
 _FIXED = struct.Struct("<iiBBHHHiiii")
 _PAIRS = [a + b for a in _BASES for b in _BASES]
@@ -143,6 +146,70 @@ _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 _EARLY = {"flag": 0, "chrom": 1, "pos": 2, "mapq": 3}
 
 
+#: Bases that an index of the common form can tell apart.
+_FARTHEST = 1 << 29
+
+
+def bins_of(start: int, end: int, shift: int = 14, depth: int = 5) -> list[int]:
+    """Numbers of the bins that may hold records over [start, end): at each level, from the whole contig down to windows of
+    2**shift bases, a bin has eight of the next."""
+    out, first = [], 0
+    for level in range(depth + 1):
+        wide = shift + 3 * (depth - level)
+        out += range(first + (start >> wide), first + (max(end - 1, start) >> wide) + 1)
+        first += 1 << 3 * level
+    return out
+
+
+def indexed_chunks(path: str, contig: int, start: int, end: int) -> list[tuple[int, int]] | None:
+    """Virtual offsets (begin, end) of the stretches of a file that hold all records over [start, end) of a contig, from the
+    index beside it (.bai or .csi); None without one. Stretches that meet in one block are one, so that no record is read
+    twice; those that end before the first record over the region's window are left out."""
+    if files.there(path + ".bai"):
+        with files.opened(path + ".bai") as f:
+            data = f.read()
+        shift, depth, at, wide = 14, 5, 8, 0
+        (contigs,) = struct.unpack_from("<i", data, 4)
+    elif files.there(path + ".csi"):
+        with files.opened(path + ".csi") as f:
+            data = b"".join(body for _, body in blocks(f, 0, f.size()))
+        shift, depth, extra = struct.unpack_from("<iii", data, 4)
+        (contigs,) = struct.unpack_from("<i", data, 16 + extra)
+        at, wide = 20 + extra, 8
+    else:
+        return None
+    wanted = set(bins_of(start, min(end, 1 << shift + 3 * depth), shift, depth))
+    for ref in range(contigs):
+        (n,) = struct.unpack_from("<i", data, at)
+        at += 4
+        chunks, least, total = [], 0, n
+        for _ in range(n):
+            number, *first, pieces = struct.unpack_from("<IQi" if wide else "<Ii", data, at)
+            at += 8 + wide
+            if ref == contig and number in wanted:
+                found = struct.unpack_from(f"<{2 * pieces}Q", data, at)
+                # a bin of the second form tells its own first record's place
+                chunks += [c for c in zip(found[::2], found[1::2], strict=True) if not first or c[1] > first[0]]
+            at += 16 * pieces
+        if not wide:
+            (n,) = struct.unpack_from("<i", data, at)
+            if ref == contig and n:
+                windows = struct.unpack_from(f"<{n}Q", data, at + 4)
+                least = next((w for w in windows[min(start >> 14, n - 1) :] if w), 0)
+            at += 4 + 8 * n
+        if ref == contig:
+            if not wide and not chunks and not total and least:
+                return [(least, files.length(path) << 16)]  # windows alone: where to begin
+            out: list[tuple[int, int]] = []
+            for a, b in sorted((max(a, least), b) for a, b in chunks if b > least):
+                if out and a >> 16 <= out[-1][1] >> 16:
+                    out[-1] = out[-1][0], max(out[-1][1], b)
+                else:
+                    out.append((a, b))
+            return out
+    return []
+
+
 class BamReader(DataSourceReader):
     def __init__(self, path: str, size: int = files.SPLIT) -> None:
         self.path, self.size = path, size
@@ -159,37 +226,27 @@ class BamReader(DataSourceReader):
             else:
                 yield f
 
-    def _begin(self, path: str, head: Header) -> tuple[int, int]:
-        """The block and the place in it where records that pass can begin: after the header, or where the index says."""
+    def _region(self, head: Header) -> tuple[int, int, int] | None:
+        """Number of the contig, and first and last base (from 0, end exclusive), of the region that the filters ask for."""
         chrom = next((v for i, kind, v in self.early if i == _EARLY["chrom"] and kind is EqualTo), None)
         least = max((v for i, kind, v in self.late if i == _COLUMNS.index("pos_end") and kind in (GreaterThan, GreaterThanOrEqual)), default=None)
-        if chrom not in head.contigs or least is None or not files.there(path + ".bai"):
-            return head.block, head.inside
-        with files.opened(path + ".bai") as f:
-            data = f.read()
-        at = 8
-        for ref in range(struct.unpack_from("<i", data, 4)[0]):
-            (bins,) = struct.unpack_from("<i", data, at)
-            at += 4
-            for _ in range(bins):
-                at += 8 + 16 * struct.unpack_from("<i", data, at + 4)[0]
-            (n,) = struct.unpack_from("<i", data, at)
-            if head.contigs[ref] == chrom:
-                windows = struct.unpack_from(f"<{n}Q", data, at + 4)
-                first = next((w for w in windows[max(0, least - 1) >> 14 :] if w), 0)
-                if first:
-                    return first >> 16, first & 0xFFFF
-                break
-            at += 4 + 8 * n
-        return head.block, head.inside
+        most = min((v for i, kind, v in self.early if i == _EARLY["pos"] and kind in (LessThan, LessThanOrEqual)), default=None)
+        if chrom not in head.contigs or (least is None and most is None):
+            return None
+        return head.contigs.index(chrom), max(0, (least or 1) - 1), min(max(0, most), _FARTHEST) if most is not None else _FARTHEST
 
     def partitions(self) -> list[files.Split]:
         out = []
         for path, size in files.listed(self.path, ".bam"):
             head = read_header(path)
-            begin, inside = self._begin(path, head)
-            out.append(_Part(path, begin, min(begin + self.size, size), head, inside))
-            out += [_Part(path, a, min(a + self.size, size), head, None) for a in range(begin + self.size, size, self.size)]
+            region = self._region(head)
+            chunks = indexed_chunks(path, *region) if region else None
+            if chunks is None:
+                chunks = [((head.block << 16) | head.inside, size << 16)]
+            for begin, end in chunks:
+                first, last = begin >> 16, min((end >> 16) + (end & 0xFFFF > 0), size)
+                out.append(_Part(path, first, min(first + self.size, last), head, begin & 0xFFFF))
+                out += [_Part(path, a, min(a + self.size, last), head, None) for a in range(first + self.size, last, self.size)]
         return out
 
     def read(self, partition) -> Iterator[tuple]:
@@ -272,6 +329,57 @@ def _row(data: bytes, p: int, early: tuple, name_size: int, ops: int, bases: int
     return name, flag, chrom, pos, pos - 1 + span, mapq, "".join(f"{k}{op}" for k, op in cigar) or "*", seq, qual, place
 
 
+class BamWriter(parts.PartWriter):
+    """Rows of read_name, flag, chrom, pos, mapq, cigar, seq and qual as BAM parts: blocks of the header, blocks of records,
+    the end mark. Blocks end where records do, and a part's records begin at a block, so parts can be joined by blocks."""
+
+    suffix = ".bam"
+
+    def __init__(self, path: str, overwrite: bool, contigs: list[tuple[str, int]], order: str) -> None:
+        super().__init__(path, overwrite)
+        self.contigs, self.order = contigs, order
+
+    def encode(self, rows: Iterator) -> Iterator[bytes]:
+        yield b"".join(_blocks_of(_header(self.contigs, self.order)))
+        numbers = {name: i for i, (name, _) in enumerate(self.contigs)}
+        held, size = [], 0
+        for r in rows:
+            cigar = [(int(k), op) for k, op in _OPERATION.findall(r.cigar or "")]
+            held.append(_record(r.read_name, r.flag, numbers[r.chrom] if r.chrom is not None else -1, r.pos or 0, r.mapq or 0, cigar, r.seq or "", r.qual))
+            size += len(held[-1])
+            if size >= 60_000:
+                yield b"".join(_blocks_of(b"".join(held)))
+                held, size = [], 0
+        yield b"".join([*_blocks_of(b"".join(held)), _EOF])
+
+
+def _records_block(f, head: Header) -> int:
+    """The offset of a part's first block of records: the one after the header's last."""
+    found = blocks(f, head.block, f.size())
+    offset, body = next(found)
+    if not head.inside:
+        return offset
+    if head.inside != len(body):
+        raise ValueError("records begin within the header's block; such a file isn't a part")
+    return next(found, (f.size() - len(_EOF), b""))[0]
+
+
+def join_parts(folder: str, target: str) -> None:
+    """One BAM file of a folder's parts in order: their blocks as they are, without all headers but the first and all end
+    marks but the last. Bytes are copied a stretch at a time."""
+    with files.created(target) as out:
+        for i, (path, size) in enumerate(files.listed(folder, ".bam")):
+            with files.opened(path) as f:
+                start = 0 if i == 0 else _records_block(f, read_header(path))
+                f.seek(start)
+                left = size - len(_EOF) - start
+                while left > 0:
+                    piece = f.read(min(left, 1 << 22))
+                    out.write(piece)
+                    left -= len(piece)
+        out.write(_EOF)
+
+
 class BamSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -283,6 +391,10 @@ class BamSource(DataSource):
     def reader(self, schema) -> BamReader:
         return BamReader(self.options["path"], int(self.options.get("splitsize", files.SPLIT)))
 
+    def writer(self, schema, overwrite: bool) -> BamWriter:
+        """Options: path, contigs (JSON: a list of name and length) and order (of the records: unsorted, coordinate)."""
+        return BamWriter(self.options["path"], overwrite, [(n, int(k)) for n, k in json.loads(self.options["contigs"])], self.options.get("order", "unsorted"))
+
 
 def register(spark) -> None:
     """Makes the format known to a session and lets it take filters."""
@@ -290,46 +402,73 @@ def register(spark) -> None:
     spark.dataSource.register(BamSource)
 
 
-def _bgzf(data: bytes) -> bytes:
-    out = []
+def _blocks_of(data: bytes) -> Iterator[bytes]:
     for i in range(0, len(data), 60_000):
         part = data[i : i + 60_000]
         z = zlib.compressobj(6, zlib.DEFLATED, -15)
         body = z.compress(part) + z.flush()
         head = struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
-        out.append(head + body + struct.pack("<II", zlib.crc32(part), len(part)))
-    return b"".join([*out, _EOF])
+        yield head + body + struct.pack("<II", zlib.crc32(part), len(part))
 
 
-def write_index(path: str) -> None:
-    """A linear index (.bai without bins) beside a BAM file sorted by position."""
+def _header(contigs: list[tuple[str, int]], order: str = "coordinate") -> bytes:
+    text = f"@HD\tVN:1.6\tSO:{order}\n".encode() + b"".join(f"@SQ\tSN:{n}\tLN:{k}\n".encode() for n, k in contigs)
+    out = [b"BAM\1", struct.pack("<i", len(text)), text, struct.pack("<i", len(contigs))]
+    for name, size in contigs:
+        out.append(struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", size))
+    return b"".join(out)
+
+
+def _record(name: str, flag: int, ref: int, pos: int, mapq: int, cigar: list[tuple[int, str]], seq: str, qual: str | None) -> bytes:
+    codes = [_BASES.index(b) for b in seq] + [0] * (len(seq) % 2)
+    packed = bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(codes), 2))
+    quals = bytes(ord(c) - 33 for c in qual) if qual else b"\xff" * len(seq)
+    body = struct.pack("<iiBBHHHiiii", ref, pos - 1, len(name) + 1, mapq, 4680, len(cigar), flag, len(seq), -1, -1, 0)
+    body += name.encode() + b"\0" + b"".join(struct.pack("<I", k << 4 | _CIGAR.index(op)) for k, op in cigar) + packed + quals
+    return struct.pack("<i", len(body)) + body
+
+
+def write_index(path: str, bins: bool = True) -> None:
+    """An index (.bai) beside a BAM file sorted by position, with bins or with windows alone. For fixtures: one process reads
+    the file."""
     head = read_header(path)
     windows: list[dict[int, int]] = [{} for _ in head.contigs]
+    chunks: list[dict[int, list[list[int]]]] = [{} for _ in head.contigs]
     reader = BamReader(path)
+    open_: list[int] | None = None
     for part in reader.partitions():
         for row in reader.read(part):
+            if open_ is not None:
+                open_[1] = row[9]
+            open_ = None
             if row[2] is not None:
-                own = windows[head.contigs.index(row[2])]
-                for w in range((row[3] - 1) >> 14, ((row[4] - 1) >> 14) + 1):
+                contig, start, end = head.contigs.index(row[2]), row[3] - 1, row[4]
+                own = windows[contig]
+                for w in range(start >> 14, ((end - 1) >> 14) + 1):
                     own[w] = min(own.get(w, row[9]), row[9])
+                # the smallest bin that holds the whole record
+                level = next(k for k in range(5, -1, -1) if start >> 29 - 3 * k == end - 1 >> 29 - 3 * k)
+                number = ((1 << 3 * level) - 1) // 7 + (start >> 29 - 3 * level)
+                mine = chunks[contig].setdefault(number, [])
+                if mine and mine[-1][1] == row[9]:
+                    open_ = mine[-1]
+                else:
+                    open_ = [row[9], 0]
+                    mine.append(open_)
+    if open_ is not None:
+        with files.opened(path) as f:
+            open_[1] = f.size() << 16
     out = [b"BAI\1", struct.pack("<i", len(windows))]
-    for own in windows:
+    for own, mine in zip(windows, chunks, strict=True):
+        out.append(struct.pack("<i", len(mine) if bins else 0))
+        for number, pieces in sorted(mine.items()) if bins else ():
+            out += [struct.pack("<Ii", number, len(pieces)), *(struct.pack("<QQ", *p) for p in pieces)]
         n = max(own, default=-1) + 1
-        out.append(struct.pack("<ii", 0, n) + b"".join(struct.pack("<Q", own.get(w, 0)) for w in range(n)))
+        out.append(struct.pack("<i", n) + b"".join(struct.pack("<Q", own.get(w, 0)) for w in range(n)))
     Path(path + ".bai").write_bytes(b"".join(out))
 
 
 def write_bam(path: str, contigs: list[tuple[str, int]], records: list[tuple]) -> None:
-    """Records (name, flag, contig index, 1-based pos, mapq, [(length, op)], seq, qual) as a BAM file."""
-    text = b"@HD\tVN:1.6\tSO:coordinate\n" + b"".join(f"@SQ\tSN:{n}\tLN:{k}\n".encode() for n, k in contigs)
-    out = [b"BAM\1", struct.pack("<i", len(text)), text, struct.pack("<i", len(contigs))]
-    for name, size in contigs:
-        out.append(struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", size))
-    for name, flag, ref, pos, mapq, cigar, seq, qual in records:
-        codes = [_BASES.index(b) for b in seq] + [0] * (len(seq) % 2)
-        packed = bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(codes), 2))
-        quals = bytes(ord(c) - 33 for c in qual) if qual else b"\xff" * len(seq)
-        body = struct.pack("<iiBBHHHiiii", ref, pos - 1, len(name) + 1, mapq, 4680, len(cigar), flag, len(seq), -1, -1, 0)
-        body += name.encode() + b"\0" + b"".join(struct.pack("<I", k << 4 | _CIGAR.index(op)) for k, op in cigar) + packed + quals
-        out.append(struct.pack("<i", len(body)) + body)
-    Path(path).write_bytes(_bgzf(b"".join(out)))
+    """Records (name, flag, contig index, 1-based pos, mapq, [(length, op)], seq, qual) as one BAM file, for fixtures."""
+    data = _header(contigs) + b"".join(_record(*r) for r in records)
+    Path(path).write_bytes(b"".join([*_blocks_of(data), _EOF]))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from tandemlake.sources import files
+from tandemlake.sources import files, parts
 
 
 class FastqReader(DataSourceReader):
@@ -55,6 +55,17 @@ def _lines(f, at: int) -> Iterator[tuple[int, str]]:
         yield at, rest.rstrip(b"\r").decode()
 
 
+class FastqWriter(parts.PartWriter):
+    """Rows of header, seq and qual as records; rows without a sequence are left out."""
+
+    suffix = ".fastq"
+
+    def encode(self, rows: Iterator) -> Iterator[bytes]:
+        for row in rows:
+            if row.seq:
+                yield f"@{row.header}\n{row.seq}\n+\n{row.qual}\n".encode()
+
+
 class FastqSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -66,6 +77,9 @@ class FastqSource(DataSource):
     def reader(self, schema) -> FastqReader:
         return FastqReader(self.options["path"], int(self.options.get("splitsize", files.SPLIT)))
 
+    def writer(self, schema, overwrite: bool) -> FastqWriter:
+        return FastqWriter(self.options["path"], overwrite)
+
 
 def read_fastq(spark: SparkSession, path: str, split_size: int = files.SPLIT) -> DataFrame:
     """read_id, read_seq, read_qual, strand (- if the header ends in `` rc``) and place, the byte where the record begins;
@@ -76,6 +90,15 @@ def read_fastq(spark: SparkSession, path: str, split_size: int = files.SPLIT) ->
     return rows.select(F.substring_index(head, " ", 1).alias("read_id"), F.upper("seq").alias("read_seq"), F.col("qual").alias("read_qual"), F.when(head.endswith(" rc"), "-").otherwise("+").alias("strand"), "place")
 
 
+def write_fastq(reads: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Reads (read_id, read_seq, read_qual) as a folder of FASTQ parts, one for each task, with qualities repaired."""
+    from tandemlake.functions.sequence import repaired_quality
+
+    reads.sparkSession.dataSource.register(FastqSource)
+    rows = reads.select(F.col("read_id").cast("string").alias("header"), F.col("read_seq").alias("seq"), repaired_quality(F.col("read_seq"), F.col("read_qual")).alias("qual"))
+    rows.write.format("fastq").mode("overwrite" if overwrite else "append").save(path)
+
+
 def dedup_reads(reads: DataFrame) -> DataFrame:
     """The last record of each id, with its number of records in n_rows."""
     from tandemlake.operators.reads import keep_last

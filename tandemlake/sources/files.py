@@ -37,6 +37,11 @@ def opened(path: str):
     return system.open_input_file(inner)
 
 
+def length(path: str) -> int:
+    with opened(path) as f:
+        return f.size()
+
+
 def there(path: str) -> bool:
     from pyarrow import fs
 
@@ -44,6 +49,42 @@ def there(path: str) -> bool:
     return system.get_file_info(inner).type == fs.FileType.File
 
 
+def created(path: str):
+    """A new file to write, with the folders that lead to it."""
+    system, inner = _at(path)
+    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return system.open_output_stream(inner)
+
+
+def moved(path: str, target: str) -> None:
+    system, inner = _at(path)
+    system.move(inner, _at(target)[1])
+
+
+def removed(path: str) -> None:
+    if there(path):
+        system, inner = _at(path)
+        system.delete_file(inner)
+
+
+def removed_folder(path: str) -> None:
+    from pyarrow import fs
+
+    system, inner = _at(path)
+    if system.get_file_info(inner).type == fs.FileType.Directory:
+        system.delete_dir(inner)
+
+
+def listed_names(path: str, suffix: str) -> list[str]:
+    """Names of a folder's files of this suffix; none if there is no such folder."""
+    from pyarrow import fs
+
+    system, inner = _at(path)
+    if system.get_file_info(inner).type != fs.FileType.Directory:
+        return []
+    return sorted(f.base_name for f in system.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File and f.base_name.endswith(suffix))
+
+
 @dataclass
 class Split(InputPartition):
     """The part of a file whose records begin at start or later, and before end."""

@@ -3,17 +3,18 @@
 import random
 import time
 
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual
+from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, LessThanOrEqual
 
 from tandemlake.assay import WT, Settings
 from tandemlake.operators import consensus, observed
 from tandemlake.plans import pipeline
 from tandemlake.sources import sinks
 from tandemlake.operators.reads import keep_last
-from tandemlake.sources.bam import BamReader, register, write_bam, write_index
-from tandemlake.sources.fastq import dedup_reads, fastq_records, read_fastq
+from tandemlake.sources.bam import BamReader, bins_of, join_parts, register, write_bam, write_index
+from tandemlake.sources.fastq import dedup_reads, fastq_records, read_fastq, write_fastq
 
 
 def test_bam_round_trip(spark, tmp_path):
@@ -70,16 +71,46 @@ def test_bam_splits_index_and_duplicates(spark, tmp_path):
     near = lambda: sorted(r.read_name for r in spark.read.format("bam").option("splitsize", "50000").load(path).where("chrom = 'chr13' and pos <= 62000 and pos_end >= 60000 and mapq >= 20").collect())
     want = sorted(r[0] for r in records if r[3] <= 62000 and r[3] + r[5][0][0] - 1 >= 60000 and r[4] >= 20)
     assert near() == want and want
-    write_index(path)
-    reader = BamReader(path)
-    list(reader.pushFilters([EqualTo(("chrom",), "chr13"), GreaterThanOrEqual(("pos_end",), 60000)]))
-    assert reader.partitions()[0].start > 0 and near() == want
+    for bins in (False, True):
+        write_index(path, bins)
+        reader = BamReader(path)
+        list(reader.pushFilters([EqualTo(("chrom",), "chr13"), GreaterThanOrEqual(("pos_end",), 60000)]))
+        assert reader.partitions()[0].start > 0 and near() == want
     twice = spark.read.format("bam").load(path).where("read_name = 'r7'").collect()
     assert len(twice) == 2
     one = keep_last(spark.read.format("bam").load(path), ["read_name"], [F.col("place")]).where("read_name = 'r7'").first()
     assert one.seq == records[3907][6] and one.n_rows == 2
 
 
+def test_binned_index_reads_the_region_only(spark, tmp_path):
+    """Any region gives the records that a whole scan gives, and the bytes of its parts grow with it; long records are found
+    from their bins, and those of another contig and the unplaced tail aren't read."""
+    rng = random.Random(8)
+    places = sorted(rng.randrange(1, 3_000_000) for _ in range(9000))
+    records = [(f"r{i}", 0, 0, p, 60, [(60, "M")] if i % 500 else [(30, "M"), (200_000, "N"), (30, "M")], "ACGT" * 15, "I" * 60) for i, p in enumerate(places)]
+    records += [(f"o{i}", 0, 1, 1 + 50 * i, 60, [(60, "M")], "ACGT" * 15, "I" * 60) for i in range(3000)] + [(f"u{i}", 4, -1, 0, 0, [], "ACGT", "IIII") for i in range(3000)]
+    path = str(tmp_path / "b.bam")
+    write_bam(path, [("chr13", 114364328), ("chr14", 200000)], records)
+
+    def read(contig, low, high):
+        reader = BamReader(path, 1 << 16)
+        assert not list(reader.pushFilters([EqualTo(("chrom",), contig), GreaterThanOrEqual(("pos_end",), low), LessThanOrEqual(("pos",), high)]))
+        parts = reader.partitions()
+        return sorted(row[0] for part in parts for row in reader.read(part)), sum(p.end - p.start for p in parts)
+
+    regions = [("chr13", 1, 3_300_000), ("chr13", 1_000_000, 1_000_500), ("chr13", 2_900_000, 2_999_999), ("chr13", 500_000, 900_000), ("chr14", 100, 120), ("chr14", 1, 200_000), ("chr13", 50_000_000, 60_000_000)]
+    whole = [read(*r)[0] for r in regions]
+    write_index(path)
+    bytes_read = []
+    for r, want in zip(regions, whole):
+        got, n = read(*r)
+        assert got == want, r
+        bytes_read.append(n)
+    size = (tmp_path / "b.bam").stat().st_size
+    assert bytes_read[-1] == 0 and bytes_read[4] < size / 3 and bytes_read[2] < bytes_read[0] and bytes_read[0] < 0.85 * size
+    assert bins_of(0, 1) == [0, 1, 9, 73, 585, 4681] and len(bins_of(0, 1 << 29)) == 37449
+
+
 def test_bam_reads_in_linear_time(tmp_path):
     """Ten times the records take about ten times as long."""
     took = []
@@ -171,3 +202,38 @@ def test_truth_tables_self_check_and_score(spark):
     assert [r["recovered"] for r in s.haplotypes] == [True, False] and s.extra == ["z"] and s.mean_af_error == s.max_af_error == 0.02
     assert (s.consensus_ns, s.peaks_with_ns) == (2, 1) and s.agreement["ari"] == 1.0
     assert score(truth, []).mean_af_error is None
+
+
+def test_parts_appear_whole_or_not_at_all(spark, tmp_path):
+    """BAM and FASTQ parts of tasks read back as they were written and join by blocks; a task that fails leaves nothing, a second
+    write needs to overwrite, and overwriting leaves no part of the first."""
+    rng = random.Random(3)
+    rows = [(f"r{i}", 16 if i % 2 else 0, "chr13" if i % 9 else None, 1 + i if i % 9 else 0, i % 61, "50M" if i % 9 else "*", "".join(rng.choice("ACGTN") for _ in range(50 + i % 7)), None if i % 5 == 0 else "F" * (50 + i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "read_name string, flag int, chrom string, pos int, mapq int, cigar string, seq string, qual string")
+    register(spark)
+    path = str(tmp_path / "bam")
+    save = lambda d, mode, n: d.repartition(n).write.format("bam").option("contigs", '[["chr13", 114364328], ["chr14", 5]]').mode(mode).save(path)
+    save(df, "append", 4)
+
+    def got(at):
+        return sorted((r.read_name, r.flag, r.chrom, r.pos, r.mapq, r.cigar, r.seq, r.qual) for r in spark.read.format("bam").load(at).collect())
+
+    want = sorted(rows)
+    key = lambda r: (r[0], r[1], r[2] or "", r[3], r[4], r[5], r[6], r[7] or "")
+    assert sorted(map(key, spark.read.format("bam").load(path).select("read_name", "flag", "chrom", "pos", "mapq", "cigar", "seq", "qual").collect())) == sorted(map(key, rows)) and want
+    names = sorted(p.name for p in (tmp_path / "bam").iterdir())
+    assert names == [f"part-{i:05d}.bam" for i in range(4)]
+    join_parts(path, str(tmp_path / "one/joined.bam"))
+    assert spark.read.format("bam").load(str(tmp_path / "one/joined.bam")).count() == 3000
+    with pytest.raises(Exception, match="parts already"):
+        save(df, "append", 1)
+    bad = df.withColumn("chrom", F.when(F.col("read_name") == "r77", "chrUn").otherwise(F.col("chrom")))
+    with pytest.raises(Exception, match="chrUn"):
+        save(bad, "overwrite", 3)
+    assert sorted(p.name for p in (tmp_path / "bam").iterdir()) == names and spark.read.format("bam").load(path).count() == 3000
+    save(df.limit(10), "overwrite", 2)
+    assert spark.read.format("bam").load(path).count() == 10 and len(list((tmp_path / "bam").iterdir())) == 2
+    reads = spark.createDataFrame([(f"q{i}", "ACGT" * (1 + i % 3), None if i % 4 == 0 else "I" * 4) for i in range(40)] + [("empty", "", None)], "read_id string, read_seq string, read_qual string")
+    write_fastq(reads.repartition(3), str(tmp_path / "fq"))
+    back = read_fastq(spark, str(tmp_path / "fq")).collect()
+    assert len(back) == 40 and all(len(r.read_qual) == len(r.read_seq) for r in back) and len(list((tmp_path / "fq").glob("part-*.fastq"))) == 3
