@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tandemlake import fixtures
 from tandemlake.assay import AMPLICON, EXTRACTION, FORWARD_PRIMER, REVERSE_PRIMER, WT, Settings, anchor_coordinates, exons, reverse_complement
@@ -36,8 +37,8 @@ def long(name: str):
 # Parameters of queries on fixed peaks: id, mean, deviation, share, alias.
 PEAKS = [(0, 336.0, 1.0, 0.55, "WT"), (1, 366.0, 1.0, 0.08, "ITD_1"), (2, 381.0, 1.0, 0.37, "ITD_2")]
 PEAKS_SQL = "peaks AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {m}::DOUBLE, {s}::DOUBLE, {f}::DOUBLE, '{a}')" for i, m, s, f, a in PEAKS) + ") v(orig_id, mean_bp, sd_bp, fraction, alias))"
-COMPONENTS = [(0, 336.0, 1.0, 0.5), (1, 340.0, 1.25, 0.05), (2, 366.0, 1.0, 0.08), (3, 381.0, 0.5, 0.3), (4, 389.0, 1.5, 0.06), (5, 420.0, 9.0, 0.005), (6, 391.5, 6.0, 0.005)]
-COMPONENTS_SQL = "comps AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {m}::DOUBLE, {s}::DOUBLE, {f}::DOUBLE)" for i, m, s, f in COMPONENTS) + ") v(orig_id, mean_bp, sd_bp, fraction))"
+# components as the reads of each allele have them
+COMPONENTS_SQL = ", comps AS (SELECT row_number() OVER (ORDER BY avg(read_len), haplotype) - 1 AS orig_id, avg(read_len) AS mean_bp, stddev_pop(read_len) AS sd_bp, count(*) / (SELECT count(*) FROM reads)::DOUBLE AS fraction FROM reads GROUP BY haplotype)"
 SETTINGS = Settings()
 START, STOP = anchor_coordinates(len(WT), SETTINGS.anchor_length, SETTINGS.anchor_shift)
 LEFT, RIGHT = WT[START : START + 20], WT[STOP - 20 : STOP]
@@ -158,14 +159,22 @@ def peak_posterior_assign(spark, sf_dir):
     return peaks.posterior_assign(reads(spark, sf_dir), fixed_peaks(spark)).select(long("read_len"), long("orig_id"), F.round("confidence", 6).alias("confidence"))
 
 
-@query(f"WITH {COMPONENTS_SQL} SELECT CAST(orig_id AS BIGINT) AS orig_id, mean_bp, sd_bp, fraction FROM comps WHERE fraction >= 0.01 AND sd_bp < 5")
+def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = reads(spark, sf_dir)
+    total = r.agg(F.count("*").alias("total"))
+    each = r.groupBy("haplotype").agg(F.avg("read_len").alias("mean_bp"), F.stddev_pop("read_len").alias("sd_bp"), F.count("*").alias("n")).crossJoin(F.broadcast(total))
+    numbered = each.withColumn("orig_id", (F.row_number().over(Window.orderBy("mean_bp", "haplotype")) - 1).cast("int"))  # a row for each allele
+    return numbered.select("orig_id", "mean_bp", "sd_bp", (F.col("n") / F.col("total")).alias("fraction"))
+
+
+@query(with_reads(COMPONENTS_SQL + " SELECT CAST(orig_id AS BIGINT) AS orig_id, round(mean_bp, 6) AS mean_bp, round(sd_bp, 6) AS sd_bp, round(fraction, 6) AS fraction FROM comps WHERE fraction >= 0.06 AND sd_bp < 5"))
 def component_filter(spark, sf_dir):
-    return peaks.component_filter(spark.createDataFrame(COMPONENTS, peaks.PEAK_SCHEMA), 0.01, 5.0).withColumn("orig_id", F.col("orig_id").cast("long"))
+    return peaks.component_filter(_components(spark, sf_dir), 0.06, 5.0).select(long("orig_id"), *[F.round(c, 6).alias(c) for c in ("mean_bp", "sd_bp", "fraction")])
 
 
-@query(f"WITH RECURSIVE {COMPONENTS_SQL}, o AS (SELECT *, row_number() OVER (ORDER BY mean_bp) AS k FROM comps WHERE fraction >= 0.01 AND sd_bp < 5), g AS (SELECT k, mean_bp, sd_bp, fraction, mean_bp AS head FROM o WHERE k = 1 UNION ALL SELECT o.k, o.mean_bp, o.sd_bp, o.fraction, CASE WHEN o.mean_bp - g.head < 10 THEN g.head ELSE o.mean_bp END FROM g JOIN o ON o.k = g.k + 1), m AS (SELECT head, sum(fraction) AS fraction, sum(fraction * mean_bp) / sum(fraction) AS mean_bp FROM g GROUP BY head) SELECT round(m.mean_bp, 6) AS mean_bp, round(sqrt(sum(g.fraction * (g.sd_bp * g.sd_bp + power(g.mean_bp - m.mean_bp, 2))) / max(m.fraction)), 6) AS sd_bp, round(max(m.fraction), 6) AS fraction FROM g JOIN m USING (head) GROUP BY m.mean_bp")
+@query(with_reads(COMPONENTS_SQL + ", o AS (SELECT *, row_number() OVER (ORDER BY mean_bp) AS k FROM comps WHERE fraction >= 0.01 AND sd_bp < 5), g AS (SELECT k, mean_bp, sd_bp, fraction, mean_bp AS head FROM o WHERE k = 1 UNION ALL SELECT o.k, o.mean_bp, o.sd_bp, o.fraction, CASE WHEN o.mean_bp - g.head < 10 THEN g.head ELSE o.mean_bp END FROM g JOIN o ON o.k = g.k + 1), m AS (SELECT head, sum(fraction) AS fraction, sum(fraction * mean_bp) / sum(fraction) AS mean_bp FROM g GROUP BY head) SELECT round(m.mean_bp, 6) AS mean_bp, round(sqrt(sum(g.fraction * (g.sd_bp * g.sd_bp + power(g.mean_bp - m.mean_bp, 2))) / max(m.fraction)), 6) AS sd_bp, round(max(m.fraction), 6) AS fraction FROM g JOIN m USING (head) GROUP BY m.mean_bp").replace("WITH ", "WITH RECURSIVE ", 1))
 def peak_merge_total_variance(spark, sf_dir):
-    kept = peaks.component_filter(spark.createDataFrame(COMPONENTS, peaks.PEAK_SCHEMA), 0.01, 5.0).collect()
+    kept = peaks.component_filter(_components(spark, sf_dir), 0.01, 5.0).collect()
     rows = peaks.merge_close([r.asDict() for r in kept], 10.0)
     return spark.createDataFrame([(round(r["mean_bp"], 6), round(r["sd_bp"], 6), round(r["fraction"], 6)) for r in rows], "mean_bp double, sd_bp double, fraction double")
 
@@ -185,13 +194,13 @@ def length_refinement(spark, sf_dir):
     return spark.createDataFrame([(round(m, 3), round(s, 3), round(f, 4)) for m, s, f in peaks.refine_length([(r.read_len, r.n) for r in rows])], "mean_bp double, sd_bp double, fraction double")
 
 
-_SIZES = "sizes AS (SELECT * FROM (VALUES ('WT', 0.0::DOUBLE, 1.0::DOUBLE), ('ITD_1', 51.0, 2.0), ('ITD_2', 62.0, 5.0), ('ITD_3', 9.0, 0.5), ('ITD_4', 180.0, 3.0)) v(peak_alias, putative_itd_size, sd_bp))"
+_SIZES = ", sizes AS (SELECT haplotype AS peak_alias, avg(read_len) - 336.0 AS putative_itd_size, stddev_pop(read_len) AS sd_bp FROM reads GROUP BY 1)"
 
 
-@query(f"WITH {_SIZES}, f AS (SELECT a.peak_alias, a.putative_itd_size AS m, a.sd_bp, least(10.0::DOUBLE, min(abs(b.putative_itd_size - a.putative_itd_size) / 2)) AS window_floor FROM sizes a JOIN sizes b ON a.peak_alias <> b.peak_alias AND b.peak_alias <> 'WT' WHERE a.peak_alias <> 'WT' GROUP BY ALL) SELECT * FROM (SELECT peak_alias, window_floor, greatest(m - greatest(1.5 * sd_bp, window_floor), 12.0::DOUBLE) AS size_min, least(m + greatest(1.5 * sd_bp, window_floor), 300.0::DOUBLE) AS size_max FROM f) WHERE size_min <= size_max")
+@query(with_reads(_SIZES + ", f AS (SELECT a.peak_alias, a.putative_itd_size AS m, a.sd_bp, least(10.0::DOUBLE, min(abs(b.putative_itd_size - a.putative_itd_size) / 2)) AS window_floor FROM sizes a JOIN sizes b ON a.peak_alias <> b.peak_alias AND b.peak_alias <> 'WT' WHERE a.peak_alias <> 'WT' GROUP BY ALL) SELECT peak_alias, round(window_floor, 6) AS window_floor, round(size_min, 6) AS size_min, round(size_max, 6) AS size_max FROM (SELECT peak_alias, window_floor, greatest(m - greatest(1.5 * sd_bp, window_floor), 12.0::DOUBLE) AS size_min, least(m + greatest(1.5 * sd_bp, window_floor), 300.0::DOUBLE) AS size_max FROM f) WHERE size_min <= size_max"))
 def insertion_size_windows(spark, sf_dir):
-    sizes = spark.createDataFrame([("WT", 0.0, 1.0), ("ITD_1", 51.0, 2.0), ("ITD_2", 62.0, 5.0), ("ITD_3", 9.0, 0.5), ("ITD_4", 180.0, 3.0)], "peak_alias string, putative_itd_size double, sd_bp double")
-    return peaks.size_windows(sizes, 10.0, 1.5, 12, 300)
+    sizes = reads(spark, sf_dir).groupBy(F.col("haplotype").alias("peak_alias")).agg((F.avg("read_len") - 336.0).alias("putative_itd_size"), F.stddev_pop("read_len").alias("sd_bp"))
+    return peaks.size_windows(sizes, 10.0, 1.5, 12, 300).select("peak_alias", *[F.round(c, 6).alias(c) for c in ("window_floor", "size_min", "size_max")])
 
 
 @query(with_reads(f"{_ASSIGNED} SELECT gmm_peak_alias, round(avg(read_len), 6) AS mean_bp, round(stddev_pop(read_len), 6) AS sd_bp, count(DISTINCT read_len) > 1 AS has_shape FROM assigned GROUP BY 1"))
@@ -223,13 +232,11 @@ def _interval_sql(a: str) -> tuple[str, str]:
 _LOW, _HIGH = _interval_sql("read_seq")
 
 
-@query(with_reads("SELECT haplotype, allele FROM haps"))
+@query(with_reads(", p AS (SELECT DISTINCT CAST(100 + read_id % 150 AS INT) AS pos, CAST(12 + read_id % 37 AS INT) AS size FROM reads) SELECT CAST(pos AS BIGINT) AS pos, CAST(size AS BIGINT) AS size, substr(w, 1, pos) || substr(w, pos - size + 1, size) || substr(w, pos + 1) AS allele FROM p, wt"))
 def allele_reconstruct(spark, sf_dir):
-    ins = spark.createDataFrame([("WT", 0, 0, 0), ("ITD_A", 180, 135, 45), ("ITD_B", 120, 75, 45), ("ITD_C", 180, 150, 30), ("ITD_D", 180, 135, 45)], "haplotype string, pos int, source int, size int")
-    copy = S.mid(F.lit(WT), F.col("source"), F.col("size"))
-    flip = lambda i: F.translate(S.mid(copy, i, 1), "ACGT", "CGTA")
-    changed = F.concat(S.mid(copy, 0, 5), flip(5), S.mid(copy, 6, 14), flip(20), S.mid(copy, 21, 14), flip(35), S.mid(copy, 36, 9))
-    return ins.select("haplotype", S.reconstruct_allele(F.lit(WT), F.col("pos"), F.when(F.col("haplotype") == "ITD_D", changed).otherwise(copy)).alias("allele"))
+    i = F.col("read_id")
+    p = reads(spark, sf_dir).select((100 + i % 150).cast("int").alias("pos"), (12 + i % 37).cast("int").alias("size")).distinct()
+    return p.select(long("pos"), long("size"), S.reconstruct_allele(F.lit(WT), F.col("pos"), S.mid(F.lit(WT), F.col("pos") - F.col("size"), F.col("size"))).alias("allele"))
 
 
 @query(with_reads(f"SELECT read_seq, CAST({_LOW} AS BIGINT) AS low, CAST({_HIGH} AS BIGINT) AS high FROM (SELECT DISTINCT read_seq FROM reads), wt"))
@@ -437,13 +444,16 @@ def insertion_statistics(spark, sf_dir):
     return insertions.insertion_statistics(rows).withColumns({"mean_len": F.round("mean_len", 6), "sd_len": F.round("sd_len", 6)})
 
 
-_DUPS = "dup AS (SELECT * FROM (VALUES ('ITD_1', 180, 135, 45, 30, 0.3::DOUBLE, 30, 381.0::DOUBLE, 1.0::DOUBLE), ('ITD_1_H2', 135, 135, 45, 10, 0.1, 10, 382.0, 1.5), ('ITD_2', 120, 75, 45, 25, 0.2, 25, 381.0, 0.5), ('ITD_3', 180, 150, 30, 25, 0.4, 25, 366.0, 1.0)) v(peak_alias, pos, src, size, n_total_reads, fraction, cnt, mean_bp, sd_bp))"
+_DUPS = "dup AS (SELECT haplotype || strand AS peak_alias, pos, src, size, count(*) AS n_total_reads, count(*) / (SELECT count(*) FROM reads)::DOUBLE AS fraction, count(*) AS cnt, avg(read_len) AS mean_bp, stddev_pop(read_len) AS sd_bp FROM reads JOIN (VALUES ('ITD_A', 180, 135, 45), ('ITD_B', 120, 75, 45), ('ITD_C', 180, 150, 30)) v(h, pos, src, size) ON h = haplotype GROUP BY ALL)"
 
 
 @query(with_reads(f", {_DUPS}, a AS (SELECT dup.*, substr(w, 1, pos) || substr(w, src + 1, size) || substr(w, pos + 1) AS allele FROM dup, wt), o AS (SELECT *, first_value(peak_alias) OVER (PARTITION BY allele ORDER BY n_total_reads DESC, peak_alias) AS owner FROM a), g AS (SELECT owner AS peak_alias, sum(fraction) AS fraction, CAST(sum(cnt) AS BIGINT) AS effective_read_count, sum(cnt * mean_bp) / sum(cnt) AS mean_bp, sum(cnt * (sd_bp * sd_bp + mean_bp * mean_bp)) / sum(cnt) AS sq FROM o GROUP BY 1) SELECT peak_alias, round(fraction, 6) AS fraction, effective_read_count, round(mean_bp, 6) AS mean_bp, round(sqrt(greatest(sq - mean_bp * mean_bp, 0)), 6) AS sd_bp FROM g"))
 def merge_duplicate_alleles(spark, sf_dir):
-    rows = [("ITD_1", 180, 135, 45, 30, 0.3, 30, 381.0, 1.0), ("ITD_1_H2", 135, 135, 45, 10, 0.1, 10, 382.0, 1.5), ("ITD_2", 120, 75, 45, 25, 0.2, 25, 381.0, 0.5), ("ITD_3", 180, 150, 30, 25, 0.4, 25, 366.0, 1.0)]
-    d = spark.createDataFrame(rows, "peak_alias string, consensus_ins_pos_ref int, src int, size int, n_total_reads long, fraction double, effective_read_count long, mean_bp double, sd_bp double").withColumn("consensus_seq", S.mid(F.lit(WT), F.col("src"), F.col("size")))
+    r = reads(spark, sf_dir)
+    known = spark.createDataFrame([("ITD_A", 180, 135, 45), ("ITD_B", 120, 75, 45), ("ITD_C", 180, 150, 30)], "haplotype string, consensus_ins_pos_ref int, src int, size int")
+    # each allele's reads of either strand are a peak of their own
+    each = r.join(F.broadcast(known), "haplotype").groupBy(F.concat("haplotype", "strand").alias("peak_alias"), *known.columns[1:]).agg(F.count("*").alias("n_total_reads"), F.avg("read_len").alias("mean_bp"), F.stddev_pop("read_len").alias("sd_bp"))
+    d = each.crossJoin(F.broadcast(r.agg(F.count("*").alias("total")))).withColumns({"fraction": F.col("n_total_reads") / F.col("total"), "effective_read_count": F.col("n_total_reads"), "consensus_seq": S.mid(F.lit(WT), F.col("src"), F.col("size"))})
     owners = consensus.merge_duplicates(d.select("peak_alias", "consensus_ins_pos_ref", "consensus_seq", "n_total_reads"))
     m = consensus.merged_peaks(d.select("peak_alias", "fraction", "effective_read_count", "mean_bp", "sd_bp"), owners)
     return m.select("peak_alias", F.round("fraction", 6).alias("fraction"), "effective_read_count", F.round("mean_bp", 6).alias("mean_bp"), F.round("sd_bp", 6).alias("sd_bp"))
@@ -629,9 +639,9 @@ def final_support_profiles(spark, sf_dir):
     return quantify.final_profiles(v, quantify.allele_frequencies(v, 0.05))
 
 
-@query(with_reads(", c AS (SELECT haplotype AS ref_alias, length(allele) - 336 AS itd_len FROM haps WHERE haplotype <> 'WT') SELECT ref_alias, itd_len, itd_len || ' bp' || CASE WHEN count(*) OVER (PARTITION BY itd_len) > 1 THEN ' ' || chr(64 + CAST(row_number() OVER (PARTITION BY itd_len ORDER BY ref_alias) AS INT)) ELSE '' END AS label FROM c"))
+@query(with_reads(", c AS (SELECT haplotype AS ref_alias, CAST(round(avg(read_len)) AS BIGINT) - 336 AS itd_len FROM reads WHERE haplotype <> 'WT' GROUP BY 1) SELECT ref_alias, itd_len, itd_len || ' bp' || CASE WHEN count(*) OVER (PARTITION BY itd_len) > 1 THEN ' ' || chr(64 + CAST(row_number() OVER (PARTITION BY itd_len ORDER BY ref_alias) AS INT)) ELSE '' END AS label FROM c"))
 def display_labels(spark, sf_dir):
-    c = reads(spark, sf_dir).sparkSession.createDataFrame([("ITD_A", 45), ("ITD_B", 45), ("ITD_C", 30), ("ITD_D", 45)], "ref_alias string, itd_len long")
+    c = reads(spark, sf_dir).where("haplotype <> 'WT'").groupBy(F.col("haplotype").alias("ref_alias")).agg((F.round(F.avg("read_len")).cast("long") - 336).alias("itd_len"))
     return quantify.display_labels(c)
 
 
@@ -648,12 +658,14 @@ def genomic_coords_vcf(spark, sf_dir):
     return t.select("ref_alias", vcf_site().alias("site"), "n_itd_reads", F.greatest(F.col("n_total_reads") - F.col("n_itd_reads"), F.lit(0)).alias("ad_ref"))
 
 
-@query(with_reads(f", {_CALLS} SELECT '>' || ref_alias || ' len=' || (336 + size) || ' itd=' || size || ' pos=chr13:' || ({AMPLICON['hg38'][0]} + pos - 1) || chr(10) || substr(w, 1, pos) || substr(w, src + 1, size) || substr(w, pos + 1) AS record FROM calls, wt UNION ALL SELECT '>WT len=336 itd=0 pos=.' || chr(10) || w FROM wt"))
+@query(with_reads(f", {_CALLS} SELECT '>' || ref_alias || ' len=' || (336 + size) || ' itd=' || size || ' pos=chr13:' || ({AMPLICON['hg38'][0]} + pos - 1) || chr(10) || substr(w, 1, pos) || substr(w, src + 1, size) || substr(w, pos + 1) AS record FROM calls, wt WHERE substr(w, 1, pos) || substr(w, src + 1, size) || substr(w, pos + 1) IN (SELECT read_seq FROM reads) UNION ALL SELECT '>WT len=336 itd=0 pos=.' || chr(10) || w FROM wt WHERE w IN (SELECT read_seq FROM reads)"))
 def fasta_export(spark, sf_dir):
     from tandemlake.sources.sinks import fasta_record
 
     calls = spark.createDataFrame([("ITD_A", 180, WT[135:180]), ("ITD_B", 120, WT[75:120]), ("ITD_C", 180, WT[150:180])], "peak_alias string, consensus_ins_pos_ref int, consensus_seq string")
-    return consensus.reference_alleles(calls).select(fasta_record().alias("record"))
+    # alleles that some read shows
+    shown = reads(spark, sf_dir).select(F.col("read_seq").alias("ref_seq")).distinct()
+    return consensus.reference_alleles(calls).join(shown, "ref_seq", "left_semi").select(fasta_record().alias("record"))
 
 
 @query(with_reads(", t AS (SELECT DISTINCT substr(read_seq, 130, 45) AS s FROM reads), q AS (SELECT substr(w, 136, 45) AS c FROM wt) SELECT s, contains(c || c, s) AND length(s) = length(c) AS rotated, contains(c || c, substr(s, 21) || substr(s, 1, 20)) AND length(s) = length(c) AS turned FROM t, q"))
@@ -728,9 +740,12 @@ def density_allowed(spark, sf_dir):
 _EXONS = "exons AS (SELECT * FROM (VALUES " + ", ".join(f"('{e}', {a}, {b})" for e, a, b in exons("hg19")) + ") v(label, exon_start, exon_end))"
 
 
-@query(f"WITH {_EXONS} SELECT label, CAST(greatest(exon_start, {EXTRACTION['hg19'][0]}) AS BIGINT) AS \"from\", CAST(least(exon_end, {EXTRACTION['hg19'][1]}) AS BIGINT) AS \"to\" FROM exons WHERE exon_start <= {EXTRACTION['hg19'][1]} AND exon_end >= {EXTRACTION['hg19'][0]}")
+# the stretch that the longest read covers from the amplicon's start on
+@query(with_reads(f", {_EXONS}, e AS (SELECT {AMPLICON['hg19'][0]} AS s, {AMPLICON['hg19'][0]} + (SELECT max(read_len) FROM reads) - 1 AS e) SELECT label, CAST(greatest(exon_start, s) AS BIGINT) AS \"from\", CAST(least(exon_end, e) AS BIGINT) AS \"to\" FROM exons, e WHERE exon_start <= e AND exon_end >= s"))
 def exon_overlaps(spark, sf_dir):
-    return figures.exon_overlaps(figures.exons_frame(spark, "hg19"), *EXTRACTION["hg19"]).select("label", long("from"), long("to"))
+    longest = reads(spark, sf_dir).agg(F.max("read_len")).first()[0] or 1
+    start = AMPLICON["hg19"][0]
+    return figures.exon_overlaps(figures.exons_frame(spark, "hg19"), start, start + longest - 1).select("label", long("from"), long("to"))
 
 
 @query(with_reads(f"{_EXACT}, e AS (SELECT * FROM (VALUES " + ", ".join(f"('{e}', {a}, {b})" for e, a, b in exons("hg38")) + f") v(label, a, b)), p AS (SELECT read_id, {AMPLICON['hg38'][0]} + ins_pos - 1 AS pos, ins_len FROM ins) SELECT read_id, CAST(pos AS BIGINT) AS genomic_pos, label AS exon FROM p LEFT JOIN e ON pos BETWEEN a AND b"))
