@@ -34,7 +34,9 @@ _CODE[list(b"acgt")] = range(4)
 @dataclass(frozen=True)
 class Denoiser:
     """Parameters. least_fold: rates are averages over places, so a centre has to exceed its expected count by a factor as
-    well, at any depth. singletons: where reads are nearly all unique, a sequence seen once may be a centre too. Its chance
+    well, at any depth. flat_fold: the same under the rates of all qualities together, for sequences seen more than once: places
+    may err many times as often as the average, and few reads teach a rare quality's rates. An allele below ten times the rate of
+    one substitution is less than the guardrails keep apart. singletons: where reads are nearly all unique, a sequence seen once may be a centre too. Its chance
     isn't conditioned on being seen, and has to be below the root of omega, since many have to agree: of those below, the one
     with the fewest expected errors begins, as long as all of them are least_reads and least_share of the peak's reads, and
     until PATIENCE such centres gathered too few."""
@@ -44,6 +46,7 @@ class Denoiser:
     homopolymer_gap: int = -1
     singletons: bool = False
     least_fold: float = 4.0
+    flat_fold: float = 10.0
     least_reads: int = 20
     least_share: float = 0.15
 
@@ -255,6 +258,16 @@ def error_rates(counts: np.ndarray) -> np.ndarray:
     return rates
 
 
+def flat_rates(counts: np.ndarray) -> np.ndarray:
+    """Rates from the same counts that are equal for all qualities: what few bases of a rare quality can't lead astray."""
+    found = counts.sum(2).astype(float)
+    total = np.maximum(found.sum(1), 1)
+    rates = np.clip((found + 1) / total[:, None], LEAST_RATE, MOST_RATE)
+    for a in range(4):
+        rates[a, a] = 1 - rates[a, [b for b in range(4) if b != a]].sum()
+    return np.repeat(rates[:, :, None], counts.shape[2], 2)
+
+
 def levels(log_chance: np.ndarray) -> np.ndarray:
     """Whole numbers, 0 at most, in which log chances are counted."""
     return np.floor(np.maximum(log_chance, -9999)).astype(np.int64)
@@ -296,6 +309,16 @@ def unlikely(value: np.ndarray, counts: np.ndarray, settings: Denoiser) -> np.nd
     return value < math.log(settings.omega) * np.where(counts > 1, 1.0, 0.5)
 
 
+def not_expected(rows: np.ndarray, seqs: list[str], quals: list[bytes], beside: list[bytes | None], counts: np.ndarray, totals: np.ndarray, flat: np.ndarray, settings: Denoiser) -> np.ndarray:
+    """Of the rows given (a mask) those that exceed their expected count under the flat rates by the flat fold as well, or
+    are seen once. beside, totals: of each sequence's own centre."""
+    out, test = rows.copy(), np.flatnonzero(rows & (counts > 1))
+    if len(test):
+        chance = log_chances([seqs[i] for i in test], [quals[i] for i in test], [beside[i] for i in test], flat)
+        out[test] = counts[test] > settings.flat_fold * totals[test] * np.exp(chance)
+    return out
+
+
 def may_search(part: Partition, apart: int, reads: int, settings: Denoiser) -> bool:
     """May a sequence seen once begin a centre: ``apart`` of the peak's reads can't be errors of its centres."""
     failed = sum(t < settings.least_reads for t, once in zip(part.totals, part.once, strict=True) if once)
@@ -310,6 +333,7 @@ class Partition:
     totals: np.ndarray
     rates: np.ndarray = field(default_factory=lambda: np.full((4, 4, QUALITIES), MOST_RATE))
     once: list[bool] = field(default_factory=lambda: [False])
+    flat: np.ndarray = field(default_factory=lambda: np.full((4, 4, QUALITIES), MOST_RATE))
 
     def add(self, centre, count: int) -> None:
         self.centres, self.totals, self.once = [*self.centres, centre], np.append(self.totals, count), [*self.once, count == 1]
@@ -324,12 +348,17 @@ def denoise(seqs: list[str], counts: list[int], omega: float = 1e-40, quals: lis
     if len(order) < 2:
         return list(range(len(seqs)))
     beside: dict[int, list[bytes | None]] = {}
+    columns: dict[int, np.ndarray] = {}  # chances under the rates of the turn
+
+    def column(c: int, rates: np.ndarray) -> np.ndarray:
+        if c not in beside:
+            beside[c] = compare(seqs[c], seqs, settings)
+        if c not in columns:
+            columns[c] = log_chances(seqs, quals, beside[c], rates)
+        return columns[c]
 
     def chance(centres: list[int], rates: np.ndarray) -> np.ndarray:
-        for c in centres:
-            if c not in beside:
-                beside[c] = compare(seqs[c], seqs, settings)
-        out = np.stack([log_chances(seqs, quals, beside[c], rates) for c in centres], 1)
+        out = np.stack([column(c, rates) for c in centres], 1)
         for k, c in enumerate(centres):
             out[c] = -np.inf  # a centre is its own
             out[c, k] = 0
@@ -338,27 +367,34 @@ def denoise(seqs: list[str], counts: list[int], omega: float = 1e-40, quals: lis
     def learn(centres: list[int], owner: np.ndarray) -> np.ndarray:
         total = np.zeros(16 * QUALITIES)
         for k, c in enumerate(centres):
-            cells, of = transitions(seqs, quals, [b if owner[i] == k else None for i, b in enumerate(beside[c])])
-            total += np.bincount(cells, weights=n[of], minlength=len(total))
-        return error_rates(total.reshape(4, 4, QUALITIES))
+            mine = np.flatnonzero(owner == k)
+            cells, of = transitions([seqs[i] for i in mine], [quals[i] for i in mine], [beside[c][i] for i in mine])
+            total += np.bincount(cells, weights=n[mine][of], minlength=len(total))
+        return total.reshape(4, 4, QUALITIES)
 
     first = [order[0]]
     beside[order[0]] = compare(seqs[order[0]], seqs, settings)
-    rates = learn(first, np.zeros(len(seqs), int))
-    level = levels(log_chances(seqs, quals, beside[order[0]], rates))
+    rates = error_rates(learn(first, np.zeros(len(seqs), int)))
+    level = levels(chance(first, rates)[:, 0])
     others = np.where(np.arange(len(n)) == order[0], 0, n)
-    rates = learn(first, np.where(level >= first_level(np.bincount(-level, weights=others)), 0, -1))
+    cells = learn(first, np.where(level >= first_level(np.bincount(-level, weights=others)), 0, -1))
+    rates, flat = error_rates(cells), flat_rates(cells)
     found: list[int] = []
     errors = expected_errors(quals)
     for _ in range(TURNS):
+        columns.clear()
         part = Partition(list(first), np.array([n.sum()]))
         while True:
             p = chance(part.centres, rates)
+            taught = owners(p, part.totals)
+            part.totals = np.bincount(taught, weights=n, minlength=len(part.centres))
             owner = owners(p, part.totals)
-            part.totals = np.bincount(owner, weights=n, minlength=len(part.centres))
-            value = surplus(n, p[np.arange(len(n)), owner], part.totals[owner], len(seqs), settings)
+            of = part.totals[owner]
+            value = surplus(n, p[np.arange(len(n)), owner], of, len(seqs), settings)
             below = unlikely(value, n, settings)
-            new = [i for i in order if below[i] and i not in part.centres]
+            below[part.centres] = False
+            below = not_expected(below, seqs, quals, [beside[part.centres[k]][i] for i, k in enumerate(owner.tolist())], n, of, flat, settings)
+            new = [i for i in order if below[i]]
             often, once = [i for i in new if n[i] > 1], [i for i in new if n[i] == 1]
             if often:
                 best = min(often, key=lambda i: value[i])
@@ -367,7 +403,8 @@ def denoise(seqs: list[str], counts: list[int], omega: float = 1e-40, quals: lis
             else:
                 break
             part.add(best, int(n[best]))
-        before, rates = rates, learn(part.centres, owner)
+        cells = learn(part.centres, taught)
+        before, rates, flat = rates, error_rates(cells), flat_rates(cells)
         if part.centres == found and np.allclose(np.log(before), np.log(rates), atol=1e-3):
             break
         found = part.centres

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tandemlake.assay import Settings
-from tandemlake.kernels.denoise import QUALITIES, TURNS, Denoiser, Partition, compare, error_rates, expected_errors, first_level, levels, log_chances, may_search, owners, surplus, transitions, unlikely
+from tandemlake.kernels.denoise import QUALITIES, TURNS, Denoiser, Partition, compare, denoise, error_rates, expected_errors, first_level, flat_rates, levels, log_chances, may_search, not_expected, owners, surplus, transitions, unlikely
 from tandemlake.operators.insertions import cluster_guardrails, relabel
 from tandemlake.operators.lineage import remove, stage
 
 #: Bytes of sequences that a pass holds at once.
 PASS_BYTES = 1 << 22
+#: Bytes of unique sequences up to which a peak is denoised by one task in a single pass; larger ones take rounds of passes.
+TASK_BYTES = 1 << 21
 
 
 def unique_sequences(reads: DataFrame) -> DataFrame:
@@ -30,10 +32,8 @@ def unique_sequences(reads: DataFrame) -> DataFrame:
         for t in batches:
             out = []
             for (peak, seq), part in t.groupby(["gmm_peak_alias", "seq"], sort=False):
-                total = np.zeros(len(seq), np.int64)
-                for q in part["read_qual"]:
-                    if q is not None and len(q) == len(seq):
-                        total += np.frombuffer(q.encode("latin-1", "replace"), np.uint8).astype(np.int64) - 33
+                quals = [q for q in part["read_qual"] if q is not None and len(q) == len(seq)]
+                total = np.frombuffer("".join(quals).encode("latin-1", "replace"), np.uint8).reshape(len(quals), len(seq)).sum(0, dtype=np.int64) - 33 * len(quals)
                 out.append((peak, seq, len(part), part["first"].min(), total.tobytes()))
             yield pd.DataFrame(out, columns=["gmm_peak_alias", "seq", "n", "first", "sums"])
 
@@ -175,6 +175,8 @@ class _Rounds:
                 owner, n = owners(chance, part.totals), t["n"].to_numpy()
                 value = surplus(n, chance[np.arange(len(t)), owner], part.totals[owner], sizes[peak][1], settings)
                 new = unlikely(value, n, settings) & ~t["seq"].isin(part.centres).to_numpy()
+                where = [known[peak].index(c) for c in part.centres]
+                new = not_expected(new, t["seq"].tolist(), t["qual"].tolist(), [b[where[k]] for b, k in zip(t["beside"], owner.tolist(), strict=True)], n, part.totals[owner], part.flat, settings)
                 rows = t.loc[new, ["gmm_peak_alias", "seq", "n", "first"]].assign(once=n[new] == 1, worth=np.where(n[new] == 1, expected_errors(t["qual"][new].tolist()), value[new]))
                 best = rows.sort_values(["worth", "n", "seq"], ascending=[True, False, True]).groupby("once").head(1)
                 yield best.assign(unlikely=best["once"].map(rows.groupby("once")["n"].sum()))
@@ -193,12 +195,12 @@ class _Rounds:
         one = {p: Partition([c], np.array([self.sizes[p][0]])) for p, c in self.tops.items()}
         for least in (None, self.first_levels):
             for p, cells in self.assign(one, least and least(one))[1].items():
-                one[p].rates = error_rates(cells)
+                one[p].rates, one[p].flat = error_rates(cells), flat_rates(cells)
         done: dict[str, Partition] = {}
         todo, found = one, {}
         for turn in range(TURNS):
             # new centres, one a peak and pass, until none is found
-            parts = {p: Partition([self.tops[p]], np.array([self.sizes[p][0]]), v.rates) for p, v in todo.items()}
+            parts = {p: Partition([self.tops[p]], np.array([self.sizes[p][0]]), v.rates, flat=v.flat) for p, v in todo.items()}
             growing, cells = dict(parts), {}
             while growing:
                 totals, learned = self.assign(growing)
@@ -211,7 +213,7 @@ class _Rounds:
                 for p, c in new.items():
                     growing[p].add(c, self.facts[p, c][0])
             done |= parts
-            again = {p: Partition(v.centres, v.totals, error_rates(cells[p])) for p, v in parts.items()}
+            again = {p: Partition(v.centres, v.totals, error_rates(cells[p]), flat=flat_rates(cells[p])) for p, v in parts.items()}
             todo = {p: v for p, v in again.items() if p not in found or found[p].centres != v.centres or not np.allclose(np.log(found[p].rates), np.log(v.rates), atol=1e-3)}
             found = again
             if not todo:
@@ -229,26 +231,50 @@ class _Rounds:
         return self.state.mapInPandas(run, "gmm_peak_alias string, seq string, owner int")
 
 
-def denoise_labels(reads: DataFrame, settings: Settings) -> DataFrame:
+def denoise_labels(reads: DataFrame, settings: Settings, task_bytes: int = TASK_BYTES) -> DataFrame:
     """The reads with label: the cluster of their sequence, by the centre's rank. Peaks with fewer than twice the least child
     size get none."""
     targets = reads if settings.cluster_wt_peak else reads.where("gmm_peak_alias <> 'WT'")
     large = targets.groupBy("gmm_peak_alias").agg(F.count("*").alias("_n")).where(F.col("_n") >= 2 * settings.min_haplotype_reads)
     counts = stage(unique_sequences(targets.join(F.broadcast(large), "gmm_peak_alias", "left_semi")))
-    rounds = _Rounds(counts, settings.denoiser)
-    parts = rounds.run()
-    # centres in the order of their reads, the earliest on ties
-    names = []
-    for p, v in parts.items():
-        facts = [rounds.facts[p, c] for c in v.centres]
-        order = sorted(range(len(facts)), key=lambda k: (-facts[k][0], facts[k][1]))
-        names += [(p, k, f"c{rank:04d}") for rank, k in enumerate(order)]
-    label = reads.sparkSession.createDataFrame(names, "gmm_peak_alias string, owner int, label string")
-    labels = stage(rounds.labels(parts).join(F.broadcast(label), ["gmm_peak_alias", "owner"]).select("gmm_peak_alias", F.col("seq").alias("_s"), "label"))
-    remove(counts, rounds.state)
+    sizes = {r.gmm_peak_alias: r.b for r in counts.groupBy("gmm_peak_alias").agg(F.sum(F.length("seq")).alias("b")).collect()}
+    small = sorted(p for p, b in sizes.items() if b <= task_bytes)
+    found = _in_tasks(counts.where(F.col("gmm_peak_alias").isin(small)), settings.denoiser)
+    rounds = None
+    if len(small) < len(sizes):
+        rounds = _Rounds(counts.where(~F.col("gmm_peak_alias").isin(small)), settings.denoiser)
+        found = found.unionByName(_by_rounds(rounds))
+    labels = stage(found.select("gmm_peak_alias", F.col("seq").alias("_s"), "label"))
+    remove(counts, *([rounds.state] if rounds else []))
     return reads.withColumn("_s", F.upper("read_seq")).join(labels, ["gmm_peak_alias", "_s"], "left").drop("_s")
 
 
+def _ranked(facts: list[tuple]) -> list[str]:
+    """Labels of centres, given their counts and first reads: in the order of their reads, the earliest on ties."""
+    order = sorted(range(len(facts)), key=lambda k: (-facts[k][0], facts[k][1]))
+    return [f"c{order.index(k):04d}" for k in range(len(facts))]
+
+
+def _in_tasks(counts: DataFrame, settings: Denoiser) -> DataFrame:
+    """gmm_peak_alias, seq and label of peaks whose unique sequences are few: each one is a group."""
+
+    def run(t: pd.DataFrame) -> pd.DataFrame:
+        owner = denoise(t["seq"].tolist(), t["n"].tolist(), quals=t["qual"].tolist(), settings=settings)
+        centres = sorted(set(owner))
+        label = dict(zip(centres, _ranked([(t["n"][c], t["first"][c]) for c in centres]), strict=True))
+        return t[["gmm_peak_alias", "seq"]].assign(label=[label[c] for c in owner])
+
+    return counts.groupBy("gmm_peak_alias").applyInPandas(run, "gmm_peak_alias string, seq string, label string")
+
+
+def _by_rounds(rounds: _Rounds) -> DataFrame:
+    """The same of peaks of any size."""
+    parts = rounds.run()
+    names = [(p, k, name) for p, v in parts.items() for k, name in enumerate(_ranked([rounds.facts[p, c] for c in v.centres]))]
+    label = rounds.state.sparkSession.createDataFrame(names, "gmm_peak_alias string, owner int, label string")
+    return rounds.labels(parts).join(F.broadcast(label), ["gmm_peak_alias", "owner"]).select("gmm_peak_alias", "seq", "label")
+
+
 def no_labels(reads: DataFrame, settings: Settings) -> DataFrame:
     return reads.withColumn("label", F.lit(None).cast("string"))
 

@@ -235,6 +235,38 @@ def test_denoise_labels_of_all_uniques(spark):
         assert part.label.tolist() == [want[s] for s in part.read_seq]
 
 
+def test_denoise_in_a_task_as_by_rounds(spark):
+    """Peaks below and above the size of a task get the same labels, with and without qualities."""
+    from tandemlake.assay import Settings
+    from tandemlake.operators.split import denoise_labels
+
+    rng = random.Random(3)
+    major = "".join(rng.choice("ACGT") for _ in range(80))
+    minor = major[:30] + "".join("ACGT"[("ACGT".index(c) + 1) % 4] for c in major[30:36]) + major[36:]
+
+    def wrong(s):
+        i = rng.randrange(len(s))
+        return s[:i] + rng.choice("ACGT".replace(s[i], "")) + s[i + 1 :]
+
+    seqs = [major] * 200 + [minor] * 90 + [wrong(major) for _ in range(60)] + [wrong(minor) for _ in range(30)]
+    rows = [(2 * i + k, s, len(s), p, rng.choice("5+I") * len(s) if k else None) for k, p in enumerate(("ITD_1", "ITD_2")) for i, s in enumerate(seqs)]
+    reads = spark.createDataFrame(rows, "read_id long, read_seq string, read_len int, gmm_peak_alias string, read_qual string")
+    label = lambda most: {r.read_id: r.label for r in denoise_labels(reads, Settings(), most).collect()}
+    within = label(1 << 21)
+    assert within == label(0)
+    assert set(within.values()) == {"c0000", "c0001"}
+
+
+def test_denoise_of_a_deep_peak_whose_errors_crowd_at_some_places():
+    """Depth alone makes no centre of an error, where half of the places have all of them and mean qualities differ by row."""
+    rng = random.Random(8)
+    base = "".join(rng.choice("ACGT") for _ in range(300))
+    errors = [base[:i] + "C" + base[i + 1 :] for i in range(40, 280, 4) if base[i] != "C"]
+    quals = [bytes([30]) * 300] + [bytes([q % 7 + 27]) * 300 for q in range(len(errors))]
+    for depth in (1, 100):
+        assert set(denoise([base, *errors], [9000 * depth] + [8 * depth] * len(errors), quals=quals)) == {0}
+
+
 def test_log_tail_against_exact_sums():
     """Poisson tails against sums of all terms that matter, for means from 1e-6 to 1e7 on both sides of the count."""
     from tandemlake.kernels.denoise import log_at_least, log_tail
