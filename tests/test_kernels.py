@@ -388,3 +388,42 @@ def test_itd_pairs_join(spark):
     calls = [(f"c{i}", s[k:] + s[:k] if i % 2 else s[: len(s) - 1], t[2] + rng.choice([0, 3, 4, 5, len(s), -len(s), 60])) for i, (t, s) in enumerate(zip(truth, seqs)) for k in (rng.randrange(len(s)),)]
     got = {tuple(r) for r in itd_pairs(spark.createDataFrame(truth, "name string, seq string, pos int"), spark.createDataFrame(calls, "call string, seq string, pos int")).collect()}
     assert got == {(n, c) for n, a, p in truth for c, b, q in calls if same_itd(b, a, q, p)} and len(got) > 20
+
+
+def test_alignment_in_a_band_as_without_one():
+    """A band is only believed where no path outside can be as good: the same blocks as the whole matrix, at every scoring."""
+    from tandemlake.kernels import align as a
+
+    rng = random.Random(4)
+
+    def wrong(s, edits):
+        for _ in range(edits):
+            i, what = rng.randrange(len(s)), rng.random()
+            s = s[:i] + (rng.choice("ACGT") if what < 0.4 else rng.choice("ACGT") * rng.randint(1, 4) + s[i:] if what < 0.7 else "") + s[i + 1 :]
+            s = s or "A"
+        return s
+
+    for scoring in (a.VALIDATION, a.DISCOVERY, a.LOCATOR, a.Scoring(2, -1, -2, -1, -2, -1, -2, -1)):
+        for letters in ("AC", "ACGT"):
+            for size in (1, 9, 40, 90):
+                target = "".join(rng.choice(letters) for _ in range(size))
+                queries = [wrong(target, rng.randint(0, 6)) for _ in range(20)] + [wrong(target[:20] + target[5:], 2)]
+                want = a.align_batch(target, queries, scoring, ())
+                for bands in ((0, 1, 3), a.BANDS):
+                    assert a.align_batch(target, queries, scoring, bands) == want
+
+
+def test_alignment_of_long_reads_stays_in_its_band():
+    """Reads of a few edits, against their own allele and another one, don't fill the whole matrix."""
+    from tandemlake.kernels import align as a
+
+    rng = random.Random(6)
+    target = "".join(rng.choice("ACGT") for _ in range(330))
+    reads = [target, target[:50] + "A" + target[51:200] + "C" + target[201:], target[:150] + target[105:150] + target[150:], target[:99] + target[100:]]
+    whole, seen = a._align, []
+    a._align = lambda *x: seen.append(x) or whole(*x)
+    try:
+        a.align_batch(target, reads, a.VALIDATION)
+    finally:
+        a._align = whole
+    assert not seen
