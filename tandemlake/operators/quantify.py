@@ -23,7 +23,11 @@ def allele_frequencies(validation: DataFrame, min_af: float = 0.05) -> DataFrame
     odds_ratio, fisher_p of each ITD at or above min_af."""
     support = final_support(validation)
     counts = strand_counts(support)
-    total = support.agg(F.count("*").alias("n_total_reads"))
+    return frequencies(counts, support.agg(F.count("*").alias("n_total_reads")), min_af)
+
+
+def frequencies(counts: DataFrame, total: DataFrame, min_af: float) -> DataFrame:
+    """The same from strand_counts and the one row n_total_reads."""
     wt = counts.where("ref_alias = 'WT'").agg(F.coalesce(F.sum("plus_reads"), F.lit(0)).alias("wt_plus"), F.coalesce(F.sum("minus_reads"), F.lit(0)).alias("wt_minus"))
     rows = counts.where("ref_alias <> 'WT'").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(wt)).withColumn("allele_frequency", F.col("n_reads") / F.col("n_total_reads")).where(F.col("allele_frequency") >= min_af)
     rows = rows.withColumn("f", fisher("plus_reads", "minus_reads", "wt_plus", "wt_minus"))

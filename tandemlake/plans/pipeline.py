@@ -35,12 +35,15 @@ _EMPTY_SUMMARY = "ref_alias string, n_itd_reads long, n_total_reads long, allele
 
 
 def exact_calls(reads: DataFrame, settings: Settings, min_af: float) -> DataFrame:
-    """Calls without alignment: eligible observed alleles, supported by the reads that equal them."""
+    """Calls without alignment: eligible observed alleles, supported by the reads that equal them. Reads are counted by
+    sequence and strand before they meet the alleles, so no task holds the reads of a common sequence or their ids."""
     eligible = observed.discover(reads, settings).where("status = 'eligible'").select("allele", F.col("allele_id").alias("ref_alias"))
     named = eligible.unionByName(reads.sparkSession.createDataFrame([(WT, "WT")], "allele string, ref_alias string"))
-    support = reads.join(named, F.col("read_seq") == F.col("allele")).select("read_id", "strand", "ref_alias")
-    call = F.when(F.col("ref_alias") == "WT", "WT-supporting").otherwise("ITD-supporting")
-    return quantify.allele_frequencies(support.withColumns({"support_call": call, "valid_support": F.lit(True), "filter_reason": F.lit("pass")}), min_af)
+    counted = reads.groupBy("read_seq", "strand").agg(F.count("*").alias("n"))
+    support = counted.join(named, F.col("read_seq") == F.col("allele"))
+    plus, minus = (F.coalesce(F.sum(F.when(F.col("strand") == s, F.col("n"))), F.lit(0)) for s in "+-")
+    counts = support.groupBy("ref_alias").agg(F.sum("n").alias("n_reads"), plus.alias("plus_reads"), minus.alias("minus_reads"))
+    return quantify.frequencies(counts, counts.agg(F.coalesce(F.sum("n_reads"), F.lit(0)).alias("n_total_reads")), min_af)
 
 
 def run(reads: DataFrame, settings: Settings) -> Result:

@@ -87,3 +87,18 @@ def test_names_of_children_that_are_taken(spark):
     rows = [("ITD_1", i, "a" if i < 60 else "b") for i in range(100)]
     out = cluster_guardrails(spark.createDataFrame(rows, "parent string, read_id long, label string"), 20, 0.15, ["ITD_1", "ITD_1_H1", "ITD_1_H1_2"]).orderBy(F.desc("n")).collect()
     assert [r.child for r in out] == ["ITD_1_H1_3", "ITD_1_H2"]
+
+
+def test_exact_calls_shuffle_counts_and_not_reads(spark, tmp_path):
+    """However many reads have a sequence, what is shuffled for it are rows of counts; and no read's id is."""
+    from tandemlake.assay import WT, Settings
+    from tandemlake.plans.pipeline import exact_calls
+
+    allele = WT[:180] + WT[135:180] + WT[180:]
+    rows = [(i, allele if i % 4 == 0 else WT, "+-"[i % 3 == 0], "I" * (381 if i % 4 == 0 else 336)) for i in range(1200)]
+    reads = spark.createDataFrame(rows, "read_id long, read_seq string, strand string, read_qual string")
+    calls = exact_calls(reads, Settings(), 0.01)
+    found = calls.collect()
+    assert [(r.n_itd_reads, r.n_total_reads, r.plus_reads, r.minus_reads) for r in found] == [(300, 1200, 200, 100)]
+    plan = calls._jdf.queryExecution().optimizedPlan().toString()
+    assert "read_id" not in "".join(x for x in plan.splitlines() if "Join" in x or "Aggregate" in x)
