@@ -38,10 +38,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/orders.parquet")
 
 
+def _seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of orders over all cores: a file of few row groups gives few tasks, and a read is fifty times as wide as its keys."""
+    keys = orders(spark, sf_dir).select("o_orderkey", "o_custkey")
+    return keys.repartition(max(keys.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism), "o_orderkey")
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """read_id, strand, mapq, haplotype (truth), read_seq, read_qual, read_len."""
     text = READS_CTES.replace("FROM orders)", "FROM {orders})")
-    return spark.sql(f"WITH {text} SELECT * FROM reads", orders=orders(spark, sf_dir))
+    return spark.sql(f"WITH {text} SELECT * FROM reads", orders=_seeds(spark, sf_dir))
 
 
 def with_reads(select: str) -> str:
@@ -59,4 +65,4 @@ NOISY = """noisy AS (
 def noisy_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """reads, nearly all of them unique."""
     text = READS_CTES.replace("FROM orders)", "FROM {orders})")
-    return spark.sql(f"WITH {text}, {NOISY} SELECT * FROM noisy", orders=orders(spark, sf_dir))
+    return spark.sql(f"WITH {text}, {NOISY} SELECT * FROM noisy", orders=_seeds(spark, sf_dir))

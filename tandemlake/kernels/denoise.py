@@ -226,8 +226,9 @@ def log_chances(seqs: list[str], quals: list[bytes], beside: list[bytes | None],
 
 def smooth(q: np.ndarray, y: np.ndarray, weight: np.ndarray, at: np.ndarray, span: float = SPAN) -> np.ndarray:
     """Weighted local quadratic regression of y on q at the points ``at``; flat beyond the ends of q."""
-    out, least = np.empty(len(at)), min(len(q), max(3, math.ceil(span * len(q))))
-    for i, x in enumerate(np.clip(at, q.min(), q.max())):
+    points, place = np.unique(np.clip(at, q.min(), q.max()), return_inverse=True)
+    out, least = np.empty(len(points)), min(len(q), max(3, math.ceil(span * len(q))))
+    for i, x in enumerate(points):
         away = np.abs(q - x)
         reach = np.sort(away)[least - 1] * (1 + 1e-9) + 1e-9
         w = weight * np.clip(1 - (away / reach) ** 3, 0, None) ** 3
@@ -237,7 +238,7 @@ def smooth(q: np.ndarray, y: np.ndarray, weight: np.ndarray, at: np.ndarray, spa
             continue
         design = np.stack([(q - x) ** d for d in range(degree + 1)], 1) * np.sqrt(w)[:, None]
         out[i] = np.linalg.lstsq(design, y * np.sqrt(w), rcond=None)[0][0]
-    return out
+    return out[place]
 
 
 def error_rates(counts: np.ndarray) -> np.ndarray:

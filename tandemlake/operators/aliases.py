@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tandemlake.assay import Settings
 from tandemlake.operators import insertions
@@ -62,14 +63,14 @@ def peak_table(frame: DataFrame, assigned: DataFrame, settings: Settings) -> Dat
     )
     fitted = frame.select("peak_alias", "mean_bp", "sd_bp", F.col("fraction").alias("weight"), F.col("effective_read_count").alias("fitted_reads"))
     both = own.join(F.broadcast(fitted), "peak_alias", "full").withColumns({"n": F.coalesce("n", F.lit(0)), "refinement_level": F.coalesce("refinement_level", F.lit(0))})
-    gone = both.where("n = 0 and fitted_reads > 0")
-    moved = both.agg(F.coalesce(F.max((F.col("n") != F.coalesce("fitted_reads", F.lit(-1))).cast("int")), F.lit(0)).alias("moved"), F.sum("n").alias("total"))
-    rows = both.join(gone, "peak_alias", "left_anti").crossJoin(F.broadcast(moved))
+    every = Window.partitionBy(F.lit(0))  # a handful of peaks; the reads are passed over once
+    moved = F.max((F.col("n") != F.coalesce("fitted_reads", F.lit(-1))).cast("int")).over(every)
+    rows = both.withColumns({"moved": moved, "total": F.sum("n").over(every)}).where("not (n = 0 and coalesce(fitted_reads, 0) > 0)")
     as_fitted = (F.col("refinement_level") == 0) & (F.col("n") == F.col("fitted_reads"))
     rows = rows.select(
         "peak_alias", F.when(as_fitted, F.col("mean_bp")).otherwise(F.col("own_mean")).alias("mean_bp"), F.when(as_fitted, F.col("sd_bp")).otherwise(F.col("own_sd")).alias("sd_bp"),
         F.when(F.col("moved") == 1, F.col("n") / F.col("total")).otherwise(F.col("weight")).alias("fraction"), F.col("n").alias("effective_read_count"), F.coalesce(F.col("n") / F.nullif("total", F.lit(0)), F.lit(0.0)).alias("effective_allele_freq"),
         (F.col("peak_alias") == "WT").alias("is_wt"), F.coalesce("parent_peak_alias", "peak_alias").alias("parent_peak_alias"), "refinement_level", F.coalesce("split_by", F.lit("")).alias("split_by"),
     )
-    base = rows.where("is_wt").agg(F.coalesce(F.max("mean_bp"), F.lit(float(settings.wt_amplicon_length))).alias("base"))
-    return rows.crossJoin(F.broadcast(base)).withColumn("putative_itd_size", F.col("mean_bp") - F.col("base")).drop("base").orderBy(F.desc("fraction"), "peak_alias")
+    base = F.coalesce(F.max(F.when(F.col("is_wt"), F.col("mean_bp"))).over(every), F.lit(float(settings.wt_amplicon_length)))
+    return rows.withColumn("putative_itd_size", F.col("mean_bp") - base).orderBy(F.desc("fraction"), "peak_alias")

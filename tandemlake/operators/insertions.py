@@ -103,7 +103,11 @@ def cluster_guardrails(assigned: DataFrame, min_reads: int, min_fraction: float,
     """parent, label, kept, target, child, child_reads: clusters below the guardrails fold into the parent's largest; a parent
     with fewer than two kept clusters stays whole (child is null). assigned: parent, read_id, label (null: no cluster). A child's name that is among ``used`` gets the first free
     number behind it."""
-    counts = assigned.groupBy("parent", "label").agg(F.count("*").alias("n"))
+    return guarded(assigned.groupBy("parent", "label").agg(F.count("*").alias("n")), min_reads, min_fraction, used)
+
+
+def guarded(counts: DataFrame, min_reads: int, min_fraction: float, used: Sequence[str] = ()) -> DataFrame:
+    """The same from counts: parent, label, n."""
     w = Window.partitionBy("parent")
     clustered = F.sum(F.when(F.col("label").isNotNull(), F.col("n"))).over(w)
     counts = counts.withColumn("kept", F.col("label").isNotNull() & (F.col("n") >= min_reads) & (F.col("n") / clustered >= min_fraction))

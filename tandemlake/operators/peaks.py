@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from tandemlake.assay import Settings
 from tandemlake.functions.statistics import law_of_total_variance
 from tandemlake.kernels import mixture
+from tandemlake.operators.lineage import cut
 
 PEAK_SCHEMA = "orig_id int, mean_bp double, sd_bp double, fraction double"
 
@@ -85,7 +86,9 @@ def assign_reads(reads: DataFrame, components: list[dict], peaks: list[dict], se
             agree = F.col("orig_id").isNotNull() & F.col("orig_id").eqNullSafe(F.col("p_id"))
             table = both.select("read_len", F.when(agree, F.col("orig_id")).alias("orig_id"), (F.col("is_ambiguous") | (F.col("orig_id").isNotNull() & ~agree)).alias("is_ambiguous"), F.col("p").alias("confidence"))
     table = table.join(F.broadcast(merged.select("orig_id", "alias")), "orig_id").where("not is_ambiguous")
-    return reads.join(F.broadcast(table.select("read_len", F.col("orig_id").alias("gmm_peak"), "confidence", "is_ambiguous", F.col("alias").alias("gmm_peak_alias"))), "read_len")
+    # a row for each length; each later pass over the reads would make it again, from passes over all of them
+    table = cut(table.select("read_len", F.col("orig_id").alias("gmm_peak"), "confidence", "is_ambiguous", F.col("alias").alias("gmm_peak_alias")))
+    return reads.join(F.broadcast(table), "read_len")
 
 
 def name_peaks(peaks: list[dict], settings: Settings) -> list[dict]:

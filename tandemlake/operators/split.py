@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tandemlake.assay import Settings
 from tandemlake.kernels.denoise import QUALITIES, TURNS, Denoiser, Partition, compare, denoise, error_rates, expected_errors, first_level, flat_rates, levels, log_chances, may_search, not_expected, owners, surplus, transitions, unlikely
-from tandemlake.operators.insertions import cluster_guardrails, relabel
-from tandemlake.operators.lineage import remove, stage
+from tandemlake.operators.insertions import guarded, relabel
+from tandemlake.operators.lineage import cut, remove, stage
 
 #: Bytes of sequences that a pass holds at once.
 PASS_BYTES = 1 << 22
@@ -28,14 +28,20 @@ def unique_sequences(reads: DataFrame) -> DataFrame:
     schema = f"gmm_peak_alias string, seq string, n long, first {at}, sums binary"
     rows = reads.where(F.col("gmm_peak_alias").isNotNull()).select("gmm_peak_alias", F.upper("read_seq").alias("seq"), F.col("read_id").alias("first"), ("read_qual" if "read_qual" in reads.columns else F.lit(None).cast("string").alias("read_qual")))
 
+    def total(seq: str, quals: list[str]) -> np.ndarray:
+        return np.frombuffer("".join(quals).encode("latin-1", "replace"), np.uint8).reshape(len(quals), len(seq)).sum(0, dtype=np.int64) - 33 * len(quals)
+
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
-            out = []
-            for (peak, seq), part in t.groupby(["gmm_peak_alias", "seq"], sort=False):
-                quals = [q for q in part["read_qual"] if q is not None and len(q) == len(seq)]
-                total = np.frombuffer("".join(quals).encode("latin-1", "replace"), np.uint8).reshape(len(quals), len(seq)).sum(0, dtype=np.int64) - 33 * len(quals)
-                out.append((peak, seq, len(part), part["first"].min(), total.tobytes()))
-            yield pd.DataFrame(out, columns=["gmm_peak_alias", "seq", "n", "first", "sums"])
+            t = t.dropna(subset=["seq"])
+            groups = t.groupby(["gmm_peak_alias", "seq"], sort=False)
+            out = groups.agg(n=("first", "size"), first=("first", "min")).reset_index()
+            seqs, quals = out["seq"].tolist(), [[] for _ in range(len(out))]
+            for k, q in zip(groups.ngroup().tolist(), t["read_qual"].tolist(), strict=True):
+                if q is not None and len(q) == len(seqs[k]):
+                    quals[k].append(q)
+            out["sums"] = [total(s, q).tobytes() for s, q in zip(seqs, quals, strict=True)]
+            yield out[["gmm_peak_alias", "seq", "n", "first", "sums"]]
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -235,14 +241,13 @@ def denoise_labels(reads: DataFrame, settings: Settings, task_bytes: int = TASK_
     """The reads with label: the cluster of their sequence, by the centre's rank. Peaks with fewer than twice the least child
     size get none."""
     targets = reads if settings.cluster_wt_peak else reads.where("gmm_peak_alias <> 'WT'")
-    large = targets.groupBy("gmm_peak_alias").agg(F.count("*").alias("_n")).where(F.col("_n") >= 2 * settings.min_haplotype_reads)
-    counts = stage(unique_sequences(targets.join(F.broadcast(large), "gmm_peak_alias", "left_semi")))
-    sizes = {r.gmm_peak_alias: r.b for r in counts.groupBy("gmm_peak_alias").agg(F.sum(F.length("seq")).alias("b")).collect()}
+    counts = stage(unique_sequences(targets))
+    sizes = {r.gmm_peak_alias: r.b for r in counts.groupBy("gmm_peak_alias").agg(F.sum("n").alias("n"), F.sum(F.length("seq")).alias("b")).collect() if r.n >= 2 * settings.min_haplotype_reads}
     small = sorted(p for p, b in sizes.items() if b <= task_bytes)
     found = _in_tasks(counts.where(F.col("gmm_peak_alias").isin(small)), settings.denoiser)
     rounds = None
     if len(small) < len(sizes):
-        rounds = _Rounds(counts.where(~F.col("gmm_peak_alias").isin(small)), settings.denoiser)
+        rounds = _Rounds(counts.where(F.col("gmm_peak_alias").isin(sorted(sizes.keys() - set(small)))), settings.denoiser)
         found = found.unionByName(_by_rounds(rounds))
     labels = stage(found.select("gmm_peak_alias", F.col("seq").alias("_s"), "label"))
     remove(counts, *([rounds.state] if rounds else []))
@@ -287,8 +292,9 @@ def split_peaks(reads: DataFrame, settings: Settings) -> DataFrame:
     if settings.haplotype_method not in METHODS:
         raise ValueError(f"unknown haplotype method {settings.haplotype_method!r}; known: {', '.join(sorted(METHODS))}")
     labelled = METHODS[settings.haplotype_method](reads, settings)
-    used = [r.a for r in reads.select(F.col("gmm_peak_alias").alias("a")).distinct().collect()]  # a handful of peaks
-    children = cluster_guardrails(labelled.select(F.col("gmm_peak_alias").alias("parent"), "read_id", "label"), settings.min_haplotype_reads, settings.min_subpeak_fraction, used)
+    counts = cut(labelled.groupBy(F.col("gmm_peak_alias").alias("parent"), "label").agg(F.count("*").alias("n")))
+    used = [r.parent for r in counts.select("parent").distinct().collect()]  # a handful of peaks
+    children = cut(guarded(counts, settings.min_haplotype_reads, settings.min_subpeak_fraction, used))
     split = relabel(labelled, children, F.col("label")).drop("label")
     return _keep_wild_type(split, settings) if settings.cluster_wt_peak else split
 

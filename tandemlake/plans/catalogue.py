@@ -141,9 +141,9 @@ def peak_band_assign(spark, sf_dir):
     return peaks.band_assign(reads(spark, sf_dir), fixed_peaks(spark)).select(long("read_len"), "n_peaks", long("orig_id"), "is_ambiguous")
 
 
-def _by_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_peak(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
     parts = [{"orig_id": i, "members": [i], "mean_bp": m, "sd_bp": s, "fraction": f, "alias": a} for i, m, s, f, a in PEAKS]
-    return peaks.assign_reads(reads(spark, sf_dir), parts, parts, SETTINGS)
+    return peaks.assign_reads(reads(spark, sf_dir) if of is None else of, parts, parts, SETTINGS)
 
 
 _ASSIGNED = f"{_BAND}, assigned AS (SELECT r.*, p.alias AS gmm_peak_alias FROM reads r JOIN band b USING (read_len) JOIN peaks p ON p.orig_id = b.oid WHERE b.n_peaks = 1)"
@@ -485,13 +485,17 @@ def denoise_split(spark, sf_dir):
 def peak_lineage(spark, sf_dir):
     """The peaks' table after a split by sequence: shares of all reads, moments of children."""
     from tandemlake.operators import aliases
+    from tandemlake.operators.lineage import remove, stage
     from tandemlake.operators.split import split_peaks
+    from tandemlake.plans.pipeline import _small
 
-    by_peak = aliases.begin(_by_peak(spark, sf_dir))
+    r = stage(reads(spark, sf_dir).select("read_id", "read_seq", "read_qual", "read_len"))  # derived once, then read by column
+    by_peak = aliases.begin(_by_peak(spark, sf_dir, r))
     counts = {r.gmm_peak_alias: r.effective_read_count for r in peaks.effective_counts(by_peak).collect()}
     frame = peaks.peaks_frame(spark, [{"alias": a, "mean_bp": m, "sd_bp": s, "fraction": f, "effective_read_count": counts.get(a, 0), "putative_itd_size": m - 336.0, "is_wt": a == "WT"} for _, m, s, f, a in PEAKS])
     split = aliases.refined("_before", split_peaks(by_peak.withColumn("_before", F.col("gmm_peak_alias")), SETTINGS), "sequence")
-    t = aliases.peak_table(frame, split, SETTINGS)
+    t = _small(aliases.peak_table(frame, split, SETTINGS))
+    remove(r)
     child = F.col("refinement_level") > 0
     return t.select("peak_alias", "parent_peak_alias", "effective_read_count", F.round("fraction", 6).alias("fraction"), "refinement_level", "split_by", F.when(child, F.round("mean_bp", 6)).alias("child_mean"), F.when(child, F.round("sd_bp", 6)).alias("child_sd"))
 

@@ -102,3 +102,34 @@ def test_exact_calls_shuffle_counts_and_not_reads(spark, tmp_path):
     assert [(r.n_itd_reads, r.n_total_reads, r.plus_reads, r.minus_reads) for r in found] == [(300, 1200, 200, 100)]
     plan = calls._jdf.queryExecution().optimizedPlan().toString()
     assert "read_id" not in "".join(x for x in plan.splitlines() if "Join" in x or "Aggregate" in x)
+
+
+def test_split_and_peak_table_pass_over_the_reads_three_times(spark):
+    """Once for unique sequences, once for the clusters' counts and once for the peaks' moments, whatever the peaks."""
+    from tandemlake.assay import Settings
+    from tandemlake.operators import aliases, peaks
+    from tandemlake.operators.split import split_peaks
+
+    a, b = WT[:180] + WT[135:180] + WT[180:], WT[:120] + WT[75:120] + WT[120:]
+    rows = [(i, s, "I" * len(s), len(s), p) for i, (s, p) in enumerate([(WT, "WT")] * 200 + [(a, "ITD_1")] * 120 + [(b, "ITD_1")] * 80)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for t in batches:
+            seen.add(len(t))
+            yield t
+
+    reads = spark.createDataFrame(rows, "read_id long, read_seq string, read_qual string, read_len int, gmm_peak_alias string").repartition(2)
+    reads = aliases.begin(reads.mapInPandas(count, reads.schema))
+    frame = peaks.peaks_frame(spark, [{"alias": p, "mean_bp": m, "sd_bp": 1.0, "fraction": 0.5, "effective_read_count": 200, "putative_itd_size": m - 336.0, "is_wt": p == "WT"} for p, m in (("WT", 336.0), ("ITD_1", 381.0))])
+    split = aliases.refined("_before", split_peaks(reads.withColumn("_before", F.col("gmm_peak_alias")), Settings()), "sequence")
+    table = aliases.peak_table(frame, split, Settings()).collect()
+    assert [(r.peak_alias, r.effective_read_count, r.putative_itd_size) for r in table] == [("WT", 200, 0.0), ("ITD_1_H1", 120, 45.0), ("ITD_1_H2", 80, 45.0)]
+    assert seen.value <= 3 * len(rows)
+
+
+def test_derived_reads_use_all_cores(spark):
+    from tandemlake.fixtures import noisy_reads, reads
+
+    for of in (reads, noisy_reads):
+        assert of(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
