@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -64,8 +65,14 @@ def allele_id(allele: Column) -> Column:
 @F.pandas_udf(T.DoubleType())
 def mean_quality(qual: pd.Series) -> pd.Series:
     """Mean Phred value of a quality string; null if it is null or empty. In Arrow batches: a lambda over every character
-    is interpreted and took ten times as long."""
-    return pd.Series([(sum(q.encode()) - 33 * len(q)) / len(q) if q else None for q in qual], dtype="float64")
+    is interpreted and took ten times as long. Sums are whole numbers, all of a batch at once."""
+    out, there = np.full(len(qual), np.nan), [i for i, q in enumerate(qual) if q]
+    if there:
+        texts = qual.iloc[there].tolist()
+        raw, size = [q.encode() for q in texts], np.array([len(q) for q in texts])
+        ends = np.cumsum([len(b) for b in raw])
+        out[there] = (np.add.reduceat(np.frombuffer(b"".join(raw), np.uint8), np.append(0, ends[:-1]), dtype=np.int64) - 33 * size) / size
+    return pd.Series(out)
 
 
 def repaired_quality(seq: Column, qual: Column) -> Column:

@@ -62,7 +62,8 @@ def discover(reads: DataFrame, settings: Settings, ref: str = WT) -> DataFrame:
     start, stop = anchor_coordinates(len(ref), settings.anchor_length, settings.anchor_shift)
     n = settings.anchor_length
     counted = reads.groupBy(F.upper("read_seq").alias("seq"), "strand", S.mean_quality(F.col("read_qual")).alias("mean_q")).agg(F.count("*").alias("n"))
-    found = _windows(counted, settings, ref).where((F.col("net") > 0) & (F.col("net") <= settings.max_itd_size))
+    # sequences come from the reads, so that their qualities are summed once
+    found = _windows(reads.select(F.upper("read_seq").alias("seq")), settings, ref).where((F.col("net") > 0) & (F.col("net") <= settings.max_itd_size))
     windows = counted.join(found, "seq")
     changed = F.col("lm") + F.col("rm") > 0
     total = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0))

@@ -7,23 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tandemlake.functions.statistics import fisher
+from tandemlake.operators.lineage import cut
 
 
 def final_support(validation: DataFrame) -> DataFrame:
     return validation.where((F.col("valid_support")) & (F.col("filter_reason") == "pass") & F.col("support_call").isin("ITD-supporting", "WT-supporting"))
 
 
-def strand_counts(support: DataFrame) -> DataFrame:
-    """ref_alias, n_reads (distinct), plus_reads, minus_reads."""
-    return support.groupBy("ref_alias").agg(F.countDistinct("read_id").alias("n_reads"), F.count_if(F.col("strand") == "+").alias("plus_reads"), F.count_if(F.col("strand") == "-").alias("minus_reads"))
+def strand_counts(support: DataFrame, *more: Column) -> DataFrame:
+    """ref_alias, n_reads (distinct), plus_reads, minus_reads, and aggregates that are added."""
+    return support.groupBy("ref_alias").agg(F.countDistinct("read_id").alias("n_reads"), F.count_if(F.col("strand") == "+").alias("plus_reads"), F.count_if(F.col("strand") == "-").alias("minus_reads"), *more)
 
 
 def allele_frequencies(validation: DataFrame, min_af: float = 0.05) -> DataFrame:
     """ref_alias, n_itd_reads, n_total_reads (all final support), allele_frequency, plus_reads, minus_reads, strand_ratio,
     odds_ratio, fisher_p of each ITD at or above min_af."""
     support = final_support(validation)
-    counts = strand_counts(support)
-    return frequencies(counts, support.agg(F.count("*").alias("n_total_reads")), min_af)
+    # a row for each reference, from one pass over the reads
+    counts = cut(strand_counts(support, F.count("*").alias("_rows")))
+    return frequencies(counts.drop("_rows"), counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n_total_reads")), min_af)
 
 
 def frequencies(counts: DataFrame, total: DataFrame, min_af: float) -> DataFrame:

@@ -804,7 +804,11 @@ def exact_itd_calls(spark, sf_dir):
 @query(with_reads(_nearest_sql("SELECT CASE haplotype WHEN 'ITD_A' THEN 'ITD_2_H1' WHEN 'ITD_B' THEN 'ITD_2_H2' WHEN 'ITD_C' THEN 'ITD_1' WHEN 'ITD_D' THEN 'ITD_OBS_' || substr(sha256(allele), 1, 12) ELSE haplotype END AS ref_alias, allele AS ref_seq FROM haps") + " SELECT ref_alias, count(*) AS n_itd_reads, (SELECT count(*) FROM reads) AS n_total_reads, round(count(*) / (SELECT count(*) FROM reads), 6) AS allele_frequency, count(*) FILTER (WHERE strand = '+') AS plus_reads, count(*) FILTER (WHERE strand = '-') AS minus_reads FROM reads JOIN near USING (read_seq) WHERE ref_alias <> 'WT' GROUP BY 1" + f" HAVING count(*) / (SELECT count(*) FROM reads) >= {SETTINGS.min_allele_frequency}"))
 def itd_pipeline(spark, sf_dir):
     """The whole pipeline from reads to calls."""
-    from tandemlake.plans.pipeline import run
+    from tandemlake.operators.lineage import remove, stage
+    from tandemlake.plans.pipeline import _small, run
 
-    t = run(reads(spark, sf_dir), SETTINGS).summary
+    # derived once: a plan with common table expressions that a join has twice isn't found among the cached ones
+    r = stage(reads(spark, sf_dir).select("read_id", "read_seq", "read_qual", "strand", "read_len"))
+    t = _small(run(r, SETTINGS).summary)
+    remove(r)
     return t.select("ref_alias", "n_itd_reads", "n_total_reads", F.round("allele_frequency", 6).alias("allele_frequency"), "plus_reads", "minus_reads")

@@ -133,3 +133,27 @@ def test_derived_reads_use_all_cores(spark):
 
     for of in (reads, noisy_reads):
         assert of(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_pipeline_sums_qualities_once_and_counts_support_in_one_pass(spark):
+    from tandemlake.assay import Settings
+    from tandemlake.functions import sequence as S
+    from tandemlake.operators import observed, quantify
+
+    reads = spark.createDataFrame([(1, WT, "+", "I" * 336)], "read_id long, read_seq string, strand string, read_qual string")
+    assert observed.discover(reads, Settings())._jdf.queryExecution().optimizedPlan().toString().count("mean_quality(") == 1
+    quals = ["I5+", None, "", "~", "!!", "é5"]
+    got = [r.m for r in spark.createDataFrame([(q,) for q in quals], "q string").coalesce(1).select(S.mean_quality(F.col("q")).alias("m")).collect()]
+    assert got == [(sum(q.encode()) - 33 * len(q)) / len(q) if q else None for q in quals]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for t in batches:
+            seen.add(len(t))
+            yield t
+
+    rows = [(i, "+-"[i % 2], a, f"{a[:3]}-supporting", "pass", True) for i, a in enumerate(["WT"] * 60 + ["ITD"] * 40)]
+    table = spark.createDataFrame(rows, "read_id long, strand string, ref_alias string, support_call string, filter_reason string, valid_support boolean").repartition(2)
+    calls = quantify.allele_frequencies(table.mapInPandas(count, table.schema)).collect()
+    assert [(r.ref_alias, r.n_itd_reads, r.n_total_reads, r.plus_reads, r.minus_reads) for r in calls] == [("ITD", 40, 100, 20, 20)]
+    assert seen.value == len(rows)
